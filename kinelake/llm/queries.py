@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat
+from . import chat, mixing, simhash, suffixes
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +46,25 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, et) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(length('{chat.START}' || er || chr(10) || et || '{chat.END}' || chr(10))) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id"""
+
+
+def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, distance=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+QUERIES["op7_mix_sources"] = op7_mix_sources
+QUERIES["op10_simhash"] = op10_simhash
+
+
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+QUERIES["op9_suffix_dedup"] = op9_suffix_dedup
