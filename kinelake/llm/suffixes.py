@@ -23,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,13 +32,17 @@ from .common import BASE, PrefixHash, joined, mixed, powers, small_batches, utf8
 HOT = 20_000
 PIECE = 1_000_000
 KEY = ["doc_id", "uid"]
-KEY_TYPE = "doc_id long, uid long"
+KEY_TYPE = "doc_id long, uid int"
+PLACE = "struct<d:long,u:int,a:int>"
 
 
-def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """doc_id, uid (a hash of the text, which tells rows of equal ids apart) and text."""
+def keyed(docs: DataFrame, doc_id: str, text: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id (the least number where null), uid (a hash of the text, which tells rows of equal ids apart), text, the id as
+    it is, and columns to keep."""
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    return docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))).alias("doc_id"), F.xxhash64(t).alias("uid"), t.alias("text"))
+    own = F.col(doc_id).cast("long")
+    held = F.struct(*keep) if keep else F.lit(None).cast("int")
+    return docs.select(F.coalesce(own, F.lit(-(1 << 63))).alias("doc_id"), F.hash(t).alias("uid"), t.alias("text"), own.alias("id"), held.alias("held"))
 
 
 # ---------------------------------------------------------------- anchors and contexts
@@ -94,6 +99,19 @@ def pieces(texts: list[bytes], length: int) -> Iterator[tuple[list[int], list[in
         yield index, start, held
 
 
+def anchor_counts(docs: DataFrame, length: int, gram: int) -> DataFrame:
+    """(gram, n): how many contexts have an anchor string."""
+    small_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, held in pieces(utf8(batch.column(0)), length):
+                h, n = np.unique(contexts(*joined(held), length, gram)[4], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n, pa.int32())], names=["gram", "n"])
+
+    return docs.select("text").mapInArrow(run, "gram long, n int").groupBy("gram").agg(F.sum("n").alias("n"))
+
+
 def occurrences(docs: DataFrame, length: int, gram: int) -> DataFrame:
     """One row per context: doc_id, uid, at (byte of the anchor), low, high (bytes of its windows before the anchor: least
     and most), gram (anchor hash), digest (of the context's bytes)."""
@@ -106,29 +124,46 @@ def occurrences(docs: DataFrame, length: int, gram: int) -> DataFrame:
             for index, begin, held in pieces(texts, length):
                 buf, off = joined(held)
                 text, anchor, first, last, h = contexts(buf, off, length, gram)
-                if not len(text):
-                    continue
                 raw = memoryview(buf)
                 d = np.fromiter((digest(raw[a:b]) for a, b in zip(first.tolist(), (last + length).tolist())), np.uint64, len(first))
                 row = np.array(index)[text]
                 at = anchor - off[text] + np.array(begin)[text]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[row]), pa.array(uids[row]), pa.array(at), pa.array((anchor - last).astype(np.int32)), pa.array((anchor - first).astype(np.int32)), pa.array(h.view(np.int64)), pa.array(d.view(np.int64))],
+                    [pa.array(ids[row]), pa.array(uids[row]), *(pa.array(x.astype(np.int32)) for x in (at, anchor - last, anchor - first)), pa.array(h.view(np.int64)), pa.array(d.view(np.int64))],
                     names=[*KEY, "at", "low", "high", "gram", "digest"],
                 )
 
-    return docs.select(*KEY, "text").mapInArrow(run, f"{KEY_TYPE}, at long, low int, high int, gram long, digest long")
+    return docs.select(*KEY, "text").mapInArrow(run, f"{KEY_TYPE}, at int, low int, high int, gram long, digest long")
+
+
+def packed(docs: DataFrame, keep: bool = False) -> DataFrame:
+    """doc_id, uid and the text compressed, for a shuffle; and id and held if these are kept."""
+    small_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([pack(t) for t in utf8(batch.column(0))], pa.binary()), *batch.columns[1:]], names=["packed", *batch.schema.names[1:]])
+
+    more = ["id", "held"] if keep else []
+    types = f", id long, held {docs.schema['held'].dataType.simpleString()}" if keep else ""
+    return docs.select("text", *KEY, *more).mapInArrow(run, f"packed binary, {KEY_TYPE}{types}")
+
+
+def unpacked(column: pa.Array) -> list[bytes]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    return [unpack(x) for x in column.to_pylist()]
 
 
 def with_text(rows: DataFrame, docs: DataFrame, length: int) -> DataFrame:
     """rows (doc_id, uid, at, low, high, gram, digest, place) with ``context``, cut from the documents that have any."""
     lists = rows.groupBy(*KEY).agg(F.collect_list(F.struct("at", "low", "high", "gram", "digest", "place")).alias("wanted"))
-    both = docs.join(lists, KEY)
+    both = packed(docs).join(lists, KEY)
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, wanted = utf8(batch.column("text")), batch.column("wanted")
+            texts, wanted = unpacked(batch.column("packed")), batch.column("wanted")
             lists = wanted.flatten()
             of = np.repeat(np.arange(len(texts)), wanted.value_lengths().to_numpy(zero_copy_only=False))
             at, low, high, g, d, place = (lists.field(i) for i in range(6))
@@ -137,7 +172,7 @@ def with_text(rows: DataFrame, docs: DataFrame, length: int) -> DataFrame:
                 part = slice(s, s + 5000)
                 yield pa.RecordBatch.from_arrays([g[part], d[part], low[part], high[part], place[part], pa.array(cut[part], pa.binary())], names=["gram", "digest", "low", "high", "place", "context"])
 
-    return both.select("text", "wanted").mapInArrow(run, "gram long, digest long, low int, high int, place struct<d:long,u:long,a:long>, context binary")
+    return both.select("packed", "wanted").mapInArrow(run, f"gram long, digest long, low int, high int, place {PLACE}, context binary")
 
 
 # ---------------------------------------------------------------- the sort
@@ -269,7 +304,7 @@ def runs(g: np.ndarray, d: np.ndarray, state: np.ndarray) -> pa.RecordBatch:
 
 def sorted_cuts(rows: DataFrame, length: int) -> DataFrame:
     """Cuts of contexts (gram, digest, low, high, place, context) whose anchors' contexts come together in a task."""
-    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
+    small_batches(rows.sparkSession, 4096)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -305,7 +340,7 @@ def counted_cuts(rows: DataFrame, length: int) -> DataFrame:
                 h = [xxhash.xxh3_128_digest(text[high - a : high - a + length]) for a in range(low, high + 1)]
                 yield pa.RecordBatch.from_arrays([pa.array([batch.column("gram")[r].as_py()] * len(h), pa.int64()), pa.array([batch.column("digest")[r].as_py()] * len(h), pa.int64()), pa.array(range(low, high + 1), pa.int32()), pa.array([batch.column("place")[r].as_py()] * len(h), batch.column("place").type), pa.array(h, pa.binary())], names=["gram", "digest", "a", "place", "window"])
 
-    windows = rows.mapInArrow(run, "gram long, digest long, a int, place struct<d:long,u:long,a:long>, window binary")
+    windows = rows.mapInArrow(run, f"gram long, digest long, a int, place {PLACE}, window binary")
     shared = windows.groupBy("gram", "a", "window").agg(F.count("*").alias("n"), F.min("place").alias("least")).where("n > 1")
     found = windows.join(shared, ["gram", "a", "window"])
     state = F.when(F.col("place") == F.col("least"), 2).otherwise(1)
@@ -315,25 +350,25 @@ def counted_cuts(rows: DataFrame, length: int) -> DataFrame:
 # ---------------------------------------------------------------- documents
 
 
-def repeated_ranges(docs: DataFrame, length: int = 200, gram: int = 50, keep_first: bool = False, hot: int = HOT) -> DataFrame:
+def repeated_ranges(docs: DataFrame, length: int = 200, gram: int = 32, keep_first: bool = False, hot: int = HOT) -> DataFrame:
     """docs: keyed(). One row per repeated stretch of a document: doc_id, uid, start, end (bytes; stretches may overlap).
 
     keep_first spares, of each window's occurrences, the one with the least (doc_id, uid, byte)."""
-    occ = written(occurrences(docs, length, gram), "contexts")
-    place = F.struct(F.col("doc_id").alias("d"), F.col("uid").alias("u"), F.col("at").alias("a"))
+    shared = written(anchor_counts(docs, length, gram).where("n > 1").select("gram"), "shared-anchors")
+    occ = written(occurrences(docs, length, gram).join(shared, "gram"), "contexts")
     classes = occ.groupBy("gram", "digest").agg(F.count("*").alias("n"), F.min(F.struct(*place_fields(), F.col("low"), F.col("high"))).alias("f"))
     classes = written(classes.select("gram", "digest", "n", "f.*"), "context-classes")
     several = classes.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    several = written(several, "shared-anchors")
+    several = written(several, "several-contexts")
     compared = classes.join(several, "gram").select(
         F.col("d").alias("doc_id"), F.col("u").alias("uid"), F.col("a").alias("at"), "low", "high", "gram", "digest", F.struct("d", "u", "a").alias("place"), "kinds"
     )
     cuts = sorted_cuts(with_text(compared.where(F.col("kinds") <= hot), docs, length), length)
     if not several.where(F.col("kinds") > hot).isEmpty():
         cuts = cuts.unionByName(counted_cuts(with_text(compared.where(F.col("kinds") > hot), docs, length), length))
-    spared = ["d", "u", "a"] if keep_first else [F.lit(None).cast("long").alias(x) for x in "dua"]
+    none = [F.lit(None).cast(t).alias(x) for x, t in (("d", "long"), ("u", "int"), ("a", "int"))]
+    spared = ["d", "u", "a"] if keep_first else none
     copies = classes.where("n > 1").select("gram", "digest", F.col("low").alias("from"), F.col("high").alias("to"), *spared)
-    none = [F.lit(None).cast("long").alias(x) for x in "dua"]
     other = cuts.where("state = 1" if keep_first else "state > 0").select("gram", "digest", F.col("low").alias("from"), F.col("high").alias("to"), *none)
     found = occ.join(copies.unionByName(other), ["gram", "digest"])
     found = found.where(~(F.col("doc_id").eqNullSafe(F.col("d")) & F.col("uid").eqNullSafe(F.col("u")) & F.col("at").eqNullSafe(F.col("a"))))
@@ -344,18 +379,20 @@ def place_fields():
     return F.col("doc_id").alias("d"), F.col("uid").alias("u"), F.col("at").alias("a")
 
 
-def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 200, gram: int = 50, keep_first: bool = False, hot: int = HOT) -> DataFrame:
-    """Per row: doc_id, uid, n_bytes, n_removed, n_spans, kept_sha256 and kept (the text that is left, in whole characters)."""
-    keys = keyed(docs, doc_id, text)
+def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 200, gram: int = 32, keep_first: bool = False, keep: tuple[str, ...] = (), hot: int = HOT) -> DataFrame:
+    """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, original, kept (what is left, in whole characters) and
+    the columns in ``keep``. ``kept`` is null where it isn't asked for by ``keep_first`` or ``keep``."""
+    keys = keyed(docs, doc_id, text, keep)
     ranges = repeated_ranges(keys, length, gram, keep_first, hot)
     lists = written(ranges.groupBy(*KEY).agg(F.collect_list(F.struct("start", "end")).alias("ranges")), "repeats")
-    both = keys.join(lists, KEY, "left")
+    both = packed(keys, keep=True).join(lists, KEY, "left")
     small_batches(docs.sparkSession)
+    texts = keep_first or bool(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for raw, cut in zip(utf8(batch.column("text")), batch.column("ranges")):
+            for raw, cut in zip(unpacked(batch.column("packed")), batch.column("ranges")):
                 kept, removed, spans = raw, 0, 0
                 if cut.is_valid:
                     edge = np.zeros(len(raw) + 1, np.int32)
@@ -364,8 +401,12 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     gone = np.cumsum(edge[:-1]) > 0
                     removed, spans = int(gone.sum()), int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum())
                     kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
-                out.append((len(raw), removed, spans, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore")))
-            columns = list(zip(*out)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("uid"), *(pa.array(c, t) for c, t in zip(columns, (pa.int64(),) * 3 + (pa.string(),) * 2))], names=[*KEY, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
-
-    return both.select(*KEY, "text", "ranges").mapInArrow(run, f"{KEY_TYPE}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
+                out.append((len(raw), removed, spans, hashlib.sha256(kept).hexdigest(), *((raw.decode("utf-8", "replace"), kept.decode("utf-8", "ignore")) if texts else (None, None))))
+            columns = list(zip(*out)) or [()] * 6
+            arrays = [pa.array(c, t) for c, t in zip(columns, (pa.int64(),) * 3 + (pa.string(),) * 3)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("held"), *arrays], names=["doc_id", "held", "n_bytes", "n_removed", "n_spans", "kept_sha256", "original", "kept"])
+
+    held = keys.schema["held"].dataType.simpleString()
+    found = both.select("id", "held", "packed", "ranges").mapInArrow(run, f"doc_id long, held {held}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, original string, kept string")
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "original", "kept"]
+    return found.select(*names, *(F.col(f"held.{c}").alias(c) for c in keep))
