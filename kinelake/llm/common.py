@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Bounds what one Arrow batch holds, so that long texts don't fill a Python worker."""
+    """Bounds what one Arrow batch holds, so that long texts don't fill a Python worker; lets workers import this package."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 

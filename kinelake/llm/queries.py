@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, simhash, suffixes
-from .common import table
+from . import chat, decontam, langid, mixing, quality, simhash, suffixes, suffixtree, tokens, vptree
+from .common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -68,3 +68,41 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op9_suffix_dedup"] = op9_suffix_dedup
+
+
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vptree.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, apart = table(spark, sf_dir, "documents"), held_out("doc_id", 5, 0)
+    machine = quality.learned(docs, table(spark, sf_dir, "labels"), ~apart)
+    return quality.scored(docs, machine).select("doc_id", apart.alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, apart = table(spark, sf_dir, "documents"), held_out("doc_id", 4, 2)
+    return langid.identified(docs, langid.learned(docs, ~apart)).select("doc_id", apart.alias("held_out"), "lang_pred", "score")
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
+
+
+def op8_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixtree.scored(table(spark, sf_dir, "documents"), ~held_out("doc_id", 7, 2))
+    return found.select("doc_id", (~F.col("learns")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+QUERIES["op1_decontaminate"] = op1_decontaminate
+QUERIES["op2_nearest"] = op2_nearest
+QUERIES["op4_quality"] = op4_quality
+QUERIES["op5_language"] = op5_language
+QUERIES["op6_token_counts"] = op6_token_counts
+QUERIES["op8_suffix_tree"] = op8_suffix_tree

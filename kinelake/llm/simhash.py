@@ -150,6 +150,12 @@ def planned(sample: np.ndarray, distance: int, rows: int, parts: range = range(2
     return min(options, key=lambda x: x[0])[1]
 
 
+def even_plan(bits: int, parts: int) -> list[tuple[list[int], int]]:
+    """Partitions of nearly equal width with threshold 0, bits in order."""
+    edges = [round(i * bits / parts) for i in range(parts + 1)]
+    return [(list(range(a, b)), 0) for a, b in zip(edges, edges[1:])]
+
+
 # ---------------------------------------------------------------- buckets and links
 
 
@@ -205,7 +211,7 @@ def bucket_links(rows: DataFrame, keys: list[str], lanes: int, distance: int) ->
     """Links (a, b) within each bucket; a bucket's rows come together, sorted by its key."""
     names = [f"f{k}" for k in range(lanes)]
     spark = rows.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
+    small_batches(spark, 20000)
 
     def of_groups(key: np.ndarray, own: np.ndarray, node: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
         edge = np.any(key[1:] != key[:-1], axis=1)
