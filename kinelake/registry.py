@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from .queries import episodes, monitoring, warehouse
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+QUERIES = {k: v for m in (warehouse, episodes, monitoring) for k, v in m.QUERIES.items()}
+ORACLES = {k: v for m in (warehouse, episodes, monitoring) for k, v in m.ORACLES.items()}
