@@ -42,6 +42,15 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def hash_sample(df: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """The ``n`` rows with the least hashes of ``keys``. Of a large table only rows below a hash that leaves about twice
+    as many are compared, so that no task sees rows in proportion to the number of partitions."""
+    h, total = F.xxhash64(*keys), df.count()
+    if total > 2 * n:
+        df = df.where(h < F.lit(int(-(2**63) + 2.0**64 * min(1.0, (2.0 * n + 100) / total))))
+    return df.orderBy(h, *keys).limit(n)
+
+
 def held_out(doc_id: str, mod: int, remainder: int) -> Column:
     """Whether crc32 of the id as text leaves ``remainder``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % mod == remainder

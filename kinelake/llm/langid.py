@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, small_batches
+from .common import chunks, hash_sample, small_batches
 
 WINDOW, EMBED, WIDTHS, FILTERS = 256, 6, (2, 3, 4), 12
 LETTER = re.compile(r"[^\W\d_]")
@@ -114,8 +114,7 @@ def learned(docs: DataFrame, teaches: Column, doc_id: str = "doc_id", text: str
     """Fits on at most ``sample`` texts with a language for which ``teaches`` holds; None if there is none."""
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).where(teaches)
     # the hash decides, so the sample is spread over languages as the table is
-    ids = known.select(F.col(doc_id).alias("id"), F.xxhash64(doc_id).alias("h")).orderBy("h", "id").limit(sample)
-    bound = ids.agg(F.max("h")).first()[0]
+    bound = hash_sample(known.select(doc_id), [doc_id], sample).agg(F.max(F.xxhash64(doc_id))).first()[0]
     if bound is None:
         return None
     taken = known.where(F.xxhash64(doc_id) <= bound).select(F.substring(F.col(text), 1, 40 * WINDOW).alias("t"), F.col(lang).cast("string").alias("l"), F.xxhash64(doc_id).alias("h"))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, joined, small_batches, utf8, word_hashes
+from .common import chunks, hash_sample, joined, small_batches, utf8, word_hashes
 
 WORDS = 1 << 14
 CLASSES = [np.zeros(256, np.float32) for _ in range(6)]
@@ -151,7 +151,7 @@ def _inputs(docs: DataFrame, doc_id: str, text: str, metadata: str | None, *more
 def learned(docs: DataFrame, labels: DataFrame, teaches: Column, doc_id: str = "doc_id", text: str = "text", metadata: str | None = "n_chars", label: str = "quality", sample: int = 6000) -> Machine:
     """Fits on at most ``sample`` of the labels for which ``teaches`` (a condition on the id) holds."""
     known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).where(teaches)
-    taken = known.orderBy(F.xxhash64(doc_id), doc_id, label).limit(sample).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
+    taken = hash_sample(known.select(doc_id, label), [doc_id], sample).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
     small_batches(docs.sparkSession)
     rows = _inputs(docs, doc_id, text, metadata).join(F.broadcast(taken), "doc_id")  # at most ``sample`` rows
 

@@ -13,6 +13,7 @@ and other columns pass through untouched; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -78,12 +79,12 @@ def counter(model_file: str) -> PieceCounter:
 
 
 def frequent(docs: DataFrame, model_file: str, text: str = "text", sample: int = 2000, entries: int = 20_000) -> dict[str, int]:
-    """Lengths of the most frequent pre-tokens of up to ``sample`` texts (at most 20,000 bytes of each)."""
-    taken = docs.select(F.substring(F.col(text).cast("string"), 1, 20_000).alias("t")).limit(sample)
-    word = F.explode(F.regexp_extract_all(F.concat(F.lit(" "), F.col("t")), F.lit("( [^ \\n]{1,32})"), F.lit(1)))
-    top = taken.select(word.alias("w")).groupBy("w").count().orderBy(F.desc("count"), "w").limit(entries)
+    """Lengths of the most frequent pre-tokens of the first ``sample`` texts (of at most 20,000 characters of each)."""
+    seen = Counter()
+    for r in docs.select(F.substring(F.col(text).cast("string"), 1, 20_000).alias("t")).take(sample):  # reads few partitions
+        seen.update(pre_tokens(r.t or ""))
     own = counter(model_file)
-    return {r.w: own.encoded(r.w) for r in top.collect() if BLANK not in r.w}
+    return {t: own.encoded(t) for t, _ in seen.most_common(entries) if len(t) <= LONGEST}
 
 
 def count_tokens(docs: DataFrame, model_file: str, doc_id: str = "doc_id", text: str = "text", limit: int = 4096, entries: int = 20_000) -> DataFrame:
