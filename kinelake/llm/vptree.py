@@ -102,22 +102,23 @@ def usable(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
     return df.select(F.col(vec_id).cast("long").alias("id"), v.alias("v")).where("id is not null").where(v.isNotNull()).where(finite & F.exists("v", lambda x: x != 0)).withColumn("d", F.size("v"))
 
 
-def nearest(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", vector: str = "embedding", k: int = 5, factor: float = 0.55, shard: int = 8192, block: int = 512) -> DataFrame:
+def nearest(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", vector: str = "embedding", k: int = 5, factor: float = 0.55, shard: int = 8192, block: int = 16_384) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found for each row for which ``is_query`` (on its id ``id``) holds.
 
-    Shards hold about ``shard`` rows, query blocks about ``block``; each pair of a shard and a block is a row of a table
-    whose index side is read as often as there are blocks, so that neither side is ever broadcast.
+    Shards hold about ``shard`` rows. Queries go in blocks of about ``block``, which bounds what is broadcast; a block walks
+    every tree where the tree is, and a task hands on k rows per query, however many trees it has walked.
     """
     rows = written(usable(vectors, vec_id, vector), "vectors")
-    n = rows.count()
-    shards = max(1, -(-n // shard))
-    queries = rows.where(is_query)
+    shards = max(1, -(-rows.count() // shard))
+    queries = rows.where(is_query).dropDuplicates(["id", "v"])
     blocks = max(1, -(-queries.count() // block))
-    index = indexed(rows.withColumn("shard", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(shards))), k)
-    index = written(index, "trees")
-    asked = queries.withColumn("block", F.pmod(F.xxhash64("id", F.lit(2)), F.lit(blocks))).groupBy("d", "block").agg(F.collect_list("id").alias("qid"), F.flatten(F.collect_list("v")).alias("qv"))
-    pairs = index.join(asked, "d").repartition(max(1, min(shards * blocks, 4096)), "shard", "block")
-    found = searched(pairs, k, factor).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    index = written(indexed(rows.withColumn("shard", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(shards))), k), "trees")
+    found = None
+    for b in range(blocks):
+        asked = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64("id", F.lit(2)), F.lit(blocks)) == b)
+        part = searched(index, asked.select("id", "d", "v").toArrow(), k, factor)
+        found = part if found is None else found.unionByName(part)
+    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
@@ -142,29 +143,52 @@ def indexed(rows: DataFrame, k: int) -> DataFrame:
     return rows.groupBy("d", "shard").applyInArrow(run, INDEX)
 
 
-def searched(pairs: DataFrame, k: int, factor: float) -> DataFrame:
-    small_batches(pairs.sparkSession, 1)
+def trimmed(query: np.ndarray, vec: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best rows of each query, ties by the smaller id; a pair once."""
+    order = np.lexsort((vec, -score, query))
+    query, vec, score = query[order], vec[order], score[order]
+    again = np.concatenate([[False], (query[1:] == query[:-1]) & (vec[1:] == vec[:-1]) & (score[1:] == score[:-1])]) if len(query) else np.zeros(0, bool)
+    query, vec, score = query[~again], vec[~again], score[~again]
+    near = np.arange(len(query)) - np.searchsorted(query, query) < k
+    return query[near], vec[near], score[near]
+
+
+def searched(index: DataFrame, asked: pa.Table, k: int, factor: float) -> DataFrame:
+    """(query_id, vec_id, score): for one block of queries, the k best of the trees of each task."""
+    spark = index.sparkSession
+    size, vectors = asked.column("d").to_numpy(), asked.column("v").combine_chunks()
+    ids = asked.column("id").to_numpy()
+    flat = vectors.flatten().to_numpy() if len(asked) else np.zeros(0)
+    begin = np.cumsum(size) - size
+    blocks = {int(d): (ids[size == d], np.stack([flat[a : a + d] for a in begin[size == d]])) for d in np.unique(size)}
+    shared = spark.sparkContext.broadcast(blocks)
+    small_batches(spark, 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple[np.ndarray, ...]] = {}  # per dimension: query number, vec_id, score
         for batch in batches:
             for r in range(batch.num_rows):
-                cell = lambda name: batch.column(name)[r].values.to_numpy()  # noqa: B023, E731
                 d = batch.column("d")[r].as_py()
-                x, q, ids, at, asked = cell("v").reshape(-1, d), cell("qv").reshape(-1, d), cell("ids"), cell("at"), cell("qid")
+                if d not in shared.value:
+                    continue
+                asked, q = shared.value[d]
+                cell = lambda name: batch.column(name)[r].values.to_numpy()  # noqa: B023, E731
+                x, ids, at = cell("v").reshape(-1, d), cell("ids"), cell("at")
+                query, vec, score = held.get(d, (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)))
                 s = Search(scaled(x), scaled(q), min(k + 1, len(x)), factor)
+                full, floor = np.bincount(query, minlength=len(q)) >= k, np.full(len(q), np.inf)
+                np.minimum.at(floor, query, score)
+                s.best[full] = floor[full, None] - 1e-9  # what can't beat the k of earlier trees needn't be looked at
                 s.walk(pickle.loads(batch.column("tree")[r].as_py()), np.arange(len(q)))
                 who, what = np.nonzero(s.row >= 0)
                 kind = s.row[who, what]
-                score = cosine(x[kind], q[who])
+                exact = cosine(x[kind], q[who])
                 many = at[kind + 1] - at[kind]
                 each = np.repeat(np.arange(len(kind)), many)
-                vec = ids[np.repeat(at[kind] - np.cumsum(many) + many, many) + np.arange(many.sum())]
-                query, sc = asked[who[each]], score[each]
-                keep = vec != query
-                query, vec, sc = query[keep], vec[keep], sc[keep]
-                order = np.lexsort((vec, -sc, query))
-                query, vec, sc = query[order], vec[order], sc[order]
-                near = np.arange(len(query)) - np.searchsorted(query, query) < k
-                yield pa.RecordBatch.from_arrays([pa.array(query[near]), pa.array(vec[near]), pa.array(sc[near])], names=["query_id", "vec_id", "score"])
-
-    return pairs.mapInArrow(run, "query_id long, vec_id long, score double")
+                found = ids[np.repeat(at[kind] - np.cumsum(many) + many, many) + np.arange(many.sum())]
+                other = found != asked[who[each]]
+                held[d] = trimmed(np.concatenate([query, who[each][other]]), np.concatenate([vec, found[other]]), np.concatenate([score, exact[each][other]]), k)
+        for d, (query, vec, score) in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array(shared.value[d][0][query]), pa.array(vec), pa.array(score)], names=["query_id", "vec_id", "score"])
+
+    return index.mapInArrow(run, "query_id long, vec_id long, score double")

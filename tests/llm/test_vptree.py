@@ -22,7 +22,7 @@ def test_exact_at_factor_one_and_recall_of_the_query(spark):
     want = brute(ids, x, [i for i in ids if i % 50 == 0])
     from pyspark.sql import functions as F
 
-    got = vptree.nearest(df, F.col("id") % 50 == 0, factor=1.0, shard=700).collect()
+    got = vptree.nearest(df, F.col("id") % 50 == 0, factor=1.0, shard=700, block=17).collect()
     for r in got:
         assert want[r.query_id][r.rank - 1] == r.vec_id
     assert len(got) == 5 * len(want)
