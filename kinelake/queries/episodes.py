@@ -121,6 +121,7 @@ add("T16_workspace_bbox", ["fx_pose"], lambda p: P.bbox_check(p, centred(p)),
 # signal processing per episode: held against scipy-like brute force in the tests
 add("T12_press_frames", ["fx_pose"], press.press_frames)
 add("T14_press_events", ["fx_pose"], lambda p: press.press_events(p, press.press_frames(p)))
+add("T13_press_clusters", ["fx_pose"], lambda p: press.press_frames(p, expected=3).where("cluster_id is not null").groupBy(*series.EPISODE, "cluster_id", "cluster_center_x", "cluster_center_y").agg(F.count("*").alias("n")))
 add("T17_cluster_quality", ["fx_pose"], lambda p: P.cluster_check(p, press.press_events(p, press.press_frames(p))))
 add("P1_normalize", ["fx_pose"], lambda p: P.normalize(P.inject(p, "nan_injection"))[0],
     f"""WITH q AS (SELECT {K}, frame_idx, x, y, CASE WHEN frame_idx % 20 = 10 THEN 0.0 ELSE z END AS z, qx, qy, qz, CASE WHEN sqrt(qx*qx + qy*qy + qz*qz + qw*qw) < 1e-12 THEN 1.0 ELSE qw END AS qw FROM fx_pose), n AS (SELECT *, sqrt(qx*qx + qy*qy + qz*qz + qw*qw) AS quat_norm FROM q)

@@ -453,4 +453,66 @@ def _(spark, sf):
     return spark.read.parquet(f"{path}/daily").select("dt", "n")
 
 
+# ---------------------------------------------------------------- the remaining small operators by name
+
+add("F2_day_with_fallback", ["fx_qc_runs"], lambda q: q.select("run_id", E.day("started_at", "created_at").alias("dt")), "SELECT run_id, CAST(coalesce(started_at, created_at) AS DATE) AS dt FROM fx_qc_runs")
+add("F3_status_classes", ["fx_etl_perf"], lambda p: p.groupBy(E.ladder([(E.status_in("status", E.SUCCESS), "success"), (E.status_in("status", E.FAILURE), "failure"), (E.status_in("status", E.UNFINISHED), "unfinished")], "unknown").alias("class")).agg(F.count("*").alias("n")),
+    f"SELECT CASE WHEN upper(status) IN ('OK', 'WARN', 'SUCCESS', 'SUCCEEDED') THEN 'success' WHEN upper(status) IN {BAD} THEN 'failure' WHEN upper(status) IN ('RUNNING', 'PENDING', 'STARTED') THEN 'unfinished' ELSE 'unknown' END AS class, count(*) AS n FROM fx_etl_perf GROUP BY 1")
+add("F9_alert_ladder", ["fx_workflow_steps", "fx_workflow_runs"], lambda s, r: W.ads_workflow_ops_dashboard(W.dws_workflow_ops_daily(W.fact_workflow_step(s, r))).groupBy("alert_level", "alert_reason").agg(F.count("*").alias("n")), f"""
+WITH {FACTS}, o AS (SELECT dt, coalesce(workflow_type, 'unknown') AS t, count(DISTINCT workflow_name) FILTER (phase = 'Succeeded') / count(DISTINCT workflow_name) AS r, count(*) FILTER (container_reason = 'OOMKilled') AS oom, count(*) FILTER (container_reason = 'DeadlineExceeded') AS late FROM steps GROUP BY 1, 2)
+SELECT CASE WHEN r < 0.8 OR oom > 0 OR late > 0 THEN 'CRITICAL' WHEN r < 0.95 THEN 'WARN' ELSE 'OK' END AS alert_level, CASE WHEN r < 0.8 THEN 'success_rate<0.8' WHEN oom > 0 THEN 'oom_kill' WHEN late > 0 THEN 'deadline_exceeded' WHEN r < 0.95 THEN 'success_rate<0.95' END AS alert_reason, count(*) AS n FROM o GROUP BY 1, 2""")
+add("J1_spine_joins", SOURCES, lambda *t: quality_daily(*t).agg(F.count("*").alias("n"), F.count("qc_pass_rate").alias("with_qc"), F.count("etl_success_rate").alias("with_etl"), F.count("workflow_success_rate").alias("with_workflow")),
+    f"WITH {FACTS}, {QUALITY_PARTS} SELECT count(*) AS n, count(qc_pass_rate) AS with_qc, count(etl_success_rate) AS with_etl, count(workflow_success_rate) AS with_workflow FROM quality")
+add("S3_backfill_candidates", ["fx_etl_perf", "fx_workflow_steps", "fx_workflow_runs"], lambda p, s, r: O.backfill_candidates(W.fact_etl_run(p), W.fact_workflow_step(s, r), W.fact_etl_run(p).withColumn("overall_status", F.lit("PASS")), None, (DAY, date(2024, 1, 20))),
+    f"WITH {FACTS} SELECT dt, dataset_id, version, phase FROM etl WHERE upper(status) IN ('FAIL', 'FAILED', 'ERROR', 'WARN') AND dt BETWEEN {SD} AND DATE '2024-01-20' UNION SELECT dt, dataset_id, version, 'workflow' FROM steps WHERE upper(phase) IN ('FAILED', 'ERROR') AND dataset_id IS NOT NULL AND dt BETWEEN {SD} AND DATE '2024-01-20'")
+add("S3_backfill_days", ["events"], lambda e: O.backfill_days(e.sparkSession, (DAY, date(2024, 1, 9)), "ds_1", "v1").join(e.groupBy(F.to_date("ts").alias("dt")).agg(F.count("*").alias("n_events")), "dt"),
+    f"SELECT CAST(d AS DATE) AS dt, 'ds_1' AS dataset_id, 'v1' AS version, 'normalize' AS phase, count(*) AS n_events FROM (SELECT unnest(generate_series({SD}, DATE '2024-01-09', INTERVAL 1 DAY)) AS d) JOIN events ON CAST(ts AS DATE) = CAST(d AS DATE) GROUP BY ALL")
+add("P19_day_summary", [*SOURCES, "fx_profiles"], lambda *t: O.quality_summary(dashboard_of(*t), date(2024, 1, 12)).select("n_rows", "datasets", "worst_alert"), f"""
+WITH {FACTS}, {QUALITY_PARTS} SELECT count(*) AS n_rows, count(DISTINCT dataset_id) AS datasets, CASE max(CASE WHEN coalesce(qc_pass_rate, 1) < 0.8 OR coalesce(etl_success_rate, 1) < 0.8 THEN 2 WHEN coalesce(qc_pass_rate, 1) < 0.95 THEN 1 ELSE 0 END) WHEN 2 THEN 'CRITICAL' WHEN 1 THEN 'WARN' ELSE 'OK' END AS worst_alert FROM quality WHERE dt = DATE '2024-01-12'""")
+
+
+def user_scores(d):
+    def lengths(batches):
+        for b in batches:
+            yield b.assign(prediction_type="length", prediction_json="{}", confidence=b.input_text.str.len() / 1000.0)[["sample_id", "prediction_type", "prediction_json", "confidence"]]
+
+    return I.score_with(samples(d).select("sample_id", "input_text"), lengths)
+
+
+add("U2_user_scoring", ["documents"], user_scores, "SELECT CAST(doc_id AS VARCHAR) AS sample_id, 'length' AS prediction_type, '{}' AS prediction_json, round(length(substr(text, 1, 200)) / 1000.0, 6) AS confidence FROM documents")
+
+
+@run("R4_read_reports", "SELECT dataset_id, CASE WHEN count(*) % 2 = 0 THEN 'PASS' ELSE 'FAIL' END AS status, 1 AS n_rules FROM fx_ev GROUP BY dataset_id")
+def _(spark, sf):
+    path = scratch.folder(spark, "reports")
+    e = frame(spark, sf, "fx_ev").groupBy("dataset_id").agg(F.when(F.count("*") % 2 == 0, "PASS").otherwise("FAIL").alias("status"))
+    doc = F.concat(F.lit('{\n "dataset_id": "'), "dataset_id", F.lit('",\n "version": "v1",\n "status": "'), "status", F.lit('",\n "rules": [{"rule_id": "r", "status": "PASS"}]\n}'))
+    e.select(doc.alias("value"), "dataset_id").repartition("dataset_id").write.partitionBy("dataset_id").text(path)
+    return T.read_reports(spark, f"{path}/*").select("dataset_id", "status", F.size("rules").alias("n_rules"))
+
+
+@run("W1_declared_schema", "SELECT event_id, CAST(NULL AS VARCHAR) AS note, CAST(user_id AS VARCHAR) AS user_id FROM events")
+def _(spark, sf):
+    from pyspark.sql import types as S
+
+    declared = S.StructType([S.StructField("event_id", S.LongType()), S.StructField("note", S.StringType()), S.StructField("user_id", S.StringType())])
+    path = scratch.folder(spark, "declared")
+    T.conformed(frame(spark, sf, "events"), declared).write.parquet(path)
+    return spark.read.schema(declared).parquet(path)
+
+
+@run("W4_layer_manifest", "SELECT event_type, count(*) AS n_rows, TRUE AS has_files FROM events GROUP BY 1")
+def _(spark, sf):
+    path = scratch.folder(spark, "layer")
+    frame(spark, sf, "events").write.parquet(path)
+    return T.layer_manifest(spark.read.parquet(path), ["event_type"]).select("event_type", "n_rows", (F.col("n_files") > 0).alias("has_files"))
+
+
+@run("S5_multi_file_read", "SELECT user_id, count(*) AS n FROM events GROUP BY 1")
+def _(spark, sf):
+    path = scratch.folder(spark, "shards")
+    frame(spark, sf, "events").repartition(5).write.parquet(path)  # a user's events span files
+    return spark.read.parquet(path).groupBy("user_id").agg(F.count("*").alias("n"))
+
+
 QUERIES, ORACLES = family.QUERIES, family.ORACLES

@@ -56,8 +56,8 @@ def poses(spark, quaternions):
 
 def test_sign_continuity_equals_the_loop(spark):
     rng = np.random.default_rng(3)
-    q = rng.choice([-1.0, 0.0, 1.0], (60, 4))
-    q[~q.any(1)] = [0, 0, 0, 1]
+    axes = np.eye(4)[rng.integers(0, 3, 80)] * rng.choice([-1.0, 1.0], (80, 1))  # dots of exactly 0 and +-1
+    q = np.where(rng.random((80, 1)) < 0.7, axes, rng.normal(size=(80, 4)))
     want = q / np.linalg.norm(q, axis=1, keepdims=True)
     for i in range(1, len(want)):
         if want[i - 1] @ want[i] < 0:
@@ -165,7 +165,7 @@ def test_reports_lines_and_missing_tables(spark, tmp_path):
 
 def test_droid_columns_by_priority(spark):
     k = "episode_id string, frame_idx long, "
-    six = tables.droid_frames(spark.createDataFrame([("e", 0, [1.0, 2, 3, 0, 0, 0], [9.0] * 7)], k + "cartesian_position array<double>, ee_pose array<double>")).first()
+    six = tables.droid_frames(spark.createDataFrame([("e", 0, [1.0, 2.0, 3.0, 0.0, 0.0, 0.0], [9.0] * 7)], k + "cartesian_position array<double>, ee_pose array<double>")).first()
     assert (six.pose_source, six.x, six.qw) == ("cartesian_position", 1.0, 1.0)
     last = tables.droid_frames(spark.createDataFrame([("e", 0, [float(i) for i in range(8)])], k + "`observation.state` array<double>")).first()
     assert last.pose_source.endswith("(guessed)") and last.qw == 6.0
