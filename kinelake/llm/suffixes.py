@@ -304,20 +304,22 @@ def runs(g: np.ndarray, d: np.ndarray, state: np.ndarray) -> pa.RecordBatch:
 
 def sorted_cuts(rows: DataFrame, length: int) -> DataFrame:
     """Cuts of contexts (gram, digest, low, high, place, context) whose anchors' contexts come together in a task."""
-    small_batches(rows.sparkSession, 4096)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            now = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            held.append(batch)
+            if sum(b.num_rows for b in held) < 4096:
+                continue
+            now = pa.Table.from_batches(held).combine_chunks()
             g = now.column("gram").to_numpy()
             other = np.flatnonzero(g != g[-1])
             cut = int(other[-1]) + 1 if len(other) else 0
             if cut:
                 yield solve(now.slice(0, cut))
-            held = now.slice(cut)
-        if held is not None and held.num_rows:
-            yield solve(held)
+            held = now.slice(cut).to_batches()
+        if held:
+            yield solve(pa.Table.from_batches(held).combine_chunks())
 
     def solve(t: pa.Table) -> pa.RecordBatch:
         g, d = t.column("gram").to_numpy(), t.column("digest").to_numpy()
