@@ -16,7 +16,7 @@ from ..plans import warehouse as W
 from ..sources import scratch
 from ..sources import tables as T
 from ..streaming import streams as X
-from .base import Family, rounded
+from .base import Family, nudged, rounded
 from .warehouse import BAD, ERROR_CASE, FACTS, QUALITY_PARTS, RULE_DAILY, SOURCES, md5_of, quality_daily
 from .warehouse import dashboard as dashboard_of
 
@@ -281,7 +281,7 @@ def run(name: str, sql: str | None = None):
 
         family.QUERIES[name] = lambda spark, sf: rounded(function(spark, sf))
         if sql:
-            family.ORACLES[name] = cte(sql)
+            family.ORACLES[name] = nudged(cte(sql))
         return function
 
     return register

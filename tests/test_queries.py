@@ -22,13 +22,15 @@ def duck(sf):
 
 
 def plain(v):
-    if v is None or v is pd.NaT or (isinstance(v, float) and v != v):
+    if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and v != v):
         return None
-    if isinstance(v, (decimal.Decimal, float)):
-        return float(f"{float(v):.6g}")
+    if hasattr(v, "item"):
+        v = v.item()
+    if isinstance(v, (decimal.Decimal, float, int)) and not isinstance(v, bool):
+        return float(f"{float(v):.9g}")  # nullable integers come as either kind
     if isinstance(v, (datetime.date, pd.Timestamp)):
         return str(pd.Timestamp(v))
-    return v.item() if hasattr(v, "item") else v
+    return v
 
 
 def rows(df, columns):
