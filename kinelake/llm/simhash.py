@@ -229,8 +229,20 @@ def tied(node: np.ndarray, prints: np.ndarray, distance: int, sure: int, some: i
     return out
 
 
-def bucket_links(rows: DataFrame, keys: list[str], lanes: int, distance: int, sure: int | None = None) -> DataFrame:
-    """Links (a, b, sure) within each bucket; a bucket's rows come together, sorted by its key."""
+def met_before(part: np.ndarray, apart: np.ndarray, plan: list[tuple[list[int], int]]) -> np.ndarray:
+    """Whether pairs that meet in partition ``part`` and differ in the bits ``apart`` also meet in an earlier partition."""
+    out = np.zeros(len(part), bool)
+    for q, (group, threshold) in enumerate(plan):
+        mask = np.zeros(apart.shape[1], np.uint64)
+        for bit in group:
+            mask[bit // 64] |= np.uint64(1) << np.uint64(bit % 64)
+        out |= (q < part) & (np.bitwise_count(apart & mask).sum(1, dtype=np.int64) <= threshold)
+    return out
+
+
+def bucket_links(rows: DataFrame, keys: list[str], plan: list[tuple[list[int], int]], lanes: int, distance: int, sure: int | None = None) -> DataFrame:
+    """Links (a, b, sure) within each bucket; a bucket's rows come together, sorted by its key. A pair that isn't sure is
+    passed on by the first partition in which it meets."""
     names = [f"f{k}" for k in range(lanes)]
     spark = rows.sparkSession
     small_batches(spark, 20000)
@@ -242,17 +254,20 @@ def bucket_links(rows: DataFrame, keys: list[str], lanes: int, distance: int, su
         two = at[:-1][size == 2]
         near = two[np.bitwise_count(prints[two] ^ prints[two + 1]).sum(1, dtype=np.int64) <= distance] if len(two) else two
         gap = np.bitwise_count(prints[near] ^ prints[near + 1]).sum(1, dtype=np.int64)
-        pairs = [(node[near], node[near + 1], gap <= (distance if sure is None else sure))]
+        pairs = [(near, near + 1, gap <= (distance if sure is None else sure))]
         known = np.concatenate([[0], np.cumsum(own)])
         for a, n in zip(at[:-1][size > 2].tolist(), size[size > 2].tolist()):
             if known[a + n] > known[a]:  # without a row of its own value, the pairs meet in other buckets
                 part = slice(a, a + n)
-                found = [(*e, True) for e in forest(node[part], prints[part], distance)] if sure is None else tied(node[part], prints[part], distance, sure)
+                place = np.arange(a, a + n)
+                found = [(*e, True) for e in forest(place, prints[part], distance)] if sure is None else tied(place, prints[part], distance, sure)
                 if found:
                     pairs.append(tuple(np.array(found).T))
-        a, b, certain = (np.concatenate(x) for x in zip(*pairs))
-        keep = a != b
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[keep]), pa.array(np.maximum(a, b)[keep]), pa.array(certain[keep].astype(bool))], names=["a", "b", "sure"])
+        i, j, certain = (np.concatenate(x) for x in zip(*pairs))
+        certain = certain.astype(bool)
+        a, b = node[i], node[j]
+        keep = (a != b) & (certain | ~met_before(key[i, 0], prints[i] ^ prints[j], plan))
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[keep]), pa.array(np.maximum(a, b)[keep]), pa.array(certain[keep])], names=["a", "b", "sure"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -290,8 +305,8 @@ def links(nodes: DataFrame, distance: int = 4, lanes: int = 1, plan: list[tuple[
         single = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))
         rows = rows.withColumn("pair", F.explode(F.when(F.col("blocks").isNull(), single).otherwise(pair)))
         rows = rows.withColumn("i", F.col("pair.i")).withColumn("j", F.col("pair.j")).withColumn("own", F.lit(True) & (F.col("own") | F.col("blocks").isNotNull()))
-        return bucket_links(rows, ["part", "value", "i", "j"], lanes, distance, sure)
-    return bucket_links(rows, ["part", "value"], lanes, distance, sure)
+        return bucket_links(rows, ["part", "value", "i", "j"], plan, lanes, distance, sure)
+    return bucket_links(rows, ["part", "value"], plan, lanes, distance, sure)
 
 
 # ---------------------------------------------------------------- components

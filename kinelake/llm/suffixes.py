@@ -353,7 +353,7 @@ def counted_cuts(rows: DataFrame, length: int) -> DataFrame:
 
 
 def repeated_ranges(docs: DataFrame, length: int = 200, gram: int = 32, keep_first: bool = False, hot: int = HOT) -> DataFrame:
-    """docs: keyed(). One row per repeated stretch of a document: doc_id, uid, start, end (bytes; stretches may overlap).
+    """docs: keyed(). A row per context that repeats: doc_id, uid, ranges (start and end in bytes; they may overlap).
 
     keep_first spares, of each window's occurrences, the one with the least (doc_id, uid, byte)."""
     shared = written(anchor_counts(docs, length, gram).where("n > 1").select("gram"), "shared-anchors")
@@ -372,9 +372,12 @@ def repeated_ranges(docs: DataFrame, length: int = 200, gram: int = 32, keep_fir
     spared = ["d", "u", "a"] if keep_first else none
     copies = classes.where("n > 1").select("gram", "digest", F.col("low").alias("from"), F.col("high").alias("to"), *spared)
     other = cuts.where("state = 1" if keep_first else "state > 0").select("gram", "digest", F.col("low").alias("from"), F.col("high").alias("to"), *none)
-    found = occ.join(copies.unionByName(other), ["gram", "digest"])
-    found = found.where(~(F.col("doc_id").eqNullSafe(F.col("d")) & F.col("uid").eqNullSafe(F.col("u")) & F.col("at").eqNullSafe(F.col("a"))))
-    return found.select(*KEY, (F.col("at") - F.col("to")).alias("start"), (F.col("at") - F.col("from") + length).alias("end"))
+    # one row per context, so that each of its occurrences meets one row
+    all_cuts = copies.unionByName(other).groupBy("gram", "digest").agg(F.collect_list(F.struct("from", "to", "d", "u", "a")).alias("cuts"))
+    found = occ.join(all_cuts, ["gram", "digest"])
+    own = lambda c: c["d"].eqNullSafe(F.col("doc_id")) & c["u"].eqNullSafe(F.col("uid")) & c["a"].eqNullSafe(F.col("at"))
+    ranges = F.transform(F.filter("cuts", lambda c: ~own(c)), lambda c: F.struct((F.col("at") - c["to"]).alias("start"), (F.col("at") - c["from"] + length).alias("end")))
+    return found.select(*KEY, ranges.alias("ranges")).where(F.size("ranges") > 0)
 
 
 def place_fields():
@@ -386,7 +389,7 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     the columns in ``keep``. ``kept`` is null where it isn't asked for by ``keep_first`` or ``keep``."""
     keys = keyed(docs, doc_id, text, keep)
     ranges = repeated_ranges(keys, length, gram, keep_first, hot)
-    lists = written(ranges.groupBy(*KEY).agg(F.collect_list(F.struct("start", "end")).alias("ranges")), "repeats")
+    lists = written(ranges.groupBy(*KEY).agg(F.flatten(F.collect_list("ranges")).alias("ranges")), "repeats")
     both = packed(keys, keep=True).join(lists, KEY, "left")
     small_batches(docs.sparkSession)
     texts = keep_first or bool(keep)
