@@ -113,8 +113,8 @@ def anchor_counts(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def occurrences(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """One row per context: doc_id, uid, at (byte of the anchor), low, high (bytes of its windows before the anchor: least
-    and most), gram (anchor hash), digest (of the context's bytes)."""
+    """One row per different context of a piece of a document: doc_id, uid, ats (bytes of its anchors, in order), low, high
+    (bytes of its windows before the anchor: least and most), gram (anchor hash), digest (of the context's bytes)."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,14 +126,16 @@ def occurrences(docs: DataFrame, length: int, gram: int) -> DataFrame:
                 text, anchor, first, last, h = contexts(buf, off, length, gram)
                 raw = memoryview(buf)
                 d = np.fromiter((digest(raw[a:b]) for a, b in zip(first.tolist(), (last + length).tolist())), np.uint64, len(first))
-                row = np.array(index)[text]
-                at = anchor - off[text] + np.array(begin)[text]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[row]), pa.array(uids[row]), *(pa.array(x.astype(np.int32)) for x in (at, anchor - last, anchor - first)), pa.array(h.view(np.int64)), pa.array(d.view(np.int64))],
-                    names=[*KEY, "at", "low", "high", "gram", "digest"],
-                )
+                row, piece = np.array(index)[text], text
+                at = (anchor - off[text] + np.array(begin)[text]).astype(np.int32)
+                order = np.lexsort((at, d, h, piece))
+                piece, h, d, row, at = piece[order], h[order], d[order], row[order], at[order]
+                low, high = ((anchor - x)[order].astype(np.int32) for x in (last, first))
+                new = np.flatnonzero(np.concatenate([[True], (piece[1:] != piece[:-1]) | (h[1:] != h[:-1]) | (d[1:] != d[:-1])])) if len(at) else np.zeros(0, np.int64)
+                ats = pa.ListArray.from_arrays(pa.array(np.append(new, len(at)), pa.int32()), pa.array(at))
+                yield pa.RecordBatch.from_arrays([pa.array(ids[row[new]]), pa.array(uids[row[new]]), ats, *(pa.array(x[new]) for x in (low, high, h.view(np.int64), d.view(np.int64)))], names=[*KEY, "ats", "low", "high", "gram", "digest"])
 
-    return docs.select(*KEY, "text").mapInArrow(run, f"{KEY_TYPE}, at int, low int, high int, gram long, digest long")
+    return docs.select(*KEY, "text").mapInArrow(run, f"{KEY_TYPE}, ats array<int>, low int, high int, gram long, digest long")
 
 
 def packed(docs: DataFrame, keep: bool = False) -> DataFrame:
@@ -358,7 +360,7 @@ def repeated_ranges(docs: DataFrame, length: int = 200, gram: int = 32, keep_fir
     keep_first spares, of each window's occurrences, the one with the least (doc_id, uid, byte)."""
     shared = written(anchor_counts(docs, length, gram).where("n > 1").select("gram"), "shared-anchors")
     occ = written(occurrences(docs, length, gram).join(shared, "gram"), "contexts")
-    classes = occ.groupBy("gram", "digest").agg(F.count("*").alias("n"), F.min(F.struct(*place_fields(), F.col("low"), F.col("high"))).alias("f"))
+    classes = occ.groupBy("gram", "digest").agg(F.sum(F.size("ats")).alias("n"), F.min(F.struct(*place_fields(), F.col("low"), F.col("high"))).alias("f"))
     classes = written(classes.select("gram", "digest", "n", "f.*"), "context-classes")
     several = classes.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1")
     several = written(several, "several-contexts")
@@ -372,16 +374,20 @@ def repeated_ranges(docs: DataFrame, length: int = 200, gram: int = 32, keep_fir
     spared = ["d", "u", "a"] if keep_first else none
     copies = classes.where("n > 1").select("gram", "digest", F.col("low").alias("from"), F.col("high").alias("to"), *spared)
     other = cuts.where("state = 1" if keep_first else "state > 0").select("gram", "digest", F.col("low").alias("from"), F.col("high").alias("to"), *none)
-    # one row per context, so that each of its occurrences meets one row
-    all_cuts = copies.unionByName(other).groupBy("gram", "digest").agg(F.collect_list(F.struct("from", "to", "d", "u", "a")).alias("cuts"))
+    # one row per context, written so that hot contexts' occurrences can be split among tasks
+    all_cuts = written(copies.unionByName(other).groupBy("gram", "digest").agg(F.collect_list(F.struct("from", "to", "d", "u", "a")).alias("cuts")), "cuts")
     found = occ.join(all_cuts, ["gram", "digest"])
-    own = lambda c: c["d"].eqNullSafe(F.col("doc_id")) & c["u"].eqNullSafe(F.col("uid")) & c["a"].eqNullSafe(F.col("at"))
-    ranges = F.transform(F.filter("cuts", lambda c: ~own(c)), lambda c: F.struct((F.col("at") - c["to"]).alias("start"), (F.col("at") - c["from"] + length).alias("end")))
+
+    def stretches(at):
+        own = lambda c: c["d"].eqNullSafe(F.col("doc_id")) & c["u"].eqNullSafe(F.col("uid")) & c["a"].eqNullSafe(at)
+        return F.transform(F.filter("cuts", lambda c: ~own(c)), lambda c: F.struct((at - c["to"]).alias("start"), (at - c["from"] + length).alias("end")))
+
+    ranges = F.flatten(F.transform("ats", stretches))
     return found.select(*KEY, ranges.alias("ranges")).where(F.size("ranges") > 0)
 
 
 def place_fields():
-    return F.col("doc_id").alias("d"), F.col("uid").alias("u"), F.col("at").alias("a")
+    return F.col("doc_id").alias("d"), F.col("uid").alias("u"), F.col("ats")[0].alias("a")
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 200, gram: int = 32, keep_first: bool = False, keep: tuple[str, ...] = (), hot: int = HOT) -> DataFrame:
