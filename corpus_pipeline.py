@@ -16,14 +16,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kinelake.llm import decontam, mixing, quality, simhash, suffixes
+from kinelake.llm import decontam, mixing, quality, setjoin, simhash, suffixes
 from kinelake.llm.common import table, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 KEEP = 0.3
-#: Of 256 bits; a similarity of 0.8 of the shingle sets gives 39 differing bits on average, with a deviation of 6. Pairs
-#: within SURE link; those up to DISTANCE link if their shingle sets are that similar.
-SURE, DISTANCE, LANES, PARTS = 28, 56, 4, 21
+#: Of 256 bits. Fingerprints within SURE that agree in one of PARTS partitions link; the similar
+#: pairs beyond are found by the join of the shingle sets.
+SURE, LANES, PARTS = 28, 4, 21
 
 
 def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +37,7 @@ def by_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     rows = docs.select(*COLUMNS)
     order = F.struct(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), F.coalesce(F.xxhash64("text"), F.lit(0)))
     numbered = written(rows.select(F.monotonically_increasing_id().alias("row"), *COLUMNS), "rows")
-    found = simhash.near_duplicates(numbered, "row", "text", words=5, distance=DISTANCE, lanes=LANES, plan=simhash.even_plan(64 * LANES, PARTS), sure=SURE, similarity=0.8)
+    found = setjoin.near_duplicates(numbered, "row", "text", words=5, similarity=0.8, distance=SURE, lanes=LANES, plan=simhash.even_plan(64 * LANES, PARTS))
     least = numbered.select("row", order.alias("o")).join(found.select(F.col("doc_id").alias("row"), "component_id"), "row").groupBy("component_id").agg(F.min_by("row", F.struct("o", "row")).alias("row"))
     return numbered.join(least.select("row"), "row", "left_semi").select(*COLUMNS)
 

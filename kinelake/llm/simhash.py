@@ -207,42 +207,8 @@ def forest(node: np.ndarray, prints: np.ndarray, distance: int) -> list[tuple[in
                 left = left[~near]
 
 
-def tied(node: np.ndarray, prints: np.ndarray, distance: int, sure: int, some: int = 4) -> list[tuple[int, int, bool]]:
-    """A spanning forest of the links within ``sure``; and from up to ``some`` rows of each of its trees, for every later
-    tree, the nearest row within ``distance``, as links that aren't sure."""
-    place = np.arange(len(node))
-    edges = forest(place, prints, sure)
-    tree = place.copy()
-    for a, b in edges:  # a forest grows from each root, so a parent is settled before its child
-        tree[b] = tree[a]
-    out = [(int(node[a]), int(node[b]), True) for a, b in edges]
-    roots, first = np.unique(tree, return_index=True)
-    if len(roots) > 1:
-        rank = np.argsort(tree, kind="stable")
-        begin = np.searchsorted(tree[rank], roots)
-        for r in rank[np.arange(len(rank)) - begin[np.searchsorted(roots, tree[rank])] < some]:
-            gap = np.bitwise_count(prints ^ prints[r]).sum(1, dtype=np.int64)
-            near = np.flatnonzero((gap <= distance) & (tree > tree[r]))
-            near = near[np.lexsort((gap[near], tree[near]))]
-            keep = np.concatenate([[True], tree[near][1:] != tree[near][:-1]]) if len(near) else near
-            out += [(int(node[r]), int(node[x]), False) for x in near[keep]]
-    return out
-
-
-def met_before(part: np.ndarray, apart: np.ndarray, plan: list[tuple[list[int], int]]) -> np.ndarray:
-    """Whether pairs that meet in partition ``part`` and differ in the bits ``apart`` also meet in an earlier partition."""
-    out = np.zeros(len(part), bool)
-    for q, (group, threshold) in enumerate(plan):
-        mask = np.zeros(apart.shape[1], np.uint64)
-        for bit in group:
-            mask[bit // 64] |= np.uint64(1) << np.uint64(bit % 64)
-        out |= (q < part) & (np.bitwise_count(apart & mask).sum(1, dtype=np.int64) <= threshold)
-    return out
-
-
-def bucket_links(rows: DataFrame, keys: list[str], plan: list[tuple[list[int], int]], lanes: int, distance: int, sure: int | None = None) -> DataFrame:
-    """Links (a, b, sure) within each bucket; a bucket's rows come together, sorted by its key. A pair that isn't sure is
-    passed on by the first partition in which it meets."""
+def bucket_links(rows: DataFrame, keys: list[str], lanes: int, distance: int) -> DataFrame:
+    """Links (a, b) within each bucket; a bucket's rows come together, sorted by its key."""
     names = [f"f{k}" for k in range(lanes)]
     spark = rows.sparkSession
     small_batches(spark, 20000)
@@ -253,21 +219,17 @@ def bucket_links(rows: DataFrame, keys: list[str], plan: list[tuple[list[int], i
         size = np.diff(at)
         two = at[:-1][size == 2]
         near = two[np.bitwise_count(prints[two] ^ prints[two + 1]).sum(1, dtype=np.int64) <= distance] if len(two) else two
-        gap = np.bitwise_count(prints[near] ^ prints[near + 1]).sum(1, dtype=np.int64)
-        pairs = [(near, near + 1, gap <= (distance if sure is None else sure))]
+        pairs = [(near, near + 1)]
         known = np.concatenate([[0], np.cumsum(own)])
         for a, n in zip(at[:-1][size > 2].tolist(), size[size > 2].tolist()):
             if known[a + n] > known[a]:  # without a row of its own value, the pairs meet in other buckets
-                part = slice(a, a + n)
-                place = np.arange(a, a + n)
-                found = [(*e, True) for e in forest(place, prints[part], distance)] if sure is None else tied(place, prints[part], distance, sure)
+                found = forest(np.arange(a, a + n), prints[a : a + n], distance)
                 if found:
                     pairs.append(tuple(np.array(found).T))
-        i, j, certain = (np.concatenate(x) for x in zip(*pairs))
-        certain = certain.astype(bool)
+        i, j = (np.concatenate(x) for x in zip(*pairs))
         a, b = node[i], node[j]
-        keep = (a != b) & (certain | ~met_before(key[i, 0], prints[i] ^ prints[j], plan))
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[keep]), pa.array(np.maximum(a, b)[keep]), pa.array(certain[keep])], names=["a", "b", "sure"])
+        keep = a != b
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[keep]), pa.array(np.maximum(a, b)[keep])], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -282,13 +244,11 @@ def bucket_links(rows: DataFrame, keys: list[str], plan: list[tuple[list[int], i
         if held is not None and len(held[0]):
             yield of_groups(*held)
 
-    return rows.repartition(*keys).sortWithinPartitions(*keys).select(*keys, "own", "node", *names).mapInArrow(run, "a long, b long, sure boolean")
+    return rows.repartition(*keys).sortWithinPartitions(*keys).select(*keys, "own", "node", *names).mapInArrow(run, "a long, b long")
 
 
-def links(nodes: DataFrame, distance: int = 4, lanes: int = 1, plan: list[tuple[list[int], int]] | None = None, bucket: int = BUCKET, sure: int | None = None) -> DataFrame:
-    """Edges (a, b, sure) whose components are those of all links at ``distance`` or less. nodes: node, f0.., one row each.
-
-    With ``sure``, those within it span its components, and links between different ones are marked as not sure."""
+def links(nodes: DataFrame, distance: int = 4, lanes: int = 1, plan: list[tuple[list[int], int]] | None = None, bucket: int = BUCKET) -> DataFrame:
+    """Edges (a, b) whose components are those of all links at ``distance`` or less. nodes: node, f0.., one row each."""
     names = [f"f{k}" for k in range(lanes)]
     if plan is None:
         taken = hash_sample(nodes.select(*names), names, PLAN_SAMPLE).toPandas()
@@ -305,8 +265,8 @@ def links(nodes: DataFrame, distance: int = 4, lanes: int = 1, plan: list[tuple[
         single = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))
         rows = rows.withColumn("pair", F.explode(F.when(F.col("blocks").isNull(), single).otherwise(pair)))
         rows = rows.withColumn("i", F.col("pair.i")).withColumn("j", F.col("pair.j")).withColumn("own", F.lit(True) & (F.col("own") | F.col("blocks").isNotNull()))
-        return bucket_links(rows, ["part", "value", "i", "j"], plan, lanes, distance, sure)
-    return bucket_links(rows, ["part", "value"], plan, lanes, distance, sure)
+        return bucket_links(rows, ["part", "value", "i", "j"], lanes, distance)
+    return bucket_links(rows, ["part", "value"], lanes, distance)
 
 
 # ---------------------------------------------------------------- components
@@ -356,25 +316,11 @@ def similar_pairs(pairs: DataFrame, docs: DataFrame, words: int, least: float) -
     return both.select("a", "b", "s", "t").mapInArrow(alike, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 4, distance: int = 4, lanes: int = 1, plan: list[tuple[list[int], int]] | None = None, sure: int | None = None, similarity: float = 0.8) -> DataFrame:
-    """doc_id, f0.., component_id for every row.
-
-    With ``sure`` (ids must then be unique), links beyond that distance between different components hold only if the
-    documents' shingle sets have a Jaccard similarity of ``similarity`` or more."""
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 4, distance: int = 4, lanes: int = 1, plan: list[tuple[list[int], int]] | None = None) -> DataFrame:
+    """doc_id, f0.., component_id for every row."""
     names = [f"f{k}" for k in range(lanes)]
     prints = written(fingerprints(docs, doc_id, text, words, lanes), "fingerprints")
     nodes = written(prints.groupBy(*names).agg(F.min("doc_id").alias("node")), "distinct-fingerprints")
-    edges = links(nodes.where("node is not null"), distance, lanes, plan, sure=sure)
-    if sure is not None:
-        edges = written(edges, "links")
-        certain = edges.where("sure").select("a", "b")
-        settled = components(certain)
-        open_edges = edges.where("not sure").select("a", "b").distinct()
-        for side in "ab":
-            open_edges = open_edges.join(settled.select(F.col("node").alias(side), F.col("component").alias(f"c{side}")), side, "left").withColumn(f"c{side}", F.coalesce(f"c{side}", side))
-        open_edges = written(open_edges.where("ca <> cb").select("a", "b"), "open-links")
-        texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-        edges = certain.union(similar_pairs(open_edges, texts, words, similarity))
-    found = components(edges.select("a", "b"))
+    found = components(links(nodes.where("node is not null"), distance, lanes, plan))
     named = nodes.join(found, "node", "left").select(*names, F.coalesce("component", "node").alias("component_id"))
     return prints.join(named, names)

@@ -106,3 +106,26 @@ def test_contaminated_documents_go_even_without_an_id(spark, sf):
     rows = [(None, f"before {item} after", "en", "s", 1), (1, item, "en", "s", 1), (2, "clean words only in this one here", "en", "s", 1), (None, "also clean words without any id", "en", "s", 1)]
     kept = STAGE["decontamination"](spark, spark.createDataFrame(rows, SCHEMA), sf).collect()
     assert sorted(r.text for r in kept) == ["also clean words without any id", "clean words only in this one here"]
+
+
+def kept_exactly(spark, texts):
+    rows = [(i, t, "en", "s", len(t)) for i, t in texts.items()]
+    kept = {r.doc_id for r in STAGE["near_duplicates"](spark, spark.createDataFrame(rows, SCHEMA), "").collect()}
+    assert kept == {min(g) for g in groups(texts)}
+
+
+def new_word(rng):
+    return "".join(rng.choices("abcdefghij", k=6))
+
+
+def test_a_text_similar_only_to_the_last_of_many_close_copies(spark):
+    rng, texts = random.Random(11), {}
+    for base in range(25):
+        w = [new_word(rng) for _ in range(300)]
+        for k in range(12):  # one word after the other changes: close neighbours, the last one is far from the first
+            w[12 + 20 * k] = new_word(rng)
+            texts[len(texts)] = " ".join(w)
+        for p in range(5):  # a similarity of 0.84 to the last copy, below 0.8 to all but the last ones
+            w[292 - 8 * p] = new_word(rng)
+        texts[len(texts)] = " ".join(w)
+    kept_exactly(spark, texts)
