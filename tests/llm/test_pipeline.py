@@ -129,3 +129,17 @@ def test_a_text_similar_only_to_the_last_of_many_close_copies(spark):
             w[292 - 8 * p] = new_word(rng)
         texts[len(texts)] = " ".join(w)
     kept_exactly(spark, texts)
+
+
+def test_every_pair_just_above_the_similarity(spark):
+    rng, texts = random.Random(12), {}
+    for base in range(150):
+        w = [new_word(rng) for _ in range(204)]
+        texts[len(texts)] = " ".join(w)
+        for p in range(4):  # 200 shingles each, 180 or 178 in common
+            w[20 + 40 * p] = new_word(rng)
+        texts[len(texts)] = " ".join(w)
+        for p in range(5 if base % 2 else 3):
+            w[35 + 20 * p] = new_word(rng)
+        texts[len(texts)] = " ".join(w)
+    kept_exactly(spark, texts)
