@@ -21,8 +21,8 @@ from kinelake.llm.common import table, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 KEEP = 0.3
-#: Of 256 bits. Fingerprints within SURE that agree in one of PARTS partitions link; the similar
-#: pairs beyond are found by the join of the shingle sets.
+#: Of 256 bits. Fingerprints within SURE that agree in one of PARTS partitions propose links, which are verified on the shingle
+#: sets; the similar pairs beyond are found by the join of the sets, so these numbers decide on the cost only.
 SURE, LANES, PARTS = 28, 4, 21
 
 

@@ -109,13 +109,14 @@ def similar_links(texts: DataFrame, links: DataFrame, words: int, least: float)
 def near_duplicates(docs: DataFrame, doc_id: str, text: str, words: int, similarity: float, distance: int, lanes: int, plan: list[tuple[list[int], int]]) -> DataFrame:
     """doc_id, component_id for every row: components of all pairs whose shingle sets have that similarity; ids must be unique.
 
-    Fingerprints within ``distance`` that meet under the plan are linked; the join finds all pairs that are left."""
+    Texts of equal sets are one node. Fingerprints within ``distance`` that meet under the plan propose links, a number linear
+    in the rows; they count only if they hold for the sets. Then the join finds all that are left."""
     names = [f"f{k}" for k in range(lanes)]
-    prints = written(fingerprints(docs, doc_id, text, words, lanes), "fingerprints")
-    nodes = written(prints.groupBy(*names).agg(F.min("doc_id").alias("node")), "distinct-fingerprints")
+    prints = written(fingerprints(docs, doc_id, text, words, lanes, sets=True), "fingerprints")
+    nodes = written(prints.groupBy("digest", *names).agg(F.min("doc_id").alias("node")), "distinct-sets")
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     texts = written(texts.join(nodes.select(F.col("node").alias("id")), "id", "left_semi"), "distinct-texts")
     close = written(fingerprint_links(nodes, distance, lanes, plan).distinct(), "close-pairs")
-    found = components(similar_links(texts, close, words, similarity))
-    named = nodes.join(found, "node", "left").select(*names, F.coalesce("component", "node").alias("component_id"))
-    return prints.join(named, names).drop(*names)
+    found = components(similar_links(texts, written(similar_pairs(close, texts, words, similarity), "close-links"), words, similarity))
+    named = nodes.join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))
+    return prints.select("doc_id", "digest").join(named, "digest").drop("digest")

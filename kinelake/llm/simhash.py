@@ -65,23 +65,28 @@ def majority(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 4, lanes: int = 1) -> DataFrame:
-    """doc_id and f0.. (64 bits each). Lane 0 takes the shingle hashes themselves, further lanes a mix of them."""
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 4, lanes: int = 1, sets: bool = False) -> DataFrame:
+    """doc_id and f0.. (64 bits each). Lane 0 takes the shingle hashes themselves, further lanes a mix of them. With
+    ``sets`` each different shingle counts once, and ``digest`` tells equal sets."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = utf8(batch.column(1))
             lane: list[list[np.ndarray]] = [[] for _ in range(lanes)]
+            digest: list[bytes] = []
             for a, b in chunks(texts, 1_000_000):
                 each = [shingle_hashes(t, words) for t in texts[a:b]]
+                if sets:
+                    each = [np.unique(np.array(x, np.uint64)) for x in each]
+                    digest += [xxhash.xxh3_128_digest(x.tobytes()) for x in each]
                 counts = np.array([len(x) for x in each])
                 h = np.fromiter((y for x in each for y in x), np.uint64, counts.sum())
                 for k in range(lanes):
                     lane[k].append(majority(mixed(h + np.uint64(k)) if k else h, counts))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.concatenate(x).view(np.int64) if x else [], pa.int64()) for x in lane)], names=["doc_id", *(f"f{k}" for k in range(lanes))])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.concatenate(x).view(np.int64) if x else [], pa.int64()) for x in lane), *([pa.array(digest, pa.binary())] if sets else [])], names=["doc_id", *(f"f{k}" for k in range(lanes)), *(["digest"] if sets else [])])
 
-    schema = ", ".join(["doc_id long", *(f"f{k} long" for k in range(lanes))])
+    schema = ", ".join(["doc_id long", *(f"f{k} long" for k in range(lanes)), *(["digest binary"] if sets else [])])
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, schema)
 
 

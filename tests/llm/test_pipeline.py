@@ -143,3 +143,10 @@ def test_every_pair_just_above_the_similarity(spark):
             w[35 + 20 * p] = new_word(rng)
         texts[len(texts)] = " ".join(w)
     kept_exactly(spark, texts)
+
+
+def test_texts_of_one_repeated_line_are_not_copies(spark):
+    rng = random.Random(13)
+    line = " ".join(new_word(rng) for _ in range(13))
+    texts = {i: " ".join([*[line] * 80, *(new_word(rng) for _ in range(100))]) for i in range(10)}
+    kept_exactly(spark, texts)
