@@ -1,14 +1,15 @@
-"""Benchmark decontamination: rare n-gram seeds join documents to test items, Smith-Waterman alignment scores the places.
+"""Benchmark decontamination: every place where a document can align with a test item well enough is aligned.
 
-Words are lower-cased runs of letters and digits (any byte above ASCII counts as a letter). Seeds are the items' n-grams.
-One pass counts the documents of each seed; an item keeps as rare those that no more documents have than its median seed
-among those found, and all that at most ``rare`` documents have. A second pass finds rare seeds in the documents, and for
-each (document, item, diagonal block) passes on the words around the item's place. These are aligned locally with the
-item; the score is the share of the best possible alignment, so edited and paraphrased copies score below 1.
+Words are lower-cased runs of letters and digits (any byte above ASCII counts as a letter). An alignment that reaches the
+share ``least`` of the best possible score matches at least that share of the item's words, and spans a bounded number of
+the document's words. So a document passes if it has that many of the item's words (repeated ones as often as both have
+them), and a window passes if it has as many of them in the item's order. Windows that pass are aligned locally with the item;
+they overlap by what an alignment can span, so the score is Smith-Waterman's over the whole text. No seed is needed, and
+how many documents share an item's words doesn't matter. ``seeds`` counts the window's n-grams that the item has.
 
-Items are taken in blocks of ``block`` items, whose seeds are broadcast: what a block holds doesn't grow with the data.
+Items are taken in blocks of ``block`` items, whose words are broadcast: what a block holds doesn't grow with the data.
 
-Defined results: null and empty texts match nothing; items of fewer words than a seed are too short to tell a copy and match nothing;
+Defined results: null and empty texts match nothing; items of fewer than ``n`` words are too short to tell a copy and match nothing;
 items of the same text are reported each; repeated rows are reported once per (doc_id, item_id); null ids are kept;
 empty tables give an empty result.
 """
@@ -16,6 +17,7 @@ empty tables give an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -56,14 +58,6 @@ def ngrams(words: np.ndarray, n: int) -> np.ndarray:
     return h
 
 
-def found_in(grams: np.ndarray, seeds: np.ndarray) -> np.ndarray:
-    """Places of grams that are among the sorted seeds."""
-    if not len(seeds) or not len(grams):
-        return np.zeros(0, np.int64)
-    at = np.minimum(np.searchsorted(seeds, grams), len(seeds) - 1)
-    return np.flatnonzero(seeds[at] == grams)
-
-
 def aligned(item: np.ndarray, windows: np.ndarray) -> np.ndarray:
     """Best local alignment score of an item with each row of windows (padded with -1), linear gaps."""
     n, w = windows.shape
@@ -79,12 +73,22 @@ def aligned(item: np.ndarray, windows: np.ndarray) -> np.ndarray:
     return best
 
 
-def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", n: int = 4, rare: int = 50, least: float = 0.5, block: int = 20_000) -> DataFrame:
+def in_order(item: np.ndarray, windows: np.ndarray, size: int) -> np.ndarray:
+    """How many of an item's words each row of windows has in the same order at most (bit-parallel longest common
+    subsequence). item: per word its places among the item's ``size`` <= 64 words as bits; windows: words."""
+    rest = np.full(len(windows), 2**64 - 1, np.uint64)
+    for column in windows.T:
+        both = rest & item[column]
+        rest = (rest + both) | (rest - both)
+    return size - np.bitwise_count(rest & np.uint64(2**size - 1)).astype(np.int64)
+
+
+def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", n: int = 4, least: float = 0.5, block: int = 20_000) -> DataFrame:
     """(doc_id, item_id, score, seeds): pairs whose alignment reaches ``least`` of the item's full score."""
     spark = docs.sparkSession
     items = items.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text"))
     blocks = max(1, -(-items.count() // block))
-    parts = [of_block(docs, items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b), doc_id, text, n, rare, least) for b in range(blocks)]
+    parts = [of_block(docs, items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b), doc_id, text, n, least) for b in range(blocks)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -92,79 +96,117 @@ def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
     return out
 
 
-def of_block(docs: DataFrame, items: DataFrame, doc_id: str, text: str, n: int, rare: int, least: float) -> DataFrame:
+def copies(doc: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Of each occurrence of a word in a document, how many came before it."""
+    order = np.lexsort((word, doc))
+    new = np.concatenate([[True], (doc[order][1:] != doc[order][:-1]) | (word[order][1:] != word[order][:-1])])[: len(doc)]
+    first = np.flatnonzero(new)
+    out = np.zeros(len(doc), np.int64)
+    out[order] = np.arange(len(doc)) - np.repeat(first, np.diff(np.append(first, len(doc))))
+    return out
+
+
+def sharing(doc: np.ndarray, feature: np.ndarray, n: int, begin: np.ndarray, items: np.ndarray, need: np.ndarray) -> np.ndarray:
+    """Rows (item, document), sorted, of the n documents (in order) that have as many of an item's features as it needs.
+    begin, items: the items of each feature, one after the other."""
+    out = [np.zeros((0, 2), np.int64)]
+    step = max(1, 500_000 // max(1, len(need)))
+    for d in range(0, n, step):
+        rows = slice(*np.searchsorted(doc, [d, d + step]))
+        f = feature[rows]
+        many = begin[f + 1] - begin[f]
+        at = np.arange(many.sum()) + np.repeat(begin[f] - np.cumsum(many) + many, many)
+        common = np.bincount(np.repeat(doc[rows] - d, many) * len(need) + items[at], minlength=0)
+        code = np.flatnonzero(common)
+        code = code[common[code] >= need[code % len(need)]]
+        out.append(np.stack([code % len(need), code // len(need) + d], 1))
+    found = np.concatenate(out)
+    return found[np.lexsort((found[:, 1], found[:, 0]))]
+
+
+def of_block(docs: DataFrame, items: DataFrame, doc_id: str, text: str, n: int, least: float) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     rows = [(r.item_id, (r.text or "").encode()) for r in items.collect()]  # a block: bounded
     hashes, at = words_of([t for _, t in rows])
-    words = [hashes[a:b] for a, b in zip(at[:-1], at[1:])]
-    grams = [ngrams(w, n) for w in words]
-    seeds = spark.sparkContext.broadcast(np.unique(np.concatenate([np.zeros(0, np.uint64), *grams])))
+    long = [i for i in range(len(rows)) if at[i + 1] - at[i] >= n]
+    words = [hashes[at[i] : at[i + 1]] for i in long]
+    names = [rows[i][0] for i in long]
+    size = np.array([len(w) for w in words], np.int64)
+    known = np.unique(np.concatenate([np.zeros(0, np.uint64), *words]))
+    # a feature is a word and a number of copies; an item has those up to its own number
+    of = np.repeat(np.arange(len(words)), size)
+    word = np.searchsorted(known, np.concatenate([np.zeros(0, np.uint64), *words]))
+    copy = copies(of, word)
+    most = np.zeros(len(known), np.int64)
+    np.maximum.at(most, word, copy + 1)
+    base = np.cumsum(most) - most
+    feature = base[word] + copy
+    has = np.concatenate([[0], np.cumsum(np.bincount(feature, minlength=int(most.sum())))]), of[np.argsort(feature, kind="stable")]
+    inside = [np.isin(known, w) for w in words] if len(words) * len(known) <= 50_000_000 else None
+    model = spark.sparkContext.broadcast((known, most, base, has, words, names, inside))
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where("text is not null")
 
-    def hits(raw: list[bytes], sought: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Word hashes, text bounds, and of each seed found: the seed, its word and its text."""
-        h, at = words_of(raw)
-        g = ngrams(h, n)
-        hit = found_in(g, sought)
-        doc = np.searchsorted(at, hit, "right") - 1
-        inside = hit + n <= at[doc + 1]
-        return h, at, g[hit[inside]], hit[inside], doc[inside]
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw = utf8(batch.column(1))
-            for a, b in chunks(raw):
-                _, _, g, _, doc = hits(raw[a:b], seeds.value)
-                pair = np.unique(np.stack([g, doc.astype(np.uint64)], 1), axis=0)
-                seed, docs_with = np.unique(pair[:, 0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(seed.view(np.int64)), pa.array(docs_with, pa.int64())], names=["seed", "n"])
-
-    counts = texts.mapInArrow(counted, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n"))
-    having = {r["seed"] & (2**64 - 1): r["n"] for r in counts.collect()}  # at most the block's seeds
-    kept: dict[int, list[tuple[int, int]]] = {}
-    for i, g in enumerate(grams):
-        df = [having.get(x, 0) for x in g.tolist()]
-        middle = float(np.median([x for x in df if x] or [0]))
-        for place, (x, d) in enumerate(zip(g.tolist(), df)):
-            if d and d <= max(rare, middle):
-                kept.setdefault(x, []).append((i, place))
-    model = spark.sparkContext.broadcast((np.array(sorted(kept), np.uint64), kept, [w.view(np.int64) for w in words], [r[0] for r in rows]))
-
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sought, where, words, names = model.value
+        known, most, base, has, words, names, inside = model.value
+        if not len(known):
+            return
+        need = np.array([ceil(least * len(w) - 1e-9) for w in words])
         for batch in batches:
             raw = utf8(batch.column(1))
             ids = batch.column(0).to_pylist()
             for a, b in chunks(raw):
-                h, at, g, word, doc = hits(raw[a:b], sought)
-                places: dict[tuple[int, int, int], int] = {}
-                for x, p, d in zip(g.tolist(), word.tolist(), doc.tolist()):
-                    for item, q in where[x]:
-                        key = (item, d, (p - q - int(at[d])) // max(16, len(words[item])))
-                        places[key] = places.get(key, 0) + 1
-                if places:
-                    yield from blocks_scored(places, h.view(np.int64), at, words, names, ids[a:b])
-
-    def blocks_scored(places, h, at, words, names, ids) -> Iterator[pa.RecordBatch]:
-        by_item: dict[int, list[tuple[int, int, int]]] = {}
-        for (item, d, block), hits in places.items():
-            by_item.setdefault(item, []).append((d, block, hits))
-        for item, found in by_item.items():
-            size = len(words[item])
-            step, slack = max(16, size), max(8, size // 2)
-            width = step + size + 2 * slack
-            for s in range(0, len(found), 500):
-                part = found[s : s + 500]
-                windows = np.full((len(part), width), -1, np.int64)
-                for r, (d, block, _) in enumerate(part):
-                    low = max(int(at[d]), int(at[d]) + block * step - slack)
-                    high = min(int(at[d + 1]), int(at[d]) + (block + 1) * step + size + slack)
-                    windows[r, : max(0, high - low)] = h[low:high]
-                score = aligned(words[item], windows) / (MATCH * size)
-                yes = np.flatnonzero(score >= least)
-                if len(yes):
-                    yield pa.RecordBatch.from_arrays([pa.array([ids[part[r][0]] for r in yes], pa.int64()), pa.array([names[item]] * len(yes), pa.int64()), pa.array(score[yes]), pa.array([part[r][2] for r in yes], pa.int64())], names=["doc_id", "item_id", "score", "seeds"])
+                h, at = words_of(raw[a:b])
+                place = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                place = np.where(known[place] == h, place, len(known))
+                hit = np.flatnonzero(place < len(known))
+                doc, word = np.searchsorted(at, hit, "right") - 1, place[hit]
+                copy = copies(doc, word)
+                in_any = copy < most[word]
+                pairs = sharing(doc[in_any], base[word[in_any]] + copy[in_any], b - a, *has, need)
+                for part in np.split(pairs, np.flatnonzero(np.diff(pairs[:, 0])) + 1) if len(pairs) else []:
+                    item = int(part[0, 0])
+                    own_words = np.append(inside[item] if inside is not None else np.isin(known, words[item]), False)
+                    yield from of_item(words[item], names[item], own_words, part[:, 1], h, at, place, ids[a:b], int(need[item]))
+
+    def of_item(item, name, own_words, found, h, at, place, ids, need) -> Iterator[pa.RecordBatch]:
+        step = len(item)
+        width = step + ceil((3 - 2 * least) * step)  # an alignment good enough spans up to the second term
+        begin, end = at[found], at[found + 1]
+        times = -(-(end - begin) // step)
+        doc = np.repeat(np.arange(len(found)), times)
+        low = begin[doc] + step * (np.arange(len(doc)) - np.repeat(np.cumsum(times) - times, times))
+        high = np.minimum(low + width, end[doc])
+        # the words of these documents only
+        many = end - begin
+        flat = np.arange(many.sum()) + np.repeat(begin - np.cumsum(many) + many, many)
+        shift = (np.cumsum(many) - many - begin)[doc]
+        total = np.concatenate([[0], np.cumsum(own_words[place[flat]])])
+        keep = np.flatnonzero(total[high + shift] - total[low + shift] >= need)
+        if step <= 64:
+            bits = np.zeros(len(own_words), np.uint64)
+            np.bitwise_or.at(bits, np.searchsorted(model.value[0], item), np.uint64(1) << np.arange(step, dtype=np.uint64))
+            held = [np.zeros(0, np.int64)]
+            for s in range(0, len(keep), 2000):
+                part = keep[s : s + 2000]
+                span = low[part][:, None] + np.arange(width)
+                window = np.where(span < high[part][:, None], place[np.minimum(span, len(h) - 1)], len(bits) - 1)
+                held.append(part[in_order(bits, window, step) >= need])
+            keep = np.concatenate(held)
+        grams = ngrams(item, n)
+        best: dict[int, tuple[float, int]] = {}
+        for s in range(0, len(keep), 500):
+            part = keep[s : s + 500]
+            span = low[part][:, None] + np.arange(width)
+            windows = np.where(span < high[part][:, None], h.view(np.int64)[np.minimum(span, len(h) - 1)], -1)
+            score = aligned(item.view(np.int64), windows) / (MATCH * step)
+            for r in np.flatnonzero(score >= least).tolist():
+                k = part[r]
+                seeds = int(np.isin(ngrams(h[low[k] : high[k]], n), grams).sum())
+                d = int(found[doc[k]])
+                best[d] = max(best.get(d, (0.0, 0)), (float(score[r]), seeds))
+        if best:
+            yield pa.RecordBatch.from_arrays([pa.array([ids[d] for d in best], pa.int64()), pa.array([name] * len(best), pa.int64()), pa.array([x for x, _ in best.values()]), pa.array([y for _, y in best.values()], pa.int64())], names=["doc_id", "item_id", "score", "seeds"])
 
     pairs = texts.mapInArrow(scored, "doc_id long, item_id long, score double, seeds long")
     return pairs.groupBy("doc_id", "item_id").agg(F.max("score").alias("score"), F.max("seeds").alias("seeds"))

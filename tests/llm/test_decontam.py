@@ -67,3 +67,19 @@ def test_a_passage_in_a_third_of_all_documents(spark):
     rows = [(i, " ".join(word() for _ in range(20)) + (f" {passage}" if i % 3 == 0 else "")) for i in range(600)]
     got = decontam.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, passage)], "item_id long, text string"))
     assert sorted(r.doc_id for r in got.collect()) == list(range(0, 600, 3))
+
+
+def test_rare_and_common_copies_without_any_seed_condition(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefghij", k=5))
+    passage = [word() for _ in range(40)]
+    hot = [word() if i in (3, 10, 17, 24, 31) else w for i, w in enumerate(passage)]
+    thin = [word() if i % 4 == 3 else w for i, w in enumerate(passage)]  # no four words in a row
+    spread = [x for w in passage for x in (w, word())]  # no two words in a row
+    texts = [passage, *[hot] * 120, thin, spread, *([word() for _ in range(300)] for _ in range(20))]
+    texts = [[word() for _ in range(rng.randint(0, 90))] + t + [word() for _ in range(30)] for t in texts]
+    want = {i: smith_waterman(passage, t) / 80 for i, t in enumerate(texts)}
+    want = {i: s for i, s in want.items() if s >= 0.5}
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = decontam.contaminated(docs, spark.createDataFrame([(1, " ".join(passage))], "item_id long, text string"))
+    assert {r.doc_id: r.score for r in got.collect()} == want and len(want) == 123
