@@ -3,28 +3,38 @@
 All shingles have one order, those that many of a sample's texts contain last (any order gives the same result). Two sets of
 sizes n and m with a Jaccard similarity of s or more share a shingle among the first n - ceil(s n) + 1 and
 m - ceil(s m) + 1 in that order, and at the first one they share, enough shingles are left on both sides for the overlap.
-So the texts that meet at a shingle of their prefixes, and pass that bound, hold every similar pair; each is verified.
+So the texts that meet at a shingle of their prefixes, and pass that bound, hold every similar pair.
 
-Only components matter, so texts that links known before already join need not be compared. A first round compares each text
-with two of those it meets at each shingle, which joins large groups of copies by a number of pairs linear in the rows;
-the last round compares all pairs that meet and are still in different components. No bucket is cut.
+Texts that meet are compared where they meet, in one task, by a second bound that never drops a similar pair: each set has
+a parity bitmap (a shingle flips one of ``BITS`` bits), and bitmaps differ in at most as many bits as the sets differ in
+shingles. What passes is verified on the sets themselves.
+
+Only components matter, so texts that links known before already join need not be compared. In the first rounds a text hands
+on its nearest partners of other components by bitmap, a number linear in the rows, which joins groups of copies; the last
+round hands on all partners that are left in other components and weren't compared before. Nothing is cut; shingles that
+more than ``BUCKET`` rows share are dealt out as pairs of blocks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import ceil, log
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import hash_sample, small_batches, utf8, written
-from .simhash import components, fingerprints, links as fingerprint_links, shingle_hashes, similar_pairs
+from .simhash import BUCKET, blocked, components, fingerprints, links as fingerprint_links, shingle_hashes, similar_pairs
 
-#: Texts whose shingles are counted for the order (results don't depend on them).
-ORDER_SAMPLE = 5_000
+#: Texts whose shingles are counted for the order, and the most shingles that are kept (results don't depend on them).
+ORDER_SAMPLE, ORDER_ENTRIES = 10_000, 500_000
+LANES = 8
+BITS = 64 * LANES
+#: How many of its nearest partners a text hands on in each round; the last hands on all.
+ROUNDS = (2, 16, None)
+BIT_NAMES = [f"b{k}" for k in range(LANES)]
 
 
 def frequent(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -35,24 +45,33 @@ def frequent(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
             each = [np.unique(np.array(shingle_hashes(t, words), np.uint64)) for t in utf8(batch.column(0))]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.uint64), *each]).view(np.int64))], names=["h"])
 
-    small_batches(texts.sparkSession)
-    t = hash_sample(texts, ["id"], ORDER_SAMPLE).select("text").mapInArrow(run, "h long").groupBy("h").count().where("count > 2").toArrow()
+    counts = hash_sample(texts, ["id"], ORDER_SAMPLE).select("text").mapInArrow(run, "h long").groupBy("h").count().where("count > 2")
+    t = counts.orderBy(F.desc("count"), "h").limit(ORDER_ENTRIES).toArrow()
     h, n = t.column("h").to_numpy().view(np.uint64), t.column("count").to_numpy()
     order = np.argsort(h)
     return h[order], n[order]
 
 
+def bitmap(shingles: np.ndarray) -> np.ndarray:
+    """The parity, for each of ``BITS`` places, of the number of shingles that fall on it."""
+    odd = np.bincount((shingles >> np.uint64(7)).astype(np.int64) % BITS, minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
 def prefixes(texts: DataFrame, words: int, least: float, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(h, id, size, at): the shingles of each text's prefix and their places in the order."""
+    """(h, id, size, at, b0..): the shingles of each text's prefix and their places in the order; the bitmap of the text
+    stands in the row of its first shingle, zeros in the others."""
     shared = texts.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, often = shared.value
         for batch in batches:
-            found, sizes, kept = [np.zeros(0, np.uint64)], [], []
+            found, sizes, kept, maps = [np.zeros(0, np.uint64)], [], [], []
             for t in utf8(batch.column(1)):
                 s = np.unique(np.array(shingle_hashes(t, words), np.uint64))
                 k = len(s) - ceil(least * len(s) - 1e-9) + 1 if len(s) else 0
+                if k:
+                    maps.append(bitmap(s))
                 if k and len(known):
                     place = np.minimum(np.searchsorted(known, s), len(known) - 1)
                     s = s[np.lexsort((s, np.where(known[place] == s, often[place], 0)))]
@@ -62,61 +81,117 @@ def prefixes(texts: DataFrame, words: int, least: float, hot: tuple[np.ndarray,
             kept = np.array(kept, np.int64)
             place = np.arange(kept.sum()) - np.repeat(np.cumsum(kept) - kept, kept)
             ids = np.repeat(batch.column(0).to_numpy(), kept)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), pa.array(ids), pa.array(np.repeat(np.array(sizes, np.int32), kept)), pa.array(place.astype(np.int32))], names=["h", "id", "size", "at"])
-
-    small_batches(texts.sparkSession)
-    return texts.select("id", "text").mapInArrow(run, "h long, id long, size int, at int")
-
-
-def possible(x: str, y: str, least: float) -> Column:
-    """Whether two texts that first meet at this shingle can be similar enough (and so are near enough in size)."""
-    n, m, i, j = (F.col(f"{side}.{c}") for c in ("size", "at") for side in (x, y))
-    needed = F.ceil((n + m) * F.lit(least / (1 + least)) - F.lit(1e-9))
-    return F.least(n - i, m - j) >= needed
-
-
-def pairs_of(met: DataFrame, least: float) -> DataFrame:
-    """Of rows (x, y), each with id, size, at, the distinct pairs (a, b) that can be similar."""
-    return met.where((F.col("x.id") != F.col("y.id")) & possible("x", "y", least)).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+            bits = np.zeros((len(ids), LANES), np.uint64)
+            bits[place == 0] = np.array(maps, np.uint64).reshape(-1, LANES)
+            columns = [pa.array(np.concatenate(found).view(np.int64)), pa.array(ids), pa.array(np.repeat(np.array(sizes, np.int32), kept)), pa.array(place.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(x.view(np.int64)) for x in np.ascontiguousarray(bits.T))], names=["h", "id", "size", "at", *BIT_NAMES])
+
+    return texts.select("id", "text").mapInArrow(run, "h long, id long, size int, at int, " + ", ".join(f"{b} long" for b in BIT_NAMES))
+
+
+def partners(edge: np.ndarray, c: np.ndarray, size: np.ndarray, at: np.ndarray, bits: np.ndarray, least: float, take: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i, j) of rows of one bucket (bounds ``edge``) and different components that can be similar: of each row its
+    ``take`` nearest, or all, each pair once."""
+    many = np.repeat(np.diff(edge), np.diff(edge))
+    first = np.repeat(edge[:-1], np.diff(edge))
+    upto = np.cumsum(many)
+    out = [(np.zeros(0, np.int64),) * 2]
+    low = 0
+    while low < len(c):
+        high = max(low + 1, int(np.searchsorted(upto, (upto[low - 1] if low else 0) + 1_000_000, "right")))
+        m = many[low:high]
+        i = np.repeat(np.arange(low, high), m)
+        j = np.repeat(first[low:high], m) + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
+        ok = (c[i] != c[j]) if take else (c[i] != c[j]) & (i < j)
+        i, j = i[ok], j[ok]
+        total = size[i] + size[j]
+        needed = np.ceil(total * (least / (1 + least)) - 1e-9).astype(np.int64)
+        ok = np.minimum(size[i] - at[i], size[j] - at[j]) >= needed
+        i, j, most = i[ok], j[ok], (total - 2 * needed)[ok]
+        apart = np.zeros(len(i), np.int64)
+        for lane in bits:
+            apart += np.bitwise_count(lane[i] ^ lane[j])
+        ok = apart <= most
+        i, j, apart = i[ok], j[ok], apart[ok]
+        if take and len(i):
+            order = np.lexsort((j, apart, i))
+            i, j = i[order], j[order]
+            near = np.arange(len(i)) - np.searchsorted(i, i) < take
+            i, j = i[near], j[near]
+        out.append((i, j))
+        low = high
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def meetings(rows: DataFrame, keys: list[str], least: float, take: int | None) -> DataFrame:
+    """Pairs (a, b) of rows (keys, c, id, size, at, b0..) that meet at a key; see ``partners``."""
+
+    def of_buckets(t: pa.Table) -> pa.RecordBatch:
+        key = np.stack([t.column(k).to_numpy() for k in keys], 1)
+        edge = np.concatenate([[0], np.flatnonzero(np.any(key[1:] != key[:-1], axis=1)) + 1, [len(key)]])
+        c, ident, size, at = (t.column(x).to_numpy() for x in ("c", "id", "size", "at"))
+        several = np.minimum.reduceat(c, edge[:-1]) < np.maximum.reduceat(c, edge[:-1])
+        rows = np.flatnonzero(np.repeat(several, np.diff(edge)))
+        edge = np.concatenate([[0], np.cumsum(np.diff(edge)[several])])
+        bits = [t.column(b).to_numpy().view(np.uint64)[rows] for b in BIT_NAMES]
+        i, j = partners(edge, c[rows], size[rows].astype(np.int64), at[rows].astype(np.int64), bits, least, take)
+        i, j = ident[rows[i]], ident[rows[j]]
+        found = np.unique(np.stack([np.minimum(i, j), np.maximum(i, j)], 1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
 
-
-def similar_links(texts: DataFrame, links: DataFrame, words: int, least: float) -> DataFrame:
-    """Links (a, b), ``links`` among them, whose components are those of all pairs of texts (id, text) with a similarity of
-    ``least`` or more. ``links`` must be such pairs; ids must be unique."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) < 50_000:
+                continue
+            now = pa.Table.from_batches(held).combine_chunks()
+            key = np.stack([now.column(k).to_numpy() for k in keys], 1)
+            other = np.flatnonzero(np.any(key != key[-1], axis=1))
+            cut = int(other[-1]) + 1 if len(other) else 0
+            if cut:
+                yield of_buckets(now.slice(0, cut))
+            held = now.slice(cut).to_batches()
+        if held:
+            yield of_buckets(pa.Table.from_batches(held).combine_chunks())
+
+    columns = ["c", "id", "size", "at", *BIT_NAMES]
+    return rows.repartition(*keys).sortWithinPartitions(*keys).select(*keys, *columns).mapInArrow(run, "a long, b long").distinct()
+
+
+def similar_components(texts: DataFrame, links: DataFrame, words: int, least: float, bucket: int = BUCKET) -> DataFrame:
+    """(node, component) of all pairs of texts (id, text) with a similarity of ``least`` or more, for nodes that have any.
+    ``links`` (a, b) must be such pairs; they save comparisons and change nothing. Ids must be unique."""
     each = written(prefixes(texts, words, least, frequent(texts, words)), "prefixes")
-    each = written(each.join(each.groupBy("h").count().where("count > 1").select("h"), "h", "left_semi"), "shared-prefixes")
-
-    def settled(edges: DataFrame) -> DataFrame:
-        found = components(edges).withColumnRenamed("node", "id")
-        return written(each.join(found, "id", "left").select("h", F.coalesce("component", "id").alias("c"), F.struct("id", "size", "at").alias("r")), "settled-prefixes")
-
-    now = settled(links)
-    band = F.floor(F.log(F.col("r.size").cast("double")) / F.lit(log(1 / least))).cast("int") if least < 1 else F.col("r.size")
-    banded = now.withColumn("band", band)
-    ends = banded.groupBy("h", "band").agg(F.min(F.struct("c", "r")).alias("lo"), F.max(F.struct("c", "r")).alias("hi"))
-    asks = banded.select("h", "c", "r", F.explode(F.array("band", F.col("band") - 1)).alias("band"))
-    first = asks.join(ends, ["h", "band"]).select("c", F.col("r").alias("x"), F.explode(F.array("lo", "hi")).alias("e")).where("c <> e.c").select("x", F.col("e.r").alias("y"))
-    links = written(links.union(similar_pairs(written(pairs_of(first, least), "first-pairs"), texts, words, least)), "links")
-
-    now = settled(links)
-    mixed = now.groupBy("h").agg((F.min("c") < F.max("c")).alias("mixed")).where("mixed").select("h")
-    lists = written(now.join(mixed, "h", "left_semi").groupBy("h", "c").agg(F.collect_list("r").alias("rows")), "prefix-lists")
-    met = lists.select("h", "c", F.col("rows").alias("xs")).join(lists.select("h", F.col("c").alias("d"), F.col("rows").alias("ys")), "h").where("c < d")
-    rest = pairs_of(met.select(F.explode("xs").alias("x"), "ys").select("x", F.explode("ys").alias("y")), least)
-    return links.union(similar_pairs(written(rest, "rest-pairs"), texts, words, least))
-
-
-def near_duplicates(docs: DataFrame, doc_id: str, text: str, words: int, similarity: float, distance: int, lanes: int, plan: list[tuple[list[int], int]]) -> DataFrame:
+    maps = each.where("at = 0").select("id", *BIT_NAMES)
+    each = each.select("h", "id", "size", "at")
+    shared = written(each.join(each.groupBy("h").count().where("count > 1").select("h"), "h", "left_semi"), "shared-prefixes")
+    maps = written(maps.join(shared.select("id").distinct(), "id", "left_semi"), "bitmaps")
+    shared, keys = blocked(shared, ["h"], "id", bucket)
+    compared, found = None, components(links)
+    for take in ROUNDS:
+        now = shared.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("c", F.coalesce("component", "id"))
+        pairs = meetings(now.join(maps, "id"), keys, least, take)
+        pairs = written(pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti"), "meeting-pairs")
+        compared = pairs if compared is None else compared.union(pairs)
+        more = written(similar_pairs(pairs, texts, words, least), "links")
+        if not more.isEmpty():
+            links = links.union(more)
+            found = components(links)
+    return found
+
+
+def near_duplicates(docs: DataFrame, doc_id: str, text: str, words: int = 5, similarity: float = 0.8, distance: int = 4) -> DataFrame:
     """doc_id, component_id for every row: components of all pairs whose shingle sets have that similarity; ids must be unique.
 
-    Texts of equal sets are one node. Fingerprints within ``distance`` that meet under the plan propose links, a number linear
-    in the rows; they count only if they hold for the sets. Then the join finds all that are left."""
-    names = [f"f{k}" for k in range(lanes)]
-    prints = written(fingerprints(docs, doc_id, text, words, lanes, sets=True), "fingerprints")
-    nodes = written(prints.groupBy("digest", *names).agg(F.min("doc_id").alias("node")), "distinct-sets")
+    Texts of equal sets are one node. Fingerprints of the sets (each shingle once) within ``distance`` are found by generalised
+    pigeonhole search and propose links, a number linear in the rows; they count only if they hold for the sets. No distance of
+    fingerprints guarantees a similarity, so the join then finds all pairs that are left."""
+    prints = written(fingerprints(docs, doc_id, text, words, sets=True), "fingerprints")
+    nodes = written(prints.groupBy("digest", "f0").agg(F.min("doc_id").alias("node")), "distinct-sets")
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     texts = written(texts.join(nodes.select(F.col("node").alias("id")), "id", "left_semi"), "distinct-texts")
-    close = written(fingerprint_links(nodes, distance, lanes, plan).distinct(), "close-pairs")
-    found = components(similar_links(texts, written(similar_pairs(close, texts, words, similarity), "close-links"), words, similarity))
+    close = written(fingerprint_links(nodes, distance).distinct(), "close-pairs")
+    found = similar_components(texts, written(similar_pairs(close, texts, words, similarity), "close-links"), words, similarity)
     named = nodes.join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))
     return prints.select("doc_id", "digest").join(named, "digest").drop("digest")

@@ -155,12 +155,6 @@ def planned(sample: np.ndarray, distance: int, rows: int, parts: range = range(2
     return min(options, key=lambda x: x[0])[1]
 
 
-def even_plan(bits: int, parts: int) -> list[tuple[list[int], int]]:
-    """Partitions of nearly equal width with threshold 0, bits in order."""
-    edges = [round(i * bits / parts) for i in range(parts + 1)]
-    return [(list(range(a, b)), 0) for a, b in zip(edges, edges[1:])]
-
-
 # ---------------------------------------------------------------- buckets and links
 
 
@@ -252,26 +246,31 @@ def bucket_links(rows: DataFrame, keys: list[str], lanes: int, distance: int) ->
     return rows.repartition(*keys).sortWithinPartitions(*keys).select(*keys, "own", "node", *names).mapInArrow(run, "a long, b long")
 
 
+def blocked(rows: DataFrame, keys: list[str], row: str, bucket: int) -> tuple[DataFrame, list[str]]:
+    """Rows of keys that more than ``bucket`` rows have, dealt into blocks by ``row``, once for each pair of blocks; any two
+    rows of a key share one. Returns the rows and the keys that now bring rows together."""
+    full = rows.groupBy(*keys).count().where(F.col("count") > bucket)
+    full = written(full.select(*keys, F.ceil(F.col("count") / F.lit(float(bucket))).cast("int").alias("blocks")), "hot-keys")
+    if full.isEmpty():
+        return rows, keys
+    rows = rows.join(full, keys, "left")
+    own = F.pmod(F.xxhash64(row), F.col("blocks")).cast("int")
+    pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(own, j).alias("i"), F.greatest(own, j).alias("j")))
+    single = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))
+    rows = rows.withColumn("pair", F.explode(F.when(F.col("blocks").isNull(), single).otherwise(pair)))
+    return rows.withColumn("i", F.col("pair.i")).withColumn("j", F.col("pair.j")).drop("pair"), [*keys, "i", "j"]
+
+
 def links(nodes: DataFrame, distance: int = 4, lanes: int = 1, plan: list[tuple[list[int], int]] | None = None, bucket: int = BUCKET) -> DataFrame:
     """Edges (a, b) whose components are those of all links at ``distance`` or less. nodes: node, f0.., one row each."""
     names = [f"f{k}" for k in range(lanes)]
     if plan is None:
         taken = hash_sample(nodes.select(*names), names, PLAN_SAMPLE).toPandas()
         plan = planned(taken.to_numpy(np.int64).reshape(-1, lanes).view(np.uint64), distance, nodes.count())
-    rows = bucketed(nodes, plan, lanes)
-    # buckets that one task should not take whole
-    hot = written(rows.where("own").groupBy("part", "value").count().where(F.col("count") > bucket // 8), "hot-buckets")
-    if not hot.isEmpty():
-        full = rows.join(F.broadcast(hot.select("part", "value")) if hot.count() < 10_000 else hot.select("part", "value"), ["part", "value"], "left_semi").groupBy("part", "value").count().where(F.col("count") > bucket)
-        full = written(full.select("part", "value", F.ceil(F.col("count") / F.lit(float(bucket))).cast("int").alias("blocks")), "hot-blocks")
-        rows = rows.join(full, ["part", "value"], "left")
-        own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-        pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(own, j).alias("i"), F.greatest(own, j).alias("j")))
-        single = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))
-        rows = rows.withColumn("pair", F.explode(F.when(F.col("blocks").isNull(), single).otherwise(pair)))
-        rows = rows.withColumn("i", F.col("pair.i")).withColumn("j", F.col("pair.j")).withColumn("own", F.lit(True) & (F.col("own") | F.col("blocks").isNotNull()))
-        return bucket_links(rows, ["part", "value", "i", "j"], lanes, distance)
-    return bucket_links(rows, ["part", "value"], lanes, distance)
+    rows, keys = blocked(bucketed(nodes, plan, lanes), ["part", "value"], "node", bucket)
+    if "blocks" in rows.columns:  # a block may lack the rows of the key's own value
+        rows = rows.withColumn("own", F.col("own") | F.col("blocks").isNotNull())
+    return bucket_links(rows, keys, lanes, distance)
 
 
 # ---------------------------------------------------------------- components

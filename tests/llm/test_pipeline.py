@@ -150,3 +150,21 @@ def test_texts_of_one_repeated_line_are_not_copies(spark):
     line = " ".join(new_word(rng) for _ in range(13))
     texts = {i: " ".join([*[line] * 80, *(new_word(rng) for _ in range(100))]) for i in range(10)}
     kept_exactly(spark, texts)
+
+
+def test_a_large_group_of_edited_copies(spark, monkeypatch):
+    """Copies of one text with few to many edits: some join, others are just too far; in blocks too."""
+    from kinelake.llm import setjoin
+
+    rng = random.Random(21)
+    base = [new_word(rng) for _ in range(150)]
+    texts = {}
+    for i in range(400):
+        share = rng.choice([0.0, 0.005, 0.01, 0.02, 0.03, 0.06])
+        texts[i] = " ".join(new_word(rng) if rng.random() < share else w for w in base)
+    kept_exactly(spark, texts)
+    rows = spark.createDataFrame(list(texts.items()), "id long, text string")
+    links = spark.createDataFrame([], "a long, b long")
+    found = {r.node: r.component for r in setjoin.similar_components(rows, links, 5, 0.8, bucket=40).collect()}
+    want = {i: min(g) for g in groups(texts) for i in g}
+    assert {i: found.get(i, i) for i in texts} == want
