@@ -5,7 +5,7 @@ Each stage takes (spark, docs, sf_dir) and works on all rows that its predecesso
 
 1. quality: documents that the factorisation machine scores below ``KEEP`` go (labels are read from ``labels``);
 2. near_duplicates: of each group of near-duplicates the row with the smallest id stays (a null id comes last, equal ids by
-   text): 5-word shingles, 256-bit fingerprints, similarity 0.8;
+   text): 5-word shingles, similarity 0.8;
 3. repeats: bytes of passages of 200 bytes or more that occurred before are cut out, the first occurrence stays;
 4. decontamination: documents that align with a benchmark item go;
 5. mixture: documents get copies, so that each source's words come near its target weight; documents without copies go.
@@ -16,14 +16,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kinelake.llm import decontam, mixing, quality, setjoin, simhash, suffixes
+from kinelake.llm import decontam, mixing, quality, setjoin, suffixes
 from kinelake.llm.common import table, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 KEEP = 0.3
-#: Of 256 bits. Fingerprints within SURE that agree in one of PARTS partitions propose links, which are verified on the shingle
-#: sets; the similar pairs beyond are found by the join of the sets, so these numbers decide on the cost only.
-SURE, LANES, PARTS = 28, 4, 21
 
 
 def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +34,7 @@ def by_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     rows = docs.select(*COLUMNS)
     order = F.struct(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), F.coalesce(F.xxhash64("text"), F.lit(0)))
     numbered = written(rows.select(F.monotonically_increasing_id().alias("row"), *COLUMNS), "rows")
-    found = setjoin.near_duplicates(numbered, "row", "text", words=5, similarity=0.8, distance=SURE, lanes=LANES, plan=simhash.even_plan(64 * LANES, PARTS))
+    found = setjoin.near_duplicates(numbered, "row", "text", words=5, similarity=0.8, distance=4)
     least = numbered.select("row", order.alias("o")).join(found.select(F.col("doc_id").alias("row"), "component_id"), "row").groupBy("component_id").agg(F.min_by("row", F.struct("o", "row")).alias("row"))
     return numbered.join(least.select("row"), "row", "left_semi").select(*COLUMNS)
 
