@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: White space that separates words, as the contracts define it.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Bytes that one Arrow batch holds at least before it is sent on.
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,9 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a temporary one only where the session names none."""
+    """The shared folder of the cluster; a temporary one only on a local master, where the session names none."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named
@@ -36,10 +41,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Bounds what one Arrow batch holds, so that long texts don't fill a Python worker; lets workers import this package."""
+def bounded_batches(spark: SparkSession) -> None:
+    """Bounds the bytes of an Arrow batch, so that long texts don't fill a Python worker, with the same value for every operator;
+    lets workers import this package."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def hash_sample(df: DataFrame, keys: list[str], n: int) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PrefixHash, chunks, joined, mixed, small_batches, utf8
+from .common import PrefixHash, chunks, joined, mixed, bounded_batches, utf8
 
 KEPT = np.full(256, 32, np.uint8)
 KEPT[128:] = np.arange(128, 256)
@@ -92,7 +92,7 @@ def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    small_batches(spark)
+    bounded_batches(spark)
     return out
 
 
@@ -126,7 +126,7 @@ def sharing(doc: np.ndarray, feature: np.ndarray, n: int, begin: np.ndarray, ite
 
 def of_block(docs: DataFrame, items: DataFrame, doc_id: str, text: str, n: int, least: float) -> DataFrame:
     spark = docs.sparkSession
-    small_batches(spark)
+    bounded_batches(spark)
     rows = [(r.item_id, (r.text or "").encode()) for r in items.collect()]  # a block: bounded
     hashes, at = words_of([t for _, t in rows])
     long = [i for i in range(len(rows)) if at[i + 1] - at[i] >= n]

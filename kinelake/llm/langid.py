@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, hash_sample, small_batches
+from .common import chunks, hash_sample, bounded_batches
 
 WINDOW, EMBED, WIDTHS, FILTERS = 256, 6, (2, 3, 4), 12
 LETTER = re.compile(r"[^\W\d_]")
@@ -132,7 +132,7 @@ def learned(docs: DataFrame, teaches: Column, doc_id: str = "doc_id", text: str
 def identified(docs: DataFrame, network: Network | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, lang_pred, score of every row, over its whole text."""
     spark = docs.sparkSession
-    small_batches(spark)
+    bounded_batches(spark)
     model = spark.sparkContext.broadcast(network)  # a fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, hash_sample, joined, small_batches, utf8, word_hashes
+from .common import chunks, hash_sample, joined, bounded_batches, utf8, word_hashes
 
 WORDS = 1 << 14
 CLASSES = [np.zeros(256, np.float32) for _ in range(6)]
@@ -152,7 +152,7 @@ def learned(docs: DataFrame, labels: DataFrame, teaches: Column, doc_id: str = "
     """Fits on at most ``sample`` of the labels for which ``teaches`` (a condition on the id) holds."""
     known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).where(teaches)
     taken = hash_sample(known.select(doc_id, label), [doc_id], sample).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     rows = _inputs(docs, doc_id, text, metadata).join(F.broadcast(taken), "doc_id")  # at most ``sample`` rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,7 +174,7 @@ def learned(docs: DataFrame, labels: DataFrame, teaches: Column, doc_id: str = "
 def scored(docs: DataFrame, machine: Machine, doc_id: str = "doc_id", text: str = "text", metadata: str | None = "n_chars", keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, the columns in ``keep`` and score of every row, over its whole text."""
     spark = docs.sparkSession
-    small_batches(spark)
+    bounded_batches(spark)
     model = spark.sparkContext.broadcast(machine)  # a fixed size
     held = F.struct(*keep) if keep else F.lit(0)
     rows = _inputs(docs, doc_id, text, metadata, held.alias("held"))

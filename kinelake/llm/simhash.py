@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, hash_sample, mixed, small_batches, utf8, written
+from .common import chunks, hash_sample, mixed, bounded_batches, utf8, written
 
 SEED = 42
 #: Rows of one bucket that one task compares; larger buckets are dealt out as pairs of blocks.
@@ -68,7 +68,7 @@ def majority(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 4, lanes: int = 1, sets: bool = False) -> DataFrame:
     """doc_id and f0.. (64 bits each). Lane 0 takes the shingle hashes themselves, further lanes a mix of them. With
     ``sets`` each different shingle counts once, and ``digest`` tells equal sets."""
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -210,7 +210,7 @@ def bucket_links(rows: DataFrame, keys: list[str], lanes: int, distance: int) ->
     """Links (a, b) within each bucket; a bucket's rows come together, sorted by its key."""
     names = [f"f{k}" for k in range(lanes)]
     spark = rows.sparkSession
-    small_batches(spark, 20000)
+    bounded_batches(spark)
 
     def of_groups(key: np.ndarray, own: np.ndarray, node: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
         edge = np.any(key[1:] != key[:-1], axis=1)
@@ -313,7 +313,7 @@ def similar_pairs(pairs: DataFrame, docs: DataFrame, words: int, least: float) -
                 yes.append(both >= least * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(yes, pa.bool_()))
 
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     known = written(docs.join(ids, "id", "left_semi").select("id", "text").mapInArrow(sets, "id long, s binary"), "shingle-sets")
     both = pairs.join(known.select(F.col("id").alias("a"), "s"), "a").join(known.select(F.col("id").alias("b"), F.col("s").alias("t")), "b")

@@ -9,10 +9,16 @@ binary search over prefix polynomial hashes; every extension between neighbours
 collision makes the batch sort again with another base. A window with a bytes before its anchor equals another one if
 both are in one class at depth a backwards and at depth length - a forwards; classes follow from the sorted neighbours.
 
-Anchors with more than ``HOT`` different contexts are not sorted in one task; their windows are counted by 128-bit digest.
+Anchors with more than ``HOT`` different contexts are split among tasks by more of the bytes that the windows share: windows
+that begin low to high bytes before the anchor all hold the low bytes before it and the length - high bytes after it, so
+only contexts with these bytes alike need sorting together. Ranges of ``WIDTH`` starts are split so; where more than ``HOT``
+contexts still share such bytes, each window is grouped by its own bytes, which is exact and combines before the shuffle.
 
-Defined results: null text is empty and keeps nothing; texts shorter than ``length`` stay; rows that repeat an id and its
-text are separate occurrences of their text; a null id is treated like any other; empty tables give empty results.
+Equal contexts are told by a 64-bit anchor hash and a 128-bit BLAKE2 digest; all other equality is verified on bytes.
+
+Defined results: null text is empty and keeps nothing; texts shorter than ``length`` stay; very long texts are read in
+overlapping pieces of ``PIECE`` bytes; rows that repeat an id and its text are separate occurrences of their text; a null id
+is treated like any other, as is any value of it; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -27,22 +33,31 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE, PrefixHash, joined, mixed, powers, small_batches, utf8, written
+from .common import BASE, PrefixHash, joined, mixed, powers, bounded_batches, utf8, written
 
-HOT = 20_000
+HOT, WIDTH = 1_000, 16
 PIECE = 1_000_000
-KEY = ["doc_id", "uid"]
-KEY_TYPE = "doc_id long, uid int"
-PLACE = "struct<d:long,u:int,a:int>"
+PLACE = "struct<d:long,r:long,a:int>"
 
 
-def keyed(docs: DataFrame, doc_id: str, text: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id (the least number where null), uid (a hash of the text, which tells rows of equal ids apart), text, the id as
-    it is, and columns to keep."""
+def stored(docs: DataFrame, doc_id: str, text: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """row (a number of its own), id, held (columns to keep) and the text compressed, written down."""
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    own = F.col(doc_id).cast("long")
     held = F.struct(*keep) if keep else F.lit(None).cast("int")
-    return docs.select(F.coalesce(own, F.lit(-(1 << 63))).alias("doc_id"), F.hash(t).alias("uid"), t.alias("text"), own.alias("id"), held.alias("held"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).cast("long").alias("id"), held.alias("held"), t.alias("text"))
+    bounded_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([pack(t) for t in utf8(batch.column(3))], pa.binary())], names=["row", "id", "held", "packed"])
+
+    return written(rows.mapInArrow(run, f"row long, id long, held {rows.schema['held'].dataType.simpleString()}, packed binary"), "texts")
+
+
+def unpacked(column: pa.Array) -> list[bytes]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    return [unpack(x) for x in column.to_pylist()]
 
 
 # ---------------------------------------------------------------- anchors and contexts
@@ -65,7 +80,7 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
 def contexts(buf: np.ndarray, off: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
     """Of a joined buffer: (text, anchor, first window start, last window start, anchor hash) of each context."""
     n = len(buf) - gram
-    if n < length:
+    if n < length - gram + 1:  # no window
         return (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),)
     at = np.arange(n)
     h = mixed(PrefixHash(buf).of(at, at + gram))
@@ -101,80 +116,62 @@ def pieces(texts: list[bytes], length: int) -> Iterator[tuple[list[int], list[in
 
 def anchor_counts(docs: DataFrame, length: int, gram: int) -> DataFrame:
     """(gram, n): how many contexts have an anchor string."""
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, held in pieces(utf8(batch.column(0)), length):
+            for _, _, held in pieces(unpacked(batch.column(0)), length):
                 h, n = np.unique(contexts(*joined(held), length, gram)[4], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n, pa.int32())], names=["gram", "n"])
 
-    return docs.select("text").mapInArrow(run, "gram long, n int").groupBy("gram").agg(F.sum("n").alias("n"))
+    return docs.select("packed").mapInArrow(run, "gram long, n int").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 def occurrences(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """One row per different context of a piece of a document: doc_id, uid, ats (bytes of its anchors, in order), low, high
-    (bytes of its windows before the anchor: least and most), gram (anchor hash), digest (of the context's bytes)."""
-    small_batches(docs.sparkSession)
+    """One row per different context of a piece of a document: row, id, ats (bytes of its anchors, in order), low, high (bytes
+    of its windows before the anchor: least and most), gram (anchor hash), digest (of the context's bytes)."""
+    bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh3_64_intdigest
         for batch in batches:
-            ids, uids, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy(), utf8(batch.column(2))
+            rows, texts = batch.column(0).to_numpy(), unpacked(batch.column(2))
             for index, begin, held in pieces(texts, length):
                 buf, off = joined(held)
                 text, anchor, first, last, h = contexts(buf, off, length, gram)
                 raw = memoryview(buf)
-                d = np.fromiter((digest(raw[a:b]) for a, b in zip(first.tolist(), (last + length).tolist())), np.uint64, len(first))
-                row, piece = np.array(index)[text], text
-                at = (anchor - off[text] + np.array(begin)[text]).astype(np.int32)
-                order = np.lexsort((at, d, h, piece))
-                piece, h, d, row, at = piece[order], h[order], d[order], row[order], at[order]
+                digest = b"".join([hashlib.blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(first.tolist(), (last + length).tolist())])
+                d1, d2 = np.frombuffer(digest, np.int64).reshape(-1, 2).T
+                of, piece = np.array(index, np.int64)[text], text
+                at = (anchor - off[text] + np.array(begin, np.int64)[text]).astype(np.int32)
+                order = np.lexsort((at, d2, d1, h, piece))
+                piece, h, d1, d2, of, at = piece[order], h[order], d1[order], d2[order], of[order], at[order]
                 low, high = ((anchor - x)[order].astype(np.int32) for x in (last, first))
-                new = np.flatnonzero(np.concatenate([[True], (piece[1:] != piece[:-1]) | (h[1:] != h[:-1]) | (d[1:] != d[:-1])])) if len(at) else np.zeros(0, np.int64)
+                new = np.flatnonzero(np.concatenate([[True], (piece[1:] != piece[:-1]) | (h[1:] != h[:-1]) | (d1[1:] != d1[:-1]) | (d2[1:] != d2[:-1])])) if len(at) else np.zeros(0, np.int64)
                 ats = pa.ListArray.from_arrays(pa.array(np.append(new, len(at)), pa.int32()), pa.array(at))
-                yield pa.RecordBatch.from_arrays([pa.array(ids[row[new]]), pa.array(uids[row[new]]), ats, *(pa.array(x[new]) for x in (low, high, h.view(np.int64), d.view(np.int64)))], names=[*KEY, "ats", "low", "high", "gram", "digest"])
-
-    return docs.select(*KEY, "text").mapInArrow(run, f"{KEY_TYPE}, ats array<int>, low int, high int, gram long, digest long")
+                both = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(new), [None, pa.py_buffer(np.stack([d1[new], d2[new]], 1).tobytes())]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(rows[of[new]]), batch.column(1).take(pa.array(of[new])), ats, *(pa.array(x[new]) for x in (low, high, h.view(np.int64))), both], names=["row", "id", "ats", "low", "high", "gram", "digest"])
 
-
-def packed(docs: DataFrame, keep: bool = False) -> DataFrame:
-    """doc_id, uid and the text compressed, for a shuffle; and id and held if these are kept."""
-    small_batches(docs.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=3).compress
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([pack(t) for t in utf8(batch.column(0))], pa.binary()), *batch.columns[1:]], names=["packed", *batch.schema.names[1:]])
-
-    more = ["id", "held"] if keep else []
-    types = f", id long, held {docs.schema['held'].dataType.simpleString()}" if keep else ""
-    return docs.select("text", *KEY, *more).mapInArrow(run, f"packed binary, {KEY_TYPE}{types}")
-
-
-def unpacked(column: pa.Array) -> list[bytes]:
-    unpack = zstandard.ZstdDecompressor().decompress
-    return [unpack(x) for x in column.to_pylist()]
+    return docs.select("row", "id", "packed").mapInArrow(run, "row long, id long, ats array<int>, low int, high int, gram long, digest binary")
 
 
 def with_text(rows: DataFrame, docs: DataFrame, length: int) -> DataFrame:
-    """rows (doc_id, uid, at, low, high, gram, digest, place) with ``context``, cut from the documents that have any."""
-    lists = rows.groupBy(*KEY).agg(F.collect_list(F.struct("at", "low", "high", "gram", "digest", "place")).alias("wanted"))
-    both = packed(docs).join(lists, KEY)
-    small_batches(docs.sparkSession)
+    """rows (place, low, high, gram, digest, hot) with ``context``, cut from the documents that have any."""
+    lists = rows.groupBy(F.col("place.r").alias("row")).agg(F.collect_list(F.struct("low", "high", "gram", "digest", "hot", "place")).alias("wanted"))
+    both = docs.select("row", "packed").join(lists, "row")
+    bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, wanted = unpacked(batch.column("packed")), batch.column("wanted")
             lists = wanted.flatten()
             of = np.repeat(np.arange(len(texts)), wanted.value_lengths().to_numpy(zero_copy_only=False))
-            at, low, high, g, d, place = (lists.field(i) for i in range(6))
-            cut = [texts[t][a - h : a - m + length] for t, a, m, h in zip(of.tolist(), at.to_pylist(), low.to_pylist(), high.to_pylist())]
+            low, high, g, d, hot, place = (lists.field(i) for i in range(6))
+            cut = [texts[t][a - h : a - m + length] for t, a, m, h in zip(of.tolist(), place.field(2).to_pylist(), low.to_pylist(), high.to_pylist())]
             for s in range(0, len(cut), 5000):
                 part = slice(s, s + 5000)
-                yield pa.RecordBatch.from_arrays([g[part], d[part], low[part], high[part], place[part], pa.array(cut[part], pa.binary())], names=["gram", "digest", "low", "high", "place", "context"])
+                yield pa.RecordBatch.from_arrays([g[part], d[part], low[part], high[part], hot[part], place[part], pa.array(cut[part], pa.binary())], names=["gram", "digest", "low", "high", "hot", "place", "context"])
 
-    return both.select("packed", "wanted").mapInArrow(run, f"gram long, digest long, low int, high int, place {PLACE}, context binary")
+    return both.select("packed", "wanted").mapInArrow(run, f"gram long, digest binary, low int, high int, hot boolean, place {PLACE}, context binary")
 
 
 # ---------------------------------------------------------------- the sort
@@ -290,10 +287,10 @@ def classified(texts: list[bytes], before: np.ndarray, low: np.ndarray, at: np.n
     return state
 
 
-CUT = "gram long, digest long, state int, low int, high int"
+CUT = "gram long, digest binary, state int, low int, high int"
 
 
-def runs(g: np.ndarray, d: np.ndarray, state: np.ndarray) -> pa.RecordBatch:
+def runs(g: pa.Array, d: pa.Array, state: np.ndarray) -> pa.RecordBatch:
     """Runs of equal non-zero state as rows."""
     padded = np.zeros((len(state), state.shape[1] + 2), np.int8)
     padded[:, 1:-1] = state
@@ -301,11 +298,15 @@ def runs(g: np.ndarray, d: np.ndarray, state: np.ndarray) -> pa.RecordBatch:
     row, col = np.nonzero(change[:, :-1] & (state > 0))
     erow, ecol = np.nonzero(change[:, 1:] & (state > 0))
     assert np.array_equal(row, erow)
-    return pa.RecordBatch.from_arrays([pa.array(g[row]), pa.array(d[row]), pa.array(state[row, col].astype(np.int32)), pa.array(col.astype(np.int32)), pa.array(ecol.astype(np.int32))], names=["gram", "digest", "state", "low", "high"])
+    return pa.RecordBatch.from_arrays([g.take(pa.array(row)), d.take(pa.array(row)), pa.array(state[row, col].astype(np.int32)), pa.array(col.astype(np.int32)), pa.array(ecol.astype(np.int32))], names=["gram", "digest", "state", "low", "high"])
 
 
 def sorted_cuts(rows: DataFrame, length: int) -> DataFrame:
-    """Cuts of contexts (gram, digest, low, high, place, context) whose anchors' contexts come together in a task."""
+    """Cuts of contexts (gram, key, digest, low, high, place, context); those of a (gram, key) come together in a task."""
+    bounded_batches(rows.sparkSession)
+
+    def keys(t: pa.Table) -> np.ndarray:
+        return np.stack([t.column(k).to_numpy() for k in ("gram", "key")], 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -314,8 +315,8 @@ def sorted_cuts(rows: DataFrame, length: int) -> DataFrame:
             if sum(b.num_rows for b in held) < 4096:
                 continue
             now = pa.Table.from_batches(held).combine_chunks()
-            g = now.column("gram").to_numpy()
-            other = np.flatnonzero(g != g[-1])
+            g = keys(now)
+            other = np.flatnonzero(np.any(g != g[-1], axis=1))
             cut = int(other[-1]) + 1 if len(other) else 0
             if cut:
                 yield solve(now.slice(0, cut))
@@ -324,80 +325,100 @@ def sorted_cuts(rows: DataFrame, length: int) -> DataFrame:
             yield solve(pa.Table.from_batches(held).combine_chunks())
 
     def solve(t: pa.Table) -> pa.RecordBatch:
-        g, d = t.column("gram").to_numpy(), t.column("digest").to_numpy()
-        at = np.concatenate([[0], np.flatnonzero(g[1:] != g[:-1]) + 1, [len(g)]])
+        g = keys(t)
+        at = np.concatenate([[0], np.flatnonzero(np.any(g[1:] != g[:-1], axis=1)) + 1, [len(g)]])
         place = t.column("place").combine_chunks()
         rank = np.empty(len(g), np.int64)
         rank[np.lexsort([place.field(i).to_numpy() for i in (2, 1, 0)])] = np.arange(len(g))
-        return runs(g, d, classified(t.column("context").to_pylist(), t.column("high").to_numpy().astype(np.int64), t.column("low").to_numpy().astype(np.int64), at, rank, length))
+        state = classified(t.column("context").to_pylist(), t.column("high").to_numpy().astype(np.int64), t.column("low").to_numpy().astype(np.int64), at, rank, length)
+        return runs(t.column("gram").combine_chunks(), t.column("digest").combine_chunks(), state)
 
-    return rows.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, CUT)
+    return rows.repartition("gram", "key").sortWithinPartitions("gram", "key").select("gram", "key", "digest", "low", "high", "place", "context").mapInArrow(run, CUT)
 
 
-def counted_cuts(rows: DataFrame, length: int) -> DataFrame:
-    """The same for anchors with too many contexts for a task: each window by its digest, spread over all tasks."""
+def narrowed(rows: DataFrame, length: int, width: int) -> DataFrame:
+    """Each context cut into the ranges of ``width`` window starts that it has; key: of the range and the bytes that all its
+    windows share. Contexts of different keys have no window in common; equal keys by chance do no harm, as bytes are compared."""
+    bounded_batches(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in range(batch.num_rows):
-                text, low, high = batch.column("context")[r].as_py(), batch.column("low")[r].as_py(), batch.column("high")[r].as_py()
-                h = [xxhash.xxh3_128_digest(text[high - a : high - a + length]) for a in range(low, high + 1)]
-                yield pa.RecordBatch.from_arrays([pa.array([batch.column("gram")[r].as_py()] * len(h), pa.int64()), pa.array([batch.column("digest")[r].as_py()] * len(h), pa.int64()), pa.array(range(low, high + 1), pa.int32()), pa.array([batch.column("place")[r].as_py()] * len(h), batch.column("place").type), pa.array(h, pa.binary())], names=["gram", "digest", "a", "place", "window"])
-
-    windows = rows.mapInArrow(run, f"gram long, digest long, a int, place {PLACE}, window binary")
+            text, low, high = batch.column("context").to_pylist(), batch.column("low").to_pylist(), batch.column("high").to_pylist()
+            of, key, lows, highs, cut = [], [], [], [], []
+            for r, (t, m, h) in enumerate(zip(text, low, high)):
+                for lo in range(m // width * width, h + 1, width):
+                    hi = lo + width - 1
+                    a, b = max(m, lo), min(h, hi)
+                    of.append(r), key.append(xxhash.xxh3_64_intdigest(t[h - lo : h - hi + length], lo)), lows.append(a), highs.append(b), cut.append(t[h - b : h - a + length])
+            take = pa.array(of, pa.int64())
+            keys = pa.array(np.array(key, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("gram").take(take), keys, batch.column("digest").take(take), pa.array(lows, pa.int32()), pa.array(highs, pa.int32()), batch.column("place").take(take), pa.array(cut, pa.binary())], names=["gram", "key", "digest", "low", "high", "place", "context"])
+
+    return rows.select("gram", "digest", "low", "high", "place", "context").mapInArrow(run, f"gram long, key long, digest binary, low int, high int, place {PLACE}, context binary")
+
+
+def grouped_cuts(rows: DataFrame, length: int) -> DataFrame:
+    """The same for contexts that share so many bytes that a task should not sort them: windows grouped by their bytes."""
+    starts = F.explode(F.sequence("low", "high"))
+    windows = rows.withColumn("a", starts).select("gram", "digest", "a", "place", F.expr(f"substring(context, high - a + 1, {length})").alias("window"))
     shared = windows.groupBy("gram", "a", "window").agg(F.count("*").alias("n"), F.min("place").alias("least")).where("n > 1")
     found = windows.join(shared, ["gram", "a", "window"])
     state = F.when(F.col("place") == F.col("least"), 2).otherwise(1)
     return found.select("gram", "digest", state.alias("state"), F.col("a").alias("low"), F.col("a").alias("high"))
 
 
+def cuts_of(rows: DataFrame, length: int, hot: int) -> DataFrame:
+    """Cuts of contexts (with text); those of hot anchors are split by more shared bytes first."""
+    whole = rows.where("not hot").withColumn("key", F.lit(0).cast("long"))
+    split = rows.where("hot")
+    if split.isEmpty():
+        return sorted_cuts(whole, length)
+    split = written(narrowed(split, length, max(1, min(WIDTH, length // 2))), "split-contexts")
+    full = written(split.groupBy("gram", "key").count().where(F.col("count") > hot).select("gram", "key"), "full-keys")
+    cuts = sorted_cuts(whole.drop("hot").unionByName(split.join(full, ["gram", "key"], "left_anti")), length)
+    if full.isEmpty():
+        return cuts
+    return cuts.unionByName(grouped_cuts(split.join(full, ["gram", "key"], "left_semi"), length))
+
+
 # ---------------------------------------------------------------- documents
 
 
 def repeated_ranges(docs: DataFrame, length: int = 200, gram: int = 32, keep_first: bool = False, hot: int = HOT) -> DataFrame:
-    """docs: keyed(). A row per context that repeats: doc_id, uid, ranges (start and end in bytes; they may overlap).
+    """docs: stored(). A row per context that repeats: row, ranges (start and end in bytes; they may overlap).
 
-    keep_first spares, of each window's occurrences, the one with the least (doc_id, uid, byte)."""
+    keep_first spares, of each window's occurrences, the one with the least (id, row, byte); a null id comes first."""
     shared = written(anchor_counts(docs, length, gram).where("n > 1").select("gram"), "shared-anchors")
     occ = written(occurrences(docs, length, gram).join(shared, "gram"), "contexts")
-    classes = occ.groupBy("gram", "digest").agg(F.sum(F.size("ats")).alias("n"), F.min(F.struct(*place_fields(), F.col("low"), F.col("high"))).alias("f"))
+    place = F.struct(F.coalesce("id", F.lit(-(1 << 63))).alias("d"), F.col("row").alias("r"), F.col("ats")[0].alias("a"))
+    classes = occ.groupBy("gram", "digest").agg(F.sum(F.size("ats")).alias("n"), F.min(F.struct(place.alias("place"), "low", "high")).alias("f"))
     classes = written(classes.select("gram", "digest", "n", "f.*"), "context-classes")
-    several = classes.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    several = written(several, "several-contexts")
-    compared = classes.join(several, "gram").select(
-        F.col("d").alias("doc_id"), F.col("u").alias("uid"), F.col("a").alias("at"), "low", "high", "gram", "digest", F.struct("d", "u", "a").alias("place"), "kinds"
-    )
-    cuts = sorted_cuts(with_text(compared.where(F.col("kinds") <= hot), docs, length), length)
-    if not several.where(F.col("kinds") > hot).isEmpty():
-        cuts = cuts.unionByName(counted_cuts(with_text(compared.where(F.col("kinds") > hot), docs, length), length))
-    none = [F.lit(None).cast(t).alias(x) for x, t in (("d", "long"), ("u", "int"), ("a", "int"))]
-    spared = ["d", "u", "a"] if keep_first else none
-    copies = classes.where("n > 1").select("gram", "digest", F.col("low").alias("from"), F.col("high").alias("to"), *spared)
-    other = cuts.where("state = 1" if keep_first else "state > 0").select("gram", "digest", F.col("low").alias("from"), F.col("high").alias("to"), *none)
+    several = written(classes.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1").select("gram", (F.col("kinds") > hot).alias("hot")), "several-contexts")
+    compared = written(with_text(classes.join(several, "gram"), docs, length), "compared-contexts")
+    cuts = cuts_of(compared, length, hot)
+    none = F.lit(None).cast(PLACE).alias("place")
+    copies = classes.where("n > 1").select("gram", "digest", F.col("low").alias("from"), F.col("high").alias("to"), F.col("place") if keep_first else none)
+    other = cuts.where("state = 1" if keep_first else "state > 0").select("gram", "digest", F.col("low").alias("from"), F.col("high").alias("to"), none)
     # one row per context, written so that hot contexts' occurrences can be split among tasks
-    all_cuts = written(copies.unionByName(other).groupBy("gram", "digest").agg(F.collect_list(F.struct("from", "to", "d", "u", "a")).alias("cuts")), "cuts")
+    all_cuts = written(copies.unionByName(other).groupBy("gram", "digest").agg(F.collect_list(F.struct("from", "to", "place.r", "place.a")).alias("cuts")), "cuts")
     found = occ.join(all_cuts, ["gram", "digest"])
 
     def stretches(at):
-        own = lambda c: c["d"].eqNullSafe(F.col("doc_id")) & c["u"].eqNullSafe(F.col("uid")) & c["a"].eqNullSafe(at)
+        own = lambda c: c["r"].eqNullSafe(F.col("row")) & c["a"].eqNullSafe(at)
         return F.transform(F.filter("cuts", lambda c: ~own(c)), lambda c: F.struct((at - c["to"]).alias("start"), (at - c["from"] + length).alias("end")))
 
     ranges = F.flatten(F.transform("ats", stretches))
-    return found.select(*KEY, ranges.alias("ranges")).where(F.size("ranges") > 0)
-
-
-def place_fields():
-    return F.col("doc_id").alias("d"), F.col("uid").alias("u"), F.col("ats")[0].alias("a")
+    return found.select("row", ranges.alias("ranges")).where(F.size("ranges") > 0)
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 200, gram: int = 32, keep_first: bool = False, keep: tuple[str, ...] = (), hot: int = HOT) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, original, kept (what is left, in whole characters) and
     the columns in ``keep``. ``kept`` is null where it isn't asked for by ``keep_first`` or ``keep``."""
-    keys = keyed(docs, doc_id, text, keep)
-    ranges = repeated_ranges(keys, length, gram, keep_first, hot)
-    lists = written(ranges.groupBy(*KEY).agg(F.flatten(F.collect_list("ranges")).alias("ranges")), "repeats")
-    both = packed(keys, keep=True).join(lists, KEY, "left")
-    small_batches(docs.sparkSession)
+    rows = stored(docs, doc_id, text, keep)
+    ranges = repeated_ranges(rows, length, gram, keep_first, hot)
+    lists = written(ranges.groupBy("row").agg(F.flatten(F.collect_list("ranges")).alias("ranges")), "repeats")
+    both = rows.join(lists, "row", "left")
+    bounded_batches(docs.sparkSession)
     texts = keep_first or bool(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -417,7 +438,7 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             arrays = [pa.array(c, t) for c, t in zip(columns, (pa.int64(),) * 3 + (pa.string(),) * 3)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("held"), *arrays], names=["doc_id", "held", "n_bytes", "n_removed", "n_spans", "kept_sha256", "original", "kept"])
 
-    held = keys.schema["held"].dataType.simpleString()
+    held = rows.schema["held"].dataType.simpleString()
     found = both.select("id", "held", "packed", "ranges").mapInArrow(run, f"doc_id long, held {held}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, original string, kept string")
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "original", "kept"]
     return found.select(*names, *(F.col(f"held.{c}").alias(c) for c in keep))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, utf8
+from .common import bounded_batches, utf8
 
 BLANK = "▁"
 SPLIT = re.compile(r"\n| +[^ \n]*|[^ \n]+")
@@ -91,7 +91,7 @@ def count_tokens(docs: DataFrame, model_file: str, doc_id: str = "doc_id", text:
     """doc_id, n_bytes, n_tokens and over_limit of every row."""
     spark = docs.sparkSession
     table = spark.sparkContext.broadcast(frequent(docs, model_file, text, entries=entries))
-    small_batches(spark)
+    bounded_batches(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, known = counter(model_file), table.value

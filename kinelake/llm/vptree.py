@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_batches, written
+from .common import bounded_batches, written
 
 LEAF = 96
 
@@ -162,7 +162,7 @@ def searched(index: DataFrame, asked: pa.Table, k: int, factor: float) -> DataFr
     begin = np.cumsum(size) - size
     blocks = {int(d): (ids[size == d], np.stack([flat[a : a + d] for a in begin[size == d]])) for d in np.unique(size)}
     shared = spark.sparkContext.broadcast(blocks)
-    small_batches(spark, 1)
+    bounded_batches(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, tuple[np.ndarray, ...]] = {}  # per dimension: query number, vec_id, score

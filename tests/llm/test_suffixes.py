@@ -32,7 +32,7 @@ def test_query_against_brute_force(spark, sf):
     same(QUERIES["op9_suffix_dedup"](spark, sf).collect(), [r.text for r in docs], 200, [r.doc_id for r in docs])
 
 
-@pytest.mark.parametrize("hot", [20000, 1])
+@pytest.mark.parametrize("hot", [20000, 4, 1])
 @pytest.mark.parametrize("alphabet", ["ab", "abcdefgh "])
 def test_random_texts(spark, hot, alphabet, monkeypatch):
     monkeypatch.setattr(suffixes, "PIECE", 300)
@@ -78,3 +78,45 @@ def test_empty_table_and_repeated_rows(spark):
     assert suffixes.without_repeats(df.limit(0)).count() == 0
     got = suffixes.without_repeats(df).collect()
     assert sorted(r.n_removed for r in got) == [0, 300, 300]
+
+
+def letters(rng, n):
+    return "".join(rng.choices("abcdefgh ", k=n))
+
+
+def test_texts_of_few_windows_alone_in_their_tasks(spark):
+    rng = random.Random(31)
+    texts = [t for n in (199, 200, 201, 215, 229, 230, 231, 232, 233, 259, 260) for t in [letters(rng, n)] * 2]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(len(rows), "doc_id")
+    same(suffixes.without_repeats(df).collect(), texts, 200, range(len(texts)))
+
+
+def test_the_last_piece_of_a_very_long_text(spark):
+    rng = random.Random(32)
+    step = suffixes.PIECE - 199
+    tail = letters(rng, 230)
+    texts = [letters(rng, step) + tail, letters(rng, 300) + tail + letters(rng, 50), letters(rng, 2 * step + 215)]
+    got = {r.doc_id: r.n_removed for r in suffixes.without_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {0: 230, 1: 230, 2: 0}
+
+
+def test_ids_that_repeat_or_are_null_are_rows_of_their_own(spark):
+    rng = random.Random(33)
+    one, other = letters(rng, 320), letters(rng, 320)
+    rows = [(None, one), (None, other), (5, one), (7, letters(rng, 600)), (7, letters(rng, 500)), (-(1 << 63), letters(rng, 400))]
+    got = suffixes.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"), keep_first=False).collect()
+    assert sorted(r.n_removed for r in got) == [0, 0, 0, 0, 320, 320]
+    twice = spark.createDataFrame([(7, one * 2), (7, one * 2)], "doc_id long, text string")
+    kept = suffixes.without_repeats(twice, keep_first=True).collect()
+    assert sorted(r.n_removed for r in kept) == [320, 640]  # the first row keeps one copy of each window
+
+
+def test_contexts_of_a_hot_anchor_are_split_and_sorted(spark):
+    rng = random.Random(34)
+    line = letters(rng, 190)
+    near = letters(rng, 15)
+    texts = [letters(rng, 250) + (near if i % 3 else letters(rng, 15)) + line + (near if i % 2 else letters(rng, 15)) + letters(rng, 240) for i in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for hot in (30, 8):
+        same(suffixes.without_repeats(df, hot=hot).collect(), texts, 200, range(len(texts)))
