@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PrefixHash, chunks, joined, mixed, bounded_batches, utf8
+from .common import PrefixHash, bounded_batches, chunks, joined, mixed, utf8
 
 KEPT = np.full(256, 32, np.uint8)
 KEPT[128:] = np.arange(128, 256)

@@ -3,7 +3,8 @@
 A window of ``WINDOW`` bytes is embedded byte by byte, filters of several widths run over it, each filter's maximum over
 the window goes through a softmax layer. A text is cut into consecutive windows, from its first byte to its last; its
 language is the one with the largest mean probability over the windows, its score that mean. Training takes up to
-``sample`` labelled texts, chosen by a hash of the id, and up to four windows of each.
+``sample`` labelled texts, chosen by a hash of the id, and of each the ``EACH`` windows with the least hashes among all windows
+of the whole text.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; nulls in the label column teach nothing;
 with no labelled row at all everything is ``und``; repeated rows and extra columns change nothing; an empty table gives
@@ -18,12 +19,13 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, hash_sample, bounded_batches
+from .common import bounded_batches, chunks, hash_sample
 
-WINDOW, EMBED, WIDTHS, FILTERS = 256, 6, (2, 3, 4), 12
+WINDOW, EMBED, WIDTHS, FILTERS, EACH = 256, 6, (2, 3, 4), 12, 4
 LETTER = re.compile(r"[^\W\d_]")
 #: Digits, ASCII signs and control characters are blanks to the network.
 SHOWN = np.full(256, 32, np.uint8)
@@ -41,6 +43,14 @@ def windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return SHOWN[out], np.repeat(np.arange(len(texts)), n)
 
 
+def drawn(text: str) -> np.ndarray:
+    """The ``EACH`` windows of a text with the least hashes, those that show something first."""
+    x = windows([text])[0]
+    blank = ~(x != 32).any(1)
+    order = sorted(range(len(x)), key=lambda i: (bool(blank[i]), xxhash.xxh3_64_intdigest(x[i].tobytes(), i), i))
+    return x[sorted(order[:EACH])]
+
+
 class Network(NamedTuple):
     names: list[str]
     embed: np.ndarray  # (256, EMBED)
@@ -69,8 +79,27 @@ class Network(NamedTuple):
         return np.concatenate(out) if out else np.zeros((0, len(self.names)), np.float32)
 
 
+def gradient(net: Network, x: np.ndarray, y: np.ndarray, mask: np.ndarray) -> dict[str, np.ndarray]:
+    """Of the mean cross entropy, for each parameter. Through a maximum the gradient goes to its place only."""
+    patch, out, h = net.pooled(x)
+    z = h @ net.dense + net.dense_bias
+    z = np.exp(z - z.max(1, keepdims=True))
+    z /= z.sum(1, keepdims=True)
+    z[np.arange(len(x)), y] -= 1
+    z /= len(x)
+    dh = (z @ net.dense.T) * (h > 0)
+    best = out.argmax(1)  # (rows, filters)
+    hit = patch[np.arange(len(x))[:, None], best]  # (rows, filters, width * EMBED)
+    grad = {"dense": h.T @ z, "dense_bias": z.sum(0), "bias": dh.sum(0), "filters": np.einsum("rf,rfk->kf", dh, hit) * mask}
+    back = (dh[:, :, None] * net.filters.T[None]).reshape(-1, max(WIDTHS), EMBED)
+    at = (best[:, :, None] + np.arange(max(WIDTHS))).reshape(len(x), -1)
+    grad["embed"] = np.zeros_like(net.embed)
+    np.add.at(grad["embed"], np.take_along_axis(x, at, 1).ravel(), back.reshape(-1, EMBED))
+    return grad
+
+
 def fitted(x: np.ndarray, y: np.ndarray, names: list[str], epochs: int = 6, rate: float = 0.004, size: int = 64) -> Network:
-    """Cross entropy, Adam over mini-batches, a fixed seed. Through a maximum the gradient goes to its place only."""
+    """Cross entropy, Adam over mini-batches, a fixed seed."""
     rng = np.random.default_rng(11)
     f = FILTERS * len(WIDTHS)
     mask = np.zeros((max(WIDTHS) * EMBED, f), np.float32)
@@ -86,22 +115,7 @@ def fitted(x: np.ndarray, y: np.ndarray, names: list[str], epochs: int = 6, rate
         order = rng.permutation(len(x))
         for s in range(0, len(order), size):
             rows = order[s : s + size]
-            net = Network(names, **p)
-            patch, out, h = net.pooled(x[rows])
-            z = h @ p["dense"] + p["dense_bias"]
-            z = np.exp(z - z.max(1, keepdims=True))
-            z /= z.sum(1, keepdims=True)
-            z[np.arange(len(rows)), y[rows]] -= 1
-            z /= len(rows)
-            dh = (z @ p["dense"].T) * (h > 0)
-            best = out.argmax(1)  # (rows, filters)
-            hit = patch[np.arange(len(rows))[:, None], best]  # (rows, filters, width * EMBED)
-            grad = {"dense": h.T @ z, "dense_bias": z.sum(0), "bias": dh.sum(0), "filters": np.einsum("rf,rfk->kf", dh, hit) * mask}
-            back = (dh[:, :, None] * p["filters"].T[None]).reshape(-1, max(WIDTHS), EMBED)
-            at = (best[:, :, None] + np.arange(max(WIDTHS))).reshape(len(rows), -1)
-            de = np.zeros_like(p["embed"])
-            np.add.at(de, np.take_along_axis(x[rows], at, 1).ravel(), back.reshape(-1, EMBED))
-            grad["embed"] = de
+            grad = gradient(Network(names, **p), x[rows], y[rows], mask)
             t += 1
             for k, g in grad.items():
                 first[k] = 0.9 * first[k] + 0.1 * g
@@ -117,16 +131,26 @@ def learned(docs: DataFrame, teaches: Column, doc_id: str = "doc_id", text: str
     bound = hash_sample(known.select(doc_id), [doc_id], sample).agg(F.max(F.xxhash64(doc_id))).first()[0]
     if bound is None:
         return None
-    taken = known.where(F.xxhash64(doc_id) <= bound).select(F.substring(F.col(text), 1, 40 * WINDOW).alias("t"), F.col(lang).cast("string").alias("l"), F.xxhash64(doc_id).alias("h"))
-    rows = taken.orderBy("h", "t").limit(sample).collect()
-    names = sorted({r.l for r in rows})
-    x, of = windows([r.t for r in rows if LETTER.search(r.t)])
-    label = np.array([names.index(r.l) for r in rows if LETTER.search(r.t)])
-    if not len(x):
+    bounded_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            cut, langs, keys = [], [], []
+            for t, lang, key in zip(texts, batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                if LETTER.search(t):
+                    chosen = drawn(t)
+                    cut.append(chosen.tobytes()), langs.append(lang), keys.append(key)
+            yield pa.RecordBatch.from_arrays([pa.array(cut, pa.binary()), pa.array(langs, pa.string()), pa.array(keys, pa.int64())], names=["w", "l", "h"])
+
+    taken = known.where(F.xxhash64(doc_id) <= bound).select(F.col(text).cast("string").alias("t"), F.col(lang).cast("string").alias("l"), F.xxhash64(doc_id).alias("h"))
+    rows = taken.mapInArrow(run, "w binary, l string, h long").orderBy("h", "w", "l").limit(sample).collect()  # at most EACH windows a row
+    if not rows:
         return None
-    place = np.arange(len(of)) - np.searchsorted(of, of)
-    take = (place < 4) & ((place == 0) | (x[:, -1] != 32) | (x != 32).any(1))
-    return fitted(x[take], label[of[take]], names)
+    names = sorted({r.l for r in rows})
+    x = np.concatenate([np.frombuffer(r.w, np.uint8).reshape(-1, WINDOW) for r in rows])
+    label = np.repeat([names.index(r.l) for r in rows], [len(r.w) // WINDOW for r in rows])
+    return fitted(x, label, names)
 
 
 def identified(docs: DataFrame, network: Network | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

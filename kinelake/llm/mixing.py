@@ -88,6 +88,8 @@ def tilts(counts: DataFrame, sources: DataFrame, most: float = 2.0, tolerance: f
         )
         if (state.agg(F.max("error")).first()[0] or 0.0) <= tolerance:
             break
+    else:
+        raise RuntimeError(f"the tilts are not settled after {rounds} rounds")
     return state.select("key", "scale", "tilt", "full")
 
 

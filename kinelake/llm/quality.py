@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, hash_sample, joined, bounded_batches, utf8, word_hashes
+from .common import bounded_batches, chunks, hash_sample, joined, utf8, word_hashes
 
 WORDS = 1 << 14
 CLASSES = [np.zeros(256, np.float32) for _ in range(6)]
@@ -108,6 +108,20 @@ class Machine(NamedTuple):
         return 1 / (1 + np.exp(-np.clip(self.margin(b)[0].astype(np.float64), -30, 30)))
 
 
+def gradient(m: Machine, part: Batch, label: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the mean logistic loss: by the bias, then the features that occur, by their weights and by their factors."""
+    z, value, sums = m.margin(part)
+    lengths = np.diff(part.at)
+    err = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - label).astype(np.float32) / len(label)
+    e = np.repeat(err, lengths)
+    touched, back = np.unique(part.index, return_inverse=True)
+    dw = np.bincount(back, e * value, len(touched)).astype(np.float32)
+    each = e[:, None] * (value[:, None] * np.repeat(sums, lengths, 0) - m.factor[part.index] * (value * value)[:, None])
+    dv = np.zeros((len(touched), m.factor.shape[1]), np.float32)
+    np.add.at(dv, back, each)
+    return float(err.sum()), touched, dw, dv
+
+
 def fitted(b: Batch, label: np.ndarray, factors: int = 8, epochs: int = 12, rate: float = 0.1, decay: float = 1e-5, size: int = 64) -> Machine:
     """Logistic loss, Adagrad over mini-batches, a fixed seed."""
     rng = np.random.default_rng(7)
@@ -124,20 +138,13 @@ def fitted(b: Batch, label: np.ndarray, factors: int = 8, epochs: int = 12, rate
             lengths = b.at[rows + 1] - b.at[rows]
             take = np.repeat(b.at[rows] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
             part = Batch(b.index[take], b.value[take], np.concatenate([[0], np.cumsum(lengths)]))
-            z, value, sums = m.margin(part)
-            err = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - label[rows]).astype(np.float32) / len(rows)
-            e = np.repeat(err, lengths)
-            touched, back = np.unique(part.index, return_inverse=True)
-            dw = np.bincount(back, e * value, len(touched)).astype(np.float32) + decay * m.weight[touched]
-            each = e[:, None] * (value[:, None] * np.repeat(sums, lengths, 0) - m.factor[part.index] * (value * value)[:, None])
-            dv = np.zeros((len(touched), factors), np.float32)
-            np.add.at(dv, back, each)
+            db, touched, dw, dv = gradient(m, part, label[rows])
+            dw += decay * m.weight[touched]
             dv += decay * m.factor[touched]
             gw[touched] += dw * dw
             gv[touched] += dv * dv
             m.weight[touched] -= rate * dw / np.sqrt(gw[touched])
             m.factor[touched] -= 0.5 * rate * dv / np.sqrt(gv[touched])
-            db = float(err.sum())
             gb += db * db
             m = m._replace(bias=m.bias - rate * db / gb**0.5)
     return m
@@ -163,7 +170,9 @@ def learned(docs: DataFrame, labels: DataFrame, teaches: Column, doc_id: str = "
                 lists = [pa.ListArray.from_arrays(pa.array(f.at, pa.int32()), pa.array(x)) for x in (f.index, f.value)]
                 yield pa.RecordBatch.from_arrays([batch.column("y").slice(a, b - a), batch.column("doc_id").slice(a, b - a), *lists], names=["y", "doc_id", "index", "value"])
 
-    got = rows.mapInArrow(run, "y int, doc_id long, index array<int>, value array<float>").toArrow().combine_chunks().sort_by("doc_id")
+    made = rows.mapInArrow(run, "y int, doc_id long, index array<int>, value array<float>")
+    # ids may repeat in the documents: still at most ``sample`` rows come here
+    got = made.orderBy(F.xxhash64("doc_id"), F.xxhash64("index", "value"), "y").limit(sample).toArrow().combine_chunks()
     if not got.num_rows:
         return fitted(Batch(np.zeros(0, np.int32), np.zeros(0, np.float32), np.zeros(1, int)), np.zeros(0))
     index, value = got.column("index").combine_chunks(), got.column("value").combine_chunks()

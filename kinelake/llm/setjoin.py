@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_sample, bounded_batches, utf8, written
+from .common import bounded_batches, hash_sample, utf8, written
 from .simhash import BUCKET, blocked, components, fingerprints, links as fingerprint_links, shingle_hashes, similar_pairs
 
 #: Texts whose shingles are counted for the order, and the most shingles that are kept (results don't depend on them).

@@ -11,8 +11,8 @@ Buckets above ``BUCKET`` rows are dealt out as pairs of blocks. Components are f
 small-star steps on distributed edge tables.
 
 Defined results: null text is empty; a text without words has the zero fingerprint and links like any other; a text of
-fewer words than a shingle is one shingle; repeated ids are separate rows; null ids get the component of their
-fingerprint (null where no row with that fingerprint has an id); empty tables give empty results.
+fewer words than a shingle is one shingle; very long texts are taken whole; repeated ids are separate rows; rows with a null
+id link like any other (their component is null where no row in it has an id); empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, hash_sample, mixed, bounded_batches, utf8, written
+from .common import bounded_batches, chunks, hash_sample, mixed, utf8, written
 
 SEED = 42
 #: Rows of one bucket that one task compares; larger buckets are dealt out as pairs of blocks.
@@ -280,7 +280,7 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     """(node, component): the smallest node reachable, for every node that has an edge. Alternating stars."""
     edges = written(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
     seen = None
-    for _ in range(rounds):
+    for _ in range(rounds):  # a logarithmic number is enough
         # large star: larger neighbours go to the smallest of the neighbourhood
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -293,6 +293,8 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         if now == seen:
             break
         seen = now
+    else:
+        raise RuntimeError(f"components are not settled after {rounds} rounds")
     return edges.select(F.col("b").alias("node"), F.col("a").alias("component")).union(edges.select("a", "a").distinct())
 
 
@@ -321,10 +323,14 @@ def similar_pairs(pairs: DataFrame, docs: DataFrame, words: int, least: float) -
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 4, distance: int = 4, lanes: int = 1, plan: list[tuple[list[int], int]] | None = None) -> DataFrame:
-    """doc_id, f0.., component_id for every row."""
+    """doc_id, f0.., component_id for every row. Nodes are fingerprints, so rows without an id link too."""
     names = [f"f{k}" for k in range(lanes)]
     prints = written(fingerprints(docs, doc_id, text, words, lanes), "fingerprints")
-    nodes = written(prints.groupBy(*names).agg(F.min("doc_id").alias("node")), "distinct-fingerprints")
-    found = components(links(nodes.where("node is not null"), distance, lanes, plan))
-    named = nodes.join(found, "node", "left").select(*names, F.coalesce("component", "node").alias("component_id"))
+    nodes = prints.groupBy(*names).agg(F.min("doc_id").alias("least"))
+    nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "distinct-fingerprints")
+    found = components(links(nodes, distance, lanes, plan))
+    joined = nodes.join(found, "node")
+    named = joined.groupBy("component").agg(F.min("least").alias("smallest"))
+    named = nodes.join(joined.join(named, "component").select("node", "smallest"), "node", "left")
+    named = named.select(*names, F.when(F.col("smallest").isNull(), F.col("least")).otherwise(F.col("smallest")).alias("component_id"))
     return prints.join(named, names)

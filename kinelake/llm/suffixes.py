@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE, PrefixHash, joined, mixed, powers, bounded_batches, utf8, written
+from .common import BASE, PrefixHash, bounded_batches, joined, mixed, powers, utf8, written
 
 HOT, WIDTH = 1_000, 16
 PIECE = 1_000_000

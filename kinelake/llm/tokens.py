@@ -6,8 +6,9 @@ loads the model.) The first tier is a broadcast table of the lengths of frequent
 entries, learned from at most ``sample`` texts; it saves time and never changes a count. Misses go to a cache in each
 Python worker, and from there to the library. Nothing is shuffled.
 
-Defined results: null text is empty; an empty text has no tokens; very long pre-tokens are counted but not cached; ids
-and other columns pass through untouched; an empty table gives an empty result.
+Defined results: null text is empty; an empty text has no tokens; very long texts are counted whole, very long pre-tokens
+without the cache; ids pass through untouched, other columns are dropped; repeated rows are counted each; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, utf8
+from .common import bounded_batches, hash_sample, utf8
 
 BLANK = "▁"
 SPLIT = re.compile(r"\n| +[^ \n]*|[^ \n]+")
@@ -78,19 +79,29 @@ def counter(model_file: str) -> PieceCounter:
     return _models[model_file]
 
 
-def frequent(docs: DataFrame, model_file: str, text: str = "text", sample: int = 2000, entries: int = 20_000) -> dict[str, int]:
-    """Lengths of the most frequent pre-tokens of the first ``sample`` texts (of at most 20,000 characters of each)."""
-    seen = Counter()
-    for r in docs.select(F.substring(F.col(text).cast("string"), 1, 20_000).alias("t")).take(sample):  # reads few partitions
-        seen.update(pre_tokens(r.t or ""))
+def frequent(docs: DataFrame, model_file: str, doc_id: str = "doc_id", text: str = "text", sample: int = 4000, entries: int = 20_000) -> dict[str, int]:
+    """Lengths of the most frequent pre-tokens of ``sample`` whole texts, chosen by a hash of the id."""
+    ids = docs.select(F.col(doc_id).cast("long").alias("id"))
+    bound = hash_sample(ids, ["id"], sample).agg(F.max(F.xxhash64("id"))).first()[0]
+    bounded_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen = Counter()
+            for raw in utf8(batch.column(0)):
+                seen.update(t for t in pre_tokens(raw.decode("utf-8", "replace")) if len(t) <= LONGEST)
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["token", "n"])
+
+    chosen = docs.where(F.xxhash64(F.col(doc_id).cast("long")) <= F.lit(bound)).select(F.col(text).cast("string").alias("t"))
+    counts = chosen.mapInArrow(run, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
     own = counter(model_file)
-    return {t: own.encoded(t) for t, _ in seen.most_common(entries) if len(t) <= LONGEST}
+    return {r.token: own.encoded(r.token) for r in counts.orderBy(F.desc("n"), "token").limit(entries).collect()}
 
 
 def count_tokens(docs: DataFrame, model_file: str, doc_id: str = "doc_id", text: str = "text", limit: int = 4096, entries: int = 20_000) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit of every row."""
     spark = docs.sparkSession
-    table = spark.sparkContext.broadcast(frequent(docs, model_file, text, entries=entries))
+    table = spark.sparkContext.broadcast(frequent(docs, model_file, doc_id, text, entries=entries))
     bounded_batches(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

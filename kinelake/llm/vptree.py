@@ -1,9 +1,10 @@
 """Approximate nearest neighbours by largest cosine, with a vantage-point tree per shard.
 
 On vectors scaled to length one the Euclidean distance is a metric that orders as the cosine does. Rows are dealt into
-shards by a hash of the id; each shard keeps its distinct vectors in a vantage-point tree: an inner node holds a vantage
-point and the median distance to it, a leaf holds vectors. A block of queries walks a tree together. With tau the distance
-of a query's k-th best so far, the side of a node that lies beyond the median is skipped if the query's distance to the
+shards by a hash of id and vector; each shard keeps its distinct vectors in a vantage-point tree: an inner node holds a vantage
+point and the median distance to it, a leaf holds vectors. Queries come in blocks, which are rows of a table: a task gets some
+trees, then the blocks one after the other, so that neither the driver nor a task holds all queries. A block walks a tree
+together. With tau the distance of a query's k-th best so far, the side of a node that lies beyond the median is skipped if the query's distance to the
 median shell is above ``factor`` * tau. Factor 1 skips only what the triangle inequality rules out, so the search is
 exact; a smaller factor skips more. Found rows are scored again in double precision on the original vectors.
 
@@ -102,22 +103,19 @@ def usable(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
     return df.select(F.col(vec_id).cast("long").alias("id"), v.alias("v")).where("id is not null").where(v.isNotNull()).where(finite & F.exists("v", lambda x: x != 0)).withColumn("d", F.size("v"))
 
 
-def nearest(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", vector: str = "embedding", k: int = 5, factor: float = 0.55, shard: int = 8192, block: int = 16_384) -> DataFrame:
+def nearest(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", vector: str = "embedding", k: int = 5, factor: float = 0.55, shard: int = 8192, block: int = 16_384, trees: int = 16) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found for each row for which ``is_query`` (on its id ``id``) holds.
 
-    Shards hold about ``shard`` rows. Queries go in blocks of about ``block``, which bounds what is broadcast; a block walks
-    every tree where the tree is, and a task hands on k rows per query, however many trees it has walked.
+    Shards hold about ``shard`` rows, blocks about ``block`` queries. A task holds at most about ``trees`` trees and hands on k
+    rows for each query.
     """
-    rows = written(usable(vectors, vec_id, vector), "vectors")
+    rows = written(usable(vectors, vec_id, vector).dropDuplicates(["id", "v"]), "vectors")
     shards = max(1, -(-rows.count() // shard))
-    queries = rows.where(is_query).dropDuplicates(["id", "v"])
+    queries = rows.where(is_query)
     blocks = max(1, -(-queries.count() // block))
-    index = written(indexed(rows.withColumn("shard", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(shards))), k), "trees")
-    found = None
-    for b in range(blocks):
-        asked = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64("id", F.lit(2)), F.lit(blocks)) == b)
-        part = searched(index, asked.select("id", "d", "v").toArrow(), k, factor)
-        found = part if found is None else found.unionByName(part)
+    index = written(indexed(rows.withColumn("shard", F.pmod(F.xxhash64("id", "v", F.lit(1)), F.lit(shards))), k), "trees")
+    asked = written(packed(queries.withColumn("block", F.pmod(F.xxhash64("id", "v", F.lit(2)), F.lit(blocks)))), "query-blocks")
+    found = searched(index, asked, k, factor, max(1, min(shards, max(256, -(-shards // trees)))))
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
@@ -143,6 +141,17 @@ def indexed(rows: DataFrame, k: int) -> DataFrame:
     return rows.groupBy("d", "shard").applyInArrow(run, INDEX)
 
 
+def packed(queries: DataFrame) -> DataFrame:
+    """One row per block and dimension: ids and vectors."""
+
+    def run(keys, t):
+        flat = t.column("v").combine_chunks().flatten().to_numpy()
+        lists = {"ids": t.column("id").to_numpy(), "v": flat}
+        return pa.table({"d": pa.array([keys[0].as_py()], pa.int32()), "block": pa.array([keys[1].as_py()], pa.int64())} | {n: pa.array([v], pa.list_(pa.from_numpy_dtype(v.dtype))) for n, v in lists.items()})
+
+    return queries.groupBy("d", "block").applyInArrow(run, "d int, block long, ids array<long>, v array<double>")
+
+
 def trimmed(query: np.ndarray, vec: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The k best rows of each query, ties by the smaller id; a pair once."""
     order = np.lexsort((vec, -score, query))
@@ -153,42 +162,59 @@ def trimmed(query: np.ndarray, vec: np.ndarray, score: np.ndarray, k: int) -> tu
     return query[near], vec[near], score[near]
 
 
-def searched(index: DataFrame, asked: pa.Table, k: int, factor: float) -> DataFrame:
-    """(query_id, vec_id, score): for one block of queries, the k best of the trees of each task."""
-    spark = index.sparkSession
-    size, vectors = asked.column("d").to_numpy(), asked.column("v").combine_chunks()
-    ids = asked.column("id").to_numpy()
-    flat = vectors.flatten().to_numpy() if len(asked) else np.zeros(0)
-    begin = np.cumsum(size) - size
-    blocks = {int(d): (ids[size == d], np.stack([flat[a : a + d] for a in begin[size == d]])) for d in np.unique(size)}
-    shared = spark.sparkContext.broadcast(blocks)
-    bounded_batches(spark)
+class Tree(NamedTuple):
+    """A shard: distinct vectors, as they are and scaled, the ids of each, and the tree over them."""
+
+    raw: np.ndarray
+    unit: np.ndarray
+    ids: np.ndarray
+    at: np.ndarray
+    top: Node | np.ndarray
+
+
+def found_in(trees: list[Tree], asked: np.ndarray, q: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query number, vec_id and score of the k best of all these trees for each query; each tree starts from what the
+    trees before it have found."""
+    query, vec, score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    unit = scaled(q)
+    for t in trees:
+        s = Search(t.unit, unit, min(k + 1, len(t.unit)), factor)
+        full, floor = np.bincount(query, minlength=len(q)) >= k, np.full(len(q), np.inf)
+        np.minimum.at(floor, query, score)
+        s.best[full] = floor[full, None] - 1e-9  # what can't beat the k of earlier trees needn't be looked at
+        s.walk(t.top, np.arange(len(q)))
+        who, what = np.nonzero(s.row >= 0)
+        kind = s.row[who, what]
+        exact = cosine(t.raw[kind], q[who])
+        many = t.at[kind + 1] - t.at[kind]
+        each = np.repeat(np.arange(len(kind)), many)
+        found = t.ids[np.repeat(t.at[kind] - np.cumsum(many) + many, many) + np.arange(many.sum())]
+        other = found != asked[who[each]]
+        query, vec, score = trimmed(np.concatenate([query, who[each][other]]), np.concatenate([vec, found[other]]), np.concatenate([score, exact[each][other]]), k)
+    return query, vec, score
+
+
+def searched(index: DataFrame, blocks: DataFrame, k: int, factor: float, groups: int) -> DataFrame:
+    """(query_id, vec_id, score): the k best of each group of trees. A group's trees come first, then all blocks of queries."""
+    bounded_batches(index.sparkSession)
+    shards = index.select((F.col("shard") % groups).alias("g"), F.lit(0).alias("kind"), F.col("shard").alias("n"), "d", "ids", "at", "v", "tree")
+    nothing = [F.lit(None).cast(t).alias(n) for n, t in (("at", "array<int>"), ("tree", "binary"))]
+    asked = blocks.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))).alias("g"), F.lit(1).alias("kind"), F.col("block").alias("n"), "d", "ids", nothing[0], "v", nothing[1])
+    rows = shards.unionByName(asked).repartition(groups, "g").sortWithinPartitions("g", "kind", "n", "d")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[np.ndarray, ...]] = {}  # per dimension: query number, vec_id, score
+        now, held = None, {}  # held: trees by dimension
         for batch in batches:
             for r in range(batch.num_rows):
-                d = batch.column("d")[r].as_py()
-                if d not in shared.value:
-                    continue
-                asked, q = shared.value[d]
-                cell = lambda name: batch.column(name)[r].values.to_numpy()  # noqa: B023, E731
-                x, ids, at = cell("v").reshape(-1, d), cell("ids"), cell("at")
-                query, vec, score = held.get(d, (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)))
-                s = Search(scaled(x), scaled(q), min(k + 1, len(x)), factor)
-                full, floor = np.bincount(query, minlength=len(q)) >= k, np.full(len(q), np.inf)
-                np.minimum.at(floor, query, score)
-                s.best[full] = floor[full, None] - 1e-9  # what can't beat the k of earlier trees needn't be looked at
-                s.walk(pickle.loads(batch.column("tree")[r].as_py()), np.arange(len(q)))
-                who, what = np.nonzero(s.row >= 0)
-                kind = s.row[who, what]
-                exact = cosine(x[kind], q[who])
-                many = at[kind + 1] - at[kind]
-                each = np.repeat(np.arange(len(kind)), many)
-                found = ids[np.repeat(at[kind] - np.cumsum(many) + many, many) + np.arange(many.sum())]
-                other = found != asked[who[each]]
-                held[d] = trimmed(np.concatenate([query, who[each][other]]), np.concatenate([vec, found[other]]), np.concatenate([score, exact[each][other]]), k)
-        for d, (query, vec, score) in held.items():
-            yield pa.RecordBatch.from_arrays([pa.array(shared.value[d][0][query]), pa.array(vec), pa.array(score)], names=["query_id", "vec_id", "score"])
-
-    return index.mapInArrow(run, "query_id long, vec_id long, score double")
+                cell = lambda name: batch.column(name)[r]  # noqa: B023, E731
+                g, d = cell("g").as_py(), cell("d").as_py()
+                if g != now:
+                    now, held = g, {}
+                x, ids = cell("v").values.to_numpy().reshape(-1, d), cell("ids").values.to_numpy()
+                if cell("kind").as_py() == 0:
+                    held.setdefault(d, []).append(Tree(x, scaled(x), ids, cell("at").values.to_numpy(), pickle.loads(cell("tree").as_py())))
+                elif d in held:
+                    query, vec, score = found_in(held[d], ids, x, k, factor)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[query]), pa.array(vec), pa.array(score)], names=["query_id", "vec_id", "score"])
+
+    return rows.mapInArrow(run, "query_id long, vec_id long, score double")

@@ -26,6 +26,36 @@ def test_pairwise_term_is_the_double_sum():
     assert rng is not None
 
 
+def test_gradient_against_differences():
+    texts, label = [b"a b c 1", b"D!! E!! a", b"a a a"], np.array([1, 0, 1], np.float32)
+    b = quality.features(texts, np.array([3.0, 9.0, -1.0]))
+    m = quality.fitted(b, label, epochs=2)
+    m = m._replace(weight=m.weight.astype(np.float64), factor=m.factor.astype(np.float64))
+
+    def loss(m):
+        z = m.margin(b)[0].astype(np.float64)
+        return float(np.mean(np.log1p(np.exp(-z)) * label + np.log1p(np.exp(z)) * (1 - label)))
+
+    db, touched, dw, dv = quality.gradient(m, b, label)
+    assert abs((loss(m._replace(bias=m.bias + 1e-4)) - loss(m)) / 1e-4 - db) < 1e-3
+    for k in (0, 2, len(touched) - 9, len(touched) - 5):
+        weight, factor = m.weight.copy(), m.factor.copy()
+        weight[touched[k]] += 1e-4
+        factor[touched[k], 3] += 1e-4
+        assert abs((loss(m._replace(weight=weight)) - loss(m)) / 1e-4 - dw[k]) < 1e-3
+        assert abs((loss(m._replace(factor=factor)) - loss(m)) / 1e-4 - dv[k, 3]) < 1e-3
+
+
+def test_learned_model_separates_unseen_texts_of_its_kinds(spark):
+    rng = np.random.default_rng(2)
+    kind = {1: "the quiet river runs under old stone bridges".split(), 0: "buy now!!! $$$ click here WIN 100 %%".split()}
+    rows = [(i, " ".join(rng.choice(kind[i % 2], 40)), None) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars int")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, quality int")
+    got = quality.scored(docs, quality.learned(docs.union(docs), labels, F.col("doc_id") < 60, sample=50)).collect()
+    assert all((r.score > 0.5) == (r.doc_id % 2 == 1) for r in got)
+
+
 def test_nulls_empty_and_no_labels(spark):
     docs = spark.createDataFrame([(1, None, None, 0.5), (2, "", 0, 0.5), (2, "", 0, 0.5), (None, "word " * 40000, 7, 0.5)], "doc_id long, text string, n_chars int, score double")
     labels = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, quality int")

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from kinelake.llm import simhash
 from kinelake.llm.queries import QUERIES
@@ -66,3 +67,18 @@ def test_nulls_empty_ties_extra_columns(spark):
     got = sorted((r.doc_id or -1, r.component_id) for r in simhash.near_duplicates(df).collect())
     assert got == [(-1, 4), (1, 1), (2, 1), (3, 1), (4, 4), (5, 4), (5, 4), (9, 9)]
     assert simhash.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_rows_without_an_id_link_others(spark, monkeypatch):
+    """Documents 1 and 2 are each within the distance of a text that only a row with a null id has."""
+    prints = {"left": 0b1111, "middle": 0, "right": 0b11110000, "far": 0xFFFF << 40, "lost": 0xF0F0F0F0F0}
+
+    def planted(docs, doc_id="doc_id", text="text", words=4, lanes=1, sets=False):
+        pick = F.create_map(*[F.lit(x) for k, v in prints.items() for x in (k, v)])
+        return docs.select(F.col(doc_id).alias("doc_id"), pick[F.col(text)].alias("f0"))
+
+    monkeypatch.setattr(simhash, "fingerprints", planted)
+    rows = [(1, "left"), (None, "middle"), (2, "right"), (9, "far"), (None, "far"), (None, "lost")]
+    got = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), distance=4).collect()
+    assert sorted((str(r.doc_id), r.component_id) for r in got if r.f0 != prints["lost"]) == [("1", 1), ("2", 1), ("9", 9), ("None", 1), ("None", 9)]
+    assert [r.component_id for r in got if r.f0 == prints["lost"]] == [None]

@@ -26,6 +26,9 @@ def test_exact_at_factor_one_and_recall_of_the_query(spark):
     for r in got:
         assert want[r.query_id][r.rank - 1] == r.vec_id
     assert len(got) == 5 * len(want)
+    for shard, trees in ((700, 16), (300, 2)):  # at the factor of the query, over many shards
+        near = vptree.nearest(df, F.col("id") % 50 == 0, shard=shard, block=50, trees=trees).collect()
+        assert sum(r.vec_id in want[r.query_id] for r in near) >= 0.95 * len(near) == 0.95 * 5 * len(want)
     quick = QUERIES["op2_nearest"](spark, sf).collect()
     assert len(quick) == 5 * len(want)
     assert sum(r.vec_id in want[r.query_id] for r in quick) >= 0.95 * len(quick)
