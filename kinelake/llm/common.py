@@ -37,10 +37,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared checkpoint folder: cuts lineage and survives lost executors."""
     path = f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """A narrow written table, marked for broadcast if it has at most ``rows`` rows; larger ones are shuffled."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Bounds the bytes of an Arrow batch, so that long texts don't fill a Python worker, with the same value for every operator;
     lets workers import this package."""
@@ -57,6 +62,11 @@ def hash_sample(df: DataFrame, keys: list[str], n: int) -> DataFrame:
     return df.orderBy(h, *keys).limit(n)
 
 
+def hash_bound(df: DataFrame, key: str, n: int) -> int | None:
+    """The hash up to which about ``n`` rows are taken (ids may repeat); None for an empty table. Reads only the key."""
+    return hash_sample(df.select(key), [key], n).agg(F.max(F.xxhash64(key))).first()[0]
+
+
 def held_out(doc_id: str, mod: int, remainder: int) -> Column:
     """Whether crc32 of the id as text leaves ``remainder``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % mod == remainder

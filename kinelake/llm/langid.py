@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, chunks, hash_sample
+from .common import bounded_batches, chunks, hash_bound
 
 WINDOW, EMBED, WIDTHS, FILTERS, EACH = 256, 6, (2, 3, 4), 12, 4
 LETTER = re.compile(r"[^\W\d_]")
@@ -128,7 +128,7 @@ def learned(docs: DataFrame, teaches: Column, doc_id: str = "doc_id", text: str
     """Fits on at most ``sample`` texts with a language for which ``teaches`` holds; None if there is none."""
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).where(teaches)
     # the hash decides, so the sample is spread over languages as the table is
-    bound = hash_sample(known.select(doc_id), [doc_id], sample).agg(F.max(F.xxhash64(doc_id))).first()[0]
+    bound = hash_bound(known, doc_id, sample)
     if bound is None:
         return None
     bounded_batches(docs.sparkSession)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, hash_sample, utf8, written
+from .common import bounded_batches, hash_bound, small, utf8, written
 from .simhash import BUCKET, blocked, components, fingerprints, links as fingerprint_links, shingle_hashes, similar_pairs
 
 #: Texts whose shingles are counted for the order, and the most shingles that are kept (results don't depend on them).
@@ -45,7 +45,8 @@ def frequent(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
             each = [np.unique(np.array(shingle_hashes(t, words), np.uint64)) for t in utf8(batch.column(0))]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.uint64), *each]).view(np.int64))], names=["h"])
 
-    counts = hash_sample(texts, ["id"], ORDER_SAMPLE).select("text").mapInArrow(run, "h long").groupBy("h").count().where("count > 2")
+    bound = hash_bound(texts, "id", ORDER_SAMPLE)
+    counts = texts.where(F.xxhash64("id") <= F.lit(bound)).select("text").mapInArrow(run, "h long").groupBy("h").count().where("count > 2")
     t = counts.orderBy(F.desc("count"), "h").limit(ORDER_ENTRIES).toArrow()
     h, n = t.column("h").to_numpy().view(np.uint64), t.column("count").to_numpy()
     order = np.argsort(h)
@@ -159,10 +160,12 @@ def meetings(rows: DataFrame, keys: list[str], least: float, take: int | None) -
     return rows.repartition(*keys).sortWithinPartitions(*keys).select(*keys, *columns).mapInArrow(run, "a long, b long").distinct()
 
 
-def similar_components(texts: DataFrame, links: DataFrame, words: int, least: float, bucket: int = BUCKET) -> DataFrame:
+def similar_components(texts: DataFrame, links: DataFrame, words: int, least: float, bucket: int = BUCKET, apart: DataFrame | None = None) -> DataFrame:
     """(node, component) of all pairs of texts (id, text) with a similarity of ``least`` or more, for nodes that have any.
-    ``links`` (a, b) must be such pairs; they save comparisons and change nothing. Ids must be unique."""
-    each = written(prefixes(texts, words, least, frequent(texts, words)), "prefixes")
+    ``links`` (a, b) must be such pairs; they save comparisons and change nothing. Ids must be unique. ``apart``: ids (id) of
+    texts to leave out."""
+    each = prefixes(texts, words, least, frequent(texts, words))
+    each = written(each if apart is None else each.join(small(apart), "id", "left_anti"), "prefixes")
     maps = each.where("at = 0").select("id", *BIT_NAMES)
     each = each.select("h", "id", "size", "at")
     shared = written(each.join(each.groupBy("h").count().where("count > 1").select("h"), "h", "left_semi"), "shared-prefixes")
@@ -189,9 +192,9 @@ def near_duplicates(docs: DataFrame, doc_id: str, text: str, words: int = 5, sim
     fingerprints guarantees a similarity, so the join then finds all pairs that are left."""
     prints = written(fingerprints(docs, doc_id, text, words, sets=True), "fingerprints")
     nodes = written(prints.groupBy("digest", "f0").agg(F.min("doc_id").alias("node")), "distinct-sets")
+    again = written(prints.select(F.col("doc_id").alias("id")).join(nodes.select(F.col("node").alias("id")), "id", "left_anti"), "repeated-sets")
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    texts = written(texts.join(nodes.select(F.col("node").alias("id")), "id", "left_semi"), "distinct-texts")
     close = written(fingerprint_links(nodes, distance).distinct(), "close-pairs")
-    found = similar_components(texts, written(similar_pairs(close, texts, words, similarity), "close-links"), words, similarity)
+    found = similar_components(texts, written(similar_pairs(close, texts, words, similarity), "close-links"), words, similarity, apart=again)
     named = nodes.join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))
     return prints.select("doc_id", "digest").join(named, "digest").drop("digest")

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, chunks, hash_sample, mixed, utf8, written
+from .common import bounded_batches, chunks, hash_sample, mixed, small, utf8, written
 
 SEED = 42
 #: Rows of one bucket that one task compares; larger buckets are dealt out as pairs of blocks.
@@ -298,25 +298,36 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     return edges.select(F.col("b").alias("node"), F.col("a").alias("component")).union(edges.select("a", "a").distinct())
 
 
+def packed_set(shingles: np.ndarray) -> bytes:
+    """48 bits of each hash, so that a set takes six bytes a shingle."""
+    return (np.unique(shingles) >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def unpacked_set(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return out.view(np.uint64).ravel()
+
+
 def similar_pairs(pairs: DataFrame, docs: DataFrame, words: int, least: float) -> DataFrame:
     """Of pairs (a, b) of ids of docs (id, text), those whose sets of hashed shingles have a Jaccard similarity of ``least``."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [np.unique(np.array(shingle_hashes(t, words), np.uint64)).tobytes() for t in utf8(batch.column(1))]
+            found = [packed_set(np.array(shingle_hashes(t, words), np.uint64)) for t in utf8(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["id", "s"])
 
     def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yes = []
             for x, y in zip(batch.column("s").to_pylist(), batch.column("t").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
+                x, y = unpacked_set(x), unpacked_set(y)
+                both = len(np.intersect1d(x, y))
                 yes.append(both >= least * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(yes, pa.bool_()))
 
     bounded_batches(docs.sparkSession)
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    ids = small(written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "pair-ids"))
     known = written(docs.join(ids, "id", "left_semi").select("id", "text").mapInArrow(sets, "id long, s binary"), "shingle-sets")
     both = pairs.join(known.select(F.col("id").alias("a"), "s"), "a").join(known.select(F.col("id").alias("b"), F.col("s").alias("t")), "b")
     return both.select("a", "b", "s", "t").mapInArrow(alike, "a long, b long")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, hash_sample, utf8
+from .common import bounded_batches, hash_bound, utf8
 
 BLANK = "▁"
 SPLIT = re.compile(r"\n| +[^ \n]*|[^ \n]+")
@@ -81,8 +81,7 @@ def counter(model_file: str) -> PieceCounter:
 
 def frequent(docs: DataFrame, model_file: str, doc_id: str = "doc_id", text: str = "text", sample: int = 4000, entries: int = 20_000) -> dict[str, int]:
     """Lengths of the most frequent pre-tokens of ``sample`` whole texts, chosen by a hash of the id."""
-    ids = docs.select(F.col(doc_id).cast("long").alias("id"))
-    bound = hash_sample(ids, ["id"], sample).agg(F.max(F.xxhash64("id"))).first()[0]
+    bound = hash_bound(docs, doc_id, sample)
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,7 +91,7 @@ def frequent(docs: DataFrame, model_file: str, doc_id: str = "doc_id", text: str
                 seen.update(t for t in pre_tokens(raw.decode("utf-8", "replace")) if len(t) <= LONGEST)
             yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["token", "n"])
 
-    chosen = docs.where(F.xxhash64(F.col(doc_id).cast("long")) <= F.lit(bound)).select(F.col(text).cast("string").alias("t"))
+    chosen = docs.where(F.xxhash64(doc_id) <= F.lit(bound)).select(F.col(text).cast("string").alias("t"))
     counts = chosen.mapInArrow(run, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
     own = counter(model_file)
     return {r.token: own.encoded(r.token) for r in counts.orderBy(F.desc("n"), "token").limit(entries).collect()}
