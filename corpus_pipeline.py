@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinelake.llm import decontam, mixing, quality, setjoin, suffixes
-from kinelake.llm.common import table, written
+from kinelake.llm.common import small, table, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 KEEP = 0.3
@@ -35,8 +35,10 @@ def by_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     order = F.struct(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), F.coalesce(F.xxhash64("text"), F.lit(0)))
     numbered = written(rows.select(F.monotonically_increasing_id().alias("row"), *COLUMNS), "rows")
     found = setjoin.near_duplicates(numbered, "row", "text", words=5, similarity=0.8, distance=4)
-    least = numbered.select("row", order.alias("o")).join(found.select(F.col("doc_id").alias("row"), "component_id"), "row").groupBy("component_id").agg(F.min_by("row", F.struct("o", "row")).alias("row"))
-    return numbered.join(least.select("row"), "row", "left_semi").select(*COLUMNS)
+    members = written(numbered.select("row", order.alias("o")).join(found.select(F.col("doc_id").alias("row"), "component_id"), "row"), "members")
+    least = members.groupBy("component_id").agg(F.min_by("row", F.struct("o", "row")).alias("row"))
+    gone = written(members.select("row").join(least.select("row"), "row", "left_anti"), "copies")
+    return numbered.join(small(gone), "row", "left_anti").select(*COLUMNS)
 
 
 def by_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
