@@ -54,6 +54,14 @@ VIEWS: dict[str, str] = {
         sin(k / CAST(20 AS DOUBLE)) AS qx, CAST(0 AS DOUBLE) AS qy, CAST(0 AS DOUBLE) AS qz, CASE WHEN k % 9 = 0 THEN -1 ELSE 1 END * cos(k / CAST(20 AS DOUBLE)) AS qw FROM fx_ev""",
     "fx_files": """SELECT concat('raw/doc_', CAST(doc_id AS VARCHAR(20)), CASE WHEN doc_id % 5 = 0 THEN '.mp4' WHEN doc_id % 5 = 1 THEN '.hdf5' ELSE '.parquet' END) AS uri,
         source AS dataset_id, 'v1' AS version, n_chars AS size_bytes, lang FROM documents""",
+    "fx_probes": """SELECT concat('raw/doc_', CAST(doc_id AS VARCHAR(20))) AS uri, source AS dataset_id, concat('v', CAST(1 + doc_id % 2 AS VARCHAR(9))) AS version,
+        CASE WHEN doc_id % 5 = 0 THEN 'video' WHEN doc_id % 5 = 1 THEN 'hdf5' ELSE 'parquet' END AS kind, n_chars AS size_bytes, doc_id % 9 > 0 AS readable, n_chars % 1000 AS row_count,
+        CASE WHEN doc_id % 5 = 1 THEN doc_id % 4 ELSE 0 END AS demo_count, CASE WHEN doc_id % 4 = 0 THEN NULL ELSE CAST(doc_id % 10 AS DOUBLE) / CAST(100 AS DOUBLE) END AS null_rate,
+        concat('h', CAST(n_chars % 3 AS VARCHAR(9))) AS schema_hash,
+        CASE WHEN doc_id % 3 = 0 THEN 'observation.image,timestamp' WHEN doc_id % 3 = 1 THEN 'state,language_instruction' ELSE 'delta_action,task,cam_high' END AS column_list,
+        CASE WHEN doc_id % 11 = 0 THEN '' ELSE concat(CAST(doc_id % 50 AS VARCHAR(9)), ',', CAST(n_chars % 70 AS VARCHAR(9))) END AS length_list,
+        CASE WHEN doc_id % 7 = 0 THEN CAST(doc_id % 3 AS DOUBLE) / CAST(4 AS DOUBLE) ELSE NULL END AS language_missing_rate,
+        doc_id % 2 = 0 AS has_actions, doc_id % 4 < 3 AS has_obs, doc_id % 4 < 2 AS has_next_obs, doc_id % 6 < 4 AS has_rewards, doc_id % 6 < 3 AS has_dones FROM documents""",
     "fx_jobs": """SELECT o_orderkey AS job_no, concat('job-', CAST(o_orderkey AS VARCHAR(20))) AS job_id, concat('model_', CAST(o_custkey % 5 AS VARCHAR(9))) AS model_id,
         CASE WHEN o_custkey % 4 = 0 THEN NULL WHEN o_custkey % 4 = 1 THEN 'embedding' ELSE 'caption' END AS task_type,
         CASE WHEN o_orderkey % 10 = 0 THEN 'DEAD_LETTER' WHEN o_orderkey % 10 = 1 THEN 'FAILED' ELSE 'SUCCEEDED' END AS status,

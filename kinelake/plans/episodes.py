@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs as E
 from ..operators import press, series
 from ..operators.series import EPISODE
+from ..sources.scratch import written
 
 
 def normalize(frames: DataFrame, order: str = "frame_idx", fps: float = 30.0) -> tuple[DataFrame, DataFrame]:
@@ -33,7 +34,7 @@ def pose_features(pose: DataFrame, presses: DataFrame | None = None, threshold:
 
 def build_features(pose: DataFrame, threshold: float = 2.5, min_distance: int = 5, expected: int = 5, quiet: float = 0.05) -> dict[str, DataFrame]:
     """pose_feature, press_event, trajectory_segment and episode_feature."""
-    frames = press.press_frames(pose, min_distance, expected)
+    frames = written(press.press_frames(pose, min_distance, expected), "press-frames")  # the only grouped pandas stage: once
     features = pose_features(pose, frames, threshold)
     events = press.press_events(pose, frames)
     counts = events.groupBy(*EPISODE).agg(F.count("*").alias("detected_press_count"))
@@ -137,7 +138,7 @@ def bbox_check(pose: DataFrame, events: DataFrame, margin: float = 0.5, most: fl
 def validate(pose: DataFrame) -> DataFrame:
     """The seven results of each episode: validator_name, status, metrics (a map); see ``worst`` for the episode's status."""
     features = pose_features(pose)
-    presses = press.press_frames(pose, min_distance=24, window=21, nearest=False)
+    presses = written(press.press_frames(pose, min_distance=24, window=21, nearest=False), "press-frames")
     events = press.press_events(pose, presses)
     parts = {
         "schema": schema_check(pose), "quaternion": quaternion_check(pose), "euler_stability": euler_check(features), "velocity_jump": velocity_check(features),

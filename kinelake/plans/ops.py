@@ -170,22 +170,14 @@ def family_of(files: DataFrame, keys: list[str]) -> DataFrame:
     return files.groupBy(*keys).agg(E.ladder([(has("droid"), "droid"), (has("robomimic"), "robomimic"), (has("bridge"), "bridge"), (has(r"\.hdf5$"), "robomimic"), (has(r"\.parquet$") & has(r"\.mp4$"), "droid"), (has(r"\.parquet$"), "bridge")], "unknown").alias("family"))
 
 
-def adapters(files: DataFrame, keys: list[str], markers: DataFrame) -> DataFrame:
-    """markers: family, place, prefix, layout. +0.4 if the dataset id has the prefix, +0.6 if any URI has the layout; the
-    best family of each slice, ties by place; none below 0.4."""
-    slices = files.groupBy(*keys).agg(F.lit(1).alias("_one"))
-    rows = files.select(*keys, "uri").crossJoin(markers)  # markers: a fixed handful
-    hit = rows.groupBy(*keys, "family", "place", "prefix").agg(F.bool_or(F.col("uri").contains(F.col("layout"))).alias("layout_hit"))
-    score = F.least(F.when(F.col("dataset_id").startswith(F.col("prefix")), 0.4).otherwise(0.0) + F.when(F.col("layout_hit"), 0.6).otherwise(0.0), F.lit(1.0))
-    best = hit.withColumn("confidence", score).groupBy(*keys).agg(F.max_by(F.struct("family", "confidence"), F.struct("confidence", -F.col("place"))).alias("b"))
-    return slices.join(best, keys).select(*keys, F.when(F.col("b.confidence") >= 0.4, F.col("b.family")).otherwise("unknown").alias("family"), F.col("b.confidence").alias("confidence"))
-
-
-def asset_profile(files: DataFrame, keys: list[str]) -> DataFrame:
-    """Per slice: bytes, files, videos, a hash over the kinds that occur, status."""
-    kind = F.regexp_extract("uri", r"\.([A-Za-z0-9]+)$", 1)
-    p = files.groupBy(*keys).agg(F.sum("size_bytes").alias("bytes"), F.count("*").alias("files_count"), F.count_if(kind == "mp4").alias("videos_count"), F.sha2(F.concat_ws(",", F.sort_array(F.collect_set(kind))).cast("binary"), 256).alias("schema_hash"))
-    return p.withColumn("status", E.ladder([(F.col("files_count") == 0, "FAIL"), (F.col("bytes") == 0, "WARN")], "PASS"))
+def adapters(files: DataFrame, keys: list[str], markers: list[tuple[str, str, str]]) -> DataFrame:
+    """markers: a fixed handful of (family, prefix, layout). +0.4 if the dataset id has the prefix, +0.6 if any URI has the
+    layout; the best family of each slice, ties by place; none below 0.4. One aggregate, a condition for each marker."""
+    hits = files.groupBy(*keys).agg(*(F.bool_or(F.contains(F.col("uri"), F.lit(layout))).alias(f"_{i}") for i, (_, _, layout) in enumerate(markers)))
+    score = lambda i, prefix: F.least(F.when(F.startswith(F.col("dataset_id"), F.lit(prefix)), 0.4).otherwise(0.0) + F.when(F.col(f"_{i}"), 0.6).otherwise(0.0), F.lit(1.0))
+    scores = F.array(*(F.struct(score(i, prefix).alias("confidence"), F.lit(-i).alias("place"), F.lit(family).alias("family")) for i, (family, prefix, _) in enumerate(markers)))
+    best = hits.withColumn("b", F.array_max(scores))
+    return best.select(*keys, F.when(F.col("b.confidence") >= 0.4, F.col("b.family")).otherwise("unknown").alias("family"), F.col("b.confidence").alias("confidence"))
 
 
 def manifest_audit(slices: DataFrame, manifests: DataFrame, keys: list[str], required: tuple[str, ...]) -> DataFrame:

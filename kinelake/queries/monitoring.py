@@ -12,6 +12,7 @@ from ..operators import aggregates as A
 from ..operators import joins as J
 from ..plans import inference as I
 from ..plans import ops as O
+from ..plans import profiles as Q
 from ..plans import warehouse as W
 from ..sources import scratch
 from ..sources import tables as T
@@ -75,9 +76,47 @@ add("A25_language_missing", ["documents"], lambda d: d.withColumn("t", F.when(F.
     "SELECT round(avg(CASE WHEN doc_id % 7 = 0 OR doc_id % 5 = 0 OR lang IS NULL THEN 1.0 ELSE 0 END), 6) AS missing FROM documents")
 add("A26_null_rate", ["fx_etl_perf"], lambda p: A.null_rate(p.select("status", "output_bytes", "metrics_json")),
     "SELECT count(*) AS n_rows, CAST(3 * count(*) - count(status) - count(output_bytes) - count(metrics_json) AS BIGINT) AS null_cells, round((3 * count(*) - count(status) - count(output_bytes) - count(metrics_json)) / (3 * count(*)), 6) AS null_rate FROM fx_etl_perf")
-KIND = "regexp_extract(uri, '\\.([A-Za-z0-9]+)$', 1)"
-add("A27_asset_profile", ["fx_files"], lambda f: O.asset_profile(f, ["dataset_id", "version"]),
-    f"SELECT dataset_id, version, CAST(sum(size_bytes) AS BIGINT) AS bytes, count(*) AS files_count, count(*) FILTER ({KIND} = 'mp4') AS videos_count, sha256(string_agg(DISTINCT {KIND}, ',' ORDER BY {KIND})) AS schema_hash, CASE WHEN sum(size_bytes) = 0 THEN 'WARN' ELSE 'PASS' END AS status FROM fx_files GROUP BY 1, 2")
+
+
+def probes_of(p):
+    """Probes with their lists as arrays."""
+    lengths = F.when(F.col("length_list") != "", F.split("length_list", ",").cast("array<int>"))
+    return p.withColumn("columns", F.split("column_list", ",")).withColumn("lengths", lengths)
+
+
+SLICE = ["dataset_id", "version"]
+PARQUET = "kind = 'parquet' AND readable"
+add("A27_asset_profile", ["fx_probes"], lambda p: Q.asset_profile(probes_of(p), SLICE), f"""
+SELECT dataset_id, version, CAST(sum(size_bytes) AS BIGINT) AS bytes, CAST(nullif(coalesce(sum(row_count) FILTER ({PARQUET}), 0), 0) AS BIGINT) AS rows, count(*) AS files_count,
+    CAST(nullif(CASE WHEN coalesce(sum(demo_count) FILTER (kind = 'hdf5'), 0) > 0 THEN sum(demo_count) FILTER (kind = 'hdf5') ELSE count(*) FILTER ({PARQUET}) END, 0) AS BIGINT) AS episodes_count,
+    nullif(count(*) FILTER (kind = 'video'), 0) AS videos_count, sha256(string_agg(DISTINCT schema_hash, '|' ORDER BY schema_hash) FILTER ({PARQUET})) AS schema_hash,
+    round(avg(null_rate) FILTER ({PARQUET}), 6) AS null_rate, count(*) FILTER (NOT readable) AS probe_failure_count, CASE WHEN count(*) FILTER (NOT readable) > 0 THEN 'WARN' ELSE 'OK' END AS status
+FROM fx_probes GROUP BY 1, 2""")
+HAS = lambda *hints: "coalesce(bool_or(" + " OR ".join(f"contains(column_list, '{h}')" for h in hints) + ") FILTER (kind = 'parquet'), FALSE)"
+METRIC_ROWS = lambda *pairs: "LATERAL (VALUES " + ", ".join(f"('{n}', CAST({x} AS DOUBLE))" for n, x in pairs) + ") u(metric, actual)"
+add("P15_lerobot_metrics", ["fx_probes"], lambda p: Q.lerobot_metrics(probes_of(p), SLICE), f"""
+WITH g AS (SELECT dataset_id, version, count(*) FILTER (kind = 'parquet') AS np, count(*) FILTER (kind = 'video') AS nv, count(*) FILTER ({PARQUET}) AS rp, count(*) FILTER (kind = 'video' AND readable) AS rv,
+    coalesce(sum(demo_count) FILTER (kind = 'hdf5'), 0) AS demos, count(DISTINCT schema_hash) FILTER (kind = 'parquet') AS kinds, {HAS('cam', 'wrist', 'primary', 'secondary')} AS cam, {HAS('language', 'instruction', 'task_description')} AS lang,
+    {HAS('action', 'observation.state')} AS act, {HAS('time')} AS tim FROM fx_probes GROUP BY 1, 2)
+SELECT dataset_id, version, u.metric, round(u.actual, 6) AS actual FROM g, {METRIC_ROWS(('num_parquet_files', 'np'), ('num_episodes', 'CASE WHEN demos > 0 THEN demos ELSE rp END'), ('num_videos', 'nv'),
+    ('parquet_valid_rate', 'coalesce(rp / nullif(np, 0), 1)'), ('video_decode_pass_rate', 'coalesce(rv / nullif(nv, 0), 1)'), ('camera_coverage', 'cam'), ('language_coverage', 'lang'), ('action_column_coverage', 'act'),
+    ('timestamp_monotonic_rate', 'CASE WHEN tim THEN 1 ELSE 0.5 END'), ('action_jump_rate', '0'), ('calibration_coverage', '0'), ('schema_hash_unique_count', 'kinds'), ('sampled_parquet_count', 'np'), ('num_frames', '0'), ('chunk_files_total', '0'))}""")
+EACH_LENGTH = lambda kind: f"SELECT dataset_id, version, unnest(list_transform(string_split(length_list, ','), lambda x: CAST(x AS INT))) AS n FROM fx_probes WHERE kind = '{kind}' AND readable AND length_list <> ''"
+add("P15_demo_metrics", ["fx_probes"], lambda p: Q.demo_metrics(probes_of(p), SLICE), f"""
+WITH g AS (SELECT dataset_id, version, count(*) AS files, count(*) FILTER (readable) AS ok, coalesce(sum(demo_count) FILTER (readable), 0) AS demos,
+    {', '.join(f'count(*) FILTER (readable AND has_{c}) AS {c}' for c in ('actions', 'obs', 'next_obs', 'rewards', 'dones'))} FROM fx_probes WHERE kind = 'hdf5' GROUP BY 1, 2),
+l AS (SELECT dataset_id, version, round_even(quantile_cont(n, 0.5), 0) AS p50, round_even(quantile_cont(n, 0.95), 0) AS p95, min(n) AS low, max(n) AS high, count(*) AS many FROM ({EACH_LENGTH('hdf5')}) WHERE n > 0 GROUP BY 1, 2)
+SELECT dataset_id, version, u.metric, round(u.actual, 6) AS actual FROM g LEFT JOIN l USING (dataset_id, version), {METRIC_ROWS(('hdf5_valid_rate', 'ok / files'), ('demo_count', 'demos'), ('num_hdf5_files', 'files'),
+    ('action_present_rate', 'actions / greatest(ok, 1)'), ('obs_next_obs_mismatch_rate', 'abs(obs - next_obs) / greatest(ok, 1)'), ('reward_done_length_mismatch_rate', 'abs(rewards - dones) / greatest(ok, 1)'), ('action_range_violation_rate', '0'),
+    ('episode_len_p50', 'coalesce(p50, 0)'), ('episode_len_p95', 'coalesce(p95, 0)'), ('episode_len_min', 'coalesce(low, 0)'), ('episode_len_max', 'coalesce(high, 0)'), ('episode_count_total', 'coalesce(many, 0)'))}""")
+add("P15_bridge_metrics", ["fx_probes"], lambda p: Q.bridge_metrics(probes_of(p), SLICE), f"""
+WITH g AS (SELECT dataset_id, version, count(*) FILTER (kind = 'parquet') AS np, count(*) FILTER ({PARQUET}) AS rp, avg(language_missing_rate) FILTER (kind = 'parquet') AS miss, {HAS('language', 'instruction', 'task_description')} AS lang,
+    {HAS('image', 'rgb')} AS img, {HAS('action')} AS act, {HAS('env', 'scene')} AS env, {HAS('skill', 'task')} AS skill, count(*) FILTER ({PARQUET} AND length_list = '') AS lost FROM fx_probes GROUP BY 1, 2),
+o AS (SELECT *, row_number() OVER (PARTITION BY dataset_id, version ORDER BY n) - 1 AS i, count(*) OVER (PARTITION BY dataset_id, version) AS many FROM ({EACH_LENGTH('parquet')}) WHERE n > 0),
+l AS (SELECT dataset_id, version, max(n) FILTER (i = many // 2) AS p50, max(n) FILTER (i = least(many - 1, CAST(floor(many * 0.95) AS BIGINT))) AS p95, max(many) AS many FROM o GROUP BY 1, 2)
+SELECT dataset_id, version, u.metric, round(u.actual, 6) AS actual FROM g LEFT JOIN l USING (dataset_id, version), {METRIC_ROWS(('num_parquet_files', 'np'), ('parquet_valid_rate', 'rp / greatest(np, 1)'),
+    ('language_missing_rate', 'coalesce(miss, CASE WHEN lang THEN 0 ELSE 1 END)'), ('image_ref_missing_rate', 'CASE WHEN img THEN 0 ELSE 1 END'), ('action_column_coverage', 'act'), ('environment_count', 'env'), ('skill_count', 'skill'),
+    ('bridge_enrich_failure_count', 'lost'), ('traj_len_p50', 'coalesce(p50, 0)'), ('traj_len_p95', 'coalesce(p95, 0)'), ('episode_count', 'coalesce(many, 0)'))}""")
 
 # ---------------------------------------------------------------- filters and lists
 
@@ -170,17 +209,18 @@ add("M6_failures", ["fx_outputs"], I.failures, f"SELECT job_id, sample_id, {ERRO
 
 
 def samples(d):
-    return d.select(F.col("doc_id").cast("string").alias("sample_id"), F.substring("text", 1, 200).alias("input_text"), F.col("source").alias("dataset_id"), F.concat(F.lit("ep"), "doc_id").alias("episode_id"),
+    return d.select(F.col("doc_id").cast("string").alias("sample_id"), F.col("text").alias("input_text"), F.col("source").alias("dataset_id"), F.concat(F.lit("ep"), "doc_id").alias("episode_id"),
                     F.when(F.col("doc_id") % 3 > 0, (F.col("doc_id") % 100).cast("double")).alias("quality_score"), F.when(F.col("doc_id") % 3 > 1, (F.col("doc_id") % 5).cast("double")).alias("max_velocity_mps"), F.lit(None).cast("double").alias("null_rate"), F.lit("OK").alias("status"))
 
 
 add("M7_anomaly_scores", ["documents"], lambda d: samples(d).select("sample_id", I.anomaly_score("sample_id", "quality_score", "max_velocity_mps", "null_rate").alias("score")), """
 WITH s AS (SELECT CAST(doc_id AS VARCHAR) AS sample_id, CASE WHEN doc_id % 3 > 0 THEN (1 - (doc_id % 100) / 100.0) * 0.5 END AS q, CASE WHEN doc_id % 3 > 1 THEN least((doc_id % 5) / 2.0, 1) * 0.3 END AS v FROM documents)
 SELECT sample_id, round(CASE WHEN q IS NULL AND v IS NULL THEN (('0x' || substr(sha256(sample_id), 1, 2))::INT % 1000) / 1000.0 ELSE (coalesce(q, 0) + coalesce(v, 0)) / (CASE WHEN q IS NULL THEN 0 ELSE 0.5 END + CASE WHEN v IS NULL THEN 0 ELSE 0.3 END) END, 6) AS score FROM s""")
-add("M8_text_embedding", ["conversations"], lambda c: c.where("turn = 0").select("conv_id", F.concat_ws(",", F.transform(I.text_embedding(F.substring("text", 1, 300)), lambda v: F.format_number(v, 4))).alias("embedding")), """
-WITH t AS (SELECT conv_id, unnest(list_filter(regexp_split_to_array(regexp_replace(substr(text, 1, 300), '[/:]', ' ', 'g'), '\\s+'), lambda x: x <> '')) AS w FROM conversations WHERE turn = 0), h AS (SELECT conv_id, sha256(w) AS h FROM t),
-p AS (SELECT conv_id, ('0x' || substr(h, 1, 2))::INT % 32 AS i, CASE WHEN ('0x' || substr(h, 3, 2))::INT % 2 = 0 THEN 1.0 ELSE -1.0 END AS s FROM h), v AS (SELECT conv_id, i, sum(s) AS v FROM p GROUP BY 1, 2), n AS (SELECT conv_id, sqrt(sum(v * v)) AS n FROM v GROUP BY 1)
-SELECT conv_id, string_agg(format('{:.4f}', round(coalesce(v / nullif(n, 0), 0), 6)), ',' ORDER BY i) AS embedding FROM (SELECT conv_id, n, unnest(range(32)) AS i FROM n) LEFT JOIN v USING (conv_id, i) GROUP BY 1""")
+add("M8_text_embedding", ["conversations"], lambda c: c.select("conv_id", "turn", F.concat_ws(",", F.transform(I.text_embedding(F.col("text")), lambda v: F.format_number(v, 4))).alias("embedding")), """
+WITH l AS (SELECT conv_id, turn, text, list_filter(regexp_split_to_array(regexp_replace(coalesce(text, ''), '[/:]', ' ', 'g'), '\\s+'), lambda x: x <> '') AS ws FROM conversations),
+t AS (SELECT conv_id, turn, unnest(CASE WHEN len(ws) = 0 THEN [coalesce(nullif(text, ''), 'empty')] ELSE ws END) AS w FROM l), h AS (SELECT conv_id, turn, sha256(w) AS h FROM t),
+p AS (SELECT conv_id, turn, ('0x' || substr(h, 1, 2))::INT % 32 AS i, CASE WHEN ('0x' || substr(h, 3, 2))::INT % 2 = 0 THEN 1.0 ELSE -1.0 END AS s FROM h), v AS (SELECT conv_id, turn, i, sum(s) AS v FROM p GROUP BY 1, 2, 3), n AS (SELECT conv_id, turn, sqrt(sum(v * v)) AS n FROM v GROUP BY 1, 2)
+SELECT conv_id, turn, string_agg(format('{:.4f}', round(coalesce(v / nullif(n, 0), 0), 6)), ',' ORDER BY i) AS embedding FROM (SELECT conv_id, turn, n, unnest(range(32)) AS i FROM n) LEFT JOIN v USING (conv_id, turn, i) GROUP BY 1, 2""")
 add("M9_id_embedding", ["documents"], lambda d: d.select("doc_id", F.posexplode(I.id_embedding(F.col("doc_id").cast("string")))).select("doc_id", F.col("pos").alias("i"), F.col("col").alias("v")),
     f"SELECT doc_id, CAST(i AS INT) AS i, round(({SHARE.format('CAST(doc_id AS VARCHAR) || chr(58) || i')} % 1000000) / 1000000.0 * 2 - 1, 6) AS v FROM documents, range(16) r(i)")
 add("M10_compared_reports", ["fx_etl_perf"], lambda p: O.compared_reports(*(p.where(c).groupBy(F.col("dataset_id").alias("metric")).agg(F.avg("duration_sec").alias("value")) for c in ("version = 'v1'", "version = 'v2'")), p.select(F.col("dataset_id").alias("metric")).distinct().select("metric", F.lit(False).alias("higher_is_better"), F.lit(0.01).alias("warn"), F.lit(0.05).alias("fail"))).select("metric", "before", "after", "status"),
@@ -192,7 +232,7 @@ add("M13_nested_paths", ["events"], lambda e: e.sparkSession.createDataFrame([(p
 add("M14_captions", ["documents"], lambda d: samples(d).select("sample_id", I.caption("dataset_id", "episode_id").alias("text")), "SELECT CAST(doc_id AS VARCHAR) AS sample_id, 'Episode ep' || doc_id || ' of dataset ' || source || ' processed by local_cpu rule captioner.' AS text FROM documents")
 add("M15_start_times", ["fx_ev"], lambda e: e.select("event_id", F.when(F.col("k") % 3 == 0, F.col("ts")).alias("s"), F.col("ts").alias("f"), F.when(F.col("k") % 3 == 1, F.col("k").cast("double")).alias("d")).select("event_id", E.started("s", "f", "d").alias("started_at")),
     "SELECT event_id, CASE WHEN k % 3 = 1 THEN ts - to_seconds(k) ELSE ts END AS started_at FROM fx_ev")
-add("M16_adapters", ["fx_files"], lambda f: O.adapters(f, ["dataset_id", "version"], f.sparkSession.createDataFrame([("droid", 0, "src1", ".mp4"), ("bridge", 1, "src", ".parquet"), ("robomimic", 2, "x", ".hdf5")], "family string, place int, prefix string, layout string")),
+add("M16_adapters", ["fx_files"], lambda f: O.adapters(f, ["dataset_id", "version"], [("droid", "src1", ".mp4"), ("bridge", "src", ".parquet"), ("robomimic", "x", ".hdf5")]),
     """WITH m(family, place, prefix, layout) AS (VALUES ('droid', 0, 'src1', '.mp4'), ('bridge', 1, 'src', '.parquet'), ('robomimic', 2, 'x', '.hdf5')), h AS (SELECT dataset_id, version, family, place, CASE WHEN starts_with(dataset_id, prefix) THEN 0.4 ELSE 0 END + CASE WHEN bool_or(contains(uri, layout)) THEN 0.6 ELSE 0 END AS c FROM fx_files, m GROUP BY dataset_id, version, family, place, prefix)
     SELECT dataset_id, version, CASE WHEN c >= 0.4 THEN family ELSE 'unknown' END AS family, CAST(c AS DOUBLE) AS confidence FROM (SELECT *, row_number() OVER (PARTITION BY dataset_id, version ORDER BY c DESC, place) AS p FROM h) WHERE p = 1""")
 add("M17_tasks", ["fx_models"], lambda m: m.withColumn("t", F.when(F.col("backend") == "mock", "Embedding").when(F.col("backend") == "http", "anomaly_scorer")).select("model_id", I.task_of("t").alias("task")), "SELECT model_id, CASE backend WHEN 'mock' THEN 'embedding' WHEN 'http' THEN 'anomaly_score' ELSE 'caption' END AS task FROM fx_models")
@@ -231,16 +271,27 @@ add("P16_training_card", EXPORT_VIEWS, lambda d, q: export_of(d, q)[1], f"WITH {
 add("J9_features_with_quality", EXPORT_VIEWS, lambda d, q: export_of(d, q)[0].agg(F.count("*").alias("n"), F.sum("num_samples").alias("samples"), F.sum("num_samples_quality").alias("ones")), f"WITH {EXPORTED} SELECT count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS samples, count(*) AS ones FROM y JOIN documents USING (doc_id)")
 add("F7_quality_filter", ["fx_ev"], lambda e: I.quality_filtered(e.select("event_id", F.when(F.col("k") % 5 > 0, F.col("k").cast("double")).alias("quality_score"), F.when(F.col("k") % 3 == 0, "FAIL").when(F.col("k") % 3 == 1, "PASS").alias("quality_status"), F.when(F.col("k") % 7 == 0, "FAIL").alias("qc_status"), F.col("k").alias("num_samples")), 50.0, least=60).select("event_id"),
     "SELECT event_id FROM fx_ev WHERE k % 5 > 0 AND k >= 60 AND k % 3 <> 0 AND k % 7 <> 0")
-for kind in ("embedding", "anomaly_scorer", "caption"):
-    add(f"P20_score_{kind}", ["documents"], lambda d, kind=kind: I.score_batch(samples(d), kind).select("sample_id", "prediction_type", F.length("prediction_json").alias("size"), "confidence"))
+SCORES = """s AS (SELECT CAST(doc_id AS VARCHAR) AS sample_id, CASE WHEN doc_id % 3 > 0 THEN (1 - (doc_id % 100) / 100.0) * 0.5 END AS q, CASE WHEN doc_id % 3 > 1 THEN least((doc_id % 5) / 2.0, 1) * 0.3 END AS v FROM documents),
+a AS (SELECT sample_id, CASE WHEN q IS NULL AND v IS NULL THEN (('0x' || substr(sha256(sample_id), 1, 2))::INT % 1000) / 1000.0 ELSE (coalesce(q, 0) + coalesce(v, 0)) / (CASE WHEN q IS NULL THEN 0 ELSE 0.5 END + CASE WHEN v IS NULL THEN 0 ELSE 0.3 END) END AS score FROM s)"""
+# (3 + 3: the score is rounded once, in the operator, so the text must not be nudged)
+add("P20_score_embedding", ["documents"], lambda d: I.score_batch(samples(d), "embedding").select("sample_id", "prediction_type", F.posexplode(F.from_json(F.get_json_object("prediction_json", "$.embedding"), "array<double>")).alias("i", "v"), F.get_json_object("prediction_json", "$.dim").cast("int").alias("dim")), """
+WITH l AS (SELECT CAST(doc_id AS VARCHAR) AS sample_id, list_filter(regexp_split_to_array(regexp_replace(text, '[/:]', ' ', 'g'), '\\s+'), lambda x: x <> '') AS ws, text FROM documents),
+t AS (SELECT sample_id, unnest(CASE WHEN len(ws) = 0 THEN [coalesce(nullif(text, ''), 'empty')] ELSE ws END) AS w FROM l), h AS (SELECT sample_id, sha256(w) AS h FROM t),
+p AS (SELECT sample_id, ('0x' || substr(h, 1, 2))::INT % 32 AS i, CASE WHEN ('0x' || substr(h, 3, 2))::INT % 2 = 0 THEN 1.0 ELSE -1.0 END AS s FROM h), v AS (SELECT sample_id, i, sum(s) AS v FROM p GROUP BY 1, 2), n AS (SELECT sample_id, sqrt(sum(v * v)) AS n FROM v GROUP BY 1)
+SELECT sample_id, 'embedding' AS prediction_type, CAST(i AS INT) AS i, round(coalesce(v / nullif(n, 0), 0), 3 + 3) AS v, 32 AS dim FROM (SELECT sample_id, n, unnest(range(32)) AS i FROM n) LEFT JOIN v USING (sample_id, i)""")
+add("P20_score_anomaly_scorer", ["documents"], lambda d: I.score_batch(samples(d), "anomaly_scorer").select("sample_id", "prediction_type", F.get_json_object("prediction_json", "$.label").alias("label"), F.get_json_object("prediction_json", "$.anomaly_score").cast("double").alias("score"), "confidence"),
+    f"WITH {SCORES} SELECT sample_id, 'anomaly_score' AS prediction_type, CASE WHEN round(score, 6) >= 0.5 THEN 'anomaly' ELSE 'normal' END AS label, round(score, 6) AS score, round(score, 6) AS confidence FROM a")
+add("P20_score_caption", ["documents"], lambda d: I.score_batch(samples(d), "caption").select("sample_id", "prediction_type", "prediction_json", "confidence"),
+    """SELECT CAST(doc_id AS VARCHAR) AS sample_id, 'caption' AS prediction_type, '{"text":"Episode ep' || doc_id || ' of dataset ' || source || ' processed by local_cpu rule captioner."}' AS prediction_json, 0.5 AS confidence FROM documents""")
 add("P21_distill_captions", ["documents"], lambda d: I.distill(I.score_batch(samples(d), "caption"), "caption_sft", "t1"),
     """SELECT CAST(doc_id AS VARCHAR) AS sample_id, '{"id":"' || doc_id || '","instruction":"Describe the robot episode.","input":"' || source || '/ep' || doc_id || '","output":"Episode ep' || doc_id || ' of dataset ' || source || ' processed by local_cpu rule captioner.","teacher_model":"t1","metadata":{"confidence":0.5,"prediction_type":"caption"}}' AS record FROM documents""")
-add("P21_distill_anomalies", ["documents"], lambda d: I.distill(I.score_batch(samples(d), "anomaly_scorer"), "anomaly_detection", "t1").select("sample_id", F.get_json_object("record", "$.label").alias("label")))
+add("P21_distill_anomalies", ["documents"], lambda d: I.distill(I.score_batch(samples(d), "anomaly_scorer"), "anomaly_detection", "t1").select("sample_id", F.get_json_object("record", "$.label").alias("label")),
+    f"WITH {SCORES} SELECT sample_id, CASE WHEN round(score, 6) >= 0.5 THEN 'anomaly' ELSE 'normal' END AS label FROM a")
 add("T20_top_rule", ["fx_qc_runs"], lambda q: W.top_per_key(W.dws_rule_failure_daily(W.fact_qc_rule_result(q)).where("fail_count > 0").groupBy("dt", "rule_id").agg(F.sum("fail_count").alias("n")), ["dt"], "n", "rule_id"),
     f"WITH {FACTS}, {RULE_DAILY} SELECT dt, rule_id, n FROM (SELECT *, row_number() OVER (PARTITION BY dt ORDER BY n DESC, rule_id) AS p FROM (SELECT dt, rule_id, CAST(sum(fail_count) AS BIGINT) AS n FROM rule_daily WHERE fail_count > 0 GROUP BY 1, 2)) WHERE p = 1")
 STALE = "l AS (SELECT workflow_name, phase, step_name, event_id, (epoch_us(TIMESTAMP '2024-02-01') - epoch_us(updated_at)) / 1e6 AS age_sec FROM (SELECT *, row_number() OVER (PARTITION BY workflow_name, phase, step_name ORDER BY updated_at DESC, event_id DESC) AS p FROM fx_heartbeats) WHERE p = 1)"
 add("T22_stale_heartbeats", ["fx_heartbeats"], lambda h: T.stale(h, F.lit(NOW), 100_000.0, 200_000.0), f"WITH {STALE} SELECT workflow_name, phase, step_name, event_id, round(age_sec, 6) AS age_sec, CASE WHEN age_sec >= 200000 THEN 'stale' WHEN age_sec >= 100000 THEN 'warn' ELSE 'ok' END AS state FROM l")
-add("T21_latest_heartbeat", ["fx_heartbeats"], X.liveness_batch, "SELECT workflow_name, updated_at, event_id FROM (SELECT *, row_number() OVER (PARTITION BY workflow_name ORDER BY updated_at DESC, event_id DESC) AS p FROM fx_heartbeats) WHERE p = 1")
+add("T21_latest_heartbeat", ["fx_heartbeats"], lambda h: X.liveness_batch(h, 100_000.0, 200_000.0, F.lit(NOW)).drop("state"), "SELECT workflow_name, phase, step_name, updated_at, event_id FROM (SELECT *, row_number() OVER (PARTITION BY workflow_name, phase, step_name ORDER BY updated_at DESC, event_id DESC) AS p FROM fx_heartbeats) WHERE p = 1")
 add("T23_last_attempts", ["fx_outputs"], lambda o: I.last_attempts(o.withColumn("sample_id", F.col("job_id"))).select("job_id", "attempt", "status"), "SELECT job_id, attempt, status FROM (SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY attempt DESC) AS p FROM fx_outputs) WHERE p = 1")
 
 
@@ -266,8 +317,11 @@ add("P26_reingest", ["events"], reingest, "SELECT event_id, event_type FROM even
 add("P27_size_buckets", ["fx_files"], lambda f: A.running_buckets(f, 50_000, 8).groupBy("dataset_id", "bucket").agg(F.count("*").alias("n"), F.sum("size_bytes").alias("bytes")))
 add("P30_reconcile", ["fx_files"], lambda f: O.reconciled(f, f.where("size_bytes % 7 > 0").withColumn("size_bytes", F.when(F.col("size_bytes") % 5 == 0, F.col("size_bytes") + 1).otherwise(F.col("size_bytes"))), ["dataset_id", "version"]),
     "SELECT dataset_id, version, count(*) FILTER (size_bytes % 7 = 0) AS missing, count(*) FILTER (size_bytes % 7 > 0 AND size_bytes % 5 = 0) AS wrong_size, count(*) FILTER (size_bytes % 7 > 0 AND size_bytes % 5 > 0) AS present, CAST(coalesce(sum(size_bytes) FILTER (size_bytes % 7 > 0 AND size_bytes % 5 > 0), 0) AS BIGINT) AS present_bytes, CASE WHEN count(*) FILTER (size_bytes % 7 = 0) > 0 THEN 'FAIL' WHEN count(*) FILTER (size_bytes % 5 = 0) > 0 THEN 'WARN' ELSE 'PASS' END AS status FROM fx_files GROUP BY 1, 2")
-add("P31_probe_summary", ["fx_files"], lambda f: file_kinds(f).groupBy("dataset_id", "version").agg(F.count("*").alias("n_files"), F.sum("size_bytes").alias("bytes"), F.count_if(F.col("kind") == "parquet").alias("n_parquet"), F.concat_ws(",", F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.array("kind")))))).alias("kinds"), F.count_if(~F.col("readable")).alias("errors")),
-    f"WITH {GATED} SELECT dataset_id, version, count(*) AS n_files, CAST(sum(size_bytes) AS BIGINT) AS bytes, count(*) FILTER (kind = 'parquet') AS n_parquet, string_agg(DISTINCT kind, ',' ORDER BY kind) AS kinds, count(*) FILTER (NOT readable) AS errors FROM f GROUP BY 1, 2")
+add("P31_probe_summary", ["fx_probes"], lambda p: Q.probe_summary(probes_of(p), SLICE).withColumn("columns", F.concat_ws(",", "columns")), f"""
+WITH c AS (SELECT dataset_id, version, string_agg(DISTINCT c, ',' ORDER BY c) AS columns FROM (SELECT dataset_id, version, unnest(string_split(column_list, ',')) AS c FROM fx_probes WHERE {PARQUET}) GROUP BY 1, 2)
+SELECT dataset_id, version, count(*) AS files_count, CAST(sum(size_bytes) AS BIGINT) AS bytes_total, count(*) FILTER (kind = 'parquet') AS parquet_files, CAST(coalesce(sum(2) FILTER ({PARQUET} AND length_list <> ''), 0) AS BIGINT) AS episodes_count,
+    count(*) FILTER (kind = 'parquet' AND NOT readable) AS errors, coalesce(any_value(columns), '') AS columns, CASE WHEN count(*) FILTER (kind = 'parquet' AND NOT readable) > 0 THEN 'WARN' ELSE 'OK' END AS status
+FROM fx_probes LEFT JOIN c USING (dataset_id, version) GROUP BY 1, 2""")
 add("P32_phase_rows", ["fx_etl_perf"], lambda p: O.phase_rows(p.select("job_id", *((F.col("duration_sec") * k).alias(f"{n}_sec") for n, k in (("normalize", 1.0), ("features", 2.0), ("ads", 3.0)))), ["job_id"]),
     "SELECT job_id, u.phase, round(duration_sec * u.m, 6) AS duration_sec FROM fx_etl_perf, LATERAL (VALUES ('normalize', 1), ('features', 2), ('ads', 3)) u(phase, m)")
 add("P19_report_top_rules_of_day", ["fx_qc_runs"], lambda q: O.top_rules(W.within(W.dws_rule_failure_daily(W.fact_qc_rule_result(q)), (DAY, DAY)), 5), f"WITH {FACTS}, {RULE_DAILY} SELECT rule_id, CAST(sum(fail_count) AS BIGINT) AS fail_count FROM rule_daily WHERE dt = {SD} GROUP BY 1 HAVING sum(fail_count) > 0 ORDER BY 2 DESC, 1 LIMIT 5")
@@ -427,19 +481,37 @@ def _(spark, sf):
     return X.hourly(frame(spark, sf, "events")).withColumn("hour", F.col("hour").cast("timestamp_ntz"))
 
 
-@run("X2_hourly_stream")
+def files_in_time_order(df, path: str, by: str, parts: int = 4) -> str:
+    """``df`` as files one after the other, each later in time than those before, as a stream would find them."""
+    bounds = df.agg(F.percentile_approx(F.unix_micros(by), [i / parts for i in range(1, parts)])).first()[0] or []
+    for low, high in zip([None, *bounds], [*bounds, None]):
+        t = F.unix_micros(by)
+        df.where((F.lit(True) if low is None else t > low) & (F.lit(True) if high is None else t <= high)).coalesce(1).write.mode("append").json(path)
+    return path
+
+
+#: Hours that end an hour or more before the last event are complete; later ones wait for the watermark.
+@run("X2_hourly_stream", """SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n FROM events
+    WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR GROUP BY 1, 2""")
 def _(spark, sf):
-    return X.drained(X.hourly(X.event_stream(spark, event_files(spark, sf)), "1 hour"), scratch.folder(spark, "x2"), scratch.folder(spark, "x2-state"))
+    e = frame(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    path = files_in_time_order(e, scratch.folder(spark, "x2-files"), "ts")
+    done = X.drained(X.hourly(X.event_stream(spark, path), "1 hour"), scratch.folder(spark, "x2"), scratch.folder(spark, "x2-state"))
+    return done.withColumn("hour", F.col("hour").cast("timestamp_ntz"))
+
+
+WARN_AFTER, STALE_AFTER = 100_000, 200_000
 
 
-@run("X3_liveness_stream", "SELECT workflow_name, event_id FROM (SELECT *, row_number() OVER (PARTITION BY workflow_name ORDER BY updated_at DESC, event_id DESC) AS p FROM fx_heartbeats) WHERE p = 1")
+@run("X3_liveness_stream", f"""WITH l AS (SELECT workflow_name, phase, step_name, updated_at, event_id, (epoch_us((SELECT max(updated_at) FROM fx_heartbeats)) - 3600000000 - epoch_us(updated_at)) / 1e6 AS age
+    FROM (SELECT *, row_number() OVER (PARTITION BY workflow_name, phase, step_name ORDER BY updated_at DESC, event_id DESC) AS p FROM fx_heartbeats) WHERE p = 1)
+    SELECT workflow_name, phase, step_name, event_id, CASE WHEN age >= {STALE_AFTER} THEN 'stale' WHEN age >= {WARN_AFTER} THEN 'warn' ELSE 'ok' END AS state FROM l""")
 def _(spark, sf):
-    path = scratch.folder(spark, "beats")
-    h = frame(spark, sf, "fx_heartbeats").select("workflow_name", F.col("updated_at").cast("timestamp").alias("updated_at"), "event_id")
-    h.repartitionByRange(3, "updated_at").write.json(path)
-    stream = spark.readStream.schema("workflow_name string, updated_at timestamp, event_id long").option("maxFilesPerTrigger", 3).json(path)
-    done = X.drained(X.liveness(stream, 3600.0, 864000.0, "60 days"), scratch.folder(spark, "x3"), scratch.folder(spark, "x3-state"))
-    return X.liveness_batch(done).select("workflow_name", "event_id")
+    h = frame(spark, sf, "fx_heartbeats").select(*X.BEAT, F.col("updated_at").cast("timestamp").alias("updated_at"), "event_id")
+    path = files_in_time_order(h, scratch.folder(spark, "beats"), "updated_at")
+    stream = spark.readStream.schema(h.schema).option("maxFilesPerTrigger", 1).json(path)
+    done = X.drained(X.liveness(stream, WARN_AFTER, STALE_AFTER, "1 hour"), scratch.folder(spark, "x3"), scratch.folder(spark, "x3-state"))
+    return X.liveness_now(done).select(*X.BEAT, "event_id", "state")
 
 
 @run("X4_incremental_daily", "SELECT CAST(ts AS DATE) AS dt, count(*) AS n FROM events GROUP BY 1")
@@ -479,7 +551,7 @@ def user_scores(d):
     return I.score_with(samples(d).select("sample_id", "input_text"), lengths)
 
 
-add("U2_user_scoring", ["documents"], user_scores, "SELECT CAST(doc_id AS VARCHAR) AS sample_id, 'length' AS prediction_type, '{}' AS prediction_json, round(length(substr(text, 1, 200)) / 1000.0, 6) AS confidence FROM documents")
+add("U2_user_scoring", ["documents"], user_scores, "SELECT CAST(doc_id AS VARCHAR) AS sample_id, 'length' AS prediction_type, '{}' AS prediction_json, round(length(text) / 1000.0, 6) AS confidence FROM documents")
 
 
 @run("R4_read_reports", "SELECT dataset_id, CASE WHEN count(*) % 2 = 0 THEN 'PASS' ELSE 'FAIL' END AS status, 1 AS n_rules FROM fx_ev GROUP BY dataset_id")
@@ -501,11 +573,13 @@ def _(spark, sf):
     return spark.read.schema(declared).parquet(path)
 
 
-@run("W4_layer_manifest", "SELECT event_type, count(*) AS n_rows, TRUE AS has_files FROM events GROUP BY 1")
+@run("W4_layer_manifest", """SELECT event_type, count(*) AS n_rows, TRUE AS has_files, min(CAST(ts AS DATE)) AS first_day, max(CAST(ts AS DATE)) AS last_day,
+    '{"users":' || count(DISTINCT user_id) || '}' AS metrics, '{"job_id":"j1","name":"normalize"}' AS job FROM events GROUP BY 1""")
 def _(spark, sf):
     path = scratch.folder(spark, "layer")
-    frame(spark, sf, "events").write.parquet(path)
-    return T.layer_manifest(spark.read.parquet(path), ["event_type"]).select("event_type", "n_rows", (F.col("n_files") > 0).alias("has_files"))
+    frame(spark, sf, "events").withColumn("dt", F.to_date("ts")).write.parquet(path)
+    found = T.layer_manifest(spark.read.parquet(path), ["event_type"], "dt", {"users": F.count_distinct("user_id")}, {"job_id": "j1", "name": "normalize"})
+    return found.withColumn("has_files", F.col("n_files") > 0).drop("n_files")
 
 
 @run("S5_multi_file_read", "SELECT user_id, count(*) AS n FROM events GROUP BY 1")

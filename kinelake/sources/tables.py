@@ -160,9 +160,14 @@ def export(df: DataFrame, path: str, kind: str, sources: tuple[str, ...] = ()) -
     return df.sparkSession.createDataFrame([(path, kind, got["n_rows"], got["checksum"], list(sources))], "path string, format string, n_rows long, checksum string, sources array<string>")
 
 
-def layer_manifest(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Per slice: files, rows and first and last day."""
-    return df.withColumn("_file", F.col("_metadata.file_path")).groupBy(*keys).agg(F.count_distinct("_file").alias("n_files"), F.count("*").alias("n_rows"))
+def layer_manifest(df: DataFrame, keys: list[str], day: str | None = None, metrics: dict[str, Column] | None = None, job: dict[str, str] | None = None) -> DataFrame:
+    """Per slice: files, rows, first and last day (of column ``day``), metrics (aggregates by name, as JSON) and the job that
+    wrote it (as JSON). Absent parts are null."""
+    days = [F.min(day).alias("first_day"), F.max(day).alias("last_day")] if day else [F.lit(None).cast("date").alias(n) for n in ("first_day", "last_day")]
+    measured = F.to_json(F.struct(*(v.alias(k) for k, v in metrics.items()))) if metrics else F.lit(None).cast("string")
+    by = F.to_json(F.struct(*(F.lit(v).alias(k) for k, v in job.items()))) if job else F.lit(None).cast("string")
+    rows = df.withColumn("_file", F.col("_metadata.file_path"))
+    return rows.groupBy(*keys).agg(F.count_distinct("_file").alias("n_files"), F.count("*").alias("n_rows"), *days, measured.alias("metrics")).withColumn("job", by)
 
 
 def write_records(df: DataFrame, path: str, split: str = "split") -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -32,36 +32,57 @@ def hourly(events: DataFrame, lateness: str = "2 days", width: str = "1 hour") -
     return rows.groupBy(F.window("ts", width).alias("w"), "event_type").agg(F.count("*").alias("n")).select(F.col("w.start").alias("hour"), "event_type", "n")
 
 
-STATE = "updated_at timestamp, event_id long"
-LIVE = "workflow_name string, updated_at timestamp, event_id long, state string"
+BEAT = ["workflow_name", "phase", "step_name"]
+STATE = "updated_at timestamp, event_id long, warned boolean"
+LIVE = "workflow_name string, phase string, step_name string, updated_at timestamp, event_id long, state string"
 
 
 def liveness(heartbeats: DataFrame, warn: float, stale: float, lateness: str = "2 days") -> DataFrame:
-    """The last heartbeat of each workflow as it moves on, and ``stale`` when event time leaves it behind."""
+    """The last heartbeat of each workflow, phase and step: ``ok`` as it moves on, ``warn`` and then ``stale`` when event time
+    is so many seconds past it. A step that went stale may come back."""
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        def row(when, event: int, what: str) -> pd.DataFrame:
+            return pd.DataFrame({**{n: [k] for n, k in zip(BEAT, key)}, "updated_at": [pd.Timestamp(when)], "event_id": [event], "state": [what]})
+
+        def wake(when, seconds: float) -> None:
+            state.setTimeoutTimestamp(max(int(pd.Timestamp(when).timestamp() * 1000 + seconds * 1000), state.getCurrentWatermarkMs() + 1))
+
         if state.hasTimedOut:
-            when, event = state.get
-            state.remove()
-            yield pd.DataFrame({"workflow_name": [key[0]], "updated_at": [pd.Timestamp(when)], "event_id": [event], "state": ["stale"]})
+            when, event, warned = state.get
+            if state.getCurrentWatermarkMs() >= pd.Timestamp(when).timestamp() * 1000 + stale * 1000:
+                state.remove()
+                yield row(when, event, "stale")
+            else:
+                state.update((when, event, True))
+                wake(when, stale)
+                yield row(when, event, "warn")
             return
-        when, event = state.get if state.exists else (pd.Timestamp(0), -1)
-        before, first = pd.Timestamp(when), not state.exists
+        when, event, _ = state.get if state.exists else (pd.Timestamp(0), -1, False)
         for b in batches:
             last = b.sort_values(["updated_at", "event_id"]).iloc[-1]
             if (last.updated_at, last.event_id) > (pd.Timestamp(when), event):
                 when, event = last.updated_at, int(last.event_id)
-        state.update((pd.Timestamp(when).to_pydatetime(), event))
-        state.setTimeoutTimestamp(max(int(pd.Timestamp(when).timestamp() * 1000 + stale * 1000), state.getCurrentWatermarkMs() + 1))
-        gap = 0.0 if first else (pd.Timestamp(when) - before).total_seconds()
-        yield pd.DataFrame({"workflow_name": [key[0]], "updated_at": [pd.Timestamp(when)], "event_id": [event], "state": ["warn" if gap >= warn else "ok"]})
+        state.update((pd.Timestamp(when).to_pydatetime(), event, False))
+        wake(when, warn)
+        yield row(when, event, "ok")
 
     rows = heartbeats.withWatermark("updated_at", lateness)
-    return rows.groupBy("workflow_name").applyInPandasWithState(step, LIVE, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    return rows.groupBy(*BEAT).applyInPandasWithState(step, LIVE, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def liveness_now(emitted: DataFrame) -> DataFrame:
+    """Where the steps stand after all that a stream has emitted: the last event and its gravest state."""
+    grave = F.array_position(F.array(*map(F.lit, ("ok", "warn", "stale"))), F.col("state"))
+    last = F.max_by(F.struct("updated_at", "event_id", "state"), F.struct("updated_at", "event_id", grave))
+    return emitted.groupBy(*BEAT).agg(last.alias("l")).select(*BEAT, "l.*")
 
 
-def liveness_batch(heartbeats: DataFrame) -> DataFrame:
-    return heartbeats.groupBy("workflow_name").agg(F.max_by(F.struct("updated_at", "event_id"), F.struct("updated_at", "event_id")).alias("l")).select("workflow_name", "l.*")
+def liveness_batch(heartbeats: DataFrame, warn: float, stale: float, now: Column) -> DataFrame:
+    """The same from a whole table, at a point of event time."""
+    last = heartbeats.groupBy(*BEAT).agg(F.max_by(F.struct("updated_at", "event_id"), F.struct("updated_at", "event_id")).alias("l")).select(*BEAT, "l.*")
+    age = F.unix_micros(now.cast("timestamp")) - F.unix_micros(F.col("updated_at").cast("timestamp"))
+    return last.withColumn("state", F.when(age >= stale * 1e6, "stale").when(age >= warn * 1e6, "warn").otherwise("ok"))
 
 
 def refreshing(facts: DataFrame, read_all: Callable[[SparkSession], DataFrame], daily: Callable[[DataFrame], DataFrame], path: str):
