@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, written
+from .common import WORD, small, written
 
 #: Groups of equal (source, size) above this many rows are ranked in slices, so that no task ranks an unbounded group.
 SLICE = 4096
@@ -112,20 +112,26 @@ def copies_by_size(counts: DataFrame, sources: DataFrame, tilt: DataFrame, most:
     return c.select("key", "size", "n", (F.col("m") + F.signum("gap") * by).cast("long").alias("copies"))
 
 
-def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: float = 1.5, most: int = 2) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, copies, taken."""
-    sized = written(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), source_key(F.col(source)).alias("key"), word_count(F.col(text)).alias("size")), "sizes")
+def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: float = 1.5, most: int = 2, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target, copies, taken and the columns in ``keep``.
+
+    Kept columns are written once, with a number for the row. They meet the copies of their size by a join on the table of
+    (source, size); only rows that must be ranked to share the copies of their size are looked up by number."""
+    own = [F.monotonically_increasing_id().alias("row"), F.struct(*keep).alias("held")] if keep else []
+    sized = written(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), source_key(F.col(source)).alias("key"), word_count(F.col(text)).alias("size"), *own), "sizes")
     counts = written(sized.groupBy("key", "size").agg(F.count("*").alias("n")), "size-counts")
     sources = written(source_targets(counts.groupBy("key").agg(F.sum(F.col("n") * F.col("size")).alias("source_size")), weights, share, float(most)), "targets")
     plan = copies_by_size(counts, sources, tilts(counts, sources, float(most)), most)
     plan = written(counts.select("key", "size").join(plan, ["key", "size"], "left").join(sources, "key"), "copies")
 
+    if keep:
+        plan = small(plan)
     rows = sized.join(plan, ["key", "size"])
     even = F.col("copies") % F.col("n") == 0
     settled = rows.where(F.col("copies").isNull() | even).withColumn("copies", F.coalesce(F.expr("copies div n"), F.lit(0)).cast("long"))
     # the others: rank within (source, size), by slices whose sizes are summed first
     cut = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.ceil(F.col("n") / F.lit(float(SLICE))))
-    open_rows = rows.where(~even).withColumn("slice", cut)
+    open_rows = rows.where(~even).drop("held").withColumn("slice", cut)
     slices = open_rows.groupBy("key", "size", "slice").agg(F.count("*").alias("held"))
     ahead = Window.partitionBy("key", "size").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = slices.withColumn("ahead", F.coalesce(F.sum("held").over(ahead), F.lit(0))).drop("held")
@@ -133,5 +139,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     ranked = open_rows.withColumn("place", F.row_number().over(in_slice)).join(slices, ["key", "size", "slice"])
     place = F.col("ahead") + F.col("place")
     ranked = ranked.withColumn("copies", (F.expr("(copies * (ahead + place)) div n") - F.expr("(copies * (ahead + place - 1)) div n")).cast("long"))
-    columns = ["doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")]
+    if keep:
+        ranked = ranked.join(sized.select("row", "held"), "row")
+    columns = ["doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *(F.col(f"held.{c}").alias(c) for c in keep)]
     return settled.select(*columns).unionByName(ranked.select(*columns))

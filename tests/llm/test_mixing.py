@@ -56,5 +56,17 @@ def test_hot_source_nulls_ties_and_slices(spark, monkeypatch):
     checked(out, 0.05)
 
 
+def test_kept_columns_stay_with_their_row(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SLICE", 7)
+    rows = [(i % 90, f"{'w ' * (3 + i % 2)}t{i}", "hot" if i % 4 else None, str(i)) for i in range(400)] + [(None, None, "b", None), (None, "x", "b", "extra")]
+    frame = spark.createDataFrame([(*r, "z") for r in rows], SCHEMA + ", row string").repartition(5)
+    out = mixing.mix(frame, keep=("text",)).collect()
+    assert sorted((r.doc_id or -1, r.text or "", r.source or "") for r in out) == sorted((r[0] or -1, r[1] or "", r[2] or "") for r in rows)
+    assert all(r["size"] == len((r.text or "").split()) for r in out)
+    checked(out, 0.05)
+    plain = mixing.mix(frame).collect()
+    assert sorted((r.doc_id or -1, r["size"], r.copies) for r in out) == sorted((r.doc_id or -1, r["size"], r.copies) for r in plain)
+
+
 def test_empty(spark):
     assert mixing.mix(spark.createDataFrame([], SCHEMA)).count() == 0
