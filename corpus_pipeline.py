@@ -8,7 +8,8 @@ Each stage takes (spark, docs, sf_dir) and works on all rows that its predecesso
    text): 5-word shingles, similarity 0.8;
 3. repeats: bytes of passages of 200 bytes or more that occurred before are cut out, the first occurrence stays;
 4. decontamination: documents that align with a benchmark item go;
-5. mixture: documents get copies, so that each source's words come near its target weight; documents without copies go.
+5. mixture: documents get copies, so that each source's words come near its target weight; documents without copies go,
+   the others come with their text and the number of copies.
 """
 
 from __future__ import annotations
@@ -56,8 +57,8 @@ def by_contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def by_weight(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(docs)
-    return mixed.where("copies > 0").select("doc_id", "source", "size", "copies", "taken", "target")
+    mixed = mixing.mix(docs, keep=("text", "lang", "n_chars"))
+    return mixed.where("copies > 0").select(*COLUMNS, "size", "copies", "taken", "target")
 
 
 STAGES = [
