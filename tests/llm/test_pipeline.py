@@ -54,8 +54,10 @@ def test_stages_over_a_whole_table(spark):
         rows = docs.collect()
         if name != "mixture":
             assert docs.columns == COLUMNS
-        now = {r.doc_id: r.text for r in rows} if name != "mixture" else {r.doc_id for r in rows}
+        now = {r.doc_id: r.text for r in rows}
         assert set(now) <= set(texts)
+        if name == "mixture":
+            assert all(now[i] == texts[i] for i in now)
         if name == "quality":
             assert sum(labels[i] == 1 for i in now if i in labels) >= 0.97 * sum(labels.values())
             assert not any(labels.get(i) == 0 for i in now)
