@@ -118,7 +118,7 @@ add("T16_workspace_bbox", ["fx_pose"], lambda p: P.bbox_check(p, centred(p)),
     f"""WITH {POINTS}, c AS (SELECT {K}, c, avg(x) AS cx, avg(y) AS cy FROM p GROUP BY {K}, c), b AS (SELECT {K}, min(cx) AS x0, max(cx) AS x1, min(cy) AS y0, max(cy) AS y1, greatest(greatest(max(cx) - min(cx), max(cy) - min(cy)) * 0.5, 1e-6) AS pad FROM c GROUP BY {K}),
     o AS (SELECT {K}, avg(CASE WHEN x < x0 - pad OR x > x1 + pad OR y < y0 - pad OR y > y1 + pad THEN 1.0 ELSE 0 END) AS outside_ratio FROM fx_pose JOIN b USING (dataset_id, version, episode_id) GROUP BY {K})
     SELECT {K}, round(outside_ratio, 6) AS outside_ratio, CASE WHEN outside_ratio > 0.1 THEN 'WARN' ELSE 'PASS' END AS status FROM o""")
-# signal processing per episode: peaks, distances and prominences are held against plain loops in the tests
+# signal processing per episode: peaks, prominences, smoothing and clusters are held against plain loops in the tests
 add("T12_press_frames", ["fx_pose"], press.press_frames)
 add("T14_press_events", ["fx_pose"], lambda p: press.press_events(p, press.press_frames(p)))
 add("T13_press_clusters", ["fx_pose"], lambda p: press.press_frames(p, expected=3).where("cluster_id is not null").groupBy(*series.EPISODE, "cluster_id", "cluster_center_x", "cluster_center_y").agg(F.count("*").alias("n")))

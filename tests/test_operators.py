@@ -180,3 +180,48 @@ def test_late_rows_are_dropped_on_a_stream(spark):
     done = streams.drained(streams.hourly(stream(), "1 day", "1 day"), f"{path}/out", f"{path}/state")
     got = sorted((r.hour.day, r.event_type, r.n) for r in done.collect())
     assert 0 < len(got) <= 4 and streams.hourly(spark.read.schema(streams.EVENT).json(f"{path}/in*"), width="1 day").count() == 4
+
+
+def test_smoothing_fits_a_polynomial_to_each_window():
+    z = np.random.default_rng(7).normal(size=60)
+    for window, order in ((31, 3), (21, 3), (5, 2)):
+        half = window // 2
+        places = np.arange(-half, half + 1)
+        padded = [z[min(max(i, 0), len(z) - 1)] for i in range(-half, len(z) + half)]
+        middle = [np.polyval(np.polyfit(places, padded[i : i + window], order), 0) for i in range(len(z))]
+        assert np.allclose(press.smoothed(z, window, order), middle)
+        first, last = np.polyfit(places, z[:window], order), np.polyfit(places, z[-window:], order)
+        ends = [np.polyval(first, i - half) if i < half else np.polyval(last, i - (len(z) - 1 - half)) if i >= len(z) - half else middle[i] for i in range(len(z))]
+        assert np.allclose(press.smoothed(z, window, order, nearest=False), ends)
+
+
+def test_presses_lie_in_the_lower_sixty_percent():
+    i = np.arange(300)
+    z = 0.2 + 0.05 * np.cos(i * 2 * math.pi / 50) + np.where(i >= 210, 0.5, 0.0)  # the last 30 percent lie above the cut
+    at, height = press.detected(z, min_distance=20)
+    s = press.smoothed(z, 31, 3)
+    assert len(at) and all(s[p] <= np.quantile(s, 0.6) for p in at) and (height >= 0.05 * (s.max() - s.min())).all()
+    assert at.max() < 200 and [p for p in (25, 75, 125, 175) if np.abs(at - p).min() <= 2] == [25, 75, 125, 175]
+
+
+def test_clusters_equal_plain_loops():
+    rng = np.random.default_rng(9)
+    for k, n in ((2, 12), (3, 40), (5, 60)):
+        xy = rng.normal(size=(n, 2)) + 4 * rng.integers(0, k, (n, 1))
+        gap = lambda a, b: (a[0] - b[0]) ** 2 + (a[1] - b[1]) ** 2
+        mean = [sum(p[c] for p in xy) / n for c in (0, 1)]
+        seeds = [min(range(n), key=lambda i: gap(xy[i], mean))]
+        while len(seeds) < k:
+            seeds.append(max(range(n), key=lambda i: min(gap(xy[i], xy[s]) for s in seeds)))
+        centres = [tuple(xy[s]) for s in seeds]
+        for _ in range(100):
+            label = [min(range(k), key=lambda c: gap(p, centres[c])) for p in xy]
+            groups = [[p for p, l in zip(xy, label) if l == c] for c in range(k)]
+            moved = [tuple(np.mean(g, 0)) if g else centres[c] for c, g in enumerate(groups)]
+            if np.allclose(moved, centres, rtol=0, atol=1e-13):
+                break
+            centres = moved
+        order = sorted(range(k), key=lambda c: centres[c])
+        got, where = press.clustered(xy, k)
+        assert np.allclose(where, [centres[c] for c in order])
+        assert [order[g] for g in got] == label
