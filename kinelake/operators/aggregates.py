@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as E
+from ..sources.scratch import written
+from .joins import null_safe_join
 
 
 def labeled_counts(df: DataFrame, labels: list[str], sums: tuple[str, ...] = ()) -> DataFrame:
@@ -96,15 +98,20 @@ def worst_level(level: str) -> Column:
     return E.ladder([(rank == 2, "CRITICAL"), (rank == 1, "WARN")], "OK")
 
 
-def running_buckets(files: DataFrame, target: int, most: int, keys: tuple[str, ...] = ("dataset_id",)) -> DataFrame:
-    """Files of each dataset in buckets of about ``target`` bytes, largest files first, at most ``most`` buckets.
-
-    Running sums over sizes that are summed per slice of ids first, so that no task orders a whole dataset."""
-    files = files.withColumn("_slice", F.pmod(F.xxhash64("uri"), F.lit(64))).withColumn("_band", F.floor(F.log2(F.greatest("size_bytes", F.lit(1)) + 0.0)))
-    part = files.groupBy(*keys, "_band", "_slice").agg(F.sum("size_bytes").alias("_sum"))
-    ahead = Window.partitionBy(*keys).orderBy(F.desc("_band"), "_slice").rowsBetween(Window.unboundedPreceding, -1)
-    part = part.withColumn("_ahead", F.coalesce(F.sum("_sum").over(ahead), F.lit(0))).drop("_sum")
-    inside = Window.partitionBy(*keys, "_band", "_slice").orderBy(F.desc("size_bytes"), "uri")
-    upto = F.col("_ahead") + F.sum("size_bytes").over(inside)
-    both = files.join(part, [*keys, "_band", "_slice"])
-    return both.withColumn("bucket", F.least(F.greatest(F.ceil(upto / F.lit(float(target))), F.lit(1)), F.lit(most)).cast("int")).drop("_slice", "_band", "_ahead")
+def running_buckets(files: DataFrame, target: int, most: int, keys: tuple[str, ...] = ("dataset_id",), parts: int | None = None) -> DataFrame:
+    """Files of each dataset in order, largest first (ties by uri), filled into buckets of ``target`` bytes: a bucket ends with the
+    file that reaches the target; at most ``most`` buckets, the last takes the rest.
+
+    Prefix sums in parts: files are dealt by ranges of that order, each part is summed, the sums of the parts before it
+    are added, so that no task orders a whole dataset. Which bucket a file starts in follows from the bytes ahead of it."""
+    order = [*keys, F.desc("size_bytes"), "uri"]
+    files = files.withColumn("size_bytes", F.coalesce("size_bytes", F.lit(0)))
+    ranged = files.repartitionByRange(parts, *order) if parts else files.repartitionByRange(*order)
+    ranged = written(ranged.withColumn("_part", F.spark_partition_id()), "ranged-files")
+    sums = ranged.groupBy(*keys, "_part").agg(F.sum("size_bytes").alias("_sum"))
+    ahead = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("_ahead", F.coalesce(F.sum("_sum").over(ahead), F.lit(0))).drop("_sum")
+    inside = Window.partitionBy(*keys, "_part").orderBy(F.desc("size_bytes"), "uri").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("_ahead") + F.coalesce(F.sum("size_bytes").over(inside), F.lit(0))
+    both = null_safe_join(ranged, sums, [*keys, "_part"])
+    return both.withColumn("bucket", F.least(F.floor(before / F.lit(float(target))) + 1, F.lit(most)).cast("int")).drop("_part", "_ahead")

@@ -110,16 +110,19 @@ def euler_angles(df: DataFrame, names: tuple[str, str, str] = ("roll", "pitch",
     return df.withColumns(dict(zip(names, found)))
 
 
+def turn_back(step: Column, turn: Column) -> Column:
+    """What a step between two angles needs to be at most half a turn."""
+    folded = step + F.lit(pi) - F.floor((step + F.lit(pi)) / turn) * turn - F.lit(pi)
+    folded = F.when((folded == -pi) & (step > 0), F.lit(pi)).otherwise(folded)
+    return F.when(F.abs(step) < pi, 0.0).otherwise(folded - step)
+
+
 def unwrapped(df: DataFrame, names: tuple[str, ...] = ("roll", "pitch", "yaw")) -> DataFrame:
     """Removes jumps of more than pi between frames by whole turns."""
     w = in_order()
     turn = F.lit(2 * pi)
     for c in names:
-        step = F.col(c) - F.lag(c).over(w)
-        folded = step + F.lit(pi) - F.floor((step + F.lit(pi)) / turn) * turn - F.lit(pi)
-        folded = F.when((folded == -pi) & (step > 0), F.lit(pi)).otherwise(folded)
-        fix = F.when(F.abs(step) < pi, 0.0).otherwise(folded - step)
-        df = df.withColumn(f"_{c}", F.coalesce(fix, F.lit(0.0)))
+        df = df.withColumn(f"_{c}", F.coalesce(turn_back(F.col(c) - F.lag(c).over(w), turn), F.lit(0.0)))
     return df.withColumns({c: F.col(c) + F.sum(f"_{c}").over(so_far()) for c in names}).drop(*(f"_{c}" for c in names))
 
 
@@ -132,14 +135,21 @@ def from_euler(df: DataFrame, names: tuple[str, str, str] = ("roll", "pitch", "y
 # ---------------------------------------------------------------- segments
 
 
+def segment_type(quiet: float) -> Column:
+    return F.when(F.col("is_press_candidate"), "PRESS").when(F.col("velocity_mps") <= quiet, "QUIET").otherwise("MOVE")
+
+
 def segments(df: DataFrame, quiet: float = 0.05) -> DataFrame:
     """One row per run of PRESS, QUIET or MOVE frames (press before quiet before move). The first step into a run is not
     part of its distance."""
     w = in_order()
-    state = F.when(F.col("is_press_candidate"), "PRESS").when(F.col("velocity_mps") <= quiet, "QUIET").otherwise("MOVE")
-    df = df.withColumn("segment_type", state)
+    df = df.withColumn("segment_type", segment_type(quiet))
     df = df.withColumn("_new", F.coalesce(F.col("segment_type") != F.lag("segment_type").over(w), F.lit(True)))
-    df = df.withColumn("_run", F.sum(F.col("_new").cast("int")).over(so_far()) - 1)
+    return runs_of(df.withColumn("_run", F.sum(F.col("_new").cast("int")).over(so_far()) - 1))
+
+
+def runs_of(df: DataFrame) -> DataFrame:
+    """Segments from frames with the number of their run (_run) and whether they start it (_new)."""
     runs = df.groupBy(*EPISODE, "_run", "segment_type").agg(
         F.min("frame_idx").alias("start_frame"),
         F.max("frame_idx").alias("end_frame"),

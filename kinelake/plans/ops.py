@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as E
@@ -135,17 +136,37 @@ def backfill_plan(candidates: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- summaries
 
 
-def quality_summary(ads: DataFrame, day: date) -> DataFrame:
-    """One row about a day: averages of known rates, sums, datasets, worst alert."""
-    return ads.where(F.col("dt") == F.lit(day)).agg(
-        F.count("*").alias("n_rows"), F.count_distinct("dataset_id").alias("datasets"), *(F.avg(c).alias(f"avg_{c}") for c in ("qc_pass_rate", "etl_success_rate", "workflow_success_rate", "quality_score")),
-        F.sum("ml_ready_rows").alias("ml_ready_rows"), worst_level("alert_level").alias("worst_alert"), E.quantile("p95_duration_sec", 0.95).alias("p95_duration_sec"),
-    )
+def quality_summary(ads: DataFrame, steps: DataFrame, inference: DataFrame, day: date, exports: DataFrame | None = None, benchmarks: DataFrame | None = None) -> DataFrame:
+    """One row about a day: datasets (with their versions), averages of known rates, bytes, worst alert; the 95th percentile of the
+    day's step durations and how many steps have an archived log; jobs, their success and throughput; exports and benchmark latency.
+
+    steps: dt, duration_sec, archive_log_uri. inference: dws_inference_job_daily. exports, benchmarks: created_at (p95_latency_ms)."""
+    on = lambda df: df.where(F.col("dt") == F.lit(day))
+    created = lambda df: df.where(F.to_date("created_at") == F.lit(day))
+    zero = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    parts = [
+        on(ads).agg(
+            F.count("*").alias("n_rows"), F.count_distinct(F.struct("dataset_id", "version")).alias("datasets"), *(F.avg(c).alias(f"avg_{c}") for c in ("qc_pass_rate", "etl_success_rate", "workflow_success_rate", "quality_score")),
+            zero("ml_ready_rows").alias("ml_ready_rows"), zero("raw_bytes").alias("raw_bytes"), zero("dwd_bytes").alias("dwd_bytes"), worst_level("alert_level").alias("worst_alert"),
+        ),
+        on(steps).agg(E.quantile("duration_sec", 0.95).alias("p95_step_duration_sec"), F.count_distinct(F.when(F.col("archive_log_uri") != "", F.col("archive_log_uri"))).alias("archived_logs")),
+        on(inference).agg(zero("job_count").alias("inference_jobs"), zero("success_count").alias("_ok"), F.avg("samples_per_sec").alias("inference_samples_per_sec")),
+        *([created(exports).agg(F.count("*").alias("exports"))] if exports is not None else []),
+        *([created(benchmarks).agg(F.avg("p95_latency_ms").alias("benchmark_p95_latency_ms"))] if benchmarks is not None else []),
+    ]
+    row = reduce(lambda a, b: a.crossJoin(F.broadcast(b)), parts)  # one row each
+    return row.withColumn("inference_success_rate", E.ratio("_ok", "inference_jobs")).drop("_ok")
+
+
+def log_index(steps: DataFrame, day: date) -> DataFrame:
+    """The archived logs of a day's steps."""
+    return steps.where((F.col("dt") == F.lit(day)) & (F.col("archive_log_uri") != "")).select("archive_log_uri").distinct()
 
 
 def top_rules(rules: DataFrame, n: int) -> DataFrame:
-    """The rules that failed most often, ties by id."""
-    return rules.groupBy("rule_id").agg(F.sum("fail_count").alias("fail_count")).where("fail_count > 0").orderBy(F.desc("fail_count"), "rule_id").limit(n)
+    """The rows of the daily rule table (contract, rule, severity, family) with the most failures, ties by rule and the other keys."""
+    columns = ["dt", "contract_id", "rule_id", "severity", "dataset_family", "fail_count", "run_count", "fail_rate"]
+    return rules.where("fail_count > 0").orderBy(F.desc("fail_count"), "rule_id", "dt", "contract_id", "severity", "dataset_family").limit(n).select(*columns)
 
 
 def abnormal(ads: DataFrame) -> DataFrame:
@@ -161,6 +182,28 @@ def lineage_report(runs: DataFrame, steps: DataFrame) -> DataFrame:
     return null_safe_join(runs, s, keys, "left")
 
 
+def lineage_related(steps: DataFrame, qc_runs: DataFrame, ml_ready: DataFrame, profiles: DataFrame, workflow_name: str, workflow_namespace: str, most_steps: int = 500, most: int = 20) -> DataFrame:
+    """section, place, id, dataset_id, version, status, at: a workflow's steps from the first on, and the newest contract runs,
+    exports and profiles, at most so many of each."""
+
+    def section(name: str, df: DataFrame, key: str, status: Column, at: str, n: int, *order: Column) -> DataFrame:
+        first = df.orderBy(*order, key).limit(n)
+        place = F.row_number().over(Window.orderBy(*order, key))  # over n rows
+        return first.select(F.lit(name).alias("section"), place.alias("place"), F.col(key).cast("string").alias("id"), "dataset_id", "version", status.cast("string").alias("status"), F.col(at).alias("at"))
+
+    own = steps.where((F.col("workflow_name") == workflow_name) & (F.col("workflow_namespace") == workflow_namespace))
+    newest = F.desc_nulls_last("created_at")
+    return reduce(
+        DataFrame.unionByName,
+        [
+            section("step", own, "pod_name", F.col("phase"), "started_at", most_steps, F.col("started_at").asc_nulls_last()),
+            section("qc_run", qc_runs, "run_id", F.col("status"), "created_at", most, newest),
+            section("ml_ready", ml_ready, "ml_id", F.col("output_uri"), "created_at", most, newest),
+            section("profile", profiles, "profile_id", F.col("layer"), "created_at", most, newest),
+        ],
+    )
+
+
 # ---------------------------------------------------------------- files
 
 

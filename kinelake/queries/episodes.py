@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import press, series
+from ..operators import press, scans, series
 from ..plans import episodes as P
+from ..sources import scratch
 from .base import Family
 
 family = Family()
@@ -66,6 +67,13 @@ n AS (SELECT *, coalesce(segment_type <> lag(segment_type) OVER ({W}), TRUE) AS
 SELECT episode_id || '-seg-' || lpad(CAST(CAST(run AS BIGINT) AS VARCHAR), 4, '0') AS segment_id, {K}, min(frame_idx) AS start_frame, max(frame_idx) AS end_frame, round(min(timestamp_sec), 6) AS start_time_sec, round(max(timestamp_sec), 6) AS end_time_sec,
     segment_type, round(max(timestamp_sec) - min(timestamp_sec), 6) AS duration_sec, round(sum(CASE WHEN fresh THEN 0 ELSE delta_d END), 6) AS distance FROM r GROUP BY {K}, run, segment_type"""
 add("T15_segments", ["fx_pose"], lambda p: series.segments(series.motion(p).withColumn("is_press_candidate", F.col("z") < 0.16), quiet=0.5), SEGMENTS)
+# the same by segmented scans, in chunks far shorter than the recordings
+CHUNK = 40
+add("T7_continuous_segmented", ["fx_pose"], lambda p: scans.continuous(series.unit_quaternions(p), CHUNK).select(*KEYS, "qx", "qy", "qz", "qw"), f"WITH {CONTINUOUS} SELECT {K}, frame_idx, {r6('qx', 'qy', 'qz', 'qw')} FROM c")
+add("T8_unwrapped_segmented", ["fx_pose"], lambda p: scans.unwrapped(series.euler_angles(scratch.written(scans.continuous(series.unit_quaternions(p), CHUNK), "continuous")), chunk=CHUNK).select(*KEYS, "roll", "pitch", "yaw"), f"WITH {UNWRAPPED} SELECT {K}, frame_idx, {r6('roll', 'pitch', 'yaw')} FROM g")
+add("T10_integrated_segmented", ["fx_pose"], lambda p: scans.integrated(p.select(*KEYS, *(F.col(c).alias(f"d{c}") for c in "xyz")), chunk=CHUNK).select(*KEYS, "x", "y", "z"),
+    f"SELECT {K}, frame_idx, {', '.join(f'round(sum({c}) OVER ({SO_FAR}), 6) AS {c}' for c in 'xyz')} FROM fx_pose")
+add("T15_segments_segmented", ["fx_pose"], lambda p: scans.segments(series.motion(p).withColumn("is_press_candidate", F.col("z") < 0.16), quiet=0.5, chunk=CHUNK), SEGMENTS)
 SUMMARY = f"""{UNWRAPPED}, mv AS (SELECT {K}, frame_idx, velocity_mps FROM (WITH {MOTION} SELECT * FROM v)),
 sm AS (SELECT {K}, count(*) AS num_samples, max(timestamp_sec) - min(timestamp_sec) AS duration_sec, min(z) AS z_min, max(z) AS z_max, max(velocity_mps) AS max_velocity_mps, avg(velocity_mps) AS mean_velocity_mps,
     quantile_cont(velocity_mps, 0.95) AS p95_velocity_mps, max(abs(sqrt(qx*qx + qy*qy + qz*qz + qw*qw) - 1)) AS quat_max_norm_error, var_pop(roll) AS roll_var, var_pop(pitch) AS pitch_var, var_pop(yaw) AS yaw_var

@@ -10,6 +10,8 @@ from ..fixtures import frame
 from ..functions import exprs as E
 from ..operators import aggregates as A
 from ..operators import joins as J
+from ..operators import selection as S
+from ..operators import sketches as K
 from ..plans import inference as I
 from ..plans import ops as O
 from ..plans import profiles as Q
@@ -18,7 +20,7 @@ from ..sources import scratch
 from ..sources import tables as T
 from ..streaming import streams as X
 from .base import Family, nudged, rounded
-from .warehouse import BAD, ERROR_CASE, FACTS, QUALITY_PARTS, RULE_DAILY, SOURCES, md5_of, quality_daily
+from .warehouse import BAD, ERROR_CASE, FACTS, INFERENCE, OPS, QUALITY_PARTS, RULE_DAILY, SOURCES, md5_of, quality_daily
 from .warehouse import dashboard as dashboard_of
 
 family = Family()
@@ -26,16 +28,64 @@ add = family.add
 DAY = date(2024, 1, 5)
 SD = "DATE '2024-01-05'"
 
+
+def approximate_percentile(d):
+    """A sketch per day, merged; whether the estimate's true rank is as near as the sketch promises."""
+    rows = d.select("l_returnflag", F.to_date("l_shipdate").alias("dt"), F.col("l_extendedprice").cast("double").alias("v"))
+    return rank_checked(rows, ["l_returnflag"], K.span_quantiles(K.daily_quantiles(rows, ["dt", "l_returnflag"], "v"), ["l_returnflag"], 0.95, "p"), 0.95)
+
+
+def rank_checked(rows, keys, estimates, q):
+    ranks = K.rank_of(rows, estimates, keys, "v", "p")
+    near = (F.col("low") <= q + K.KLL_ERROR) & (F.col("high") >= q - K.KLL_ERROR)
+    return estimates.join(ranks, keys).select(*keys, "n", near.alias("within_bound"))
+
+
+def weekly_percentile(p):
+    rows = p.select("dataset_id", F.to_date("created_at").alias("dt"), F.date_trunc("week", "created_at").alias("week"), F.col("duration_sec").alias("v"))
+    weeks = K.daily_quantiles(rows, ["dataset_id", "week", "dt"], "v").groupBy("dataset_id", "week").agg(F.sum("n").alias("n"), F.kll_merge_agg_double("kll", F.lit(K.KLL_K)).alias("kll"))
+    return rank_checked(rows, ["dataset_id"], K.span_quantiles(weeks, ["dataset_id"], 0.95, "p"), 0.95)
+
+
+def places(p):
+    """Exact, however large a dataset."""
+    keys = ["dataset_id"]
+    low = S.by_place(p, keys, "input_bytes", 0.95, "p95", gather=500)
+    half = S.quantiles(p.withColumn("input_bytes", F.col("input_bytes").cast("double")), keys, "input_bytes", 0.5, "median", gather=500)
+    return low.join(half.select("dataset_id", F.bround("median").cast("long").alias("median")), keys)
+
+
+def distinct_over_span(s):
+    """Distinct workflows per step over all days from daily sketches: exact while few, else within the stated error."""
+    rows = s.withColumn("dt", F.to_date("started_at"))
+    daily = K.daily_distinct(rows, ["dt", "step_name"], "workflow_name", F.col("phase") == "Succeeded", F.col("phase") == "Failed")
+    return K.span_distinct(daily, ["step_name"])
+
+
+def distinct_users(e):
+    """Thousands of users, by sketch and exactly."""
+    rows = e.withColumn("dt", F.to_date("ts"))
+    daily = K.daily_distinct(rows, ["dt", "event_type"], "user_id", F.col("value") > 50, F.col("value") <= 50)
+    both = K.span_distinct(daily, ["event_type"]).join(e.groupBy("event_type").agg(F.count_distinct("user_id").alias("n")), "event_type")
+    near = F.abs(F.col("n_distinct") - F.col("n")) <= F.greatest(F.lit(1.0), F.col("n") * K.HLL_ERROR)
+    return both.select("event_type", "n", near.alias("within_bound"))
+
 # ---------------------------------------------------------------- counts and quantiles
 
 add("A1_conditional_counts", ["fx_etl_perf"], lambda p: p.groupBy("phase").agg(F.count("*").alias("n"), F.count_if(E.status_in("status", E.SUCCESS)).alias("ok"), F.count_if(E.status_in("status", E.FAILURE)).alias("bad")),
     f"SELECT phase, count(*) AS n, count(*) FILTER (upper(status) IN ('OK', 'WARN', 'SUCCESS', 'SUCCEEDED')) AS ok, count(*) FILTER (upper(status) IN {BAD}) AS bad FROM fx_etl_perf GROUP BY 1")
 add("A2_conditional_distinct", ["fx_workflow_steps"], lambda s: s.groupBy("step_name").agg(F.count_distinct("workflow_name").alias("n"), E.distinct_where(F.col("phase") == "Failed", "workflow_name").alias("failed")),
     "SELECT step_name, count(DISTINCT workflow_name) AS n, count(DISTINCT workflow_name) FILTER (phase = 'Failed') AS failed FROM fx_workflow_steps GROUP BY 1")
-add("A3_exact_percentile", ["lineitem"], lambda d: d.groupBy("l_returnflag").agg(E.quantile(F.col("l_extendedprice").cast("double"), 0.95).alias("p95")), "SELECT l_returnflag, round(quantile_cont(CAST(l_extendedprice AS DOUBLE), 0.95), 6) AS p95 FROM lineitem GROUP BY 1")
-add("A4_approximate_percentile", ["lineitem"], lambda d: d.groupBy("l_returnflag").agg(F.percentile_approx(F.col("l_extendedprice").cast("double"), 0.95).alias("p95")))
-add("A5_percentile_by_place", ["fx_etl_perf"], lambda p: p.groupBy("dataset_id").agg(A.quantile_by_place("input_bytes", 0.95).alias("p95"), A.quantile_half_even("input_bytes", 0.5).alias("median")),
+add("A3_exact_percentile", ["lineitem"], lambda d: S.quantiles(d.select("l_returnflag", F.col("l_extendedprice").cast("double").alias("price")), ["l_returnflag"], "price", 0.95, "p95", gather=2_000), "SELECT l_returnflag, round(quantile_cont(CAST(l_extendedprice AS DOUBLE), 0.95), 6) AS p95 FROM lineitem GROUP BY 1")
+add("A4_approximate_percentile", ["lineitem"], approximate_percentile, "SELECT l_returnflag, count(*) AS n, TRUE AS within_bound FROM lineitem GROUP BY 1")
+add("A4_weekly_percentile", ["fx_etl_perf"], weekly_percentile, "SELECT dataset_id, count(*) AS n, TRUE AS within_bound FROM fx_etl_perf WHERE duration_sec IS NOT NULL GROUP BY 1")
+add("A5_percentile_by_place", ["fx_etl_perf"], places,
     "SELECT dataset_id, list_sort(list(input_bytes))[1 + least(count(*) - 1, CAST(floor(0.95 * count(*)) AS BIGINT))] AS p95, CAST(round_even(quantile_cont(input_bytes, 0.5), 0) AS BIGINT) AS median FROM fx_etl_perf GROUP BY 1")
+add("A2_distinct_over_span", ["fx_workflow_steps"], distinct_over_span, """
+SELECT step_name, count(DISTINCT workflow_name) AS n_distinct, count(DISTINCT workflow_name) FILTER (phase = 'Succeeded') AS n_good, count(DISTINCT workflow_name) FILTER (phase = 'Failed') AS n_bad,
+    (SELECT count(*) FROM (SELECT workflow_name FROM fx_workflow_steps i WHERE i.step_name = o.step_name AND phase = 'Succeeded' INTERSECT SELECT workflow_name FROM fx_workflow_steps i WHERE i.step_name = o.step_name AND phase = 'Failed')) AS n_both
+FROM fx_workflow_steps o GROUP BY 1""")
+add("A2_distinct_users_sketched", ["events"], distinct_users, "SELECT event_type, count(DISTINCT user_id) AS n, TRUE AS within_bound FROM events GROUP BY 1")
 add("A6_safe_ratio", ["fx_etl_perf"], lambda p: p.groupBy("run_id").agg(F.sum("output_bytes").alias("o"), F.sum("input_bytes").alias("i")).select("run_id", E.ratio("o", "i").alias("kept")),
     "SELECT run_id, round(CASE WHEN sum(input_bytes) > 0 THEN sum(output_bytes) / sum(input_bytes) END, 6) AS kept FROM fx_etl_perf GROUP BY 1")
 add("A10_daily_etl", ["fx_etl_perf"], lambda p: W.daily_etl(W.fact_etl_run(p)).drop("etl_family"),
@@ -53,12 +103,34 @@ NOW = datetime(2024, 2, 1)
 add("A18_heartbeat_age", ["fx_heartbeats"], lambda h: A.ages(h, "phase", "updated_at", F.lit(NOW)), "SELECT phase, round(epoch_us(TIMESTAMP '2024-02-01') / 1e6 - epoch_us(max(updated_at)) / 1e6, 6) AS age_sec FROM fx_heartbeats GROUP BY 1")
 add("A19_flag_counts", ["fx_ev"], lambda d: A.flag_counts(d.withColumn("passed", F.when(F.col("k") % 3 == 0, None).otherwise(F.col("k") % 2 == 0)), "passed"),
     "SELECT CASE WHEN k % 3 = 0 THEN 'unknown' WHEN k % 2 = 0 THEN 'pass' ELSE 'fail' END AS outcome, count(*) AS n FROM fx_ev GROUP BY 1")
-add("A20_quality_summary", [*SOURCES, "fx_profiles"], lambda *t: O.quality_summary(dashboard_of(*t), DAY), f"""
-WITH {FACTS}, {QUALITY_PARTS}, d AS (SELECT *, 50 * coalesce(qc_pass_rate, 1) + 30 * coalesce(etl_success_rate, 1) + 20 * coalesce(workflow_success_rate, 1) AS quality_score,
-    CASE WHEN coalesce(qc_pass_rate, 1) < 0.8 OR coalesce(etl_success_rate, 1) < 0.8 THEN 2 WHEN coalesce(qc_pass_rate, 1) < 0.95 THEN 1 ELSE 0 END AS level FROM quality WHERE dt = {SD})
-SELECT count(*) AS n_rows, count(DISTINCT dataset_id) AS datasets, round(avg(qc_pass_rate), 6) AS avg_qc_pass_rate, round(avg(etl_success_rate), 6) AS avg_etl_success_rate, round(avg(workflow_success_rate), 6) AS avg_workflow_success_rate,
-    round(avg(quality_score), 6) AS avg_quality_score, CAST(sum(ml_ready_rows) AS BIGINT) AS ml_ready_rows, CASE max(level) WHEN 2 THEN 'CRITICAL' WHEN 1 THEN 'WARN' ELSE 'OK' END AS worst_alert,
-    round(quantile_cont(p95_workflow_step_duration_sec, 0.95), 6) AS p95_duration_sec FROM d""")
+INFERENCE_VIEWS = ["fx_jobs", "fx_outputs", "fx_models"]
+
+
+def day_summary(*t, day=DAY):
+    *sources, profiles, jobs, outputs, models = t
+    return O.quality_summary(dashboard_of(*sources, profiles), archived(W.fact_workflow_step(sources[2], sources[3])), W.dws_inference_job_daily(jobs, outputs, models), day, sources[4], None)
+
+
+def archived(steps):
+    """Steps with a log where they failed."""
+    return steps.withColumn("archive_log_uri", F.when(F.col("exit_code") == 1, F.concat(F.lit("s3://logs/"), "pod_name", F.lit(".log"))))
+
+
+def summary_sql(day: str) -> str:
+    return f"""
+WITH {FACTS}, {QUALITY_PARTS}, {INFERENCE}, b AS (SELECT dt, dataset_id, version, sum(bytes) FILTER (layer IN ('raw', 'ods')) AS raw_bytes, sum(bytes) FILTER (layer = 'dwd') AS dwd_bytes FROM profiles GROUP BY 1, 2, 3),
+d AS (SELECT *, 50 * coalesce(qc_pass_rate, 1) + 30 * coalesce(etl_success_rate, 1) + 20 * coalesce(workflow_success_rate, 1) AS quality_score,
+    CASE WHEN coalesce(qc_pass_rate, 1) < 0.8 OR coalesce(etl_success_rate, 1) < 0.8 THEN 2 WHEN coalesce(qc_pass_rate, 1) < 0.95 THEN 1 ELSE 0 END AS level FROM quality LEFT JOIN b USING (dt, dataset_id, version) WHERE dt = {day}),
+x AS (SELECT count(*) AS n_rows, count(DISTINCT (dataset_id, version)) AS datasets, avg(qc_pass_rate) AS avg_qc_pass_rate, avg(etl_success_rate) AS avg_etl_success_rate, avg(workflow_success_rate) AS avg_workflow_success_rate,
+    avg(quality_score) AS avg_quality_score, CAST(coalesce(sum(ml_ready_rows), 0) AS BIGINT) AS ml_ready_rows, CAST(coalesce(sum(raw_bytes), 0) AS BIGINT) AS raw_bytes, CAST(coalesce(sum(dwd_bytes), 0) AS BIGINT) AS dwd_bytes,
+    CASE max(level) WHEN 2 THEN 'CRITICAL' WHEN 1 THEN 'WARN' ELSE 'OK' END AS worst_alert FROM d),
+y AS (SELECT quantile_cont(duration_sec, 0.95) AS p95_step_duration_sec, count(DISTINCT pod_name) FILTER (exit_code = 1) AS archived_logs FROM steps WHERE dt = {day}),
+z AS (SELECT CAST(coalesce(sum(job_count), 0) AS BIGINT) AS inference_jobs, sum(success_count) / nullif(sum(job_count), 0) AS inference_success_rate, avg(samples_per_sec) AS inference_samples_per_sec FROM inf WHERE dt = {day}),
+v AS (SELECT count(*) AS exports FROM fx_ml_ready WHERE CAST(created_at AS DATE) = {day})
+SELECT * REPLACE ({', '.join(f'round({c}, 6) AS {c}' for c in ('avg_qc_pass_rate', 'avg_etl_success_rate', 'avg_workflow_success_rate', 'avg_quality_score', 'p95_step_duration_sec', 'inference_success_rate', 'inference_samples_per_sec'))}) FROM x, y, z, v"""
+
+
+add("A20_quality_summary", [*SOURCES, "fx_profiles", *INFERENCE_VIEWS], day_summary, summary_sql(SD))
 METRICS = """o AS (SELECT job_id, count(*) AS total, count(*) FILTER (status = 'OK') AS ok, avg(latency_ms) AS avg_latency_ms, quantile_cont(latency_ms, 0.5) AS p50_latency_ms, quantile_cont(latency_ms, 0.95) AS p95_latency_ms,
     quantile_cont(latency_ms, 0.99) AS p99_latency_ms FROM fx_outputs GROUP BY 1), im AS (SELECT job_id, total, ok, CASE WHEN duration_sec > 0 THEN ok / duration_sec END AS samples_per_sec, avg_latency_ms, p50_latency_ms, p95_latency_ms, p99_latency_ms, (total - ok) / total AS error_rate FROM o JOIN fx_jobs USING (job_id))"""
 add("A21_inference_metrics", ["fx_outputs", "fx_jobs"], A.inference_metrics,
@@ -126,7 +198,7 @@ add("F6_glob_filter", ["fx_files"], lambda f: O.lake_listing(f, "raw/doc_1*", "*
 add("P29_lake_listing", ["fx_files"], O.lake_listing, "SELECT split_part(uri, '/', 1) AS layer, count(*) AS objects, CAST(sum(size_bytes) AS BIGINT) AS bytes, count(DISTINCT (dataset_id, version)) AS slices FROM fx_files GROUP BY 1")
 add("F8_abnormal", [*SOURCES, "fx_profiles"], lambda *t: O.abnormal(dashboard_of(*t)).select("dt", "dataset_id", "version", "alert_level"),
     f"WITH {FACTS}, {QUALITY_PARTS} SELECT dt, dataset_id, version, CASE WHEN coalesce(qc_pass_rate, 1) < 0.8 OR coalesce(etl_success_rate, 1) < 0.8 THEN 'CRITICAL' ELSE 'WARN' END AS alert_level FROM quality WHERE coalesce(qc_pass_rate, 1) < 0.95 OR coalesce(etl_success_rate, 1) < 0.8")
-add("L1_top_rules", ["fx_qc_runs"], lambda q: O.top_rules(W.dws_rule_failure_daily(W.fact_qc_rule_result(q)), 3), f"WITH {FACTS}, {RULE_DAILY} SELECT rule_id, CAST(sum(fail_count) AS BIGINT) AS fail_count FROM rule_daily GROUP BY 1 HAVING sum(fail_count) > 0 ORDER BY 2 DESC, 1 LIMIT 3")
+add("L1_top_rules", ["fx_qc_runs"], lambda q: O.top_rules(W.dws_rule_failure_daily(W.fact_qc_rule_result(q)), 3), f"WITH {FACTS}, {RULE_DAILY} SELECT dt, contract_id, rule_id, severity, dataset_family, fail_count, run_count, round(fail_rate, 6) AS fail_rate FROM rule_daily WHERE fail_count > 0 ORDER BY fail_count DESC, rule_id, dt, contract_id, severity, dataset_family LIMIT 3")
 add("L2_newest", ["fx_etl_perf"], lambda p: p.orderBy(F.desc_nulls_last("created_at"), "job_id").limit(20).select("job_id", "created_at"), "SELECT job_id, created_at FROM fx_etl_perf ORDER BY created_at DESC NULLS LAST, job_id LIMIT 20")
 add("L3_queue_order", ["fx_jobs"], lambda j: j.where("status <> 'SUCCEEDED'").orderBy(F.desc("total_samples"), "created_at", "job_id").limit(10).select("job_id", "total_samples"), "SELECT job_id, total_samples FROM fx_jobs WHERE status <> 'SUCCEEDED' ORDER BY total_samples DESC, created_at, job_id LIMIT 10")
 add("L4_sample_limit", ["fx_outputs"], lambda o: o.orderBy("sample_id").limit(100).select("sample_id"), "SELECT sample_id FROM fx_outputs ORDER BY sample_id LIMIT 100")
@@ -303,6 +375,12 @@ def transitions(e):
 add("T24_illegal_transitions", ["events"], transitions, "SELECT from_status, to_status, job_id, event_id FROM (SELECT user_id AS job_id, event_id, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS from_status, event_type AS to_status FROM events) WHERE from_status <> to_status AND (from_status, to_status) NOT IN (('signup', 'view'), ('view', 'click'), ('click', 'purchase'), ('view', 'purchase'))")
 add("P24_lineage_report", ["fx_workflow_runs", "fx_workflow_steps"], O.lineage_report,
     "SELECT r.*, n_steps, failed_steps, round(total_sec, 6) AS total_sec FROM fx_workflow_runs r LEFT JOIN (SELECT workflow_namespace, workflow_name, count(*) AS n_steps, count(*) FILTER (upper(phase) IN ('FAILED', 'ERROR')) AS failed_steps, sum(duration_sec) AS total_sec FROM fx_workflow_steps GROUP BY 1, 2) s ON s.workflow_namespace IS NOT DISTINCT FROM r.workflow_namespace AND s.workflow_name = r.workflow_name")
+add("P24_lineage_related", ["fx_workflow_steps", "fx_qc_runs", "fx_ml_ready", "fx_profiles"], lambda s, q, m, p: O.lineage_related(s, q, m, p, "wf-1", "ns"), """
+WITH a AS (SELECT 'step' AS section, row_number() OVER (ORDER BY started_at, pod_name) AS place, pod_name AS id, dataset_id, version, phase AS status, started_at AS at FROM fx_workflow_steps WHERE workflow_name = 'wf-1' AND workflow_namespace = 'ns' QUALIFY place <= 500),
+b AS (SELECT 'qc_run' AS section, row_number() OVER (ORDER BY created_at DESC, run_id) AS place, run_id, dataset_id, version, status, created_at FROM fx_qc_runs QUALIFY place <= 20),
+c AS (SELECT 'ml_ready' AS section, row_number() OVER (ORDER BY created_at DESC, ml_id) AS place, CAST(ml_id AS VARCHAR), dataset_id, version, output_uri, created_at FROM fx_ml_ready QUALIFY place <= 20),
+d AS (SELECT 'profile' AS section, row_number() OVER (ORDER BY created_at DESC, profile_id) AS place, profile_id, dataset_id, version, layer, created_at FROM fx_profiles QUALIFY place <= 20)
+SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c UNION ALL SELECT * FROM d""")
 add("P25_manifest_audit", ["fx_versions"], lambda v: O.manifest_audit(v.select("dataset_id", "version"), v.where("dataset_id <> 'ds_0'").select("dataset_id", "version", F.when(F.col("version") == "v1", F.lit('{"files":1,"rows":2}')).otherwise('{"files":1}').alias("manifest_json")), ["dataset_id", "version"], ("files", "rows", "job")),
     "SELECT dataset_id, version, CASE WHEN dataset_id = 'ds_0' THEN 'files,rows,job' WHEN version = 'v1' THEN 'job' ELSE 'rows,job' END AS missing_keys, CASE WHEN dataset_id = 'ds_0' THEN 'FAIL' ELSE 'WARN' END AS status FROM fx_versions")
 
@@ -314,7 +392,9 @@ def reingest(e):
 
 
 add("P26_reingest", ["events"], reingest, "SELECT event_id, event_type FROM events WHERE event_id % 10 <> 9")
-add("P27_size_buckets", ["fx_files"], lambda f: A.running_buckets(f, 50_000, 8).groupBy("dataset_id", "bucket").agg(F.count("*").alias("n"), F.sum("size_bytes").alias("bytes")))
+add("P27_size_buckets", ["fx_files"], lambda f: A.running_buckets(f, 50_000, 8).select("dataset_id", "uri", "size_bytes", "bucket"), """
+WITH o AS (SELECT dataset_id, uri, size_bytes, coalesce(sum(size_bytes) OVER (PARTITION BY dataset_id ORDER BY size_bytes DESC, uri ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead FROM fx_files)
+SELECT dataset_id, uri, size_bytes, CAST(least(ahead // 50000 + 1, 8) AS INT) AS bucket FROM o""")
 add("P30_reconcile", ["fx_files"], lambda f: O.reconciled(f, f.where("size_bytes % 7 > 0").withColumn("size_bytes", F.when(F.col("size_bytes") % 5 == 0, F.col("size_bytes") + 1).otherwise(F.col("size_bytes"))), ["dataset_id", "version"]),
     "SELECT dataset_id, version, count(*) FILTER (size_bytes % 7 = 0) AS missing, count(*) FILTER (size_bytes % 7 > 0 AND size_bytes % 5 = 0) AS wrong_size, count(*) FILTER (size_bytes % 7 > 0 AND size_bytes % 5 > 0) AS present, CAST(coalesce(sum(size_bytes) FILTER (size_bytes % 7 > 0 AND size_bytes % 5 > 0), 0) AS BIGINT) AS present_bytes, CASE WHEN count(*) FILTER (size_bytes % 7 = 0) > 0 THEN 'FAIL' WHEN count(*) FILTER (size_bytes % 5 = 0) > 0 THEN 'WARN' ELSE 'PASS' END AS status FROM fx_files GROUP BY 1, 2")
 add("P31_probe_summary", ["fx_probes"], lambda p: Q.probe_summary(probes_of(p), SLICE).withColumn("columns", F.concat_ws(",", "columns")), f"""
@@ -324,7 +404,7 @@ SELECT dataset_id, version, count(*) AS files_count, CAST(sum(size_bytes) AS BIG
 FROM fx_probes LEFT JOIN c USING (dataset_id, version) GROUP BY 1, 2""")
 add("P32_phase_rows", ["fx_etl_perf"], lambda p: O.phase_rows(p.select("job_id", *((F.col("duration_sec") * k).alias(f"{n}_sec") for n, k in (("normalize", 1.0), ("features", 2.0), ("ads", 3.0)))), ["job_id"]),
     "SELECT job_id, u.phase, round(duration_sec * u.m, 6) AS duration_sec FROM fx_etl_perf, LATERAL (VALUES ('normalize', 1), ('features', 2), ('ads', 3)) u(phase, m)")
-add("P19_report_top_rules_of_day", ["fx_qc_runs"], lambda q: O.top_rules(W.within(W.dws_rule_failure_daily(W.fact_qc_rule_result(q)), (DAY, DAY)), 5), f"WITH {FACTS}, {RULE_DAILY} SELECT rule_id, CAST(sum(fail_count) AS BIGINT) AS fail_count FROM rule_daily WHERE dt = {SD} GROUP BY 1 HAVING sum(fail_count) > 0 ORDER BY 2 DESC, 1 LIMIT 5")
+add("P19_report_top_rules_of_day", ["fx_qc_runs"], lambda q: O.top_rules(W.within(W.dws_rule_failure_daily(W.fact_qc_rule_result(q)), (DAY, DAY)), 5), f"WITH {FACTS}, {RULE_DAILY} SELECT dt, contract_id, rule_id, severity, dataset_family, fail_count, run_count, round(fail_rate, 6) AS fail_rate FROM rule_daily WHERE dt = {SD} AND fail_count > 0 ORDER BY fail_count DESC, rule_id, contract_id, severity, dataset_family LIMIT 5")
 
 # ---------------------------------------------------------------- sources, sinks and streams (written to the shared folder and read back)
 
@@ -514,15 +594,15 @@ def _(spark, sf):
     return X.liveness_now(done).select(*X.BEAT, "event_id", "state")
 
 
-@run("X4_incremental_daily", "SELECT CAST(ts AS DATE) AS dt, count(*) AS n FROM events GROUP BY 1")
+@run("X4_incremental_daily", "SELECT CAST(ts AS DATE) AS dt, event_type, count(*) AS n, CAST(sum(user_id) AS BIGINT) AS users FROM events GROUP BY 1, 2")
 def _(spark, sf):
     source, path = scratch.folder(spark, "facts"), scratch.folder(spark, "x4")
-    frame(spark, sf, "events").select("event_id", F.to_date("ts").alias("dt")).repartition(3).write.parquet(source)
-    facts = spark.readStream.schema("event_id long, dt date").option("maxFilesPerTrigger", 1).parquet(source)
-    read = lambda s: s.read.schema("event_id long, dt date").parquet(f"{path}/facts")
-    daily = lambda d: d.groupBy("dt").agg(F.count("*").alias("n"))
-    X.refreshing(facts, read, daily, path).option("checkpointLocation", scratch.folder(spark, "x4-state")).trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{path}/daily").select("dt", "n")
+    frame(spark, sf, "events").select("event_id", "event_type", "user_id", F.to_date("ts").alias("dt")).repartition(3).write.parquet(source)
+    facts = spark.readStream.schema("event_id long, event_type string, user_id long, dt date").option("maxFilesPerTrigger", 1).parquet(source)
+    states = lambda d: d.groupBy("dt", "event_type").agg(F.count("*").alias("n"), F.sum("user_id").alias("users"))
+    merged = lambda d: d.groupBy("dt", "event_type").agg(F.sum("n").alias("n"), F.sum("users").alias("users"))
+    X.refreshing(facts, states, merged, path).option("checkpointLocation", scratch.folder(spark, "x4-state")).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{path}/daily").select("dt", "event_type", "n", "users")
 
 
 # ---------------------------------------------------------------- the remaining small operators by name
@@ -539,8 +619,12 @@ add("S3_backfill_candidates", ["fx_etl_perf", "fx_workflow_steps", "fx_workflow_
     f"WITH {FACTS} SELECT dt, dataset_id, version, phase FROM etl WHERE upper(status) IN ('FAIL', 'FAILED', 'ERROR', 'WARN') AND dt BETWEEN {SD} AND DATE '2024-01-20' UNION SELECT dt, dataset_id, version, 'workflow' FROM steps WHERE upper(phase) IN ('FAILED', 'ERROR') AND dataset_id IS NOT NULL AND dt BETWEEN {SD} AND DATE '2024-01-20'")
 add("S3_backfill_days", ["events"], lambda e: O.backfill_days(e.sparkSession, (DAY, date(2024, 1, 9)), "ds_1", "v1").join(e.groupBy(F.to_date("ts").alias("dt")).agg(F.count("*").alias("n_events")), "dt"),
     f"SELECT CAST(d AS DATE) AS dt, 'ds_1' AS dataset_id, 'v1' AS version, 'normalize' AS phase, count(*) AS n_events FROM (SELECT unnest(generate_series({SD}, DATE '2024-01-09', INTERVAL 1 DAY)) AS d) JOIN events ON CAST(ts AS DATE) = CAST(d AS DATE) GROUP BY ALL")
-add("P19_day_summary", [*SOURCES, "fx_profiles"], lambda *t: O.quality_summary(dashboard_of(*t), date(2024, 1, 12)).select("n_rows", "datasets", "worst_alert"), f"""
-WITH {FACTS}, {QUALITY_PARTS} SELECT count(*) AS n_rows, count(DISTINCT dataset_id) AS datasets, CASE max(CASE WHEN coalesce(qc_pass_rate, 1) < 0.8 OR coalesce(etl_success_rate, 1) < 0.8 THEN 2 WHEN coalesce(qc_pass_rate, 1) < 0.95 THEN 1 ELSE 0 END) WHEN 2 THEN 'CRITICAL' WHEN 1 THEN 'WARN' ELSE 'OK' END AS worst_alert FROM quality WHERE dt = DATE '2024-01-12'""")
+add("P19_day_summary", [*SOURCES, "fx_profiles", *INFERENCE_VIEWS], lambda *t: day_summary(*t, day=date(2024, 1, 12)), summary_sql("DATE '2024-01-12'"))
+add("P19_report_workflows", ["fx_workflow_steps", "fx_workflow_runs"], lambda s, r: W.within(W.dws_workflow_ops_daily(W.fact_workflow_step(s, r)), (DAY, DAY)).select("workflow_type", "workflow_count", "success_count", "failed_count", "success_rate", "p95_duration_sec"),
+    f"WITH {FACTS}, {OPS} SELECT workflow_type, workflow_count, success_count, failed_count, round(success_rate, 6) AS success_rate, round(p95_duration_sec, 6) AS p95_duration_sec FROM ops WHERE dt = {SD}")
+add("P19_report_log_index", ["fx_workflow_steps", "fx_workflow_runs"], lambda s, r: O.log_index(archived(W.fact_workflow_step(s, r)), DAY),
+    f"WITH {FACTS} SELECT DISTINCT 's3://logs/' || pod_name || '.log' AS archive_log_uri FROM steps WHERE dt = {SD} AND exit_code = 1")
+
 
 
 def user_scores(d):

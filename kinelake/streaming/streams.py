@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -85,17 +86,40 @@ def liveness_batch(heartbeats: DataFrame, warn: float, stale: float, now: Column
     return last.withColumn("state", F.when(age >= stale * 1e6, "stale").when(age >= warn * 1e6, "warn").otherwise("ok"))
 
 
-def refreshing(facts: DataFrame, read_all: Callable[[SparkSession], DataFrame], daily: Callable[[DataFrame], DataFrame], path: str):
-    """A writer that recomputes the days that a batch of new facts touches, and overwrites just these."""
-    from ..sources.tables import append, write_daily
-
-    def batch(df: DataFrame, _: int) -> None:
-        spark = df.sparkSession
-        append(df, f"{path}/facts")
-        days = df.select("dt").distinct()
-        write_daily(daily(read_all(spark).join(days, "dt", "left_semi")), f"{path}/daily")
-
-    return facts.writeStream.foreachBatch(batch)
+def committed(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger of a mart: batch, n_rows of every batch that is wholly in it."""
+    try:
+        return spark.read.schema("n_rows long, batch long").parquet(f"{path}/ledger")
+    except AnalysisException as e:  # before the first batch
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], "n_rows long, batch long")
+
+
+def merged_batch(df: DataFrame, batch: int, states: Callable[[DataFrame], DataFrame], merged: Callable[[DataFrame], DataFrame], path: str) -> None:
+    """Brings a batch of facts into the mart under ``path``/daily; the same batch again gives the same mart.
+
+    ``states`` makes mergeable partial rows per day (column dt) of facts, ``merged`` makes mart rows of partial rows. A batch's facts
+    and states are written under its id, over what a failed attempt may have left. The days that it touches are then made anew
+    from the states of these days only, of batches in the ledger and of this one; the ledger is written last."""
+    spark = df.sparkSession
+    write = lambda rows, name, *by: rows.write.mode("overwrite").partitionBy(*by).parquet(f"{path}/{name}/batch={batch}")
+    write(df, "facts", "dt")
+    kept = spark.read.schema(df.schema).parquet(f"{path}/facts/batch={batch}")
+    own = states(kept)
+    write(own, "states", "dt")
+    known = committed(spark, path).select("batch").union(spark.createDataFrame([(batch,)], "batch long")).distinct()
+    days = [r.dt for r in kept.select("dt").distinct().collect()]  # of one batch; as literals they prune the folders that are read
+    if days:
+        every = spark.read.schema(own.schema.add("batch", "long")).parquet(f"{path}/states")
+        touched = every.where(F.col("dt").isin(days)).join(F.broadcast(known), "batch", "left_semi").drop("batch")  # a number per batch
+        merged(touched).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(f"{path}/daily")
+    spark.createDataFrame([(kept.count(),)], "n_rows long").write.mode("overwrite").parquet(f"{path}/ledger/batch={batch}")
+
+
+def refreshing(facts: DataFrame, states: Callable[[DataFrame], DataFrame], merged: Callable[[DataFrame], DataFrame], path: str):
+    """A writer that keeps a daily mart of a stream of facts exactly once; see ``merged_batch``."""
+    return facts.writeStream.foreachBatch(lambda df, batch: merged_batch(df, batch, states, merged, path))
 
 
 def drained(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> DataFrame:
