@@ -41,6 +41,30 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Intermediate tables of one operator in a folder of their own under the checkpoint folder; ``drop`` and ``clear`` delete what later
+    tables, already written, no longer need."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.top = spark, f"{checkpoint_dir(spark)}/scratch-{uuid.uuid4().hex}"
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.top}/{name}"
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            self._delete(f"{self.top}/{name}")
+
+    def clear(self) -> None:
+        self._delete(self.top)
+
+    def _delete(self, path: str) -> None:
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
     """A narrow written table, marked for broadcast if it has at most ``rows`` rows; larger ones are shuffled."""
     return F.broadcast(df) if df.count() <= rows else df

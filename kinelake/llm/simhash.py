@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, chunks, hash_sample, mixed, small, utf8, written
+from .common import Scratch, bounded_batches, chunks, hash_sample, mixed, small, utf8, written
 
 SEED = 42
 #: Rows of one bucket that one task compares; larger buckets are dealt out as pairs of blocks.
@@ -310,7 +310,8 @@ def unpacked_set(raw: bytes) -> np.ndarray:
 
 
 def similar_pairs(pairs: DataFrame, docs: DataFrame, words: int, least: float) -> DataFrame:
-    """Of pairs (a, b) of ids of docs (id, text), those whose sets of hashed shingles have a Jaccard similarity of ``least``."""
+    """Of pairs (a, b) of ids of docs (id, text), those whose sets of hashed shingles have a Jaccard similarity of ``least``, as a table.
+    A text's set is made once, however many pairs it is in."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -327,10 +328,13 @@ def similar_pairs(pairs: DataFrame, docs: DataFrame, words: int, least: float) -
             yield batch.select(["a", "b"]).filter(pa.array(yes, pa.bool_()))
 
     bounded_batches(docs.sparkSession)
-    ids = small(written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "pair-ids"))
-    known = written(docs.join(ids, "id", "left_semi").select("id", "text").mapInArrow(sets, "id long, s binary"), "shingle-sets")
+    scratch = Scratch(docs.sparkSession)
+    ids = small(scratch.written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids"))
+    known = scratch.written(docs.join(ids, "id", "left_semi").select("id", "text").mapInArrow(sets, "id long, s binary"), "sets")
     both = pairs.join(known.select(F.col("id").alias("a"), "s"), "a").join(known.select(F.col("id").alias("b"), F.col("s").alias("t")), "b")
-    return both.select("a", "b", "s", "t").mapInArrow(alike, "a long, b long")
+    out = written(both.select("a", "b", "s", "t").mapInArrow(alike, "a long, b long"), "links")
+    scratch.clear()
+    return out
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 4, distance: int = 4, lanes: int = 1, plan: list[tuple[list[int], int]] | None = None) -> DataFrame:
