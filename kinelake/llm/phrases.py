@@ -32,8 +32,8 @@ from .common import LOWER, PrefixHash, bounded_batches, mixed, small, utf8, writ
 
 #: Fixed values of the text model: bytes that end a piece, bytes between words.
 PIECE_END, BLANK = b".,;:!?\n\x0b\x0c\r", b" \t"
-BITS = 27
-SLICE = 4 << 20
+BITS = 26
+SLICE = 2 << 20
 
 KIND = np.zeros(256, np.int8)
 KIND[list(BLANK)] = 1
@@ -79,7 +79,7 @@ class Words:
         encoded = array.dictionary_encode()
         self.code = encoded.indices.to_numpy().astype(np.int64)
         self.words = encoded.dictionary
-        self.piece = np.cumsum(kind == 2)[start] if len(start) else np.zeros(0, np.int64)
+        self.piece = np.cumsum(kind == 2, dtype=np.int32)[start] if len(start) else np.zeros(0, np.int64)
 
     def hashes(self, salt: np.uint64) -> np.ndarray:
         n = len(self.words)
