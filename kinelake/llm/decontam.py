@@ -1,22 +1,30 @@
-"""Benchmark decontamination: every place where a document can align with a test item well enough is aligned.
+"""Benchmark decontamination: rare n-gram seeds join documents to test items, alignment scores what they share.
 
-Words are lower-cased runs of letters and digits (any byte above ASCII counts as a letter). An alignment that reaches the
-share ``least`` of the best possible score matches at least that share of the item's words, and spans a bounded number of
-the document's words. So a document passes if it has that many of the item's words (repeated ones as often as both have
-them), and a window passes if it has as many of them in the item's order. Windows that pass are aligned locally with the item;
-they overlap by what an alignment can span, so the score is Smith-Waterman's over the whole text. No seed is needed, and
-how many documents share an item's words doesn't matter. ``seeds`` counts the window's n-grams that the item has.
+Words are lower-cased runs of letters and digits (any byte above ASCII counts as a letter). An n-gram that at most ``RARE`` items
+have is a seed: the places around a seed that a document shares with an item are aligned with it (Smith-Waterman).
 
-Items are taken in blocks of ``block`` items, whose words are broadcast: what a block holds doesn't grow with the data.
+No seed finds every edited copy, so pairs are completed by a condition that each good alignment meets. An alignment that
+reaches the share ``least`` of the best possible score matches at least that share of an item's L words and spans a bounded
+number of the document's words. So all but L - need of the item's distinct words are in that span, and of any L - need + t
+distinct words at least t. For each item the words that are rarest in the text at hand are taken, and only places where t of
+them are close enough are looked at. The work grows with such places, not with documents times items.
+
+Places are windows that overlap by what an alignment can span, so the score is Smith-Waterman's over the whole text. A window is
+aligned only if it has enough of the item's words, in the item's order. ``seeds`` counts the n-grams of the item in the best
+window; ``by_seed`` tells whether a rare one led there.
+
+Items are taken in blocks of ``block``, each broadcast on its own: what a block holds doesn't grow with the data. Several
+blocks are worked off one after the other, each into a table.
 
 Defined results: null and empty texts match nothing; items of fewer than ``n`` words are too short to tell a copy and match nothing;
-items of the same text are reported each; repeated rows are reported once per (doc_id, item_id); null ids are kept;
-empty tables give an empty result.
+items of the same text are reported each; repeated rows are reported once per (doc_id, item_id); null ids are kept; very long texts
+are taken whole; other columns, whatever their names, are not read; empty tables give an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from math import ceil
 
 import numpy as np
@@ -24,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PrefixHash, bounded_batches, chunks, joined, mixed, utf8
+from .common import PrefixHash, bounded_batches, chunks, joined, mixed, utf8, written
 
 KEPT = np.full(256, 32, np.uint8)
 KEPT[128:] = np.arange(128, 256)
@@ -73,140 +81,205 @@ def aligned(item: np.ndarray, windows: np.ndarray) -> np.ndarray:
     return best
 
 
-def in_order(item: np.ndarray, windows: np.ndarray, size: int) -> np.ndarray:
-    """How many of an item's words each row of windows has in the same order at most (bit-parallel longest common
-    subsequence). item: per word its places among the item's ``size`` <= 64 words as bits; windows: words."""
-    rest = np.full(len(windows), 2**64 - 1, np.uint64)
-    for column in windows.T:
-        both = rest & item[column]
-        rest = (rest + both) | (rest - both)
-    return size - np.bitwise_count(rest & np.uint64(2**size - 1)).astype(np.int64)
+#: A seed is an n-gram that at most so many items have. Hits that are sorted at once.
+RARE, HITS = 20, 2_000_000
 
 
 def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", n: int = 4, least: float = 0.5, block: int = 20_000) -> DataFrame:
-    """(doc_id, item_id, score, seeds): pairs whose alignment reaches ``least`` of the item's full score."""
-    spark = docs.sparkSession
+    """(doc_id, item_id, score, seeds, by_seed): pairs whose alignment reaches ``least`` of the item's full score."""
+    bounded_batches(docs.sparkSession)
     items = items.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text"))
+    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where("text is not null")
     blocks = max(1, -(-items.count() // block))
-    parts = [of_block(docs, items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b), doc_id, text, n, least) for b in range(blocks)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    bounded_batches(spark)
-    return out
-
-
-def copies(doc: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Of each occurrence of a word in a document, how many came before it."""
-    order = np.lexsort((word, doc))
-    new = np.concatenate([[True], (doc[order][1:] != doc[order][:-1]) | (word[order][1:] != word[order][:-1])])[: len(doc)]
-    first = np.flatnonzero(new)
-    out = np.zeros(len(doc), np.int64)
-    out[order] = np.arange(len(doc)) - np.repeat(first, np.diff(np.append(first, len(doc))))
-    return out
-
-
-def sharing(doc: np.ndarray, feature: np.ndarray, n: int, begin: np.ndarray, items: np.ndarray, need: np.ndarray) -> np.ndarray:
-    """Rows (item, document), sorted, of the n documents (in order) that have as many of an item's features as it needs.
-    begin, items: the items of each feature, one after the other."""
-    out = [np.zeros((0, 2), np.int64)]
-    step = max(1, 500_000 // max(1, len(need)))
-    for d in range(0, n, step):
-        rows = slice(*np.searchsorted(doc, [d, d + step]))
-        f = feature[rows]
-        many = begin[f + 1] - begin[f]
-        at = np.arange(many.sum()) + np.repeat(begin[f] - np.cumsum(many) + many, many)
-        common = np.bincount(np.repeat(doc[rows] - d, many) * len(need) + items[at], minlength=0)
-        code = np.flatnonzero(common)
-        code = code[common[code] >= need[code % len(need)]]
-        out.append(np.stack([code % len(need), code // len(need) + d], 1))
-    found = np.concatenate(out)
-    return found[np.lexsort((found[:, 1], found[:, 0]))]
-
-
-def of_block(docs: DataFrame, items: DataFrame, doc_id: str, text: str, n: int, least: float) -> DataFrame:
-    spark = docs.sparkSession
-    bounded_batches(spark)
+    if blocks == 1:
+        return of_block(texts, items, n, least)
+    parts = [written(of_block(texts, items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b), n, least), "aligned-pairs") for b in range(blocks)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+class Items:
+    """A block of items: their words, which items have a word, and which have a rare n-gram."""
+
+    def __init__(self, rows: list[tuple[int, bytes]], n: int, least: float):
+        hashes, at = words_of([t for _, t in rows])
+        long = [i for i in range(len(rows)) if at[i + 1] - at[i] >= n]
+        self.n, self.least = n, least
+        self.names = [rows[i][0] for i in long]
+        self.words = [hashes[at[i] : at[i + 1]] for i in long]
+        self.size = np.array([len(w) for w in self.words], np.int64)
+        self.need = np.array([ceil(least * x - 1e-9) for x in self.size], np.int64)
+        self.span = np.array([ceil((3 - 2 * least) * x) for x in self.size], np.int64)
+        flat = np.concatenate([np.zeros(0, np.uint64), *self.words])
+        self.known = np.unique(flat)
+        owner, word = np.repeat(np.arange(len(long)), self.size), np.searchsorted(self.known, flat)
+        place = np.arange(len(flat)) - np.repeat(np.cumsum(self.size) - self.size, self.size)
+        # distinct words of each item, with their places as bits (items of up to 64 words)
+        self.key, first = np.unique(owner * max(1, len(self.known)) + word, return_inverse=True)
+        self.bits = np.zeros(len(self.key), np.uint64)
+        np.bitwise_or.at(self.bits, first, np.uint64(1) << (place % 64).astype(np.uint64))
+        self.owner, self.word = self.key // max(1, len(self.known)), self.key % max(1, len(self.known))
+        spare = self.size - self.need  # so many distinct words an alignment may lack
+        distinct = np.bincount(self.owner, minlength=len(long))
+        self.times = np.clip(distinct - spare, 1, 3)
+        self.taken = np.minimum(distinct, spare + self.times)
+        grams = [np.unique(ngrams(w, n)) for w in self.words]
+        all_grams, of = np.concatenate([np.zeros(0, np.uint64), *grams]), np.repeat(np.arange(len(long)), [len(g) for g in grams])
+        order = np.argsort(all_grams, kind="stable")
+        all_grams, of = all_grams[order], of[order]
+        seed, start, many = np.unique(all_grams, return_index=True, return_counts=True)
+        rare = many <= RARE
+        self.seed, self.seed_items = seed[rare], of[np.repeat(rare, many)]
+        self.seed_begin = np.concatenate([[0], np.cumsum(many[rare])])
+
+
+def spread(begin: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """begin, begin + 1, .. for each of several stretches, one after the other."""
+    return np.repeat(begin - (np.cumsum(many) - many), many) + np.arange(many.sum())
+
+
+class Places:
+    """Windows (item, document, number) of a batch of texts that may hold a good alignment."""
+
+    def __init__(self, items: Items, h: np.ndarray, at: np.ndarray):
+        self.items, self.h, self.at = items, h, at
+        self.word = np.minimum(np.searchsorted(items.known, h), len(items.known) - 1)
+        self.word[items.known[self.word] != h] = len(items.known)
+
+    def windows(self, item: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Rows (item, document, number): where an alignment may start that has the words at first and last."""
+        it = self.items
+        doc = np.searchsorted(self.at, first, "right") - 1
+        begin, step = self.at[doc], it.size[item]
+        low = np.maximum(last - it.span[item] + 1 - begin, 0) // step
+        many = (first - begin) // step - low + 1
+        rows = np.stack([np.repeat(item, many), np.repeat(doc, many), spread(low, many)], 1)
+        return np.unique(rows, axis=0)
+
+    def seeded(self) -> np.ndarray:
+        it = self.items
+        g = ngrams(self.h, it.n)
+        if not len(g) or not len(it.seed):
+            return np.zeros((0, 3), np.int64)
+        place = np.minimum(np.searchsorted(it.seed, g), len(it.seed) - 1)
+        at = np.flatnonzero(it.seed[place] == g)
+        at = at[np.searchsorted(self.at, at, "right") == np.searchsorted(self.at, at + it.n - 1, "right")]  # within one text
+        many = (it.seed_begin[place[at] + 1] - it.seed_begin[place[at]])
+        item, at = it.seed_items[spread(it.seed_begin[place[at]], many)], np.repeat(at, many)
+        return self.windows(item, at, at + it.n - 1)
+
+    def completed(self) -> Iterator[np.ndarray]:
+        """Windows by the rarest words, for some items at a time."""
+        it = self.items
+        where = np.flatnonzero(self.word < len(it.known))
+        where = where[np.argsort(self.word[where], kind="stable")]
+        count = np.bincount(self.word[where], minlength=len(it.known))
+        begin = np.cumsum(count) - count
+        # the rarest words of each item in these texts
+        order = np.lexsort((count[it.word], it.owner))
+        owner = it.owner[order]
+        rank = np.arange(len(order)) - np.searchsorted(owner, owner)
+        keep = order[(rank < it.taken[owner]) & (count[it.word[order]] > 0)]
+        hits = np.bincount(it.owner[keep], weights=count[it.word[keep]], minlength=len(it.size)).astype(np.int64)
+        part = np.cumsum(hits) // HITS
+        for p in np.unique(part[hits > 0]).tolist():
+            own = keep[part[it.owner[keep]] == p]
+            many = count[it.word[own]]
+            item, pos = np.repeat(it.owner[own], many), where[spread(begin[it.word[own]], many)]
+            order = np.lexsort((pos, item))
+            item, pos = item[order], pos[order]
+            first = np.arange(len(item))
+            last = first + it.times[item] - 1
+            ok = last < len(item)
+            first, last = first[ok], last[ok]
+            ok = (item[first] == item[last]) & (pos[last] - pos[first] < it.span[item[first]])
+            first, last = first[ok], last[ok]
+            ok = np.searchsorted(self.at, pos[first], "right") == np.searchsorted(self.at, pos[last], "right")
+            yield self.windows(item[first[ok]], pos[first[ok]], pos[last[ok]])
+
+    def bounds(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        step = self.items.size[rows[:, 0]]
+        low = self.at[rows[:, 1]] + rows[:, 2] * step
+        return low, np.minimum(low + step + self.items.span[rows[:, 0]], self.at[rows[:, 1] + 1])
+
+    def likely(self, rows: np.ndarray) -> np.ndarray:
+        """Those with enough of the item's words, in its order."""
+        it, out = self.items, [np.zeros((0, 3), np.int64)]
+        size = it.size[rows[:, 0]]
+        rows = rows[np.argsort(size, kind="stable")]
+        size = np.sort(size)
+        start = 0
+        while start < len(rows):
+            end = min(start + max(1, 400_000 // int(size[start] * 4)), int(np.searchsorted(size, size[start], "right")))
+            part = rows[start:end]
+            low, high = self.bounds(part)
+            span = low[:, None] + np.arange(int((high - low).max()))
+            word = np.where(span < high[:, None], self.word[np.minimum(span, len(self.h) - 1)], len(it.known))
+            key = part[:, :1] * max(1, len(it.known)) + word
+            place = np.minimum(np.searchsorted(it.key, key), len(it.key) - 1)
+            bits = np.where((it.key[place] == key) & (word < len(it.known)), it.bits[place], np.uint64(0))
+            need = it.need[part[:, 0]]
+            enough = np.flatnonzero((bits != 0).sum(1) >= need)
+            if size[start] <= 64 and len(enough):
+                enough = enough[in_order(bits[enough], int(size[start])) >= need[enough]]
+            out.append(part[enough])
+            start = end
+        return np.concatenate(out)
+
+
+def in_order(bits: np.ndarray, size: int) -> np.ndarray:
+    """How many of an item's words each row of windows has in the same order at most (bit-parallel longest common
+    subsequence). bits: for each word of a window its places among the item's ``size`` <= 64 words."""
+    rest = np.full(len(bits), 2**64 - 1, np.uint64)
+    for column in bits.T:
+        both = rest & column
+        rest = (rest + both) | (rest - both)
+    return size - np.bitwise_count(rest & np.uint64(2**size - 1)).astype(np.int64)
+
+
+def best_alignments(places: Places, rows: np.ndarray, by_seed: bool, best: dict) -> None:
+    """Aligns windows and keeps the best of each (item, document): score, n-grams, whether a seed led there."""
+    it = places.items
+    rows = rows[np.lexsort((rows[:, 2], rows[:, 1], rows[:, 0]))]
+    for part in np.split(rows, np.flatnonzero(np.diff(rows[:, 0])) + 1) if len(rows) else []:
+        i = int(part[0, 0])
+        item, grams = it.words[i], ngrams(it.words[i], it.n)
+        for part in (part[s : s + 500] for s in range(0, len(part), 500)):
+            low, high = places.bounds(part)
+            span = low[:, None] + np.arange(int((high - low).max()))
+            windows = np.where(span < high[:, None], places.h.view(np.int64)[np.minimum(span, len(places.h) - 1)], -1)
+            score = aligned(item.view(np.int64), windows) / (MATCH * len(item))
+            for r in np.flatnonzero(score >= it.least).tolist():
+                seeds = int(np.isin(ngrams(places.h[low[r] : high[r]], it.n), grams).sum())
+                pair = (i, int(part[r, 1]))
+                best[pair] = max(best.get(pair, (0.0, 0, False)), (float(score[r]), seeds, by_seed))
+
+
+def of_block(texts: DataFrame, items: DataFrame, n: int, least: float) -> DataFrame:
     rows = [(r.item_id, (r.text or "").encode()) for r in items.collect()]  # a block: bounded
-    hashes, at = words_of([t for _, t in rows])
-    long = [i for i in range(len(rows)) if at[i + 1] - at[i] >= n]
-    words = [hashes[at[i] : at[i + 1]] for i in long]
-    names = [rows[i][0] for i in long]
-    size = np.array([len(w) for w in words], np.int64)
-    known = np.unique(np.concatenate([np.zeros(0, np.uint64), *words]))
-    # a feature is a word and a number of copies; an item has those up to its own number
-    of = np.repeat(np.arange(len(words)), size)
-    word = np.searchsorted(known, np.concatenate([np.zeros(0, np.uint64), *words]))
-    copy = copies(of, word)
-    most = np.zeros(len(known), np.int64)
-    np.maximum.at(most, word, copy + 1)
-    base = np.cumsum(most) - most
-    feature = base[word] + copy
-    has = np.concatenate([[0], np.cumsum(np.bincount(feature, minlength=int(most.sum())))]), of[np.argsort(feature, kind="stable")]
-    inside = [np.isin(known, w) for w in words] if len(words) * len(known) <= 50_000_000 else None
-    model = spark.sparkContext.broadcast((known, most, base, has, words, names, inside))
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where("text is not null")
+    model = texts.sparkSession.sparkContext.broadcast(Items(rows, n, least))
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, most, base, has, words, names, inside = model.value
-        if not len(known):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = model.value
+        if not len(items.known):
             return
-        need = np.array([ceil(least * len(w) - 1e-9) for w in words])
         for batch in batches:
-            raw = utf8(batch.column(1))
-            ids = batch.column(0).to_pylist()
+            raw, ids = utf8(batch.column(1)), batch.column(0).to_pylist()
             for a, b in chunks(raw):
                 h, at = words_of(raw[a:b])
-                place = np.minimum(np.searchsorted(known, h), len(known) - 1)
-                place = np.where(known[place] == h, place, len(known))
-                hit = np.flatnonzero(place < len(known))
-                doc, word = np.searchsorted(at, hit, "right") - 1, place[hit]
-                copy = copies(doc, word)
-                in_any = copy < most[word]
-                pairs = sharing(doc[in_any], base[word[in_any]] + copy[in_any], b - a, *has, need)
-                for part in np.split(pairs, np.flatnonzero(np.diff(pairs[:, 0])) + 1) if len(pairs) else []:
-                    item = int(part[0, 0])
-                    own_words = np.append(inside[item] if inside is not None else np.isin(known, words[item]), False)
-                    yield from of_item(words[item], names[item], own_words, part[:, 1], h, at, place, ids[a:b], int(need[item]))
-
-    def of_item(item, name, own_words, found, h, at, place, ids, need) -> Iterator[pa.RecordBatch]:
-        step = len(item)
-        width = step + ceil((3 - 2 * least) * step)  # an alignment good enough spans up to the second term
-        begin, end = at[found], at[found + 1]
-        times = -(-(end - begin) // step)
-        doc = np.repeat(np.arange(len(found)), times)
-        low = begin[doc] + step * (np.arange(len(doc)) - np.repeat(np.cumsum(times) - times, times))
-        high = np.minimum(low + width, end[doc])
-        # the words of these documents only
-        many = end - begin
-        flat = np.arange(many.sum()) + np.repeat(begin - np.cumsum(many) + many, many)
-        shift = (np.cumsum(many) - many - begin)[doc]
-        total = np.concatenate([[0], np.cumsum(own_words[place[flat]])])
-        keep = np.flatnonzero(total[high + shift] - total[low + shift] >= need)
-        if step <= 64:
-            bits = np.zeros(len(own_words), np.uint64)
-            np.bitwise_or.at(bits, np.searchsorted(model.value[0], item), np.uint64(1) << np.arange(step, dtype=np.uint64))
-            held = [np.zeros(0, np.int64)]
-            for s in range(0, len(keep), 2000):
-                part = keep[s : s + 2000]
-                span = low[part][:, None] + np.arange(width)
-                window = np.where(span < high[part][:, None], place[np.minimum(span, len(h) - 1)], len(bits) - 1)
-                held.append(part[in_order(bits, window, step) >= need])
-            keep = np.concatenate(held)
-        grams = ngrams(item, n)
-        best: dict[int, tuple[float, int]] = {}
-        for s in range(0, len(keep), 500):
-            part = keep[s : s + 500]
-            span = low[part][:, None] + np.arange(width)
-            windows = np.where(span < high[part][:, None], h.view(np.int64)[np.minimum(span, len(h) - 1)], -1)
-            score = aligned(item.view(np.int64), windows) / (MATCH * step)
-            for r in np.flatnonzero(score >= least).tolist():
-                k = part[r]
-                seeds = int(np.isin(ngrams(h[low[k] : high[k]], n), grams).sum())
-                d = int(found[doc[k]])
-                best[d] = max(best.get(d, (0.0, 0)), (float(score[r]), seeds))
-        if best:
-            yield pa.RecordBatch.from_arrays([pa.array([ids[d] for d in best], pa.int64()), pa.array([name] * len(best), pa.int64()), pa.array([x for x, _ in best.values()]), pa.array([y for _, y in best.values()], pa.int64())], names=["doc_id", "item_id", "score", "seeds"])
-
-    pairs = texts.mapInArrow(scored, "doc_id long, item_id long, score double, seeds long")
-    return pairs.groupBy("doc_id", "item_id").agg(F.max("score").alias("score"), F.max("seeds").alias("seeds"))
+                if not len(h):
+                    continue
+                places = Places(items, h, at)
+                best: dict[tuple[int, int], tuple[float, int, bool]] = {}
+                seeded = places.seeded()
+                best_alignments(places, places.likely(seeded), True, best)
+                code = lambda rows: (rows[:, 0] * (b - a) + rows[:, 1]) * (len(h) + 1) + rows[:, 2]  # noqa: E731, B023
+                for more in places.completed():
+                    best_alignments(places, places.likely(more[~np.isin(code(more), code(seeded))]), False, best)
+                if best:
+                    found = list(best.values())
+                    columns = [[ids[a + d] for _, d in best], [items.names[i] for i, _ in best], *zip(*found)]
+                    yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.bool_()))], names=["doc_id", "item_id", "score", "seeds", "by_seed"])
+
+    pairs = texts.mapInArrow(run, "doc_id long, item_id long, score double, seeds long, by_seed boolean")
+    best = F.max(F.struct("score", "seeds", "by_seed")).alias("b")
+    return pairs.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "b.score", "b.seeds", "b.by_seed")

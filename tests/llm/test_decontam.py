@@ -83,3 +83,47 @@ def test_rare_and_common_copies_without_any_seed_condition(spark):
     docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
     got = decontam.contaminated(docs, spark.createDataFrame([(1, " ".join(passage))], "item_id long, text string"))
     assert {r.doc_id: r.score for r in got.collect()} == want and len(want) == 123
+
+
+def test_items_of_every_shape_against_brute_force(spark):
+    """Repeated words, items above 64 words, copies without seeds, passages over the ends of texts."""
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choices("abcdefgh", k=3))
+    common = [word() for _ in range(30)]
+    some = lambda n: [rng.choice(common) if rng.random() < 0.5 else word() for _ in range(n)]
+    items = [some(rng.choice([4, 5, 9, 20, 40, 64, 65, 100])) for _ in range(16)] + [["a"] * 12, ["a", "b"] * 9, ["a", "a", "a", "a", "b", "c"]]
+    texts = []
+    for _ in range(40):
+        t = some(rng.choice([0, 3, 60, 200]))
+        for v in rng.sample(items, 2):
+            share = rng.choice([0.0, 0.1, 0.25, 0.35])
+            t += [x for w in v for x in ([] if rng.random() < share / 3 else [word()] if rng.random() < share else [w, word()] if rng.random() < share else [w])][: rng.choice([len(v), 10**6])]
+            t += some(rng.choice([0, 1, 30]))
+        texts.append(t)
+    want = {(d, i): smith_waterman(v, t) / (2 * len(v)) for d, t in enumerate(texts) for i, v in enumerate(items) if t}
+    want = {k: s for k, s in want.items() if s >= 0.5}
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    table = spark.createDataFrame([(i, " ".join(v)) for i, v in enumerate(items)], "item_id long, text string")
+    for block in (20_000, 9):
+        got = decontam.contaminated(docs, table, block=block).collect()
+        assert {(r.doc_id, r.item_id): r.score for r in got} == want
+        assert any(r.by_seed for r in got) and any(not r.by_seed for r in got)
+
+
+def test_a_very_long_text(spark):
+    rng = random.Random(22)
+    word = lambda: "".join(rng.choices("abcdefghij", k=5))
+    item = [word() for _ in range(25)]
+    long = [word() for _ in range(300_000)]
+    long[200_000:200_000] = item
+    got = decontam.contaminated(spark.createDataFrame([(1, " ".join(long))], "doc_id long, text string"), spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")).collect()
+    assert [(r.doc_id, r.item_id, r.score, r.by_seed) for r in got] == [(1, 1, 1.0, True)]
+
+
+def test_work_grows_with_places_not_with_documents_times_items():
+    rng = np.random.default_rng(5)
+    text_of = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 5000, n).tolist()).encode()
+    items = decontam.Items([(i, text_of(30)) for i in range(3000)], 4, 0.5)
+    h, at = decontam.words_of([text_of(1000) for _ in range(100)])
+    found = sum(len(w) for w in decontam.Places(items, h, at).completed())
+    assert found < 0.01 * 3000 * len(h) / 30  # of all windows of all items
