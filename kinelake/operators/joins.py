@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,21 +34,21 @@ def full_outer_chain(parts: list[DataFrame], keys: list[str]) -> DataFrame:
     return reduce(lambda a, b: a.join(b, keys, "full_outer"), parts)
 
 
-def pattern_join(policies: DataFrame, rows: DataFrame, small: int = 10_000) -> DataFrame:
+def pattern_join(policies: DataFrame, rows: DataFrame) -> DataFrame:
     """Policies with every row whose dataset_id fits the policy's glob and whose family equals the policy's; unset means any.
 
-    There is no equi-key. The policy side is broadcast when it has at most ``small`` rows; a larger one is cut into
-    blocks, each of which is broadcast in turn.
-    """
-    p = policies.withColumn("_pattern", glob_pattern("dataset_pattern"))
-    fits = (p["dataset_pattern"].isNull() | F.rlike(rows["dataset_id"], p["_pattern"])) & (p["policy_family"].isNull() | (p["policy_family"] == rows["dataset_family"]))
-    n = policies.count()
-    if n <= small:
-        return rows.join(F.broadcast(p), fits).drop("_pattern")
-    blocks = -(-n // small)
-    p = p.withColumn("_block", F.pmod(F.xxhash64("policy_id"), F.lit(blocks)))
-    parts = [rows.join(F.broadcast(p.where(F.col("_block") == b)), fits).drop("_pattern", "_block") for b in range(blocks)]
-    return reduce(DataFrame.unionByName, parts)
+    Globs are indexed by what stands before their first wildcard: each distinct id asks for its beginnings of the lengths
+    that occur, by equality, and only these globs are tested on it. Globs that begin with a wildcard, or none, meet every id."""
+    before = F.regexp_extract("dataset_pattern", r"^[^*?]*", 0)
+    p = policies.withColumn("_pattern", glob_pattern("dataset_pattern")).withColumn("_begin", F.coalesce(before, F.lit("")))
+    lengths = sorted(r[0] for r in p.select(F.length("_begin")).distinct().collect())  # no more than the longest glob has characters
+    ids = rows.select(F.col("dataset_id").alias("_id")).distinct()
+    text = F.coalesce("_id", F.lit(""))
+    starts = F.filter(F.array(*map(F.lit, lengths)) if lengths else F.array().cast("array<int>"), lambda n: n <= F.length(text))
+    asked = ids.withColumn("_n", F.explode(starts)).select("_id", F.substring(text, F.lit(1), F.col("_n")).alias("_begin"))
+    fits = asked.join(p, "_begin").where(F.col("dataset_pattern").isNull() | F.rlike(F.col("_id"), F.col("_pattern"))).drop("_begin", "_pattern")
+    both = rows.join(fits, rows["dataset_id"].eqNullSafe(fits["_id"])).drop("_id")
+    return both.where(F.col("policy_family").isNull() | (F.col("policy_family") == F.col("dataset_family")))
 
 
 def pending(raw: DataFrame, done: list[DataFrame], keys: list[str]) -> DataFrame:
@@ -81,3 +82,24 @@ def upsert_keeping(old: DataFrame, new: DataFrame, keys: list[str], insert_only:
     both = old.alias("o").join(new.alias("n"), keys, "full_outer")
     value = lambda c: F.coalesce(f"o.{c}", f"n.{c}") if c in insert_only else F.coalesce(f"n.{c}", f"o.{c}")
     return both.select(*keys, *(value(c).alias(c) for c in new.columns if c not in keys))
+
+
+def merge_daily(path: str, new: DataFrame, keys: list[str], day: str = "dt", insert_only: tuple[str, ...] | None = None) -> None:
+    """Merges rows into the table under ``path``, partitioned by ``day`` (a part of the keys): ``upsert``, or ``upsert_keeping`` where
+    ``insert_only`` is given. Only the days of the new rows are read and replaced; the files of other days stay."""
+    from ..sources.scratch import written
+
+    new = written(new, "new-rows")
+    days = [r[0] for r in new.select(day).distinct().collect()]  # of the new rows; as literals they prune folders
+    if not days:
+        return
+    spark = new.sparkSession
+    try:
+        old = spark.read.schema(new.schema).parquet(path).where(F.col(day).isin(days))
+    except AnalysisException as e:  # a new table
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        old = spark.createDataFrame([], new.schema)
+    merged = upsert(old, new, keys) if insert_only is None else upsert_keeping(old, new, keys, insert_only)
+    merged = written(merged.select(*new.columns), "merged-days")  # what is read is about to be replaced
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)

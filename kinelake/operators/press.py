@@ -121,14 +121,37 @@ def press_events(pose: DataFrame, frames: DataFrame) -> DataFrame:
     return both.select(name.alias("event_id"), *EPISODE, "frame_idx", "timestamp_sec", "x", "y", "z", "cluster_id", "cluster_center_x", "cluster_center_y", "z_prominence")
 
 
-def silhouettes(points: DataFrame, group: list[str], label: str = "cluster_id", x: str = "x", y: str = "y", point: str = "frame_idx") -> DataFrame:
-    """Mean silhouette of each group's clustered points: a self-join within the group (one recording's presses).
-
-    A point alone in its cluster counts 0; a group with one cluster has none."""
-    p = points.where(F.col(label).isNotNull()).select(*group, F.col(point).alias("i"), F.col(label).alias("c"), F.col(x).alias("x"), F.col(y).alias("y"))
-    q = p.select(*group, F.col("i").alias("j"), F.col("c").alias("d"), F.col("x").alias("u"), F.col("y").alias("v"))
-    gap = F.sqrt((F.col("x") - F.col("u")) ** 2 + (F.col("y") - F.col("v")) ** 2)
-    means = p.join(q, group).where("i <> j").groupBy(*group, "i", "c", "d").agg(F.avg(gap).alias("mean"))
-    each = means.groupBy(*group, "i", "c").agg(F.min(F.when(F.col("c") == F.col("d"), F.col("mean"))).alias("a"), F.min(F.when(F.col("c") != F.col("d"), F.col("mean"))).alias("b"))
-    value = F.when(F.col("b").isNull(), None).when(F.col("a").isNull(), 0.0).when(F.greatest("a", "b") == 0, 0.0).otherwise((F.col("b") - F.col("a")) / F.greatest("a", "b"))
-    return each.groupBy(*group).agg(F.avg(value).alias("cluster_silhouette"))
+def silhouette(x: np.ndarray, y: np.ndarray, label: np.ndarray, block: int = 512) -> float | None:
+    """Mean silhouette of labelled points; distances are summed by cluster for ``block`` points at a time.
+
+    A point alone in its cluster counts 0; with one cluster there is none."""
+    names, own = np.unique(label, return_inverse=True)
+    if len(names) < 2:
+        return None
+    member = (own[:, None] == np.arange(len(names))).astype(float)
+    size, total = member.sum(0), 0.0
+    for s in range(0, len(x), block):
+        part = slice(s, s + block)
+        sums = np.sqrt((x[part, None] - x) ** 2 + (y[part, None] - y) ** 2) @ member
+        mine = own[part]
+        rows = np.arange(len(mine))
+        a = sums[rows, mine] / np.maximum(size[mine] - 1, 1)
+        means = sums / size
+        means[rows, mine] = np.inf
+        b = means.min(1)
+        most = np.maximum(a, b)
+        total += np.where((size[mine] > 1) & (most > 0), (b - a) / np.where(most > 0, most, 1.0), 0.0).sum()
+    return total / len(x)
+
+
+def silhouettes(points: DataFrame, group: list[str], label: str = "cluster_id", x: str = "x", y: str = "y") -> DataFrame:
+    """Mean silhouette of each group's clustered points (one recording's presses), in one grouped pass."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = pdf[group].iloc[:1].copy()
+        out["cluster_silhouette"] = silhouette(pdf["_x"].to_numpy(float), pdf["_y"].to_numpy(float), pdf["_label"].to_numpy())
+        return out
+
+    kinds = ", ".join(f"{g} {points.schema[g].dataType.simpleString()}" for g in group)
+    p = points.where(F.col(label).isNotNull()).select(*group, F.col(label).alias("_label"), F.col(x).alias("_x"), F.col(y).alias("_y"))
+    return p.groupBy(*group).applyInPandas(run, f"{kinds}, cluster_silhouette double")

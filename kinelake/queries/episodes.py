@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import press, scans, series
 from ..plans import episodes as P
-from ..sources import scratch
+from ..sources import adapters, scratch
 from .base import Family
 
 family = Family()
@@ -134,6 +134,29 @@ add("T17_cluster_quality", ["fx_pose"], lambda p: P.cluster_check(p, press.press
 add("P1_normalize", ["fx_pose"], lambda p: P.normalize(P.inject(p, "nan_injection"))[0],
     f"""WITH q AS (SELECT {K}, frame_idx, x, y, CASE WHEN frame_idx % 20 = 10 THEN 0.0 ELSE z END AS z, qx, qy, qz, CASE WHEN sqrt(qx*qx + qy*qy + qz*qz + qw*qw) < 1e-12 THEN 1.0 ELSE qw END AS qw FROM fx_pose), n AS (SELECT *, sqrt(qx*qx + qy*qy + qz*qz + qw*qw) AS quat_norm FROM q)
     SELECT {K}, frame_idx, round(frame_idx / 30.0, 6) AS timestamp_sec, {r6('x', 'y', 'z')}, {', '.join(f'round({c} / quat_norm, 6) AS {c}' for c in ('qx', 'qy', 'qz', 'qw'))}, round(quat_norm, 6) AS quat_norm FROM n""")
+
+
+def mixed(pose):
+    """Four families in one table: angles, vectors, flat columns, and one with an adapter of its own."""
+    d, flat = F.col("dataset_id"), ("x", "y", "z", "qx", "qy", "qz", "qw")
+    family = F.when(d == "ds_0", "angles").when(d.isin("ds_1", "ds_2"), "vector").when(d == "ds_3", "own").otherwise("flat")
+    rows = pose.withColumn("family", family).withColumn("cartesian_position", F.when(F.col("family") == "angles", F.array("x", "y", "z", "x", F.lit(0.0), F.lit(0.0))))
+    rows = rows.withColumn("tcp_pose", F.when(F.col("family") == "vector", F.array(*flat))).withColumns({c: F.when(F.col("family") == "flat", F.col(c)) for c in flat[1:]})
+    return rows.withColumn("x", F.when(F.col("family").isin("flat", "own"), F.col("x")))
+
+
+def routed(pose):
+    own = lambda df: df.select(*KEYS, F.col("x"), *(F.lit(0.0).alias(c) for c in ("y", "z", "qx", "qy", "qz")), F.lit(1.0).alias("qw"))
+    registry = adapters.Registry()
+    registry.register("ds_", adapters.row_poses, "prefix")
+    registry.register("ds_3", own)
+    return registry.frames(mixed(pose)).select(*KEYS, "x", "qx", "qw", "pose_source", "adapter")
+
+
+add("P1_mixed_slices", ["fx_pose"], routed, f"""
+SELECT {K}, frame_idx, round(x, 6) AS x, round(CASE dataset_id WHEN 'ds_0' THEN sin(x / 2) WHEN 'ds_3' THEN 0.0 ELSE qx END, 6) AS qx, round(CASE dataset_id WHEN 'ds_0' THEN cos(x / 2) WHEN 'ds_3' THEN 1.0 ELSE qw END, 6) AS qw,
+    CASE WHEN dataset_id = 'ds_0' THEN 'cartesian_position' WHEN dataset_id IN ('ds_1', 'ds_2') THEN 'tcp_pose' WHEN dataset_id = 'ds_3' THEN 'exact:ds_3' ELSE 'columns' END AS pose_source,
+    CASE WHEN dataset_id = 'ds_3' THEN 'exact:ds_3' ELSE 'prefix:ds_' END AS adapter FROM fx_pose""")
 add("P2_episode_feature", ["fx_pose"], lambda p: P.build_features(p)["episode_feature"])
 add("P3_build_ads", ["fx_pose"], lambda p: P.build_ads(P.build_features(p)["episode_feature"], P.validate(p))["dataset_quality_summary"])
 add("P13_validate", ["fx_pose"], lambda p: P.validate(p).drop("metrics"))

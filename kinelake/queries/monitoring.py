@@ -594,6 +594,14 @@ def _(spark, sf):
     return X.liveness_now(done).select(*X.BEAT, "event_id", "state")
 
 
+@run("K1_merge_touched_days", "SELECT event_id, CASE WHEN CAST(ts AS DATE) IN (DATE '2024-01-03', DATE '2024-01-09') AND event_id % 3 = 0 THEN 'changed' ELSE event_type END AS event_type, CAST(ts AS DATE) AS dt FROM events")
+def _(spark, sf):
+    path, e = scratch.folder(spark, "k1"), frame(spark, sf, "events").select("event_id", "event_type", F.to_date("ts").alias("dt"))
+    J.merge_daily(path, e, ["dt", "event_id"])
+    J.merge_daily(path, e.where("dt in (date'2024-01-03', date'2024-01-09') and event_id % 3 = 0").withColumn("event_type", F.lit("changed")), ["dt", "event_id"])
+    return spark.read.schema(e.schema).parquet(path)
+
+
 @run("X4_incremental_daily", "SELECT CAST(ts AS DATE) AS dt, event_type, count(*) AS n, CAST(sum(user_id) AS BIGINT) AS users FROM events GROUP BY 1, 2")
 def _(spark, sf):
     source, path = scratch.folder(spark, "facts"), scratch.folder(spark, "x4")

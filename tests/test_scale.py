@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kinelake.operators import aggregates, scans, selection, series, sketches
+from kinelake.operators import aggregates, joins, scans, selection, series, sketches
 from kinelake.plans import ops
 from kinelake.sources import scratch
 from kinelake.streaming import streams
@@ -200,3 +200,72 @@ def test_summary_takes_durations_of_steps_and_counts_versions(spark):
 def test_top_rules_keep_contract_severity_and_family(spark):
     rules = spark.createDataFrame([("2024-01-05", "c1", "r", "fail", "f", 2, 4, 0.5), ("2024-01-05", "c2", "r", "fail", "f", 3, 3, 1.0), ("2024-01-05", "c1", "q", "warn", "f", 3, 9, 0.3), ("2024-01-05", "c1", "z", "fail", "f", 0, 9, 0.0)], "dt string, contract_id string, rule_id string, severity string, dataset_family string, fail_count long, run_count long, fail_rate double")
     assert [(r.rule_id, r.contract_id, r.fail_count) for r in ops.top_rules(rules, 5).collect()] == [("q", "c1", 3), ("r", "c2", 3), ("r", "c1", 2)]
+
+
+def test_globs_meet_ids_without_a_nested_loop(spark):
+    import fnmatch
+
+    rng = random.Random(6)
+    globs = [None, "*", "?", "a*", "ab?", "abc", "a.b*", "*c", "ab*c", "", "(x", *("".join(rng.choices("abc*?", k=4)) for _ in range(200))]
+    ids = [None, "", "a", "ab", "abc", "abcc", "a.bz", "axbz", "(x", *("".join(rng.choices("abc", k=rng.randint(1, 5))) for _ in range(40))]
+    policies = spark.createDataFrame([(i, g, rng.choice([None, "f"])) for i, g in enumerate(globs)], "policy_id int, dataset_pattern string, policy_family string")
+    rows = spark.createDataFrame([(d, rng.choice(["f", "g", None])) for d in ids * 2], "dataset_id string, dataset_family string")
+    out = joins.pattern_join(policies, rows)
+    want = Counter((r.dataset_id, r.dataset_family, p.policy_id) for r in rows.collect() for p in policies.collect()
+                   if (p.dataset_pattern is None or r.dataset_id is not None and fnmatch.fnmatchcase(r.dataset_id, p.dataset_pattern)) and p.policy_family in (None, r.dataset_family))
+    assert Counter(tuple(r) for r in out.select("dataset_id", "dataset_family", "policy_id").collect()) == want
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_a_merge_leaves_the_files_of_other_days(spark):
+    from pathlib import Path
+
+    path = scratch.folder(spark, "merged")
+    row = "k int, v string, first string, dt string"
+    joins.merge_daily(path, spark.createDataFrame([(1, "a", "x", "d1"), (2, "b", "y", "d1"), (1, "c", "z", "d2")], row), ["k", "dt"])
+    files = lambda d: sorted(f.name for f in Path(f"{path}/dt={d}").glob("*.parquet"))
+    before = files("d1"), files("d2")
+    joins.merge_daily(path, spark.createDataFrame([(2, None, "q", "d1"), (3, "n", "q", "d1")], row), ["k", "dt"], insert_only=("first",))
+    assert files("d2") == before[1] and files("d1") != before[0]
+    joins.merge_daily(path, spark.createDataFrame([], row), ["k", "dt"])
+    joins.merge_daily(path, spark.createDataFrame([(9, "new", None, "d3")], row), ["k", "dt"])
+    got = sorted(tuple(r) for r in spark.read.schema(row).parquet(path).collect())
+    assert got == [(1, "a", "x", "d1"), (1, "c", "z", "d2"), (2, "b", "y", "d1"), (3, "n", "q", "d1"), (9, "new", None, "d3")]
+
+
+def test_adapters_by_id_then_prefix_then_fallback(spark):
+    from kinelake.sources import adapters
+
+    rows = [("ab", [0.0] * 7, None), ("abc", None, 1.0), ("x", [1.0] * 7, 2.0), ("none", None, None), (None, [3.0] * 7, None)]
+    df = spark.createDataFrame([(d, "v", "e", i, v, *[x] * 7) for i, (d, v, x) in enumerate(rows)], "dataset_id string, version string, episode_id string, frame_idx long, tcp_pose array<double>, " + ", ".join(f"{c} double" for c in adapters.POSE))
+    registry = adapters.Registry()
+    mine = lambda n: lambda f: f.select(*adapters.SLICE, *(F.lit(float(n)).alias(c) for c in adapters.POSE))
+    registry.register("ab", mine(7), "prefix")
+    registry.register("a", mine(8), "prefix")
+    registry.register("ab", mine(9))
+    assert registry.listed() == [("ab", "exact"), ("ab", "prefix"), ("a", "prefix")]
+    got = {r.frame_idx: (r.x, r.pose_source) for r in registry.frames(df).collect()}
+    assert got == {0: (9.0, "exact:ab"), 1: (7.0, "prefix:ab"), 2: (1.0, "tcp_pose"), 3: (None, "fallback"), 4: (3.0, "tcp_pose")}
+    with pytest.raises(ValueError):
+        registry.register("a", mine(1), "glob")
+
+
+def test_silhouettes_in_blocks_equal_a_loop():
+    from kinelake.operators import press
+
+    rng = np.random.default_rng(4)
+    for n, k in ((1, 1), (5, 1), (2, 2), (30, 3), (700, 4)):
+        x, y, c = rng.normal(size=n), rng.normal(size=n), rng.integers(0, k, n)
+        c[:k] = np.arange(k)[:n]
+        d = np.hypot(x[:, None] - x, y[:, None] - y)
+        each = []
+        for i in range(n):
+            own = (c == c[i]) & (np.arange(n) != i)
+            others = [d[i, c == o].mean() for o in set(c.tolist()) - {int(c[i])}]
+            if others:
+                a = d[i, own].mean() if own.any() else None
+                each.append(0.0 if a is None or max(a, min(others)) == 0 else (min(others) - a) / max(a, min(others)))
+        got = press.silhouette(x, y, c, block=64)
+        assert got is None if not each else math.isclose(got, np.mean(each), abs_tol=1e-12)
+    assert press.silhouette(np.zeros(4), np.zeros(4), np.array([0, 0, 1, 1])) == 0.0
