@@ -6,7 +6,7 @@ language is the one with the largest mean probability over the windows, its scor
 ``sample`` labelled texts, chosen by a hash of the id, and of each the ``EACH`` windows with the least hashes among all windows
 of the whole text.
 
-Defined results: null texts and texts without a letter are ``und`` with score 0; nulls in the label column teach nothing;
+Defined results: null texts and texts without a letter (a character of a Unicode letter class) are ``und`` with score 0; nulls in the label column teach nothing;
 with no labelled row at all everything is ``und``; repeated rows and extra columns change nothing; an empty table gives
 an empty result.
 """
@@ -26,12 +26,17 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, chunks, hash_bound
 
 WINDOW, EMBED, WIDTHS, FILTERS, EACH = 256, 6, (2, 3, 4), 12, 4
-LETTER = re.compile(r"[^\W\d_]")
+#: Letters, and numerals that aren't decimal digits.
+LETTERLIKE = re.compile(r"[^\W\d_]")
 #: Digits, ASCII signs and control characters are blanks to the network.
 SHOWN = np.full(256, 32, np.uint8)
 SHOWN[65:91], SHOWN[97:123], SHOWN[128:] = np.arange(97, 123), np.arange(97, 123), np.arange(128, 256)
 
 
+def has_letter(text: str) -> bool:
+    return any(m[0].isalpha() for m in LETTERLIKE.finditer(text))
+
+
 def windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(n, WINDOW) bytes of all windows, the last of each text padded with blanks, and the text of each."""
     raw = [t.lower().encode() for t in texts]
@@ -138,7 +143,7 @@ def learned(docs: DataFrame, teaches: Column, doc_id: str = "doc_id", text: str
             texts = batch.column(0).to_pylist()
             cut, langs, keys = [], [], []
             for t, lang, key in zip(texts, batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                if LETTER.search(t):
+                if has_letter(t):
                     chosen = drawn(t)
                     cut.append(chosen.tobytes()), langs.append(lang), keys.append(key)
             yield pa.RecordBatch.from_arrays([pa.array(cut, pa.binary()), pa.array(langs, pa.string()), pa.array(keys, pa.int64())], names=["w", "l", "h"])
@@ -164,7 +169,7 @@ def identified(docs: DataFrame, network: Network | None, doc_id: str = "doc_id",
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             names, scores = ["und"] * len(texts), [0.0] * len(texts)
-            told = [i for i, t in enumerate(texts) if net is not None and LETTER.search(t)]
+            told = [i for i, t in enumerate(texts) if net is not None and has_letter(t)]
             for a, b in chunks([texts[i] for i in told], 500_000):
                 x, of = windows([texts[i] for i in told[a:b]])
                 mean = np.add.reduceat(net.probabilities(x), np.searchsorted(of, np.arange(b - a)), 0) / np.bincount(of)[:, None]

@@ -74,3 +74,10 @@ def test_nulls_and_no_letters(spark):
     assert langid.learned(docs.where("lang is null"), F.lit(True)) is None
     assert {r.lang_pred for r in langid.identified(docs, None).collect()} == {"und"}
     assert langid.identified(docs.limit(0), net).count() == 0
+
+
+def test_numerals_are_no_letters():
+    from kinelake.llm.langid import has_letter
+
+    assert not any(map(has_letter, ("", "½ ²", "Ⅷ", "१२ ٣", "12_3 ---", "①㊿", "\u0301")))
+    assert all(map(has_letter, ("a", "½é", "Ⅷ 中", "_ж_", "1ª")))
