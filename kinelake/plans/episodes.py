@@ -19,7 +19,7 @@ def normalize(frames: DataFrame, order: str = "frame_idx", fps: float = 30.0) ->
     return pose, episodes.withColumn("fps", F.lit(fps))
 
 
-def pose_features(pose: DataFrame, presses: DataFrame | None = None, threshold: float = 2.5) -> DataFrame:
+def pose_features(pose: DataFrame, presses: DataFrame | None = None, threshold: float = 2.5, keep: tuple[str, ...] = ()) -> DataFrame:
     """Angles, motion and flags per frame. The raw quaternion norm is taken over if the poses carry it."""
     raw = "quat_norm" in pose.columns
     df = series.unit_quaternions(pose.withColumnRenamed("quat_norm", "_norm") if raw else pose)
@@ -29,7 +29,7 @@ def pose_features(pose: DataFrame, presses: DataFrame | None = None, threshold:
     if presses is not None:
         df = df.join(presses.select(*EPISODE, "frame_idx", F.lit(True).alias("is_press_candidate")), [*EPISODE, "frame_idx"], "left").na.fill(False, ["is_press_candidate"])
     names = [*EPISODE, "frame_idx", "timestamp_sec", "x", "y", "z", "roll", "pitch", "yaw", "velocity_mps", "delta_d", "quat_norm", "is_velocity_jump"]
-    return df.select(*names, *(["is_press_candidate"] if presses is not None else []))
+    return df.select(*names, *keep, *(["is_press_candidate"] if presses is not None else []))
 
 
 def build_features(pose: DataFrame, threshold: float = 2.5, min_distance: int = 5, expected: int = 5, quiet: float = 0.05) -> dict[str, DataFrame]:
@@ -76,80 +76,145 @@ def build_ads(episodes: DataFrame, results: DataFrame) -> dict[str, DataFrame]:
 # ---------------------------------------------------------------- validation
 
 
-def schema_check(pose: DataFrame, least: int = 10) -> DataFrame:
-    """Enough samples, all numbers finite; ranges of the positions."""
+def not_finite() -> Column:
     bad = F.lit(False)
     for c in ("x", "y", "z", *series.QUATERNION):
         bad = bad | F.isnan(c) | F.col(c).isNull() | (F.abs(F.col(c)) == float("inf"))
-    d = pose.groupBy(*EPISODE).agg(F.count("*").alias("n_samples"), F.count_if(bad).alias("n_bad"), *(f(c).alias(f"{c}_{n}") for c in "xyz" for n, f in (("min", F.min), ("max", F.max))))
-    return d.withColumn("status", E.ladder([((F.col("n_samples") < least) | (F.col("n_bad") > 0), "FAIL")], "PASS"))
+    return bad
+
+
+def schema_measures(bad: Column) -> list[Column]:
+    return [F.count("*").alias("n_samples"), F.count_if(bad).alias("n_bad"), *(f(c).alias(f"{c}_{n}") for c in "xyz" for n, f in (("min", F.min), ("max", F.max)))]
+
+
+def schema_status(least: int = 10) -> Column:
+    return E.ladder([((F.col("n_samples") < least) | (F.col("n_bad") > 0), "FAIL")], "PASS")
+
+
+def schema_check(pose: DataFrame, least: int = 10) -> DataFrame:
+    """Enough samples, all numbers finite; ranges of the positions."""
+    return pose.groupBy(*EPISODE).agg(*schema_measures(not_finite())).withColumn("status", schema_status(least))
+
+
+def raw_norm(pose: DataFrame) -> Column:
+    return series.norm(*map(F.col, series.QUATERNION)) if "quat_norm" not in pose.columns else F.col("quat_norm")
+
+
+def quaternion_measures(norm: Column, tolerance: float = 1e-5) -> list[Column]:
+    return [F.max(F.abs(norm - 1.0)).alias("quat_max_norm_error"), F.count_if(F.abs(norm - 1.0) > tolerance).alias("num_bad_quaternions")]
+
+
+def quaternion_status() -> Column:
+    return E.ladder([(F.col("num_bad_quaternions") > 0, "FAIL")], "PASS")
 
 
 def quaternion_check(pose: DataFrame, tolerance: float = 1e-5) -> DataFrame:
-    n = series.norm(*map(F.col, series.QUATERNION)) if "quat_norm" not in pose.columns else F.col("quat_norm")
-    d = pose.withColumn("_n", n).groupBy(*EPISODE).agg(F.max(F.abs(F.col("_n") - 1.0)).alias("quat_max_norm_error"), F.count_if(F.abs(F.col("_n") - 1.0) > tolerance).alias("num_bad_quaternions"))
-    return d.withColumn("status", E.ladder([(F.col("num_bad_quaternions") > 0, "FAIL")], "PASS"))
+    return pose.groupBy(*EPISODE).agg(*quaternion_measures(raw_norm(pose), tolerance)).withColumn("status", quaternion_status())
+
+
+def euler_measures() -> list[Column]:
+    return [f for c in ("roll", "pitch", "yaw") for f in (F.var_pop(c).alias(f"{c}_var"), (F.max(c) - F.min(c)).alias(f"{c}_range"))]
+
+
+def euler_status(most: float = 1e-3) -> Column:
+    return E.ladder([((F.col("roll_var") > most) | (F.col("pitch_var") > most), "FAIL")], "PASS")
 
 
 def euler_check(features: DataFrame, most: float = 1e-3) -> DataFrame:
-    d = features.groupBy(*EPISODE).agg(*(f for c in ("roll", "pitch", "yaw") for f in (F.var_pop(c).alias(f"{c}_var"), (F.max(c) - F.min(c)).alias(f"{c}_range"))))
-    return d.withColumn("status", E.ladder([((F.col("roll_var") > most) | (F.col("pitch_var") > most), "FAIL")], "PASS"))
+    return features.groupBy(*EPISODE).agg(*euler_measures()).withColumn("status", euler_status(most))
+
+
+def velocity_measures(dt: float = 1 / 30, threshold: float = 2.0) -> list[Column]:
+    v = F.when(F.col("frame_idx") > 0, F.col("delta_d") / dt)
+    return [F.coalesce(F.max(v), F.lit(0.0)).alias("max_velocity_mps"), F.percentile(v, F.lit(0.95)).alias("p95_velocity_mps"), F.count_if(v > threshold).alias("num_jump_points")]
+
+
+def velocity_status(threshold: float = 2.0) -> Column:
+    return E.ladder([(F.col("max_velocity_mps") > threshold, "FAIL")], "PASS")
 
 
 def velocity_check(features: DataFrame, dt: float = 1 / 30, threshold: float = 2.0) -> DataFrame:
     """At a constant frame time, unlike the velocities of the features."""
-    v = F.when(F.col("frame_idx") > 0, F.col("delta_d") / dt)
-    d = features.withColumn("_v", v).groupBy(*EPISODE).agg(F.coalesce(F.max("_v"), F.lit(0.0)).alias("max_velocity_mps"), F.percentile("_v", F.lit(0.95)).alias("p95_velocity_mps"), F.count_if(F.col("_v") > threshold).alias("num_jump_points"))
-    return d.withColumn("status", E.ladder([(F.col("max_velocity_mps") > threshold, "FAIL")], "PASS"))
+    return features.groupBy(*EPISODE).agg(*velocity_measures(dt, threshold)).withColumn("status", velocity_status(threshold))
+
+
+def press_status(least: int = 5, most: int = 100) -> Column:
+    n = F.col("detected_press_count")
+    return E.ladder([(n < least, "FAIL"), (n > most, "WARN")], "PASS")
 
 
 def press_check(pose: DataFrame, presses: DataFrame, least: int = 5, most: int = 100) -> DataFrame:
     n = presses.groupBy(*EPISODE).agg(F.count("*").alias("detected_press_count"))
     d = pose.groupBy(*EPISODE).agg(F.min("z").alias("z_min"), F.max("z").alias("z_max")).join(n, EPISODE, "left").na.fill(0, ["detected_press_count"])
-    return d.withColumn("status", E.ladder([(F.col("detected_press_count") < least, "FAIL"), (F.col("detected_press_count") > most, "WARN")], "PASS"))
+    return d.withColumn("status", press_status(least, most))
 
 
-def cluster_check(pose: DataFrame, events: DataFrame, expected: int = 5, least: float = 0.7, points: int = 2) -> DataFrame:
-    """Sizes, radii and silhouette of press clusters; FAIL where presses are too few to cluster."""
+def cluster_measures(events: DataFrame) -> DataFrame:
+    """Presses, clusters, their sizes and radii, and the silhouette of each episode that has presses."""
     gap = F.sqrt((F.col("x") - F.col("cluster_center_x")) ** 2 + (F.col("y") - F.col("cluster_center_y")) ** 2)
-    clusters = events.where("cluster_id is not null").groupBy(*EPISODE, "cluster_id").agg(F.count("*").alias("n"), F.max(gap).alias("radius"))
-    d = clusters.groupBy(*EPISODE).agg(F.count("*").alias("num_clusters"), F.min("n").alias("min_points"), F.max("radius").alias("max_cluster_radius"), F.avg("radius").alias("mean_cluster_radius"))
-    total = events.groupBy(*EPISODE).agg(F.count("*").alias("presses"))
-    d = pose.select(*EPISODE).distinct().join(total, EPISODE, "left").join(d, EPISODE, "left").join(press.silhouettes(events, EPISODE), EPISODE, "left")
+    clusters = events.groupBy(*EPISODE, "cluster_id").agg(F.count("*").alias("n"), F.max(gap).alias("radius"))
+    known = lambda c: F.when(F.col("cluster_id").isNotNull(), F.col(c))
+    d = clusters.groupBy(*EPISODE).agg(F.sum("n").alias("presses"), F.nullif(F.count("cluster_id"), F.lit(0)).alias("num_clusters"), F.min(known("n")).alias("min_points"), F.max(known("radius")).alias("max_cluster_radius"), F.avg(known("radius")).alias("mean_cluster_radius"))
+    return d.join(press.silhouettes(events, EPISODE), EPISODE, "left")
+
+
+def cluster_status(expected: int = 5, least: float = 0.7, points: int = 2) -> Column:
     few = (F.coalesce("presses", F.lit(0)) < expected) | F.col("num_clusters").isNull()
     thin = (F.col("num_clusters") < expected) | (F.col("min_points") < points)
     unknown = F.col("cluster_silhouette").isNull() | (F.col("presses") <= expected)
-    return d.withColumn("status", E.ladder([(few | thin, "FAIL"), (unknown, "WARN"), (F.col("cluster_silhouette") < least, "FAIL")], "PASS"))
+    return E.ladder([(few | thin, "FAIL"), (unknown, "WARN"), (F.col("cluster_silhouette") < least, "FAIL")], "PASS")
 
 
-def bbox_check(pose: DataFrame, events: DataFrame, margin: float = 0.5, most: float = 0.1, fail: bool = False) -> DataFrame:
-    """Share of frames outside the box of the cluster centres, widened by a share of its longer side."""
+def cluster_check(pose: DataFrame, events: DataFrame, expected: int = 5, least: float = 0.7, points: int = 2) -> DataFrame:
+    """Sizes, radii and silhouette of press clusters; FAIL where presses are too few to cluster."""
+    return pose.select(*EPISODE).distinct().join(cluster_measures(events), EPISODE, "left").withColumn("status", cluster_status(expected, least, points))
+
+
+def boxes(events: DataFrame, margin: float = 0.5) -> DataFrame:
+    """The box of each episode's cluster centres, and by how much it is widened: a share of its longer side."""
     centre = {"x": "cluster_center_x", "y": "cluster_center_y"}
     box = events.where("cluster_id is not null").groupBy(*EPISODE).agg(*(f(c).alias(f"{a}_{n}") for a, c in centre.items() for n, f in (("low", F.min), ("high", F.max))))
-    pad = F.greatest(F.greatest(F.col("x_high") - F.col("x_low"), F.col("y_high") - F.col("y_low")) * margin, F.lit(1e-6))
-    box = box.withColumn("pad", pad)
+    return box.withColumn("pad", F.greatest(F.greatest(F.col("x_high") - F.col("x_low"), F.col("y_high") - F.col("y_low")) * margin, F.lit(1e-6)))
+
+
+def bbox_measures() -> list[Column]:
     outside = F.lit(False)
     for a in "xy":
         outside = outside | (F.col(a) < F.col(f"{a}_low") - F.col("pad")) | (F.col(a) > F.col(f"{a}_high") + F.col("pad"))
-    d = pose.join(box, EPISODE, "left").groupBy(*EPISODE).agg(F.avg(outside.cast("double")).alias("outside_ratio"), F.max("pad").alias("pad"))
-    return d.withColumn("status", E.ladder([(F.col("pad").isNull(), "FAIL"), (F.col("outside_ratio") > most, "FAIL" if fail else "WARN")], "PASS")).drop("pad")
+    return [F.avg(outside.cast("double")).alias("outside_ratio"), F.max("pad").alias("pad")]
+
+
+def bbox_status(most: float = 0.1, fail: bool = False) -> Column:
+    return E.ladder([(F.col("pad").isNull(), "FAIL"), (F.col("outside_ratio") > most, "FAIL" if fail else "WARN")], "PASS")
+
+
+def bbox_check(pose: DataFrame, events: DataFrame, margin: float = 0.5, most: float = 0.1, fail: bool = False) -> DataFrame:
+    """Share of frames outside the box of the cluster centres."""
+    d = pose.join(boxes(events, margin), EPISODE, "left").groupBy(*EPISODE).agg(*bbox_measures())
+    return d.withColumn("status", bbox_status(most, fail)).drop("pad")
+
+
+#: The metrics of each validator.
+METRICS = {
+    "schema": ("n_samples", "n_bad", "x_min", "x_max", "y_min", "y_max", "z_min", "z_max"), "quaternion": ("quat_max_norm_error", "num_bad_quaternions"),
+    "euler_stability": tuple(f"{c}_{m}" for c in ("roll", "pitch", "yaw") for m in ("var", "range")), "velocity_jump": ("max_velocity_mps", "p95_velocity_mps", "num_jump_points"),
+    "press_event": ("z_min", "z_max", "detected_press_count"), "xy_cluster": ("presses", "num_clusters", "min_points", "max_cluster_radius", "mean_cluster_radius", "cluster_silhouette"), "workspace_bbox": ("outside_ratio",),
+}
 
 
 def validate(pose: DataFrame) -> DataFrame:
-    """The seven results of each episode: validator_name, status, metrics (a map); see ``worst`` for the episode's status."""
-    features = pose_features(pose)
+    """The seven results of each episode: validator_name, status, metrics (a map); see ``worst`` for the episode's status.
+
+    Frames are measured in one aggregate, presses in another; the results are rows of one array per episode."""
     presses = written(press.press_frames(pose, min_distance=24, window=21, nearest=False), "press-frames")
-    events = press.press_events(pose, presses)
-    parts = {
-        "schema": schema_check(pose), "quaternion": quaternion_check(pose), "euler_stability": euler_check(features), "velocity_jump": velocity_check(features),
-        "press_event": press_check(pose, presses), "xy_cluster": cluster_check(pose, events), "workspace_bbox": bbox_check(pose, events),
-    }
-    out = None
-    for name, d in parts.items():
-        metrics = [x for c in d.columns if c not in (*EPISODE, "status") for x in (F.lit(c), F.col(c).cast("double"))]
-        rows = d.select(*EPISODE, F.lit(name).alias("validator_name"), "status", F.create_map(*metrics).alias("metrics"))
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    events = written(press.press_events(pose, presses), "press-events")
+    flagged = pose.withColumns({"_bad": not_finite(), "_raw": raw_norm(pose)})
+    frames = pose_features(flagged, keep=("_bad", "_raw")).join(boxes(presses), EPISODE, "left")
+    measured = frames.groupBy(*EPISODE).agg(*schema_measures(F.col("_bad")), *quaternion_measures(F.col("_raw")), *euler_measures(), *velocity_measures(), *bbox_measures())
+    all_of = measured.join(cluster_measures(events), EPISODE, "left").withColumn("detected_press_count", F.coalesce("presses", F.lit(0)))
+    status = {"schema": schema_status(), "quaternion": quaternion_status(), "euler_stability": euler_status(), "velocity_jump": velocity_status(), "press_event": press_status(), "xy_cluster": cluster_status(), "workspace_bbox": bbox_status()}
+    result = lambda n: F.struct(F.lit(n).alias("validator_name"), status[n].alias("status"), F.create_map(*(x for c in METRICS[n] for x in (F.lit(c), F.col(c).cast("double")))).alias("metrics"))
+    return all_of.select(*EPISODE, F.explode(F.array(*map(result, METRICS))).alias("r")).select(*EPISODE, "r.*")
 
 
 #: Order of severity.
