@@ -5,6 +5,8 @@ from __future__ import annotations
 from datetime import date
 
 from ..plans import warehouse as W
+from ..sources import documents as D
+from ..sources import scratch
 from .base import Family
 
 family = Family()
@@ -95,6 +97,11 @@ add("P5_fact_etl_run", ["fx_etl_perf"], W.fact_etl_run, f"SELECT * REPLACE (roun
 add("F1_fact_etl_run_window", ["fx_etl_perf"], lambda p: W.fact_etl_run(p, (date(2024, 1, 3), date(2024, 1, 9))),
     f"SELECT * REPLACE (round(duration_sec, 6) AS duration_sec) FROM ({ETL}) WHERE CAST(started_at AS DATE) BETWEEN DATE '2024-01-03' AND DATE '2024-01-09'")
 add("P6_fact_qc_rule_result", ["fx_qc_runs"], W.fact_qc_rule_result, RULE_ROWS)
+add("P6_rules_from_variant", ["fx_qc_runs"], lambda q: D.rule_rows(scratch.written(D.shredded(q, D.QC_DOCUMENTS), "qc-documents")),
+    f"SELECT run_id, rule_id, severity, status, metric, op, threshold_value AS threshold, actual_value AS actual FROM ({RULE_ROWS}) WHERE rule_id IS NOT NULL AND rule_id <> 'contract_status'")
+add("P6_document_shapes", ["fx_qc_runs"], lambda q: D.shredded(q, D.QC_DOCUMENTS).groupBy("metrics_json_shape", "failed_rules_json_shape", "warning_rules_json_shape").count().withColumnRenamed("count", "n"),
+    """SELECT CASE WHEN metrics_json IS NULL THEN 'missing' ELSE 'object' END AS metrics_json_shape, CASE WHEN failed_rules_json IS NULL THEN 'missing' WHEN failed_rules_json LIKE '[%' THEN 'array' ELSE 'object' END AS failed_rules_json_shape,
+    CASE WHEN warning_rules_json IS NULL THEN 'missing' ELSE 'array' END AS warning_rules_json_shape, count(*) AS n FROM fx_qc_runs GROUP BY 1, 2, 3""")
 add("P7_fact_workflow_step", ["fx_workflow_steps", "fx_workflow_runs"], W.fact_workflow_step, f"SELECT * REPLACE (round(duration_sec, 6) AS duration_sec) FROM ({STEPS})")
 add("P8_fact_asset_profile", ["fx_profiles"], W.fact_asset_profile, PROFILES)
 

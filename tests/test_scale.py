@@ -269,3 +269,26 @@ def test_silhouettes_in_blocks_equal_a_loop():
         got = press.silhouette(x, y, c, block=64)
         assert got is None if not each else math.isclose(got, np.mean(each), abs_tol=1e-12)
     assert press.silhouette(np.zeros(4), np.zeros(4), np.array([0, 0, 1, 1])) == 0.0
+
+
+def test_documents_of_every_shape_are_parsed_once(spark):
+    from kinelake.sources import documents
+
+    rule = '{"rule_id":"r%d","severity":"fail","threshold":%s,"actual":2}'
+    cases = [
+        ("full", '{"_rule_results":[%s,%s]}' % (rule % (1, "0.5"), rule % (2, '"a"')), "[%s]" % (rule % (9, "1")), None),
+        ("array", None, "[%s]" % (rule % (3, "null")), None),
+        ("items", None, '{"items":[%s]}' % (rule % (4, "1")), "[%s]" % (rule % (5, "1"))),
+        ("broken", "{not json", "[", "7"),
+        ("empty", "{}", "[]", '{"items":null}'),
+        ("null", None, None, None),
+        ("scalar", "3", '"x"', "null"),
+    ]
+    df = spark.createDataFrame(cases, "run_id string, metrics_json string, failed_rules_json string, warning_rules_json string")
+    table = documents.shredded(df, documents.QC_DOCUMENTS)
+    got = sorted((r.run_id, r.rule_id, r.status, r.threshold) for r in documents.rule_rows(table).collect())
+    assert got == [("array", "r3", "FAIL", None), ("full", "r1", "PASS", "0.5"), ("full", "r2", "PASS", "a"), ("items", "r4", "FAIL", "1"), ("items", "r5", "WARN", "1")]
+    shapes = {r.run_id: (r.metrics_json_shape, r.failed_rules_json_shape, r.warning_rules_json_shape) for r in table.collect()}
+    assert shapes["full"] == ("object", "array", "missing") and shapes["items"] == ("missing", "object", "array")
+    assert shapes["broken"][:2] == ("missing", "missing") and shapes["scalar"] == ("scalar", "scalar", "scalar")
+    assert documents.rule_rows(table)._jdf.queryExecution().optimizedPlan().toString().count("parse_json") <= 3  # one for each column
