@@ -57,17 +57,6 @@ def missing_text_rate(df: DataFrame, column: str) -> Column:
     return F.avg(missing.cast("double"))
 
 
-def quantile_by_place(c: str, q: float) -> Column:
-    """Aggregate: the element at int(q * n) (at most the last) of the sorted values. Collects a group's values."""
-    v = F.sort_array(F.collect_list(c))
-    return F.element_at(v, F.least(F.size(v) - 1, F.floor(F.lit(q) * F.size(v)).cast("int")) + 1)
-
-
-def quantile_half_even(c: str, q: float) -> Column:
-    """Aggregate: the interpolated quantile rounded half to even."""
-    return F.bround(E.quantile(c, q)).cast("long")
-
-
 def inference_metrics(outputs: DataFrame, jobs: DataFrame) -> DataFrame:
     """Totals, throughput, latency quantiles and error rate of each job."""
     o = outputs.groupBy("job_id").agg(

@@ -43,8 +43,12 @@ def anomaly_score(sample_id: str, quality: str, velocity: str, null_rate: str, q
     return F.round(F.when(weight > 0, E.clip(total / weight, 0.0, 1.0)).otherwise(chance), 6)
 
 
+#: Fixed value: the caption text.
+CAPTION = "Episode %s of dataset %s processed by local_cpu rule captioner."
+
+
 def caption(dataset_id: str, episode_id: str) -> Column:
-    return F.format_string("Episode %s of dataset %s processed by local_cpu rule captioner.", F.coalesce(episode_id, F.lit("?")), F.coalesce(dataset_id, F.lit("unknown")))
+    return F.format_string(CAPTION, F.coalesce(episode_id, F.lit("?")), F.coalesce(dataset_id, F.lit("unknown")))
 
 
 def task_of(model_type: str) -> Column:

@@ -100,6 +100,10 @@ def vector_pose(c: Column) -> list[Column]:
     return [c[i].cast("double").alias(n) for i, n in enumerate(POSE)]
 
 
+#: Columns that hold a pose, best first: angles, vectors, seven flat columns, a guess.
+DROID = ("cartesian_position", "cartesian_pose", "tcp_pose", "ee_pose", "observation.state")
+
+
 def droid_frames(df: DataFrame) -> DataFrame:
     """The best pose that the columns offer, and which one it was."""
     from ..operators.series import from_euler
@@ -109,7 +113,7 @@ def droid_frames(df: DataFrame) -> DataFrame:
         c = F.col("cartesian_position")
         flat = df.select(*keys, *(c[i].cast("double").alias(n) for i, n in enumerate(("x", "y", "z", "roll", "pitch", "yaw"))))
         return from_euler(flat).select(*keys, *POSE, F.lit("cartesian_position").alias("pose_source"))
-    for name in ("cartesian_pose", "tcp_pose", "ee_pose"):
+    for name in DROID[1:4]:
         if name in names:
             return df.select(*keys, *vector_pose(F.col(name)), F.lit(name).alias("pose_source"))
     if set(POSE) <= names:
