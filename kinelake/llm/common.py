@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -41,6 +42,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete shuffle files and broadcasts of plans that nobody refers to any more."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 class Scratch:
     """Intermediate tables of one operator in a folder of their own under the checkpoint folder; ``drop`` and ``clear`` delete what later
     tables, already written, no longer need."""

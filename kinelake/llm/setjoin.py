@@ -19,7 +19,7 @@ and weren't compared before. Nothing is cut; shingles that more than ``BUCKET``
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from math import ceil
 
 import numpy as np
@@ -28,13 +28,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, bounded_batches, small, utf8, written
+from .common import Scratch, bounded_batches, release, small, utf8, written
 from .simhash import BUCKET, blocked, components, links as fingerprint_links, majority, shingle_hashes, similar_pairs
 
 #: Buckets in which shingles are counted for the order, and how many one row of counts has.
 ORDER_BITS, ORDER_BLOCK = 22, 1 << 16
 #: Bits that tell which prefix shingles several texts have (a bit that shingles share only keeps more of them).
-SHARED_BITS = 27
+SHARED_BITS = 26
 #: Least bits of a bitmap; all bitmaps fold to this length.
 BITS = 512
 LANES = BITS // 64
@@ -69,24 +69,26 @@ def described(texts: DataFrame, words: int) -> DataFrame:
 
 
 def bucket_weights(counts: DataFrame) -> np.ndarray:
-    """The sums of rows (block, counts), for all buckets: an array of one size whatever the data. Added up within tasks first."""
+    """The sums of rows (block, counts), for all buckets, in eighths of a power of two: a byte each, whatever the data. Added up within
+    tasks first."""
 
-    def added(kind: type) -> callable:
+    def added(kind: type, last: bool) -> Callable:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums: dict[int, np.ndarray] = {}
             for batch in batches:
                 for block, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                     sums[block] = sums.get(block, 0) + np.frombuffer(raw, kind).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["block", "counts"])
+            out = [np.minimum(8 * np.log2(x + 1.0), 255).astype(np.uint8) if last else x for x in sums.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in out], pa.binary())], names=["block", "counts"])
 
         return run
 
     schema = "block int, counts binary"
-    t = counts.mapInArrow(added(np.uint16), schema).repartition("block").mapInArrow(added(np.int64), schema).toArrow()
-    out = np.zeros((1 << ORDER_BITS) // ORDER_BLOCK * ORDER_BLOCK, np.int64).reshape(-1, ORDER_BLOCK)
+    t = counts.mapInArrow(added(np.uint16, False), schema).repartition("block").mapInArrow(added(np.int64, True), schema).toArrow()
+    out = np.zeros(((1 << ORDER_BITS) // ORDER_BLOCK, ORDER_BLOCK), np.uint8)
     for block, raw in zip(t.column(0).to_pylist(), t.column(1).to_pylist()):
-        out[block] = np.frombuffer(raw, np.int64)
-    return np.minimum(out.ravel(), 2**32 - 1).astype(np.uint32)
+        out[block] = np.frombuffer(raw, np.uint8)
+    return out.ravel()
 
 
 def bitmap(shingles: np.ndarray) -> np.ndarray:
@@ -249,6 +251,7 @@ def shared_prefixes(texts: DataFrame, words: int, least: float, weights: np.ndar
     """(h, id) of prefix shingles that bring texts together, and (id, size, bits) of these texts."""
     without = lambda df: df if apart is None else df.join(small(apart), "id", "left_anti")
     bits = shared_bits(without(prefixes(texts, words, least, weights)))
+    release(texts.sparkSession)
     each = scratch.written(without(prefixes(texts, words, least, weights, bits)), "prefixes")
     rows = each.where("h is not null").select("h", "id")
     # shingles with the same texts: the number of texts and two xors of their hashes agree
@@ -304,4 +307,5 @@ def near_duplicates(docs: DataFrame, doc_id: str, text: str, words: int = 5, sim
     named = nodes.join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))
     out = written(prints.select(F.col("id").alias("doc_id"), "digest").join(named, "digest").drop("digest"), "near-duplicates")
     scratch.clear()
+    release(docs.sparkSession)
     return out
