@@ -28,11 +28,12 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, PrefixHash, bounded_batches, mixed, small, utf8, written
+from .common import LOWER, PrefixHash, bounded_batches, mixed, release, small, utf8, written
 
 #: Fixed values of the text model: bytes that end a piece, bytes between words.
 PIECE_END, BLANK = b".,;:!?\n\x0b\x0c\r", b" \t"
 BITS = 26
+KEPT = np.uint64(2**64 - 2**16)  # mining counts the upper 48 bits of a hash
 SLICE = 2 << 20
 
 KIND = np.zeros(256, np.int8)
@@ -186,7 +187,7 @@ def locally_frequent(texts: DataFrame, least: DataFrame, passed: Broadcast, k: i
         for lang, shard, group in groups_of(batches):
             found = levels(Words(group), language_salt(lang), passed.value, k)
             if len(found) == k:
-                yield batch_of(lang, shard, pa.array(found[-1].key.view(np.int64)), found[-1].count, "key")
+                yield batch_of(lang, shard, pa.array((found[-1].key & KEPT).view(np.int64)), found[-1].count, "key")
 
     mined = texts.mapInArrow(run, "lang string, shard int, key long, n long").groupBy("lang", "shard", "key").agg(F.sum("n").alias("n"))
     return mined.join(least, ["lang", "shard"]).where("n >= least").select("key")
@@ -224,12 +225,13 @@ def frequent_phrases(docs: DataFrame, text: str, lang: str, most: int, support:
     passed = [bitmap_of(word_keys(ones))]
     for k in range(2, most + 1):
         passed.append(bitmap_of(locally_frequent(texts, least, spark.sparkContext.broadcast(list(passed)), k)))
+        release(spark)
     more = counted(texts, spark.sparkContext.broadcast(passed), most).where(F.col("n") >= support)
     every = ones.select("lang", "phrase", F.lit(1).alias("words"), F.col("n").alias("f")).unionByName(more.withColumnRenamed("n", "f"))
     return written(every, "frequent-phrases"), totals
 
 
-def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", most: int = 3, support: int = 10, inside: int = 50, top: int = 2000, shards: int = 4) -> DataFrame:
+def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", most: int = 3, support: int = 10, inside: int = 50, top: int = 2000, shards: int = 2) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: of each language the ``top`` phrases of 2 to ``most`` words.
 
     a, l, r are the occurrences of the phrase and of the two parts of its weakest cut, score is floor(1000000 a a / (l r)).
