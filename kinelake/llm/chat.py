@@ -6,8 +6,8 @@ attachments and its expanded token count is noted. Turns are marked by control s
 are escaped reversibly, so that ``read_back`` recovers every turn.
 
 Defined results: null text, role or parts are empty; turns are ordered by turn (null first), then role, then content, so
-ties and repeated rows give the same result on each run; a null conversation id is a conversation of its own; an empty
-table gives an empty result; other columns are ignored.
+ties and repeated rows give the same result on each run; a null conversation id is a conversation of its own; very long
+texts are taken whole; an empty table gives an empty result; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations

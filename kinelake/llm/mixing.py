@@ -7,7 +7,9 @@ which is all that rates depend on. Rates become whole copies by systematic round
 left per source is made up with its smallest documents.
 
 Defined results: null text counts 0 words; null source is a source of its own, ordered last; documents of size 0 are never
-taken; a source without words has target 0; an empty table gives an empty result; repeated ids are separate rows.
+taken; a source without words has target 0; an empty table gives an empty result; repeated ids are separate rows; very long
+texts are counted whole; which of several rows of equal id, source and size gets the extra copy goes by their order in the table
+(only kept columns can tell); columns beside id, text, source and those asked for are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -135,7 +137,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     slices = open_rows.groupBy("key", "size", "slice").agg(F.count("*").alias("held"))
     ahead = Window.partitionBy("key", "size").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = slices.withColumn("ahead", F.coalesce(F.sum("held").over(ahead), F.lit(0))).drop("held")
-    in_slice = Window.partitionBy("key", "size", "slice").orderBy(F.xxhash64("doc_id"), "doc_id")
+    in_slice = Window.partitionBy("key", "size", "slice").orderBy(F.xxhash64("doc_id"), "doc_id", *(["row"] if keep else []))
     ranked = open_rows.withColumn("place", F.row_number().over(in_slice)).join(slices, ["key", "size", "slice"])
     place = F.col("ahead") + F.col("place")
     ranked = ranked.withColumn("copies", (F.expr("(copies * (ahead + place)) div n") - F.expr("(copies * (ahead + place - 1)) div n")).cast("long"))

@@ -6,8 +6,9 @@ The pairwise term takes time linear in the features by the sum-of-squares identi
 most ``sample`` labelled rows (chosen by a hash of the id) with Adagrad steps; documents are scored on the executors.
 
 Defined results: null and empty texts have no words and get the score of their structure; rows with null labels or ids
-without a label teach nothing; without any labelled row every score is 0.5; ids and repeated rows pass through; an empty
-table gives an empty result. Label, language, source and id are never features.
+without a label teach nothing; without any labelled row every score is 0.5; ids and repeated rows pass through; very long
+texts are scored whole; equal texts get equal scores; columns beside text, id and those asked for are not read; an empty table gives
+an empty result. Label, language, source and id are never features.
 """
 
 from __future__ import annotations

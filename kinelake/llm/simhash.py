@@ -12,7 +12,8 @@ small-star steps on distributed edge tables.
 
 Defined results: null text is empty; a text without words has the zero fingerprint and links like any other; a text of
 fewer words than a shingle is one shingle; very long texts are taken whole; repeated ids are separate rows; rows with a null
-id link like any other (their component is null where no row in it has an id); empty tables give empty results.
+id link like any other (their component is null where no row in it has an id); columns besides id and text are not read, whatever their names; empty
+tables give empty results.
 """
 
 from __future__ import annotations

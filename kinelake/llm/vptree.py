@@ -12,7 +12,7 @@ Of vectors that are equal, a shard keeps the k + 1 smallest ids, which is all th
 
 Defined results: vectors that are null, zero or have null or non-finite components, and null ids, take no part; vectors
 of a length other than the queries' are not compared with them; ties go to the smaller id; of rows that repeat an id the best
-score counts; empty tables give an empty result.
+score counts; other columns, whatever their names, are not read; empty tables give an empty result.
 """
 
 from __future__ import annotations

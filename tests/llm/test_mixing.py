@@ -70,3 +70,26 @@ def test_kept_columns_stay_with_their_row(spark, monkeypatch):
 
 def test_empty(spark):
     assert mixing.mix(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_texts_of_equal_id_source_and_size_share_copies_alike_in_every_run(spark):
+    rows = [(7 if i % 2 else None, f"w{i:03d}", "s") for i in range(401)] + [(9, "a b c d e f g h", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    path = scratch_path(spark)
+    docs.write.parquet(path)
+    before, seen = spark.conf.get("spark.sql.shuffle.partitions"), set()
+    try:
+        for parts in ("1", "3", "13"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            seen.add(tuple(sorted((r.text, r.copies) for r in mixing.mix(spark.read.parquet(path), keep=("text",)).collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(seen) == 1 and len(next(iter(seen))) == len(rows)
+
+
+def scratch_path(spark):
+    import uuid
+
+    from kinelake.llm.common import checkpoint_dir
+
+    return f"{checkpoint_dir(spark)}/{uuid.uuid4().hex}"
