@@ -72,14 +72,14 @@ def random_rows(seed, n=150):
     return rows + rows[:20] + [(None, 0, "user", "lost")]
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(2))
 def test_query_equals_a_plain_trie(spark, tmp_path, seed):
     rows = random_rows(seed)
     table(spark, rows).write.parquet(f"{tmp_path}/conversations.parquet")
     assert got(op13_prefix_trie(spark, str(tmp_path))) == plain(rebuilt(ordered(rows)))
 
 
-@pytest.mark.parametrize("shards", ["1", "2", "7", "40"])
+@pytest.mark.parametrize("shards", ["1", "7", "40"])
 def test_any_number_of_shards_gives_the_same_nodes(spark, shards):
     rows = random_rows(11) + [(1000 + i, t, "user", x) for i in range(60) for t, x in enumerate("abc")]  # one conversation 60 times
     before = spark.conf.get("spark.sql.shuffle.partitions")
