@@ -18,7 +18,8 @@ Equal contexts are told by a 64-bit anchor hash and a 128-bit BLAKE2 digest; all
 
 Defined results: null text is empty and keeps nothing; texts shorter than ``length`` stay; very long texts are read in
 overlapping pieces of ``PIECE`` bytes; rows that repeat an id and its text are separate occurrences of their text; a null id
-is treated like any other, as is any value of it; empty tables give empty results.
+is treated like any other, as is any value of it; columns besides id, text and those in ``keep`` are not read; empty tables
+give empty results.
 """
 
 from __future__ import annotations
@@ -209,7 +210,7 @@ class Suffixes:
 
     def verified(self, i: np.ndarray, j: np.ndarray, n: np.ndarray) -> bool:
         """Whether the first n bytes of suffixes i and j are equal, byte by byte, for all pairs."""
-        step = max(1, 4_000_000 // max(1, int(n.max(initial=1))))
+        step = max(1, 1_000_000 // max(1, int(n.max(initial=1))))
         for s in range(0, len(i), step):
             m = n[s : s + step]
             inner = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
