@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 EVENT = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
 
@@ -38,38 +39,70 @@ STATE = "updated_at timestamp, event_id long, warned boolean"
 LIVE = "workflow_name string, phase string, step_name string, updated_at timestamp, event_id long, state string"
 
 
-def liveness(heartbeats: DataFrame, warn: float, stale: float, lateness: str = "2 days") -> DataFrame:
-    """The last heartbeat of each workflow, phase and step: ``ok`` as it moves on, ``warn`` and then ``stale`` when event time
-    is so many seconds past it. A step that went stale may come back."""
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        def row(when, event: int, what: str) -> pd.DataFrame:
-            return pd.DataFrame({**{n: [k] for n, k in zip(BEAT, key)}, "updated_at": [pd.Timestamp(when)], "event_id": [event], "state": [what]})
-
-        def wake(when, seconds: float) -> None:
-            state.setTimeoutTimestamp(max(int(pd.Timestamp(when).timestamp() * 1000 + seconds * 1000), state.getCurrentWatermarkMs() + 1))
-
-        if state.hasTimedOut:
-            when, event, warned = state.get
-            if state.getCurrentWatermarkMs() >= pd.Timestamp(when).timestamp() * 1000 + stale * 1000:
-                state.remove()
-                yield row(when, event, "stale")
-            else:
-                state.update((when, event, True))
-                wake(when, stale)
-                yield row(when, event, "warn")
-            return
-        when, event, _ = state.get if state.exists else (pd.Timestamp(0), -1, False)
-        for b in batches:
+class Heartbeats(StatefulProcessor):
+    """State of one workflow, phase and step: its last heartbeat, with one timer at the next moment it may turn ``warn`` or ``stale``."""
+
+    def __init__(self, warn: float, stale: float):
+        self.after = {"warn": warn, "stale": stale}
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle, self.last = handle, handle.getValueState("last", STATE)
+
+    def wake(self, when: pd.Timestamp, grade: str, timers: TimerValues) -> None:
+        """The only timer from now on: when event time is past ``when`` by what ``grade`` takes, or at the next watermark if it is already."""
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        due = int(when.timestamp() * 1000 + self.after[grade] * 1000)
+        self.handle.registerTimer(max(due, timers.getCurrentWatermarkInMs() + 1))
+
+    def seen(self) -> tuple[pd.Timestamp, int]:
+        when, event, _ = self.last.get() if self.last.exists() else (pd.Timestamp(0), -1, False)
+        return pd.Timestamp(when), event
+
+    def put(self, when: pd.Timestamp, event: int, warned: bool) -> None:
+        self.last.update((when.to_pydatetime(), event, warned))
+
+    def row(self, key: tuple, when: pd.Timestamp, event: int, state: str) -> pd.DataFrame:
+        return pd.DataFrame({**{n: [k] for n, k in zip(BEAT, key)}, "updated_at": [when], "event_id": [event], "state": [state]})
+
+    def handleInitialState(self, key: tuple, initialState: pd.DataFrame, timerValues: TimerValues) -> None:
+        first = initialState.sort_values(["updated_at", "event_id"]).iloc[-1]
+        if first.state != "stale" and (first.updated_at, first.event_id) > self.seen():
+            self.put(first.updated_at, int(first.event_id), first.state == "warn")
+            self.wake(first.updated_at, "stale" if first.state == "warn" else "warn", timerValues)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        when, event = self.seen()
+        for b in rows:
             last = b.sort_values(["updated_at", "event_id"]).iloc[-1]
-            if (last.updated_at, last.event_id) > (pd.Timestamp(when), event):
+            if (last.updated_at, last.event_id) > (when, event):
                 when, event = last.updated_at, int(last.event_id)
-        state.update((pd.Timestamp(when).to_pydatetime(), event, False))
-        wake(when, warn)
-        yield row(when, event, "ok")
+        self.put(when, event, False)
+        self.wake(when, "warn", timerValues)
+        yield self.row(key, when, event, "ok")
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        when, event = self.seen()
+        if timerValues.getCurrentWatermarkInMs() >= when.timestamp() * 1000 + self.after["stale"] * 1000:
+            self.last.clear()
+            yield self.row(key, when, event, "stale")
+        else:
+            self.put(when, event, True)
+            self.wake(when, "stale", timerValues)
+            yield self.row(key, when, event, "warn")
+
+
+def liveness(heartbeats: DataFrame, warn: float, stale: float, lateness: str = "2 days", known: DataFrame | None = None) -> DataFrame:
+    """The last heartbeat of each workflow, phase and step: ``ok`` as it moves on, ``warn`` and then ``stale`` when event time
+    is so many seconds past it. A step that went stale may come back.
 
-    rows = heartbeats.withWatermark("updated_at", lateness)
-    return rows.groupBy(*BEAT).applyInPandasWithState(step, LIVE, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    ``known`` (rows as of ``liveness_batch``) is what the stream starts from: its steps turn ``warn`` and ``stale`` without a
+    heartbeat of their own, those that are stale in it stay so. It is read in a new stream's first batch only; a stream that
+    starts again from its checkpoint goes on from its own state. Steps that go stale leave the state, so it is bounded by
+    the steps alive. Needs the RocksDB state store, see ``state_store``."""
+    rows = heartbeats.withWatermark("updated_at", lateness).groupBy(*BEAT)
+    first = None if known is None else known.select(*BEAT, "updated_at", "event_id", "state").groupBy(*BEAT)
+    return rows.transformWithStateInPandas(Heartbeats(warn, stale), LIVE, "append", "EventTime", first)
 
 
 def liveness_now(emitted: DataFrame) -> DataFrame:
@@ -122,8 +155,23 @@ def refreshing(facts: DataFrame, states: Callable[[DataFrame], DataFrame], merge
     return facts.writeStream.foreachBatch(lambda df, batch: merged_batch(df, batch, states, merged, path))
 
 
+PROVIDER, ROCKSDB = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def state_store(spark: SparkSession, provider: str = ROCKSDB) -> Iterator[None]:
+    """Streams started inside keep their state in this store; the session's own setting comes back afterwards."""
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, provider)
+    try:
+        yield
+    finally:
+        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
+
+
 def drained(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> DataFrame:
-    """Runs a stream over all that is there into a parquet table and returns it."""
-    q = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).format("parquet").start(path)
+    """Runs a stream over all that is there into a parquet table and returns it. State is in RocksDB."""
+    with state_store(stream.sparkSession):
+        q = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).format("parquet").start(path)
     q.awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(path)

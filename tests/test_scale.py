@@ -2,7 +2,9 @@
 
 import math
 import random
+import time
 from collections import Counter
+from datetime import datetime, timedelta, timezone
 
 import numpy as np
 import pytest
@@ -292,3 +294,43 @@ def test_documents_of_every_shape_are_parsed_once(spark):
     assert shapes["full"] == ("object", "array", "missing") and shapes["items"] == ("missing", "object", "array")
     assert shapes["broken"][:2] == ("missing", "missing") and shapes["scalar"] == ("scalar", "scalar", "scalar")
     assert documents.rule_rows(table)._jdf.queryExecution().optimizedPlan().toString().count("parse_json") <= 3  # one for each column
+
+
+BEATS = "workflow_name string, phase string, step_name string, updated_at timestamp, event_id long"
+
+
+def beats(rows):
+    at = datetime(2024, 5, 1, tzinfo=timezone.utc)
+    return [(w, "p", s, at + timedelta(seconds=t), e) for w, s, t, e in rows]
+
+
+def run_beats(spark, folder, files, known=None):
+    for rows in files:  # a file each, read in this order
+        made = spark.createDataFrame(beats(rows), BEATS).coalesce(1)
+        made.write.mode("append").json(f"{folder}/in")
+        time.sleep(1.1)  # files are ordered by their second
+    stream = spark.readStream.schema(made.schema).option("maxFilesPerTrigger", 1).json(f"{folder}/in")
+    out = streams.drained(streams.liveness(stream, 100.0, 200.0, "0 seconds", known), f"{folder}/out", f"{folder}/state")
+    return [(r.workflow_name, r.step_name, r.event_id, r.state) for r in out.collect()]
+
+
+def test_liveness_goes_on_from_its_checkpoint(spark, tmp_path):
+    first = [[("a", "s", 0, 1), ("b", "s", 10, 2), ("b", "s", 10, 3), ("c", None, 5, 4)], [("a", "s", 120, 5)]]
+    want = [("a", "s", 1, "ok"), ("a", "s", 5, "ok"), ("b", "s", 3, "ok"), ("b", "s", 3, "warn"), ("c", None, 4, "ok"), ("c", None, 4, "warn")]
+    key = lambda rows: sorted(rows, key=str)
+    assert key(run_beats(spark, tmp_path, first)) == key(want)
+    want += [("a", "s", 6, "ok"), ("b", "s", 3, "stale"), ("c", None, 4, "stale")]
+    assert key(run_beats(spark, tmp_path, [[("a", "s", 215, 6)]])) == key(want)  # states of the first run are still there
+    want += [("b", "s", 7, "ok"), ("a", "s", 6, "stale")]  # b comes back; a goes from ok to stale at once
+    assert key(run_beats(spark, tmp_path, [[("b", "s", 500, 7)]])) == key(want)
+
+
+def test_liveness_starts_from_a_table(spark, tmp_path):
+    old = spark.createDataFrame(beats([("a", "s", 0, 1), ("a", "s", 0, 2), ("b", "s", 110, 3), ("d", "s", 130, 4), ("e", "s", -90, 5)]), BEATS)
+    at = F.lit(datetime(2024, 5, 1, 0, 2, 0, tzinfo=timezone.utc))
+    known = streams.liveness_batch(old, 100.0, 200.0, at)
+    assert {r.workflow_name: r.state for r in known.collect()} == {"a": "warn", "b": "ok", "d": "ok", "e": "stale"}
+    new = [("d", "s", 150, 6), ("f", "s", 215, 7)]
+    got = run_beats(spark, tmp_path, [new], known)
+    # at 215 a is stale and b warns, though neither sent anything; e was stale before
+    assert sorted(got, key=str) == sorted([("a", "s", 2, "stale"), ("b", "s", 3, "warn"), ("d", "s", 6, "ok"), ("f", "s", 7, "ok")], key=str)
