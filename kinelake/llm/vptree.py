@@ -165,9 +165,9 @@ def within(top: Node | int, unit: np.ndarray, limit: np.ndarray) -> tuple[np.nda
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def dealt(rows: DataFrame, tops: dict[int, Node | int]) -> DataFrame:
-    """Rows (kind, d, v) with their leaf."""
-    model = rows.sparkSession.sparkContext.broadcast(tops)
+def dealt(kinds: DataFrame, tops: dict[int, Node | int]) -> DataFrame:
+    """Rows (kind, d, v, ids) with their leaf."""
+    model = kinds.sparkSession.sparkContext.broadcast(tops)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -175,9 +175,9 @@ def dealt(rows: DataFrame, tops: dict[int, Node | int]) -> DataFrame:
             for d in np.unique(of).tolist():
                 own = np.flatnonzero(of == d)
                 leaf[own] = home(model.value.get(d, 0), scaled(matrix(batch.column(2).take(pa.array(own)), d)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(leaf)], names=["kind", "leaf"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf)], names=["kind", "d", "v", "ids", "leaf"])
 
-    return rows.select("kind", "d", "v").mapInArrow(run, "kind long, leaf int")
+    return kinds.select("kind", "d", "v", "ids").mapInArrow(run, "kind long, d int, v array<double>, ids array<long>, leaf int")
 
 
 def others(asked: DataFrame, tops: dict[int, Node | int], factor: float) -> DataFrame:
@@ -226,7 +226,7 @@ def prepared(vectors: DataFrame, is_query: Column, vec_id: str, vector: str, k:
     kinds = written(few.select(F.monotonically_increasing_id().alias("kind"), "d", "v", "ids"), "kinds")
     queries = written(rows.where(is_query).select("id", "v").join(kinds.select("kind", "v"), "v").select("id", "kind"), "queries")
     tops = top_trees(kinds, kinds.count(), shard, sample)
-    kinds = written(kinds.join(dealt(kinds, tops), "kind"), "dealt")
+    kinds = written(dealt(kinds, tops), "dealt")
     parts = written(kinds.groupBy("d", "leaf").agg(F.ceil(F.count("*") / shard).cast("int").alias("parts")), "parts")
     return Prepared(kinds, queries, parts, tops, max(1, parts.agg(F.sum("parts")).first()[0] or 0))
 
