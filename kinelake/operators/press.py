@@ -1,24 +1,33 @@
 """Press detection and clustering: the one family that needs a signal algorithm per episode, in numpy.
 
-An episode's frames come together as one group; a group is one recording, of bounded length.
+An episode's frames come together as one row of lists; a row is one recording, of bounded length. Python takes many rows at a time.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import lru_cache
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .series import EPISODE
 
 
+@lru_cache(64)
+def middle_weights(window: int, order: int) -> np.ndarray:
+    places = np.arange(-(window // 2), window // 2 + 1)
+    return np.linalg.pinv(np.vander(places, order + 1, increasing=True))[0]
+
+
 def smoothed(z: np.ndarray, window: int, order: int, nearest: bool = True) -> np.ndarray:
     """Savitzky-Golay: the value at the middle of a polynomial fitted to each window. At the ends the series is continued
     by its end values, or (not ``nearest``) the first and last window's polynomial is used."""
     half = window // 2
     places = np.arange(-half, half + 1)
-    weights = np.linalg.pinv(np.vander(places, order + 1, increasing=True))[0]
+    weights = middle_weights(window, order)
     if nearest:
         return np.convolve(np.pad(z, half, mode="edge"), weights[::-1], "valid")
     out = np.convolve(np.pad(z, half, mode="edge"), weights[::-1], "valid")
@@ -42,23 +51,28 @@ def local_maxima(x: np.ndarray) -> np.ndarray:
 def apart(peaks: np.ndarray, height: np.ndarray, distance: int) -> np.ndarray:
     """Peaks left when, from the highest on, each removes those nearer than ``distance``."""
     keep = np.ones(len(peaks), bool)
+    low, high = np.searchsorted(peaks, peaks - distance, "right"), np.searchsorted(peaks, peaks + distance, "left")  # peaks are in order
     for i in np.argsort(height, kind="stable")[::-1]:
         if keep[i]:
-            near = np.abs(peaks - peaks[i]) < distance
-            near[i] = False
-            keep[near] = False
+            keep[low[i] : high[i]] = False
+            keep[i] = True
     return peaks[keep]
 
 
+def before_higher(side: np.ndarray, top: float) -> np.ndarray:
+    """The values before the first one above ``top``, looked for in steps that grow."""
+    n = 64
+    while not len(up := np.flatnonzero(side[:n] > top)) and n < len(side):
+        n *= 4
+    return side[: up[0]] if len(up) else side
+
+
 def prominences(x: np.ndarray, peaks: np.ndarray) -> np.ndarray:
     """Height above the higher of the two lowest points before a higher value on either side."""
     out = np.empty(len(peaks))
     for k, p in enumerate(peaks):
-        left = np.flatnonzero(x[:p] > x[p])
-        right = np.flatnonzero(x[p + 1 :] > x[p])
-        a = left[-1] + 1 if len(left) else 0
-        b = p + 1 + right[0] if len(right) else len(x)
-        out[k] = x[p] - max(x[a : p + 1].min(), x[p:b].min())
+        left, right = before_higher(x[:p][::-1], x[p]), before_higher(x[p + 1 :], x[p])
+        out[k] = x[p] - max(left.min(initial=x[p]), right.min(initial=x[p]))
     return out
 
 
@@ -93,24 +107,46 @@ def clustered(xy: np.ndarray, k: int, rounds: int = 100) -> tuple[np.ndarray, np
 
 
 EVENTS = "dataset_id string, version string, episode_id string, frame_idx long, cluster_id int, cluster_center_x double, cluster_center_y double, z_prominence double"
+NAMES = [c.split()[0] for c in EVENTS.split(", ")]
+
+
+def listed(df: DataFrame, group: list[str], columns: list[str]) -> DataFrame:
+    """One row per group with the list ``_rows`` of its rows. Groups go to as many tasks as a shuffle has partitions: the work per
+    byte is high, so tasks must not be put together by bytes."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.select(*group, F.struct(*columns).alias("_rows")).repartition(parts, *group).groupBy(*group).agg(F.collect_list("_rows").alias("_rows"))
+
+
+def numbers(rows: pa.StructArray, name: str) -> np.ndarray:
+    return rows.field(name).cast(pa.float64()).to_numpy(zero_copy_only=False)
 
 
 def press_frames(pose: DataFrame, min_distance: int = 5, expected: int = 5, window: int = 31, nearest: bool = True) -> DataFrame:
     """One row per press: its frame, cluster and prominence."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("frame_idx", kind="stable")
-        at, height = detected(pdf["z"].to_numpy(float), min_distance, window=window, nearest=nearest)
-        xy = pdf[["x", "y"]].to_numpy(float)[at]
-        out = pdf[[*EPISODE, "frame_idx"]].iloc[at].copy()
-        out["cluster_id"], out["cluster_center_x"], out["cluster_center_y"], out["z_prominence"] = None, np.nan, np.nan, height
-        if len(at) >= max(2, expected):
-            label, centre = clustered(xy, min(expected, len(at)))
-            out["cluster_id"], out["cluster_center_x"], out["cluster_center_y"] = label, centre[label, 0], centre[label, 1]
-        out["cluster_id"] = out["cluster_id"].astype("Int32")
-        return out.replace({np.nan: None})
-
-    return pose.select(*EPISODE, "frame_idx", "x", "y", "z").groupBy(*EPISODE).applyInPandas(run, EVENTS)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, sizes = batch.column("_rows").flatten(), batch.column("_rows").value_lengths().to_numpy()
+            frame = rows.field("frame_idx")
+            order = np.lexsort((frame.fill_null(2**63 - 1).to_numpy(zero_copy_only=False), np.repeat(np.arange(len(sizes)), sizes)))
+            x, y, z = (numbers(rows, c)[order] for c in "xyz")
+            ends = np.cumsum(sizes)
+            owners, places, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros((0, 4))]
+            for k, (a, b) in enumerate(zip(ends - sizes, ends)):
+                at, height = detected(z[a:b], min_distance, window=window, nearest=nearest)
+                out = np.full((len(at), 4), np.nan)
+                out[:, 3] = height
+                if len(at) >= max(2, expected):
+                    label, centre = clustered(np.column_stack([x[a:b][at], y[a:b][at]]), min(expected, len(at)))
+                    out[:, 0], out[:, 1:3] = label, centre[label]
+                owners.append(np.full(len(at), k))
+                places.append(order[a + at])
+                found.append(out)
+            owner, v = pa.array(np.concatenate(owners)), np.concatenate(found)
+            cluster, *others = (pa.array(v[:, c], from_pandas=True) for c in range(4))  # not a number: null
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(owner) for c in EPISODE), frame.take(pa.array(np.concatenate(places))), cluster.cast(pa.int32()), *others], names=NAMES)
+
+    return listed(pose, EPISODE, ["frame_idx", "x", "y", "z"]).mapInArrow(run, EVENTS)
 
 
 def press_events(pose: DataFrame, frames: DataFrame) -> DataFrame:
@@ -145,13 +181,16 @@ def silhouette(x: np.ndarray, y: np.ndarray, label: np.ndarray, block: int = 512
 
 
 def silhouettes(points: DataFrame, group: list[str], label: str = "cluster_id", x: str = "x", y: str = "y") -> DataFrame:
-    """Mean silhouette of each group's clustered points (one recording's presses), in one grouped pass."""
+    """Mean silhouette of each group's clustered points (one recording's presses)."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = pdf[group].iloc[:1].copy()
-        out["cluster_silhouette"] = silhouette(pdf["_x"].to_numpy(float), pdf["_y"].to_numpy(float), pdf["_label"].to_numpy())
-        return out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, sizes = batch.column("_rows").flatten(), batch.column("_rows").value_lengths().to_numpy()
+            px, py, own = numbers(rows, "_x"), numbers(rows, "_y"), rows.field("_label").to_numpy(zero_copy_only=False)
+            ends = np.cumsum(sizes)
+            found = [silhouette(px[a:b], py[a:b], own[a:b]) for a, b in zip(ends - sizes, ends)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in group), pa.array(found, pa.float64(), from_pandas=True)], names=[*group, "cluster_silhouette"])
 
     kinds = ", ".join(f"{g} {points.schema[g].dataType.simpleString()}" for g in group)
     p = points.where(F.col(label).isNotNull()).select(*group, F.col(label).alias("_label"), F.col(x).alias("_x"), F.col(y).alias("_y"))
-    return p.groupBy(*group).applyInPandas(run, f"{kinds}, cluster_silhouette double")
+    return listed(p, group, ["_label", "_x", "_y"]).mapInArrow(run, f"{kinds}, cluster_silhouette double")

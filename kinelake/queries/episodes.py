@@ -130,7 +130,7 @@ add("T16_workspace_bbox", ["fx_pose"], lambda p: P.bbox_check(p, centred(p)),
 add("T12_press_frames", ["fx_pose"], press.press_frames)
 add("T14_press_events", ["fx_pose"], lambda p: press.press_events(p, press.press_frames(p)))
 add("T13_press_clusters", ["fx_pose"], lambda p: press.press_frames(p, expected=3).where("cluster_id is not null").groupBy(*series.EPISODE, "cluster_id", "cluster_center_x", "cluster_center_y").agg(F.count("*").alias("n")))
-add("T17_cluster_quality", ["fx_pose"], lambda p: P.cluster_check(p, press.press_events(p, press.press_frames(p))))
+add("T17_cluster_quality", ["fx_pose"], lambda p: P.cluster_check(p, scratch.written(press.press_events(p, scratch.written(press.press_frames(p), "press-frames")), "press-events")))
 add("P1_normalize", ["fx_pose"], lambda p: P.normalize(P.inject(p, "nan_injection"))[0],
     f"""WITH q AS (SELECT {K}, frame_idx, x, y, CASE WHEN frame_idx % 20 = 10 THEN 0.0 ELSE z END AS z, qx, qy, qz, CASE WHEN sqrt(qx*qx + qy*qy + qz*qz + qw*qw) < 1e-12 THEN 1.0 ELSE qw END AS qw FROM fx_pose), n AS (SELECT *, sqrt(qx*qx + qy*qy + qz*qz + qw*qw) AS quat_norm FROM q)
     SELECT {K}, frame_idx, round(frame_idx / 30.0, 6) AS timestamp_sec, {r6('x', 'y', 'z')}, {', '.join(f'round({c} / quat_norm, 6) AS {c}' for c in ('qx', 'qy', 'qz', 'qw'))}, round(quat_norm, 6) AS quat_norm FROM n""")
@@ -157,16 +157,27 @@ add("P1_mixed_slices", ["fx_pose"], routed, f"""
 SELECT {K}, frame_idx, round(x, 6) AS x, round(CASE dataset_id WHEN 'ds_0' THEN sin(x / 2) WHEN 'ds_3' THEN 0.0 ELSE qx END, 6) AS qx, round(CASE dataset_id WHEN 'ds_0' THEN cos(x / 2) WHEN 'ds_3' THEN 1.0 ELSE qw END, 6) AS qw,
     CASE WHEN dataset_id = 'ds_0' THEN 'cartesian_position' WHEN dataset_id IN ('ds_1', 'ds_2') THEN 'tcp_pose' WHEN dataset_id = 'ds_3' THEN 'exact:ds_3' ELSE 'columns' END AS pose_source,
     CASE WHEN dataset_id = 'ds_3' THEN 'exact:ds_3' ELSE 'prefix:ds_' END AS adapter FROM fx_pose""")
-add("P2_episode_feature", ["fx_pose"], lambda p: P.build_features(p)["episode_feature"])
-add("P3_build_ads", ["fx_pose"], lambda p: P.build_ads(P.build_features(p)["episode_feature"], P.validate(p))["dataset_quality_summary"])
-add("P13_validate", ["fx_pose"], lambda p: P.validate(p).drop("metrics"))
-add("A8_validator_failures", ["fx_pose"], lambda p: P.validator_failures(P.validate(p)))
+
+
+def once(pose):
+    """Poses as a table: several branches read them."""
+    return scratch.written(pose, "pose")
+
+
+def built_ads(pose):
+    return P.build_ads(P.build_features(pose)["episode_feature"], P.validate(pose))["dataset_quality_summary"]
+
+
+add("P2_episode_feature", ["fx_pose"], lambda p: P.build_features(once(p))["episode_feature"])
+add("P3_build_ads", ["fx_pose"], lambda p: built_ads(once(p)))
+add("P13_validate", ["fx_pose"], lambda p: P.validate(once(p)).drop("metrics"))
+add("A8_validator_failures", ["fx_pose"], lambda p: P.validator_failures(P.validate(once(p))))
 add("P22_inject_faults", ["fx_pose"], lambda p: P.inject(p, "velocity_spike").select(*KEYS, "x"), f"SELECT {K}, frame_idx, round(CASE WHEN frame_idx % 20 = 10 THEN x + 5 ELSE x END, 6) AS x FROM fx_pose")
 
 
 def matrix(pose):
     """Each episode is a case that should fail on orientation only."""
-    results = P.validate(pose).where("validator_name in ('schema', 'quaternion', 'euler_stability')")
+    results = P.validate(once(pose)).where("validator_name in ('schema', 'quaternion', 'euler_stability')")
     case = F.concat_ws("/", *series.EPISODE).alias("case_id")
     actual = results.groupBy(case).agg(P.worst("status").alias("status"), F.sort_array(F.collect_set(F.when(F.col("status") == "FAIL", F.col("validator_name")))).alias("failed"))
     expected = pose.select(case, F.lit("FAIL").alias("expected_status"), F.array(F.lit("euler_stability")).alias("expected_failed")).distinct()
