@@ -65,3 +65,10 @@ def test_nulls_empty_and_no_labels(spark):
     got = quality.scored(docs, some, keep=("text",)).collect()
     assert len(got) == 4 and all(0 <= r.score <= 1 for r in got) and sum(r.text is None for r in got) == 1
     assert quality.scored(docs.limit(0), some).count() == 0
+
+
+def test_sample_of_little_more_than_half(spark):
+    from kinelake.llm.common import hash_sample
+
+    ids = spark.range(2050)  # twice the sample, and less than a hundred more
+    assert hash_sample(ids, ["id"], 1000).count() == 1000
