@@ -190,3 +190,66 @@ def test_sorted_codes_pack_as_differences():
     for some in (codes, codes[:1], codes[:0]):
         (back,) = suffixtree.unpacked(suffixtree.packed([suffixtree.steps(some)]), len(some), ["<u8"])
         assert np.array_equal(np.cumsum(back), some)
+
+
+@pytest.mark.parametrize("tier", [3, 1 << 17])
+def test_contexts_of_any_words_up_to_the_depth_match_a_plain_tree(spark, tier):
+    """Contexts of four words, of words outside the tier and of the start of a text; every next word counts on its own."""
+    rng = np.random.default_rng(12)
+    names = [f"w{k}" for k in range(7)]
+    texts = []
+    for _ in range(80):
+        t = [f"open{rng.integers(0, 4)}"]
+        while rng.random() < 0.94:
+            k = (len("".join(t[-3:])) + sum(map(ord, "".join(t[-4:])))) % 7 if rng.random() < 0.7 else int(rng.integers(0, 7))
+            t.append(f"rare{rng.integers(0, 9)}" if rng.random() < 0.15 else names[k])
+        texts.append(" ".join(t))
+    texts += ["open1 once w1 w2 w3 only", "open1 once w1 w2 w3 other"]
+    train, weight, depth = len(texts), 3.0, 4
+    texts += [f"{texts[3]} never w1 w2 rare1 w4", "never", texts[5] + " " + texts[6], "open1 once w1 w2 w3 only", "w5 never rare2"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in suffixtree.scored(df, F.col("doc_id") < train, symbols=0, tier=tier, depth=depth, weight=weight).collect()}
+    seq = [["^"] * depth + t.split() + ["$"] for t in texts]
+    c1 = Counter(w for s in seq[:train] for w in s[depth:])
+    n, v = sum(c1.values()), len(c1)
+    base = lambda x: (c1[x] + 1) / (n + v + 1)
+    # the broadcast part has no words: what follows any word, and the start of a text, is a word or the end
+    top = {h: Counter() for h in "*^"}
+    trees = [Counter() for _ in range(depth)]
+    for s in seq[:train]:
+        for i in range(depth, len(s)):
+            top["^" if s[i - 1] == "^" else "*"]["$" if s[i] == "$" else "*"] += 1
+            for k in range(1, depth + 1):
+                if "^" not in s[i - k + 1 : i]:
+                    trees[k - 1][tuple(s[i - k : i]), s[i]] += 1
+    follow: dict = {}
+    for t in trees:
+        for (h, x), m in t.items():
+            follow.setdefault(h, {})[x] = m
+    total = {h: sum(f.values()) for h, f in follow.items()}
+    states: set = set()
+
+    def class_p(h, x, among):
+        p0, m = base("$") if x == "$" else 1 - base("$"), sum(top[h].values())
+        return (top[h]["$" if x == "$" else "*"] + weight * p0) / (m + weight) if h in among else p0
+
+    kept_top = {h for h, f in top.items() if sum(f.values()) >= 2 and sum(m * math.log(m / sum(f.values()) / class_p(h, x, ())) for x, m in f.items()) > len(f)}
+
+    def p(h, x):
+        g = next((h[-k:] for k in range(len(h), 0, -1) if h[-k:] in states), None)
+        return (follow[g].get(x, 0) + weight * before(g, x)) / (total[g] + weight) if g else root(h[-1], x)
+
+    def root(last, x):
+        return class_p("^" if last == "^" else "*", x, kept_top) * (1 if x == "$" else base(x) / (1 - base("$")))
+
+    def before(h, x):  # by the shorter states
+        return p(h[1:], x) if len(h) > 1 else root(h[0], x)
+
+    for k in range(1, depth + 1):
+        for h in [h for h in follow if len(h) == k and h != ("^",) and total[h] >= 2]:
+            if sum(m * math.log(m / total[h] / before(h, x)) for x, m in follow[h].items()) > len(follow[h]):
+                states.add(h)
+    assert {len(h) for h in states} == {1, 2, 3, 4} and any(h[0] == "^" for h in states) and any("rare" in "".join(h) for h in states if len(h) > 1)
+    for i, s in enumerate(seq):
+        want = sum(math.log10(p(tuple(s[j - depth : j]), s[j])) for j in range(depth, len(s)))
+        assert abs(got[i].score - want) < 1e-5 * len(s), (i, got[i].score, want)
